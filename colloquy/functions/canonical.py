@@ -24,8 +24,12 @@ from pyspark.sql import types as T
 
 try:  # PyYAML is optional; without it PASS_3 parses to null.
     import yaml as _yaml
+
+    # libyaml parser with the same safe constructor/resolver (about 8x faster).
+    _YAML_LOADER = getattr(_yaml, "CSafeLoader", None) or _yaml.SafeLoader
 except Exception:  # pragma: no cover - depends on the image
     _yaml = None
+    _YAML_LOADER = None
 
 
 def _norm_key(key: Any) -> str:
@@ -103,7 +107,7 @@ def parse_semantic(section: Optional[str]) -> Optional[dict]:
     if not section or _yaml is None:
         return None
     try:
-        value = _yaml.safe_load(section)
+        value = _yaml.load(section, Loader=_YAML_LOADER)
     except Exception:
         return None
     return value if isinstance(value, dict) else None
@@ -139,3 +143,17 @@ def _json_text_key(text: pd.Series) -> pd.Series:
         except (ValueError, RecursionError):
             out.append(None)
     return pd.Series(out, dtype=object)
+
+
+_KEYS_TYPE = T.StructType([T.StructField("semantic", T.StringType()), T.StructField("envelope", T.StringType())])
+
+
+@F.pandas_udf(_KEYS_TYPE)
+def structured_keys(text: pd.Series, pass3: pd.Series) -> pd.DataFrame:
+    """PASS_3 and PASS_4 canonical keys in one Arrow round trip."""
+    return pd.DataFrame(
+        {
+            "semantic": [_canon_or_none(parse_semantic(s)) for s in pass3],
+            "envelope": [_canon_or_none(parse_envelope(t)) for t in text],
+        }
+    )

@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.functions.canonical import envelope_key, semantic_key
+from colloquy.functions.canonical import envelope_key, semantic_key, structured_keys
 from colloquy.functions.text import col_of, locate_from, py_strip, splitlines, strip_newlines
 
 # Section markers and the literal header line each section may start with.
@@ -40,18 +40,23 @@ def section(text: Column | str, name: str) -> Column:
     return F.when(pos > 0, strip_newlines(t.substr(body_start, end - body_start)))
 
 
-def section_lines(sec: Column, header: str) -> Column:
-    """Non-blank lines of a section, minus a first line equal to ``header``."""
-    lines = F.filter(splitlines(sec), lambda ln: py_strip(ln) != F.lit(""))
+def _nonblank_lines(sec: Column) -> Column:
+    return F.filter(splitlines(sec), lambda ln: py_strip(ln) != F.lit(""))
+
+
+def _drop_header(lines: Column, header: str) -> Column:
     n = F.size(lines)
     return F.when((n > 0) & (py_strip(F.get(lines, 0)) == F.lit(header)), F.slice(lines, F.lit(2), n - 1)).otherwise(
         lines
     )
 
 
-def parse_normalizations(text: Column | str) -> Column:
-    sec = section(text, "PASS_0")
-    lines = section_lines(sec, HEADERS["PASS_0"])
+def section_lines(sec: Column, header: str) -> Column:
+    """Non-blank lines of a section, minus a first line equal to ``header``."""
+    return _drop_header(_nonblank_lines(sec), header)
+
+
+def _norm_from_lines(sec: Column, lines: Column) -> Column:
     n = F.size(lines)
     groups = F.sequence(F.lit(0), F.floor(n / 3).cast("int") - 1)
     arrows_ok = F.forall(groups, lambda i: py_strip(F.get(lines, i * 3 + 1)) == F.lit(ARROW_LINE))
@@ -69,17 +74,29 @@ def parse_normalizations(text: Column | str) -> Column:
     )
 
 
+def _lexemes_from_lines(sec: Column, lines: Column) -> Column:
+    stripped = F.transform(lines, lambda ln: py_strip(ln))
+    all_quoted = F.forall(stripped, lambda ln: ln.rlike(LEXEME_PATTERN))
+    return F.when(sec.isNotNull() & all_quoted, F.transform(stripped, lambda ln: F.regexp_extract(ln, LEXEME_PATTERN, 1)))
+
+
+def _intent_from_lines(sec: Column, lines: Column) -> Column:
+    return F.when(sec.isNotNull() & (F.size(lines) == 1), py_strip(F.get(lines, 0)))
+
+
+def parse_normalizations(text: Column | str) -> Column:
+    sec = section(text, "PASS_0")
+    return _norm_from_lines(sec, section_lines(sec, HEADERS["PASS_0"]))
+
+
 def parse_lexemes(text: Column | str) -> Column:
     sec = section(text, "PASS_1")
-    lines = section_lines(sec, HEADERS["PASS_1"])
-    all_quoted = F.forall(lines, lambda ln: py_strip(ln).rlike(LEXEME_PATTERN))
-    return F.when(sec.isNotNull() & all_quoted, F.transform(lines, lambda ln: F.regexp_extract(py_strip(ln), LEXEME_PATTERN, 1)))
+    return _lexemes_from_lines(sec, section_lines(sec, HEADERS["PASS_1"]))
 
 
 def parse_intent(text: Column | str) -> Column:
     sec = section(text, "PASS_2")
-    lines = section_lines(sec, HEADERS["PASS_2"])
-    return F.when(sec.isNotNull() & (F.size(lines) == 1), py_strip(F.get(lines, 0)))
+    return _intent_from_lines(sec, section_lines(sec, HEADERS["PASS_2"]))
 
 
 def parse_semantic(text: Column | str) -> Column:
@@ -91,7 +108,7 @@ def parse_envelope(text: Column | str) -> Column:
 
 
 # Parser registry: section name -> Column builder over the reply text. Callers may
-# add entries; every score below iterates this mapping.
+# add entries; ``parse_reply`` iterates this mapping.
 PASS_PARSERS: dict[str, Callable[[Column | str], Column]] = {
     "PASS_0": parse_normalizations,
     "PASS_1": parse_lexemes,
@@ -103,10 +120,59 @@ PARSED_FIELDS = {"PASS_0": "norm", "PASS_1": "lexemes", "PASS_2": "intent", "PAS
 
 
 def parse_reply(text: Column | str) -> Column:
-    """All five sections of one reply as a struct (null fields = section unparseable)."""
+    """All five sections of one reply as a struct (single expression form).
+
+    Convenient for small inputs; ``with_parsed_reply`` is the staged form that keeps
+    each section and line array computed once per row.
+    """
     return F.struct(*[PASS_PARSERS[p](text).alias(PARSED_FIELDS[p]) for p in PASS_NAMES])
 
 
+def with_parsed_reply(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Add struct column ``out`` holding the five parsed sections of column ``text``.
+
+    Sections and their line arrays are separate projections, so Catalyst keeps them as
+    attributes (it does not inline an expensive expression into several consumers)
+    and lambdas read an array instead of recomputing it per element.
+    """
+    t = F.col(text)
+    tmp = f"_{out}"
+    # First occurrence of every marker, once per row; a section end only needs a
+    # rescan (``locate`` from the section start) for markers that first occur
+    # before that start.
+    staged = df.select(
+        "*", *[F.instr(t, m).alias(f"{tmp}_f{j}") for j, m in enumerate(PASS_NAMES)], F.length(t).alias(f"{tmp}_n")
+    )
+    first = [F.col(f"{tmp}_f{j}") for j in range(len(PASS_NAMES))]
+    secs = []
+    for i, name in enumerate(PASS_NAMES[:4]):
+        start = first[i] + F.lit(len(name))
+        ends = [
+            F.when(first[j] >= start, first[j]).when(first[j] > 0, F.nullif(locate_from(m, t, start), F.lit(0)))
+            for j, m in enumerate(PASS_NAMES)
+            if j != i
+        ]
+        end = F.coalesce(F.least(*ends), F.col(f"{tmp}_n") + 1)
+        secs.append(F.when(first[i] > 0, strip_newlines(t.substr(start, end - start))).alias(f"{tmp}_s{i}"))
+    staged = staged.select("*", *secs)
+    staged = staged.select("*", *[_nonblank_lines(F.col(f"{tmp}_s{i}")).alias(f"{tmp}_r{i}") for i in range(3)])
+    staged = staged.select(
+        "*", *[_drop_header(F.col(f"{tmp}_r{i}"), HEADERS[PASS_NAMES[i]]).alias(f"{tmp}_l{i}") for i in range(3)]
+    )
+    sec = [F.col(f"{tmp}_s{i}") for i in range(4)]
+    lines = [F.col(f"{tmp}_l{i}") for i in range(3)]
+    staged = staged.select("*", structured_keys(t, sec[3]).alias(f"{tmp}_k"))
+    parsed = F.struct(
+        _norm_from_lines(sec[0], lines[0]).alias("norm"),
+        _lexemes_from_lines(sec[1], lines[1]).alias("lexemes"),
+        _intent_from_lines(sec[2], lines[2]).alias("intent"),
+        F.col(f"{tmp}_k.semantic").alias("semantic"),
+        F.col(f"{tmp}_k.envelope").alias("envelope"),
+    )
+    temps = [c for c in staged.columns if c.startswith(f"{tmp}_")]
+    return staged.select("*", parsed.alias(out)).drop(*temps)
+
+
 def exact_match(pred_text: Column | str, gold_text: Column | str, pred_env: Column, gold_env: Column) -> Column:
     """1.0/0.0: envelopes compared structurally when both parse, stripped texts otherwise."""
     both = pred_env.isNotNull() & gold_env.isNotNull()

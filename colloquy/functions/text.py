@@ -17,6 +17,9 @@ _WS = r"[\s\x{1c}-\x{1f}]"
 STRIP_PATTERN = r"(?U)^" + _WS + r"+|" + _WS + r"+$"
 LINE_SPLIT_PATTERN = r"\r\n|[\n\x{0b}\x{0c}\r\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
 TOKEN_PATTERN = r"[^ \t\n\r]+"
+# The same whitespace set as characters, derived from Python itself (29 code points,
+# all below U+3001); ``btrim`` with a character set avoids a regex per call.
+PY_WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 def col_of(c: Column | str) -> Column:
@@ -25,7 +28,7 @@ def col_of(c: Column | str) -> Column:
 
 def py_strip(c: Column | str) -> Column:
     """``str.strip()`` with Python's whitespace set."""
-    return F.regexp_replace(col_of(c), F.lit(STRIP_PATTERN), F.lit(""))
+    return F.btrim(col_of(c), F.lit(PY_WHITESPACE))
 
 
 def is_blank(c: Column | str) -> Column:
@@ -36,7 +39,7 @@ def is_blank(c: Column | str) -> Column:
 
 def strip_newlines(c: Column | str) -> Column:
     """``str.strip('\\n')``."""
-    return F.regexp_replace(col_of(c), F.lit(r"^\n+|\n+$"), F.lit(""))
+    return F.btrim(col_of(c), F.lit("\n"))
 
 
 def splitlines(c: Column | str) -> Column:

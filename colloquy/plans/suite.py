@@ -12,9 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.operators import shape, stats, validate
+from colloquy.operators import evaluate, shape, stats, telemetry, validate
+from colloquy.functions.replies import with_parsed_reply
 from colloquy.plans import fixtures as fx
+from colloquy.session import spread
 from colloquy.sources.conversations import assemble_messages, read_table, read_turns
+from colloquy.sources.telemetry import decode_ndjson, decode_sse
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -354,3 +357,228 @@ def q_seeded_sample(spark: SparkSession, sf: str) -> DataFrame:
 def q_doc_sample(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
     return shape.seeded_sample(docs, "doc_id", 100, seed=7)
+
+
+# --------------------------------------------------------------- reply scoring
+def order_replies(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(spark, sf, "orders").selectExpr(
+        "o_orderkey", f"{fx.GOLD_SQL} AS gold", f"{fx.GENERATED_SQL} AS generated"
+    )
+
+
+def _pairs_text(c):
+    return F.array_join(F.transform(c, lambda p: F.concat(p["src"], F.lit("=>"), p["dst"])), "|")
+
+
+_EXPECT_SQL = f"""
+  SELECT o_orderkey,
+    CASE WHEN o_orderkey % 8 = 5 AND o_orderkey % 3 <> 0 THEN NULL ELSE {fx.NORM_CANON_SQL} END AS norm,
+    CASE WHEN o_orderkey % 8 = 4 THEN NULL ELSE {fx.LEX_CANON_SQL} END AS lexemes,
+    CASE WHEN o_orderkey % 8 = 2 THEN 'UNSUPPORTED' WHEN o_orderkey % 13 = 0 THEN NULL ELSE {fx.OP_SQL} END AS intent,
+    CASE WHEN o_orderkey % 8 = 6 THEN NULL ELSE {fx.SEM_CANON_SQL} END AS semantic,
+    CASE WHEN o_orderkey % 8 = 3 THEN NULL WHEN o_orderkey % 8 = 7 THEN {fx.ENV_WRONG_CANON_SQL} ELSE {fx.ENV_CANON_SQL} END AS envelope,
+    CASE WHEN o_orderkey % 8 IN (3, 7) THEN 0.0 ELSE 1.0 END AS exact_match,
+    CASE WHEN o_orderkey % 8 = 5 AND o_orderkey % 3 <> 0 THEN 0.0 ELSE 1.0 END AS pass_0_score,
+    CASE WHEN o_orderkey % 8 = 4 THEN 0.0 ELSE 1.0 END AS pass_1_score,
+    CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 8 = 2 THEN 0.0 ELSE 1.0 END AS pass_2_score,
+    CASE WHEN o_orderkey % 8 = 6 THEN 0.0 ELSE 1.0 END AS pass_3_score,
+    CASE WHEN o_orderkey % 8 IN (3, 7) THEN 0.0 ELSE 1.0 END AS pass_4_score,
+    o_orderkey % 8 = 5 AND o_orderkey % 3 <> 0 AS pu0, o_orderkey % 8 = 4 AS pu1, o_orderkey % 13 <> 0 AND o_orderkey % 8 = 2 AS pu2x,
+    o_orderkey % 8 = 6 AS pu3, o_orderkey % 8 = 3 AS pu4
+  FROM orders"""
+
+
+@register("parse_replies", f"SELECT o_orderkey, norm, lexemes, intent, semantic, envelope FROM ({_EXPECT_SQL})")
+def q_parse_replies(spark: SparkSession, sf: str) -> DataFrame:
+    p = with_parsed_reply(spread(order_replies(spark, sf).select("o_orderkey", "generated")), "generated", "p")
+    return p.select(
+        "o_orderkey",
+        _pairs_text(F.col("p.norm")).alias("norm"),
+        F.array_join("p.lexemes", "|").alias("lexemes"),
+        F.col("p.intent").alias("intent"),
+        F.col("p.semantic").alias("semantic"),
+        F.col("p.envelope").alias("envelope"),
+    )
+
+
+@register(
+    "reply_scores",
+    f"SELECT o_orderkey, exact_match, pass_0_score, pass_1_score, pass_2_score, pass_3_score, pass_4_score FROM ({_EXPECT_SQL})",
+)
+def q_reply_scores(spark: SparkSession, sf: str) -> DataFrame:
+    s = evaluate.score_predictions(order_replies(spark, sf))
+    return s.select("o_orderkey", "exact_match", *[f"pass_{i}_score" for i in range(5)])
+
+
+_PASS_ACC_ORACLE = f"""WITH e AS ({_EXPECT_SQL}),
+u AS (
+  SELECT 'PASS_0' AS pass_name, pass_0_score AS s, pu0 AS pu FROM e UNION ALL
+  SELECT 'PASS_1', pass_1_score, pu1 FROM e UNION ALL
+  SELECT 'PASS_2', pass_2_score, false FROM e UNION ALL
+  SELECT 'PASS_3', pass_3_score, pu3 FROM e UNION ALL
+  SELECT 'PASS_4', pass_4_score, pu4 FROM e)
+SELECT pass_name, round(coalesce(sum(s) / nullif(count(s), 0), 0.0), 9) AS accuracy, count(s) AS num_scored,
+       count(*) FILTER (WHERE s IS NULL) AS num_gold_unparseable,
+       count(*) FILTER (WHERE s IS NOT NULL AND pu) AS num_prediction_unparseable
+FROM u GROUP BY pass_name"""
+
+
+@register("pass_accuracy", _PASS_ACC_ORACLE)
+def q_pass_accuracy(spark: SparkSession, sf: str) -> DataFrame:
+    acc = evaluate.pass_accuracy(evaluate.parse_pair(order_replies(spark, sf)))
+    return acc.withColumn("accuracy", F.round("accuracy", 9))
+
+
+@register(
+    "exact_match_rate",
+    f"SELECT round(avg(exact_match), 9) AS exact_match_rate, count(*) AS num_examples FROM ({_EXPECT_SQL})",
+)
+def q_exact_match_rate(spark: SparkSession, sf: str) -> DataFrame:
+    rate = evaluate.exact_match_rate(evaluate.score_predictions(order_replies(spark, sf)))
+    return rate.select(F.round("exact_match_rate", 9).alias("exact_match_rate"), "num_examples")
+
+
+# ------------------------------------------------------------------ robustness
+def robustness_results(spark: SparkSession, sf: str) -> DataFrame:
+    ev = read_table(spark, sf, "events").selectExpr(
+        "CAST(user_id AS STRING) AS group_id", f"{fx.LEVEL_SQL} AS level", "event_id AS seq",
+        f"{fx.ROBUST_REPLY_SQL} AS generated",
+    )
+    ev = spread(ev).withColumn("level_name", evaluate.level_name_column(F.col("level")))
+    return evaluate.robustness(ev.withColumn("pass4_envelope", evaluate.envelope_of(F.col("generated"))))
+
+
+_ROBUST_ORACLE = f"""WITH e AS (
+  SELECT CAST(user_id AS VARCHAR) AS group_id, CAST(1 + event_id % 4 AS INTEGER) AS level, event_id AS seq,
+         CASE WHEN event_type = 'error' THEN NULL WHEN event_type IN ('view', 'click') THEN 'LOOKUP' ELSE upper(event_type) END AS env
+  FROM events),
+r AS (SELECT group_id, max(seq) FILTER (WHERE level = 1) AS rs FROM e GROUP BY group_id),
+ref AS (SELECT r.group_id, r.rs, e.env AS renv FROM r LEFT JOIN e ON e.group_id = r.group_id AND e.seq = r.rs),
+m AS (SELECT e.group_id, e.level, e.seq,
+        CASE WHEN e.level > 1 AND ref.rs IS NOT NULL AND ref.renv IS NOT NULL THEN coalesce(e.env = ref.renv, false) END AS matches_level1
+      FROM e JOIN ref USING (group_id))
+"""
+
+
+@register("robustness", _ROBUST_ORACLE + "SELECT group_id, level, seq, matches_level1 FROM m")
+def q_robustness(spark: SparkSession, sf: str) -> DataFrame:
+    return robustness_results(spark, sf).select("group_id", "level", "seq", "matches_level1")
+
+
+@register(
+    "robustness_summary",
+    _ROBUST_ORACLE
+    + """SELECT level,
+           CASE level WHEN 1 THEN 'Explicit entity + explicit identifier' WHEN 2 THEN 'Synonyms'
+                      WHEN 3 THEN 'Implicit entity from identifier' ELSE 'Natural operator language' END AS level_name,
+           count(*) AS num_queries,
+           CASE WHEN level <> 1 THEN count(matches_level1) END AS num_scoreable,
+           CASE WHEN level <> 1 THEN round(coalesce(count(*) FILTER (WHERE matches_level1) / nullif(count(matches_level1), 0), 0.0), 9) END AS consistency_with_level1,
+           CASE WHEN level = 1 THEN 'reference level — each group''s own baseline, not scored against itself' END AS note
+    FROM m GROUP BY level""",
+)
+def q_robustness_summary(spark: SparkSession, sf: str) -> DataFrame:
+    s = evaluate.robustness_summary(robustness_results(spark, sf))
+    return s.withColumn("consistency_with_level1", F.round("consistency_with_level1", 9))
+
+
+# ------------------------------------------------------------------- telemetry
+def chunk_log(spark: SparkSession, sf: str, line_sql: str) -> DataFrame:
+    return read_table(spark, sf, "events").selectExpr(
+        f"{fx.REQUEST_SQL} AS request_id", "event_id AS seq", "ts AS arrived_at", f"{line_sql} AS line"
+    )
+
+
+def _rounded_metrics(m: DataFrame) -> DataFrame:
+    return m.select(
+        "request_id",
+        "text",
+        F.round("ttft_seconds", 6).alias("ttft_seconds"),
+        F.round("total_seconds", 6).alias("total_seconds"),
+        "tokens_generated",
+        F.round("tokens_per_second", 6).alias("tokens_per_second"),
+    )
+
+
+def sse_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return telemetry.request_metrics(decode_sse(chunk_log(spark, sf, fx.SSE_LINE_SQL)), end_inclusive=False)
+
+
+def ndjson_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return telemetry.request_metrics(decode_ndjson(chunk_log(spark, sf, fx.NDJSON_LINE_SQL)), end_inclusive=True)
+
+
+_SSE_ORACLE = f"""WITH l AS (
+  SELECT {fx.REQUEST_SQL} AS rid, event_id AS seq, epoch_us(ts) AS us, trim({fx.SSE_LINE_SQL}) AS line FROM events),
+d AS (SELECT rid, seq, us, starts_with(line, 'data: ') AS is_data,
+             starts_with(line, 'data: ') AND substr(line, 7) = '[DONE]' AS is_end, substr(line, 7) AS payload FROM l),
+d2 AS (SELECT *, CASE WHEN is_data AND NOT is_end THEN json_extract_string(payload, '$.choices[0].delta.content') END AS delta,
+              CASE WHEN is_data AND NOT is_end THEN CAST(json_extract(payload, '$.usage.completion_tokens') AS BIGINT) END AS usage
+       FROM d),
+b AS (SELECT rid, min(us) AS st, max(us) AS last_us, min(seq) FILTER (WHERE is_end) AS es,
+             arg_min(us, seq) FILTER (WHERE is_end) AS eus FROM d2 GROUP BY rid),
+k AS (SELECT d2.* FROM d2 JOIN b USING (rid) WHERE is_data AND (es IS NULL OR seq < es)),
+s AS (SELECT rid, min(us) FILTER (WHERE coalesce(delta, '') <> '') AS fu,
+             arg_max(usage, seq) FILTER (WHERE usage IS NOT NULL) AS usage,
+             string_agg(coalesce(delta, ''), '' ORDER BY seq) AS text FROM k GROUP BY rid),
+x AS (SELECT b.rid, coalesce(s.text, '') AS text, (coalesce(eus, last_us) - st) / 1e6 AS total,
+             CASE WHEN fu IS NOT NULL THEN (fu - st) / 1e6 ELSE (coalesce(eus, last_us) - st) / 1e6 END AS ttft,
+             coalesce(usage, 0) AS tokens
+      FROM b LEFT JOIN s USING (rid)),
+mt AS (SELECT rid AS request_id, text, round(ttft, 6) AS ttft_seconds, round(total, 6) AS total_seconds,
+              CAST(tokens AS BIGINT) AS tokens_generated,
+              round(CASE WHEN tokens > 1 AND total > ttft THEN (tokens - 1) / (total - ttft) ELSE 0.0 END, 6) AS tokens_per_second,
+              ttft AS rt, total AS rtot, CASE WHEN tokens > 1 AND total > ttft THEN (tokens - 1) / (total - ttft) ELSE 0.0 END AS rtps
+       FROM x)
+"""
+
+
+@register(
+    "request_metrics",
+    _SSE_ORACLE + "SELECT request_id, text, ttft_seconds, total_seconds, tokens_generated, tokens_per_second FROM mt",
+)
+def q_request_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded_metrics(sse_metrics(spark, sf))
+
+
+@register(
+    "metrics_summary",
+    _SSE_ORACLE
+    + """SELECT count(*) AS num_queries, round(avg(rt), 6) AS avg_ttft_seconds, round(avg(rtot), 6) AS avg_total_seconds,
+              round(avg(rtps), 6) AS avg_tokens_per_second, sum(tokens_generated) AS total_tokens_generated FROM mt""",
+)
+def q_metrics_summary(spark: SparkSession, sf: str) -> DataFrame:
+    s = telemetry.metrics_summary(sse_metrics(spark, sf))
+    return s.select(
+        "num_queries",
+        *[F.round(c, 6).alias(c) for c in ("avg_ttft_seconds", "avg_total_seconds", "avg_tokens_per_second")],
+        "total_tokens_generated",
+    )
+
+
+@register(
+    "ndjson_metrics",
+    f"""WITH l AS (
+  SELECT {fx.REQUEST_SQL} AS rid, event_id AS seq, epoch_us(ts) AS us, trim({fx.NDJSON_LINE_SQL}) AS line FROM events),
+d AS (SELECT rid, seq, us, line <> '' AS is_line,
+             line <> '' AND coalesce(CAST(json_extract(line, '$.done') AS VARCHAR) = 'true', false) AS is_end,
+             json_extract_string(line, '$.message.content') AS delta FROM l),
+d2 AS (SELECT d.*, CASE WHEN is_end THEN CAST(json_extract(l.line, '$.eval_count') AS BIGINT) END AS ec,
+              CASE WHEN is_end THEN CAST(json_extract(l.line, '$.eval_duration') AS BIGINT) END AS ens
+       FROM d JOIN l USING (rid, seq)),
+b AS (SELECT rid, min(us) AS st, max(us) AS last_us, min(seq) FILTER (WHERE is_end) AS es,
+             arg_min(us, seq) FILTER (WHERE is_end) AS eus FROM d2 GROUP BY rid),
+k AS (SELECT d2.* FROM d2 JOIN b USING (rid) WHERE is_line AND (es IS NULL OR seq <= es)),
+s AS (SELECT rid, min(us) FILTER (WHERE coalesce(delta, '') <> '') AS fu, max(ec) AS ec, max(ens) AS ens,
+             string_agg(coalesce(delta, ''), '' ORDER BY seq) AS text FROM k GROUP BY rid),
+x AS (SELECT b.rid, coalesce(s.text, '') AS text, (coalesce(eus, last_us) - st) / 1e6 AS total,
+             CASE WHEN fu IS NOT NULL THEN (fu - st) / 1e6 ELSE (coalesce(eus, last_us) - st) / 1e6 END AS ttft,
+             coalesce(ec, 0) AS tokens, ens
+      FROM b LEFT JOIN s USING (rid))
+SELECT rid AS request_id, text, round(ttft, 6) AS ttft_seconds, round(total, 6) AS total_seconds, CAST(tokens AS BIGINT) AS tokens_generated,
+       round(CASE WHEN ens IS NOT NULL AND ens <> 0 AND tokens <> 0 THEN tokens / (ens / 1e9)
+                  WHEN tokens > 1 AND total > ttft THEN (tokens - 1) / (total - ttft) ELSE 0.0 END, 6) AS tokens_per_second
+FROM x""",
+)
+def q_ndjson_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded_metrics(ndjson_metrics(spark, sf))

@@ -66,3 +66,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame | None:
     if len(rows) > max_rows:
         return None
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition when ``df`` has fewer partitions than task slots.
+
+    CPU-heavy per-row work (reply parsing, tokenising) on a small or single-row-group
+    input would otherwise run in one task. Large inputs already have enough splits
+    and pass through untouched, so no shuffle is added at scale.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
