@@ -120,3 +120,29 @@ ROBUST_REPLY_SQL = f"""CASE
   WHEN event_type = 'error' THEN 'PASS_4' || {NL} || '{{"status": "SUCCESS", "operation": {{"type": "LOOKUP"'
   ELSE 'PASS_2' || {NL} || 'Intent' || {NL} || 'LOOKUP' || {NL} || {NL} || 'PASS_4' || {NL} || '{{"status": "SUCCESS", "operation": {{"type": "' || CASE WHEN event_type IN ('view', 'click') THEN 'LOOKUP' ELSE upper(event_type) END || '"}}, "subject": {{"entity": "ONU"}}, "qualifiers": []}}'
 END"""
+
+# ---------------------------------------------------------------------------
+# Run registry rows: one run per order, one checkpoint per line item.
+# ---------------------------------------------------------------------------
+BASE_DIR_SQL = "'drive/c' || CAST(o_custkey % 50 AS STRING)"
+RUN_NAME_SQL = """CASE WHEN o_orderkey % 10 = 9 THEN 'run_manual_' || CAST(o_orderkey AS STRING)
+  ELSE 'run_' || CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS STRING) || '_'
+       || lpad(CAST(o_orderkey % 24 AS STRING), 2, '0') || lpad(CAST(o_orderkey % 60 AS STRING), 2, '0')
+       || lpad(CAST((o_orderkey * 7) % 60 AS STRING), 2, '0') END"""
+HAS_ADAPTER_SQL = "o_orderstatus <> 'P'"
+CKPT_NAME_SQL = """CASE WHEN l_partkey % 17 = 0 THEN 'checkpoint-final'
+  ELSE 'checkpoint-' || CAST(l_linenumber * 250 + (l_partkey % 7) * 50 AS STRING) END"""
+CKPT_LOSS_SQL = "l_tax"
+
+# Prior manifests per customer and child configs per order.
+PRIOR_PATH_SQL = "'adapters/' || CAST(c_custkey AS STRING)"
+PRIOR_BASE_SQL = "CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE 'prior-' || c_mktsegment END"
+PRIOR_R_SQL = "CAST(8 * (1 + c_custkey % 4) AS BIGINT)"
+PRIOR_ALPHA_SQL = "CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE CAST(16 * (1 + c_custkey % 4) AS BIGINT) END"
+PRIOR_LEN_SQL = "CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE CAST(1024 + (c_custkey % 3) * 512 AS BIGINT) END"
+CHILD_LINK_SQL = "CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 'adapters/' || CAST(o_custkey AS STRING) END"
+
+# Trainer logs from events: run = user % 20, step = event_id.
+LOG_KEY_SQL = """CASE event_type WHEN 'click' THEN 'loss' WHEN 'view' THEN 'learning_rate' WHEN 'purchase' THEN 'grad_norm'
+  WHEN 'signup' THEN 'epoch' ELSE 'eval_loss' END"""
+LOG_SOURCE_SQL = "CASE WHEN event_type = 'error' THEN 'eval' ELSE 'train' END"

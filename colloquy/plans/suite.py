@@ -12,9 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.operators import evaluate, shape, stats, telemetry, validate
+from colloquy.operators import evaluate, generate, metrics, registry, shape, stats, telemetry, validate
 from colloquy.functions.replies import with_parsed_reply
 from colloquy.plans import fixtures as fx
+from colloquy.plans import stubs
 from colloquy.session import spread
 from colloquy.sources.conversations import assemble_messages, read_table, read_turns
 from colloquy.sources.telemetry import decode_ndjson, decode_sse
@@ -582,3 +583,160 @@ FROM x""",
 )
 def q_ndjson_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded_metrics(ndjson_metrics(spark, sf))
+
+
+# -------------------------------------------------------------------- registry
+def runs_table(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(spark, sf, "orders").selectExpr(
+        "o_orderkey", f"{fx.BASE_DIR_SQL} AS base_dir", f"{fx.RUN_NAME_SQL} AS run_name", f"{fx.HAS_ADAPTER_SQL} AS has_adapter"
+    )
+
+
+def checkpoints_table(spark: SparkSession, sf: str) -> DataFrame:
+    items = read_table(spark, sf, "lineitem").selectExpr(
+        "l_orderkey AS o_orderkey", f"{fx.CKPT_NAME_SQL} AS name", f"{fx.CKPT_LOSS_SQL} AS eval_loss"
+    )
+    return items.join(runs_table(spark, sf).select("o_orderkey", "base_dir", "run_name"), "o_orderkey").drop("o_orderkey")
+
+
+_RUNS_SQL = f"SELECT o_orderkey, {fx.BASE_DIR_SQL} AS base_dir, {fx.RUN_NAME_SQL} AS run_name, {fx.HAS_ADAPTER_SQL} AS has_adapter FROM orders"
+_CKPT_SQL = f"""SELECT r.base_dir, r.run_name, {fx.CKPT_NAME_SQL} AS name, {fx.CKPT_LOSS_SQL} AS eval_loss
+  FROM lineitem JOIN ({_RUNS_SQL}) r ON l_orderkey = r.o_orderkey"""
+_CKPT_NUM_SQL = rf"""SELECT *, CAST(regexp_extract(name, '^checkpoint-(\d+)$', 1) AS BIGINT) AS step
+  FROM ({_CKPT_SQL}) WHERE regexp_matches(name, '^checkpoint-\d+$')"""
+
+
+@register(
+    "latest_checkpoint",
+    f"""SELECT base_dir, run_name, arg_max(name, step) AS latest_checkpoint, max(step) AS latest_step
+    FROM ({_CKPT_NUM_SQL}) GROUP BY base_dir, run_name""",
+)
+def q_latest_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
+    return registry.latest_checkpoint(checkpoints_table(spark, sf))
+
+
+@register(
+    "latest_synced_run",
+    f"""SELECT base_dir, max(run_name) AS latest_run FROM ({_RUNS_SQL})
+    WHERE starts_with(run_name, 'run_') AND has_adapter GROUP BY base_dir""",
+)
+def q_latest_synced_run(spark: SparkSession, sf: str) -> DataFrame:
+    return registry.latest_synced_run(runs_table(spark, sf))
+
+
+@register(
+    "latest_resumable_run",
+    rf"""SELECT base_dir, max(run_name) AS resume_run FROM ({_RUNS_SQL}) r
+    WHERE regexp_matches(run_name, '^run_\d{{8}}_\d{{6}}$')
+      AND EXISTS (SELECT 1 FROM ({_CKPT_NUM_SQL}) c WHERE c.base_dir = r.base_dir AND c.run_name = r.run_name)
+    GROUP BY base_dir""",
+)
+def q_latest_resumable_run(spark: SparkSession, sf: str) -> DataFrame:
+    return registry.latest_resumable_run(runs_table(spark, sf), checkpoints_table(spark, sf))
+
+
+@register(
+    "stale_checkpoints",
+    f"""WITH c AS ({_CKPT_NUM_SQL}),
+    best AS (SELECT base_dir, run_name, name AS best FROM
+               (SELECT base_dir, run_name, name, row_number() OVER (PARTITION BY base_dir, run_name ORDER BY eval_loss, step) AS rn FROM c)
+             WHERE rn = 1),
+    latest AS (SELECT base_dir, run_name, arg_max(name, step) AS latest FROM c GROUP BY base_dir, run_name)
+    SELECT c.base_dir, c.run_name, c.name, c.eval_loss, c.step FROM c
+    JOIN best USING (base_dir, run_name) JOIN latest USING (base_dir, run_name)
+    WHERE c.name <> best.best AND c.name <> latest.latest""",
+)
+def q_stale_checkpoints(spark: SparkSession, sf: str) -> DataFrame:
+    stale = registry.stale_checkpoints(checkpoints_table(spark, sf))
+    return stale.select("base_dir", "run_name", "name", "eval_loss", registry.checkpoint_step(F.col("name")).alias("step"))
+
+
+@register(
+    "inherit_manifest",
+    f"""WITH p AS (SELECT {fx.PRIOR_PATH_SQL} AS adapter_path, {fx.PRIOR_BASE_SQL} AS base_model, {fx.PRIOR_R_SQL} AS lora_r,
+                          {fx.PRIOR_ALPHA_SQL} AS lora_alpha, {fx.PRIOR_LEN_SQL} AS max_seq_length FROM customer),
+    c AS (SELECT o_orderkey, 'base-' || o_orderpriority AS base_model, CAST(16 AS BIGINT) AS lora_r, CAST(32 AS BIGINT) AS lora_alpha,
+                 CAST(1536 AS BIGINT) AS max_seq_length, {fx.CHILD_LINK_SQL} AS continue_adapter FROM orders)
+    SELECT c.o_orderkey, coalesce(p.base_model, c.base_model) AS base_model, coalesce(p.lora_r, c.lora_r) AS lora_r,
+           coalesce(p.lora_alpha, c.lora_alpha) AS lora_alpha, coalesce(p.max_seq_length, c.max_seq_length) AS max_seq_length,
+           CASE WHEN c.continue_adapter IS NOT NULL THEN 'continue_lora' ELSE 'fresh_lora' END AS training_mode
+    FROM c LEFT JOIN p ON c.continue_adapter = p.adapter_path""",
+)
+def q_inherit_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    priors = read_table(spark, sf, "customer").selectExpr(
+        f"{fx.PRIOR_PATH_SQL} AS adapter_path", f"{fx.PRIOR_BASE_SQL} AS base_model", f"{fx.PRIOR_R_SQL} AS lora_r",
+        f"{fx.PRIOR_ALPHA_SQL} AS lora_alpha", f"{fx.PRIOR_LEN_SQL} AS max_seq_length",
+    )
+    configs = read_table(spark, sf, "orders").selectExpr(
+        "o_orderkey", "'base-' || o_orderpriority AS base_model", "CAST(16 AS BIGINT) AS lora_r",
+        "CAST(32 AS BIGINT) AS lora_alpha", "CAST(1536 AS BIGINT) AS max_seq_length", f"{fx.CHILD_LINK_SQL} AS continue_adapter",
+    )
+    out = registry.inherit_from_prior(configs, priors)
+    return out.select("o_orderkey", "base_model", "lora_r", "lora_alpha", "max_seq_length", "training_mode")
+
+
+# --------------------------------------------------------------- metric series
+def trainer_logs(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(spark, sf, "events").selectExpr(
+        "CAST(user_id % 20 AS BIGINT) AS run_id", "event_id AS step", "ts", f"{fx.LOG_SOURCE_SQL} AS source",
+        f"{fx.LOG_KEY_SQL} AS key", "value",
+    )
+
+
+_SERIES_SQL = f"""SELECT CAST(user_id % 20 AS BIGINT) AS run_id, event_id AS step, ts, value,
+    CASE WHEN event_type = 'error' THEN 'eval/loss' ELSE 'train/' || ({fx.LOG_KEY_SQL}) END AS metric FROM events"""
+
+
+@register(
+    "metric_summary",
+    f"""SELECT run_id, metric, arg_max(value, step) AS last_value, max(step) AS last_step, count(*) AS n_points
+    FROM ({_SERIES_SQL}) GROUP BY run_id, metric""",
+)
+def q_metric_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return metrics.summary(metrics.to_series(trainer_logs(spark, sf)))
+
+
+@register("metric_every_n", f"SELECT run_id, step, metric, value FROM ({_SERIES_SQL}) WHERE step % 50 = 0")
+def q_metric_every_n(spark: SparkSession, sf: str) -> DataFrame:
+    return metrics.every_n(metrics.to_series(trainer_logs(spark, sf)), 50).select("run_id", "step", "metric", "value")
+
+
+@register(
+    "throughput_eta",
+    """WITH l AS (SELECT CAST(user_id % 20 AS BIGINT) AS run_id, event_id AS step, epoch_us(ts) AS us FROM events),
+    s AS (SELECT run_id, min(us) AS t0 FROM l GROUP BY run_id),
+    x AS (SELECT l.run_id, l.step, (us - t0) / 1e6 AS el FROM l JOIN s USING (run_id) WHERE l.step > 0)
+    SELECT run_id, step, round(el, 6) AS elapsed_seconds, round(step * 16 / greatest(el, 1e-6), 6) AS examples_per_sec,
+           round(step * 16 / greatest(el, 1e-6) * 1536.0, 4) AS tokens_per_sec,
+           round((100000 - step) * (el / step), 4) AS eta_seconds
+    FROM x""",
+)
+def q_throughput_eta(spark: SparkSession, sf: str) -> DataFrame:
+    t = metrics.throughput(trainer_logs(spark, sf), metrics.ThroughputPlan(max_steps=100000))
+    return t.select(
+        "run_id", "step", F.round("elapsed_seconds", 6).alias("elapsed_seconds"),
+        F.round("examples_per_sec", 6).alias("examples_per_sec"), F.round("tokens_per_sec", 4).alias("tokens_per_sec"),
+        F.round("eta_seconds", 4).alias("eta_seconds"),
+    )
+
+
+# ------------------------------------------------------------------ generation
+_PY_WS_SQL = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+
+
+@register(
+    "generate_eval",
+    f"""WITH last AS (SELECT conv_id, max(turn) AS lt, arg_max(role, turn) AS lr, arg_max(text, turn) AS gold
+                      FROM conversations GROUP BY conv_id),
+    g AS (SELECT l.conv_id, coalesce(c.text, '') AS generated, l.gold FROM last l
+          LEFT JOIN conversations c ON c.conv_id = l.conv_id AND c.turn = l.lt - 1 WHERE l.lr = 'assistant')
+    SELECT conv_id, generated, CASE WHEN trim(generated, '{_PY_WS_SQL}') = trim(gold, '{_PY_WS_SQL}') THEN 1.0 ELSE 0.0 END AS exact_match,
+           'ok' AS status
+    FROM g""",
+)
+def q_generate_eval(spark: SparkSession, sf: str) -> DataFrame:
+    conv = assemble_messages(read_turns(spark, sf))
+    prompts = shape.prompt_gold_records(conv)
+    gen = generate.generate(spread(prompts), batch_factory=stubs.echo_last_turn_batch_factory, batch_size=8)
+    rec = generate.prediction_records(gen.filter(F.col("status") == "ok"), "conv_id")
+    return rec.join(gen.select("conv_id", "status"), "conv_id").select("conv_id", "generated", "exact_match", "status")
