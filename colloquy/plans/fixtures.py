@@ -146,3 +146,17 @@ CHILD_LINK_SQL = "CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 'adapters/' || CAS
 LOG_KEY_SQL = """CASE event_type WHEN 'click' THEN 'loss' WHEN 'view' THEN 'learning_rate' WHEN 'purchase' THEN 'grad_norm'
   WHEN 'signup' THEN 'epoch' ELSE 'eval_loss' END"""
 LOG_SOURCE_SQL = "CASE WHEN event_type = 'error' THEN 'eval' ELSE 'train' END"
+
+# Raw JSONL lines from conversations: corruptions by conv_id % 9 (and % 18).
+JSONL_LINE_SQL = """CASE
+  WHEN conv_id % 9 = 0 THEN '{not valid json ' || CAST(conv_id AS STRING)
+  WHEN conv_id % 9 = 1 THEN '[1, 2, 3]'
+  WHEN conv_id % 18 = 2 THEN '{}'
+  WHEN conv_id % 18 = 11 THEN '{"messages": null}'
+  WHEN conv_id % 18 = 3 THEN '{"messages": []}'
+  WHEN conv_id % 18 = 12 THEN '{"messages": "hi"}'
+  WHEN conv_id % 9 = 4 THEN '{"messages": [{"role": 5, "content": "x"}]}'
+  WHEN conv_id % 9 = 5 THEN json_line || ' x'
+  WHEN conv_id % 9 = 6 THEN '{"messages": ["hello"]}'
+  WHEN conv_id % 9 = 7 THEN '   '
+  ELSE json_line END"""

@@ -7,6 +7,7 @@ that DuckDB runs on the same parquet files. Column names match one to one.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,10 @@ from colloquy.operators import evaluate, generate, metrics, registry, shape, sta
 from colloquy.functions.replies import with_parsed_reply
 from colloquy.plans import fixtures as fx
 from colloquy.plans import stubs
-from colloquy.session import spread
+from colloquy.session import checkpoint_dir, spread
+from colloquy.streaming import requests as streaming_requests
 from colloquy.sources.conversations import assemble_messages, read_table, read_turns
+from colloquy.sources import jsonl
 from colloquy.sources.telemetry import decode_ndjson, decode_sse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -740,3 +743,46 @@ def q_generate_eval(spark: SparkSession, sf: str) -> DataFrame:
     gen = generate.generate(spread(prompts), batch_factory=stubs.echo_last_turn_batch_factory, batch_size=8)
     rec = generate.prediction_records(gen.filter(F.col("status") == "ok"), "conv_id")
     return rec.join(gen.select("conv_id", "status"), "conv_id").select("conv_id", "generated", "exact_match", "status")
+
+
+# ------------------------------------------------------------------ raw JSONL
+@register(
+    "jsonl_validate",
+    _VALIDATE_ORACLE
+    + """SELECT conv_id, CASE
+        WHEN conv_id % 9 = 0 THEN 'invalid_json:Expecting property name enclosed in double quotes'
+        WHEN conv_id % 9 = 1 THEN 'not_a_json_object'
+        WHEN conv_id % 18 IN (2, 11) THEN 'missing_messages_key'
+        WHEN conv_id % 18 IN (3, 12) THEN 'messages_not_a_nonempty_list'
+        WHEN conv_id % 9 = 4 THEN 'turn_0_invalid_role:5'
+        WHEN conv_id % 9 = 5 THEN 'invalid_json:Extra data'
+        WHEN conv_id % 9 = 6 THEN 'turn_0_not_a_dict'
+        ELSE reason END AS reason
+    FROM verdict WHERE conv_id % 9 <> 7""",
+)
+def q_jsonl_validate(spark: SparkSession, sf: str) -> DataFrame:
+    conv = assemble_messages(defect_turns(spark, sf))
+    lines = conv.select("conv_id", F.to_json(F.struct("messages")).alias("json_line")).selectExpr(
+        "conv_id", f"{fx.JSONL_LINE_SQL} AS value"
+    )
+    return jsonl.validate_lines(spread(lines)).select("conv_id", "reason")
+
+
+# ------------------------------------------------------------------- streaming
+@register(
+    "stream_request_metrics",
+    _SSE_ORACLE + "SELECT request_id, text, ttft_seconds, total_seconds, tokens_generated, tokens_per_second FROM mt",
+)
+def q_stream_request_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """The SSE metrics query as a Structured Streaming job over the events files."""
+    src = sf.rstrip("/")
+    schema = read_table(spark, sf, "events").schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/event[s].parquet")
+    log = stream.selectExpr(
+        f"{fx.REQUEST_SQL} AS request_id", "event_id AS seq", "ts AS arrived_at", f"{fx.SSE_LINE_SQL} AS line"
+    )
+    metrics_stream = streaming_requests.request_metrics_single_pass(decode_sse(log), end_inclusive=False)
+    run = uuid.uuid4().hex
+    out = f"{checkpoint_dir(spark).rstrip('/')}/results/stream_request_metrics-{run}"
+    streaming_requests.run_complete_to_table(metrics_stream, out, f"stream_request_metrics-{run}")
+    return _rounded_metrics(spark.read.parquet(out))
