@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from colloquy.session import list_paths
+
 # Naming rules and the inherited manifest fields.
 CHECKPOINT_PATTERN = r"^checkpoint-(\d+)$"
 RUN_ID_PATTERN = r"^run_\d{8}_\d{6}$"
@@ -100,14 +102,20 @@ def stale_checkpoints(checkpoints: DataFrame, run_keys: tuple[str, ...] = ("base
     return ck.join(keep_rows, [*run_keys, "name"], "left_anti")
 
 
-def read_manifests(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Manifest JSON documents (multi-line) with a fixed schema; corrupt files give null rows."""
-    return (
-        spark.read.schema(T.StructType([*MANIFEST_SCHEMA.fields, T.StructField("_corrupt_record", T.StringType())]))
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .json(paths)
-        .withColumn("_file", F.input_file_name())
+def read_manifests(spark: SparkSession, adapter_dirs: list[str]) -> DataFrame:
+    """``(adapter_path, file_name, body)`` for every manifest file under the adapter folders.
+
+    Each manifest is one small whole-text file; missing folders are simply absent.
+    """
+    files_found = [f for d in adapter_dirs for f in list_paths(spark, f"{d.rstrip('/')}/{{{MANIFEST_NAME},{LEGACY_MANIFEST_NAME}}}")]
+    if not files_found:
+        return spark.createDataFrame([], "adapter_path string, file_name string, body string")
+    files = spark.read.text(files_found, wholetext=True)
+    path = F.col("_metadata.file_path")
+    return files.select(
+        F.regexp_replace(F.regexp_extract(path, r"^(.*)/[^/]+$", 1), "^file:", "").alias("adapter_path"),
+        F.col("_metadata.file_name").alias("file_name"),
+        F.col("value").alias("body"),
     )
 
 

@@ -11,8 +11,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from colloquy.functions.text import whitespace_tokens
 from colloquy.session import broadcast_if_small
@@ -221,3 +223,22 @@ def length_distribution(df: DataFrame, value: str, group: str | None = None, max
     if max_tokens is not None:
         aggs.append(F.count_if(F.col(value) >= max_tokens).alias("n_at_budget"))
     return (df.groupBy(group) if group else df.groupBy()).agg(*aggs)
+
+
+def arrow_token_counter(make_encoder):
+    """Build a ``TokenModel.count`` from a tokenizer factory (Arrow-batched).
+
+    ``make_encoder()`` runs once per Python worker and returns ``encode(text) -> list``;
+    the resulting Column counts tokens of each text. Use for a real tokenizer when
+    the native whitespace count is not close enough.
+    """
+    state = {}
+
+    @F.pandas_udf(T.LongType())
+    def _count(texts: pd.Series) -> pd.Series:
+        enc = state.get("enc")
+        if enc is None:
+            enc = state["enc"] = make_encoder()
+        return pd.Series([0 if t is None else len(enc(t)) for t in texts], dtype="int64")
+
+    return lambda c: _count(c)

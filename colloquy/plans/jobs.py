@@ -257,3 +257,44 @@ def build_manifest(spark: SparkSession, counts: DataFrame, params: dict, prior:
         pj = prior.select(F.to_json(F.struct("*")).alias("prior_manifest"))
         out = out.join(pj, how="inner")
     return out
+
+
+def run_golden_evaluation(golden: DataFrame | None, key: str, batch_factory: Callable | None = None,
+                          decode_factory: Callable | None = None, max_samples: int | None = None,
+                          batch_size: int = 1) -> DataFrame | None:
+    """Golden evaluation: ``None`` without a golden split; else the first ``max_samples`` rows
+    (by key), predictions and a one-row ``(exact_match_rate, num_examples)``."""
+    if golden is None:
+        return None
+    data = shape.first_n(golden, key, max_samples) if max_samples is not None else golden
+    preds = generate_predictions(data, key, batch_factory, decode_factory, batch_size)
+    return evaluate.exact_match_rate(preds)
+
+
+def prediction_sample(conversations: DataFrame, key: str, decode_factory: Callable, eval_count: int,
+                      every_n_evals: int = 1, sample_size: int = 8, max_new_tokens: int = 256) -> DataFrame | None:
+    """Periodic ``(gold, generated)`` sample: on every n-th evaluation, the first
+    ``sample_size`` rows (by key) that end on an assistant turn; rows whose predictor
+    call fails are skipped, not fatal."""
+    if eval_count % max(every_n_evals, 1) != 0:
+        return None
+    first = shape.first_n(conversations, key, sample_size)
+    prompts = shape.prompt_gold_records(first, key=key)
+    gen = generate.generate(prompts, decode_factory=decode_factory, max_new_tokens=max_new_tokens)
+    return gen.filter(F.col("status") == "ok").select("gold", "generated")
+
+
+def score_remote_run(results: DataFrame, chunk_metrics: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Remote robustness run: results ``(request_id, group_id, level, level_name, seq)`` joined by
+    request id to per-request stream metrics (text = the answer), scored against level 1.
+
+    Returns (scored rows, per-level summary, latency summary).
+    """
+    from colloquy.operators import telemetry
+
+    joined = results.join(chunk_metrics, "request_id")
+    answers = joined.withColumn("generated", F.col("text")).withColumn(
+        "pass4_envelope", evaluate.envelope_of(F.col("generated"))
+    )
+    scored = evaluate.robustness(answers)
+    return scored, evaluate.robustness_summary(scored), telemetry.metrics_summary(chunk_metrics)

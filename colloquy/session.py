@@ -79,3 +79,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+def list_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths matching a Hadoop glob (file listing only, no data read); empty when none."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(p)
+    return [] if found is None else [str(s.getPath().toString()) for s in found]
