@@ -100,7 +100,8 @@ def robustness(results: DataFrame, group: str = "group_id", level: str = "level"
     Null for levels <= 1, for groups without a level-1 row and when the reference is
     unparseable; an unparseable answer against a valid reference is false. The
     reference is a splittable ``max_by`` per group joined back on the group key
-    (AQE splits a hot group on the large side).
+    (AQE splits a hot group on the large side). ``results`` is read twice: pass a
+    materialised frame (``session.cut_lineage``) when it comes from a predictor or UDF.
     """
     lv = F.col(level)
     ref = results.groupBy(group).agg(

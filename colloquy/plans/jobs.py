@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from colloquy.operators import evaluate, generate, shape, validate
 from colloquy.sources import jsonl, sinks
-from colloquy.session import spread
+from colloquy.session import cut_lineage, spread
 
 # The robustness suite (system prompt, deployment context, 12 queries).
 LOOKUP_SYSTEM_PROMPT = (
@@ -153,8 +153,6 @@ def run_benchmark(spark: SparkSession, golden: DataFrame | None, fallback: DataF
                                 "num_prediction_unparseable:bigint>>").alias("pass_metrics"),
         )
     preds = generate_predictions(data, key, batch_factory, decode_factory, batch_size)
-    from colloquy.session import cut_lineage
-
     preds = cut_lineage(preds)  # the predictor runs once; export and scores read the checkpoint
     path = sinks.export_predictions(preds, run_dir, source)
     rate = evaluate.exact_match_rate(preds)
@@ -194,8 +192,10 @@ def run_lookup_level_benchmark(queries: DataFrame, batch_factory: Callable | Non
     """Answers, parsed envelopes and ``matches_level1`` for every query of the suite."""
     gen = generate.generate(robustness_prompts(queries), decode_factory=decode_factory, batch_factory=batch_factory,
                             batch_size=batch_size, max_new_tokens=max_new_tokens)
-    with_env = gen.withColumn("pass4_envelope", evaluate.envelope_of(F.col("generated")))
-    return evaluate.robustness(with_env).drop("prompt_messages")
+    with_env = gen.withColumn("pass4_envelope", evaluate.envelope_of(F.col("generated"))).drop("prompt_messages")
+    # Scoring reads the answers twice (reference aggregate + join back): checkpoint so
+    # the predictor runs exactly once per query.
+    return evaluate.robustness(cut_lineage(with_env))
 
 
 # --------------------------------------------------------------------- reports
@@ -296,5 +296,5 @@ def score_remote_run(results: DataFrame, chunk_metrics: DataFrame) -> tuple[Data
     answers = joined.withColumn("generated", F.col("text")).withColumn(
         "pass4_envelope", evaluate.envelope_of(F.col("generated"))
     )
-    scored = evaluate.robustness(answers)
+    scored = evaluate.robustness(cut_lineage(answers))
     return scored, evaluate.robustness_summary(scored), telemetry.metrics_summary(chunk_metrics)

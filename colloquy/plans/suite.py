@@ -17,7 +17,7 @@ from colloquy.operators import evaluate, generate, metrics, registry, shape, sta
 from colloquy.functions.replies import with_parsed_reply
 from colloquy.plans import fixtures as fx
 from colloquy.plans import stubs
-from colloquy.session import checkpoint_dir, spread
+from colloquy.session import checkpoint_dir, cut_lineage, spread
 from colloquy.streaming import requests as streaming_requests
 from colloquy.sources.conversations import assemble_messages, read_table, read_turns
 from colloquy.sources import jsonl
@@ -340,7 +340,8 @@ def q_wrapped_packing(spark: SparkSession, sf: str) -> DataFrame:
     FROM p""",
 )
 def q_doc_packing(spark: SparkSession, sf: str) -> DataFrame:
-    docs = read_table(spark, sf, "documents").select("doc_id", stats.whitespace_tokens(F.col("text")).alias("n_tokens"))
+    docs = spread(read_table(spark, sf, "documents").select("doc_id", "text"))
+    docs = docs.select("doc_id", stats.whitespace_tokens(F.col("text")).alias("n_tokens"))
     return shape.wrapped_packing(docs, 2048, key="doc_id")
 
 
@@ -449,7 +450,8 @@ def robustness_results(spark: SparkSession, sf: str) -> DataFrame:
         f"{fx.ROBUST_REPLY_SQL} AS generated",
     )
     ev = spread(ev).withColumn("level_name", evaluate.level_name_column(F.col("level")))
-    return evaluate.robustness(ev.withColumn("pass4_envelope", evaluate.envelope_of(F.col("generated"))))
+    parsed = ev.withColumn("pass4_envelope", evaluate.envelope_of(F.col("generated"))).drop("generated")
+    return evaluate.robustness(cut_lineage(parsed))
 
 
 _ROBUST_ORACLE = f"""WITH e AS (
@@ -786,3 +788,80 @@ def q_stream_request_metrics(spark: SparkSession, sf: str) -> DataFrame:
     out = f"{checkpoint_dir(spark).rstrip('/')}/results/stream_request_metrics-{run}"
     streaming_requests.run_complete_to_table(metrics_stream, out, f"stream_request_metrics-{run}")
     return _rounded_metrics(spark.read.parquet(out))
+
+
+# --------------------------------------------------------- more statistics
+@register(
+    "length_distribution",
+    f"""WITH t AS (SELECT role, {_TOKENS_SQL} AS n FROM conversations)
+    SELECT role, round(quantile_cont(n, 0.5), 6) AS median, round(quantile_cont(n, 0.99), 6) AS p99, max(n) AS max,
+           count(*) AS n, count(*) FILTER (WHERE n >= 400) AS n_at_budget
+    FROM t GROUP BY role""",
+)
+def q_length_distribution(spark: SparkSession, sf: str) -> DataFrame:
+    t = read_turns(spark, sf).select("role", stats.whitespace_tokens(F.col("text")).alias("n_tokens"))
+    d = stats.length_distribution(t, "n_tokens", group="role", max_tokens=400)
+    return d.select("role", F.round("median", 6).alias("median"), F.round("p99", 6).alias("p99"),
+                    F.col("max"), F.col("n"), "n_at_budget")
+
+
+@register(
+    "masked_fraction",
+    f"""WITH p AS (
+      SELECT conv_id, turn, role,
+             length('<|turn>' || {_ROLE_NAME_SQL} || chr(10)) AS hl,
+             length('<|turn>' || {_ROLE_NAME_SQL} || chr(10)) + length(coalesce(text, '')) + length('<turn|>' || chr(10)) AS pl
+      FROM conversations),
+    o AS (SELECT *, 5 + coalesce(sum(pl) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ts,
+                 5 + sum(pl) OVER (PARTITION BY conv_id) AS total FROM p),
+    n AS (SELECT *, min(CASE WHEN role = 'user' THEN ts END) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nxt FROM o),
+    spans AS (SELECT sum(coalesce(nxt, total) - (ts + hl)) AS trained FROM n WHERE role = 'assistant'),
+    texts AS (SELECT sum(total) AS chars FROM (SELECT DISTINCT conv_id, total FROM o))
+    SELECT round(trained / chars, 9) AS trained_fraction FROM spans, texts""",
+)
+def q_masked_fraction(spark: SparkSession, sf: str) -> DataFrame:
+    t = read_turns(spark, sf)
+    m = shape.masked_fraction(shape.response_spans(t), shape.flatten_text(t))
+    return m.select(F.round("trained_fraction", 9).alias("trained_fraction"))
+
+
+@register(
+    "split_row_counts",
+    f"SELECT split, count(*) AS rows FROM (SELECT DISTINCT conv_id, {fx.SPLIT_SQL} AS split FROM conversations) GROUP BY split",
+)
+def q_split_row_counts(spark: SparkSession, sf: str) -> DataFrame:
+    convs = read_turns(spark, sf).select("conv_id").distinct().withColumn("split", F.expr(fx.SPLIT_SQL))
+    return registry.split_row_counts(convs)
+
+
+@register(
+    "prompt_before_reply",
+    """WITH f AS (SELECT conv_id, min(turn) FILTER (WHERE role = 'assistant') AS fa FROM conversations GROUP BY conv_id)
+    SELECT c.conv_id, count(*) FILTER (WHERE f.fa IS NULL OR c.turn < f.fa) AS n_prompt_turns,
+           coalesce(sum(length(c.text)) FILTER (WHERE f.fa IS NULL OR c.turn < f.fa), 0) AS prompt_chars
+    FROM conversations c JOIN f USING (conv_id) GROUP BY c.conv_id""",
+)
+def q_prompt_before_reply(spark: SparkSession, sf: str) -> DataFrame:
+    p = shape.prompt_before_first_reply(assemble_messages(read_turns(spark, sf)))
+    m = F.col("prompt_messages")
+    return p.select(
+        "conv_id",
+        F.size(m).cast("bigint").alias("n_prompt_turns"),
+        F.aggregate(m, F.lit(0).cast("bigint"), lambda acc, x: acc + F.length(x["content"])).alias("prompt_chars"),
+    )
+
+
+@register(
+    "doc_token_stats",
+    r"""WITH d AS (SELECT lang, coalesce(len(regexp_extract_all(text, '[^ \t\n\r]+')), 0) AS total_tokens FROM documents)
+    SELECT lang AS split, round(avg(total_tokens), 6) AS mean, round(quantile_cont(total_tokens, 0.5), 6) AS median,
+           round(quantile_cont(total_tokens, 0.95), 6) AS p95, max(total_tokens) AS max,
+           count(*) FILTER (WHERE total_tokens > 2048) AS num_exceeding_max_seq_length, count(*) AS n
+    FROM d GROUP BY lang""",
+)
+def q_doc_token_stats(spark: SparkSession, sf: str) -> DataFrame:
+    docs = spread(read_table(spark, sf, "documents").select("lang", "text"))
+    per = docs.select(F.col("lang").alias("split"), stats.whitespace_tokens(F.col("text")).alias("total_tokens"))
+    out = stats.token_analysis(per, max_seq_length=2048)
+    return out.select("split", *[F.round(c, 6).alias(c) for c in ("mean", "median", "p95")], "max",
+                      "num_exceeding_max_seq_length", "n")
