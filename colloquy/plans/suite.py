@@ -58,8 +58,8 @@ _BLANK_RE = r"^[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{202
 _TOKENS_SQL = r"coalesce(len(regexp_extract_all(text, '[^ \t\n\r]+')), 0)"
 _PER_CONV_SQL = f"""
   SELECT conv_id, {fx.SPLIT_SQL} AS split, count(*) AS n_turns,
-         sum(CASE WHEN role = 'assistant' THEN 0 ELSE {_TOKENS_SQL} END) AS prompt_tokens,
-         sum(CASE WHEN role = 'assistant' THEN {_TOKENS_SQL} ELSE 0 END) AS response_tokens
+         CAST(sum(CASE WHEN role = 'assistant' THEN 0 ELSE {_TOKENS_SQL} END) AS BIGINT) AS prompt_tokens,
+         CAST(sum(CASE WHEN role = 'assistant' THEN {_TOKENS_SQL} ELSE 0 END) AS BIGINT) AS response_tokens
   FROM conversations GROUP BY conv_id"""
 _TOTAL_SQL = "(prompt_tokens + response_tokens + 4 * n_turns + 1)"
 _ROLE_NAME_SQL = "CASE role WHEN 'assistant' THEN 'model' ELSE role END"
@@ -69,7 +69,7 @@ _ROLE_NAME_SQL = "CASE role WHEN 'assistant' THEN 'model' ELSE role END"
 @register(
     "conv_assemble",
     """SELECT conv_id, count(*) AS n_turns, string_agg(role, ',' ORDER BY turn) AS roles,
-              count(*) FILTER (WHERE role = 'assistant') AS n_exchanges, sum(length(text)) AS n_chars
+              count(*) FILTER (WHERE role = 'assistant') AS n_exchanges, CAST(sum(length(text)) AS BIGINT) AS n_chars
        FROM conversations GROUP BY conv_id""",
 )
 def q_conv_assemble(spark: SparkSession, sf: str) -> DataFrame:
@@ -382,12 +382,12 @@ _EXPECT_SQL = f"""
     CASE WHEN o_orderkey % 8 = 2 THEN 'UNSUPPORTED' WHEN o_orderkey % 13 = 0 THEN NULL ELSE {fx.OP_SQL} END AS intent,
     CASE WHEN o_orderkey % 8 = 6 THEN NULL ELSE {fx.SEM_CANON_SQL} END AS semantic,
     CASE WHEN o_orderkey % 8 = 3 THEN NULL WHEN o_orderkey % 8 = 7 THEN {fx.ENV_WRONG_CANON_SQL} ELSE {fx.ENV_CANON_SQL} END AS envelope,
-    CASE WHEN o_orderkey % 8 IN (3, 7) THEN 0.0 ELSE 1.0 END AS exact_match,
-    CASE WHEN o_orderkey % 8 = 5 AND o_orderkey % 3 <> 0 THEN 0.0 ELSE 1.0 END AS pass_0_score,
-    CASE WHEN o_orderkey % 8 = 4 THEN 0.0 ELSE 1.0 END AS pass_1_score,
-    CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 8 = 2 THEN 0.0 ELSE 1.0 END AS pass_2_score,
-    CASE WHEN o_orderkey % 8 = 6 THEN 0.0 ELSE 1.0 END AS pass_3_score,
-    CASE WHEN o_orderkey % 8 IN (3, 7) THEN 0.0 ELSE 1.0 END AS pass_4_score,
+    CAST(CASE WHEN o_orderkey % 8 IN (3, 7) THEN 0.0 ELSE 1.0 END AS DOUBLE) AS exact_match,
+    CAST(CASE WHEN o_orderkey % 8 = 5 AND o_orderkey % 3 <> 0 THEN 0.0 ELSE 1.0 END AS DOUBLE) AS pass_0_score,
+    CAST(CASE WHEN o_orderkey % 8 = 4 THEN 0.0 ELSE 1.0 END AS DOUBLE) AS pass_1_score,
+    CAST(CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 8 = 2 THEN 0.0 ELSE 1.0 END AS DOUBLE) AS pass_2_score,
+    CAST(CASE WHEN o_orderkey % 8 = 6 THEN 0.0 ELSE 1.0 END AS DOUBLE) AS pass_3_score,
+    CAST(CASE WHEN o_orderkey % 8 IN (3, 7) THEN 0.0 ELSE 1.0 END AS DOUBLE) AS pass_4_score,
     o_orderkey % 8 = 5 AND o_orderkey % 3 <> 0 AS pu0, o_orderkey % 8 = 4 AS pu1, o_orderkey % 13 <> 0 AND o_orderkey % 8 = 2 AS pu2x,
     o_orderkey % 8 = 6 AS pu3, o_orderkey % 8 = 3 AS pu4
   FROM orders"""
@@ -551,7 +551,7 @@ def q_request_metrics(spark: SparkSession, sf: str) -> DataFrame:
     "metrics_summary",
     _SSE_ORACLE
     + """SELECT count(*) AS num_queries, round(avg(rt), 6) AS avg_ttft_seconds, round(avg(rtot), 6) AS avg_total_seconds,
-              round(avg(rtps), 6) AS avg_tokens_per_second, sum(tokens_generated) AS total_tokens_generated FROM mt""",
+              round(avg(rtps), 6) AS avg_tokens_per_second, CAST(sum(tokens_generated) AS BIGINT) AS total_tokens_generated FROM mt""",
 )
 def q_metrics_summary(spark: SparkSession, sf: str) -> DataFrame:
     s = telemetry.metrics_summary(sse_metrics(spark, sf))
@@ -735,7 +735,7 @@ _PY_WS_SQL = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
                       FROM conversations GROUP BY conv_id),
     g AS (SELECT l.conv_id, coalesce(c.text, '') AS generated, l.gold FROM last l
           LEFT JOIN conversations c ON c.conv_id = l.conv_id AND c.turn = l.lt - 1 WHERE l.lr = 'assistant')
-    SELECT conv_id, generated, CASE WHEN trim(generated, '{_PY_WS_SQL}') = trim(gold, '{_PY_WS_SQL}') THEN 1.0 ELSE 0.0 END AS exact_match,
+    SELECT conv_id, generated, CAST(CASE WHEN trim(generated, '{_PY_WS_SQL}') = trim(gold, '{_PY_WS_SQL}') THEN 1.0 ELSE 0.0 END AS DOUBLE) AS exact_match,
            'ok' AS status
     FROM g""",
 )
@@ -838,7 +838,7 @@ def q_split_row_counts(spark: SparkSession, sf: str) -> DataFrame:
     "prompt_before_reply",
     """WITH f AS (SELECT conv_id, min(turn) FILTER (WHERE role = 'assistant') AS fa FROM conversations GROUP BY conv_id)
     SELECT c.conv_id, count(*) FILTER (WHERE f.fa IS NULL OR c.turn < f.fa) AS n_prompt_turns,
-           coalesce(sum(length(c.text)) FILTER (WHERE f.fa IS NULL OR c.turn < f.fa), 0) AS prompt_chars
+           CAST(coalesce(sum(length(c.text)) FILTER (WHERE f.fa IS NULL OR c.turn < f.fa), 0) AS BIGINT) AS prompt_chars
     FROM conversations c JOIN f USING (conv_id) GROUP BY c.conv_id""",
 )
 def q_prompt_before_reply(spark: SparkSession, sf: str) -> DataFrame:
