@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from colloquy.session import cut_lineage
+from colloquy.session import broadcast_if_small, cut_lineage
 
 
 @dataclass(frozen=True)
@@ -165,14 +165,36 @@ def masked_fraction(spans: DataFrame, flat: DataFrame, key: str = "conv_id") ->
     )
 
 
-def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """Exactly ``min(n, count)`` rows chosen by a seeded hash order (top-k, no full sort).
+TOPK_MERGE_LIMIT = 10_000
+HASH_BUCKET_CHARS = 4  # 16**4 = 65,536 hash-prefix buckets
 
-    Deterministic under any partitioning; when the table holds at most ``n`` rows every
-    row is returned, so no separate count is needed.
+
+def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42, topk_limit: int = TOPK_MERGE_LIMIT) -> DataFrame:
+    """Exactly ``min(n, count)`` rows: the ``n`` smallest ``md5('<seed>:' || key)``.
+
+    Deterministic under any partitioning. Up to ``topk_limit`` rows this is an ordered
+    limit (per-partition top-k merged in one task). Beyond it, the exact selection is
+    distributed: count rows per hash-prefix bucket (at most 65,536), find the bucket
+    where the running count reaches ``n``, keep every lower bucket whole and take the
+    top-k only inside that one bucket, then semi-join the chosen keys back.
     """
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    return df.orderBy(order, F.col(key)).limit(n)
+    if n <= topk_limit:
+        return df.orderBy(order, F.col(key)).limit(n)
+    h = df.select(key, order.alias("_h")).withColumn("_b", F.substring("_h", 1, HASH_BUCKET_CHARS))
+    counts = h.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
+    cum = counts.select(
+        "_b", "_c", F.sum("_c").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)).alias("_cum")
+    )
+    cut = cum.filter(F.col("_cum") >= n).orderBy("_b").limit(1).collect()
+    if not cut:
+        return df
+    b_star, before = cut[0]["_b"], cut[0]["_cum"] - cut[0]["_c"]
+    below = h.filter(F.col("_b") < b_star).select(key)
+    edge = h.filter(F.col("_b") == b_star).orderBy("_h", key).limit(int(n - before)).select(key)
+    chosen = below.unionByName(edge)
+    small = broadcast_if_small(chosen, 2_000_000)
+    return df.join(small if small is not None else chosen, key, "left_semi")
 
 
 def first_n(df: DataFrame, key: str, n: int) -> DataFrame:
