@@ -90,10 +90,17 @@ def envelope_slice(text: str) -> Optional[str]:
     return None
 
 
-def parse_envelope(text: Optional[str]) -> Optional[dict]:
-    if text is None:
-        return None
-    candidate = envelope_slice(text)
+def _balanced_prefix(tail: str) -> Optional[str]:
+    """``tail`` starts at ``{``: the prefix up to its depth-matched ``}``."""
+    depth = 0
+    for m in _BRACE.finditer(tail):
+        depth += 1 if m.group() == "{" else -1
+        if depth == 0:
+            return tail[: m.end()]
+    return None
+
+
+def _load_object(candidate: Optional[str]) -> Optional[dict]:
     if candidate is None:
         return None
     try:
@@ -103,6 +110,15 @@ def parse_envelope(text: Optional[str]) -> Optional[dict]:
     return value if isinstance(value, dict) else None
 
 
+def parse_envelope(text: Optional[str]) -> Optional[dict]:
+    return None if text is None else _load_object(envelope_slice(text))
+
+
+def parse_envelope_tail(tail: Optional[str]) -> Optional[dict]:
+    """Envelope from a text that already starts at the first ``{`` after ``PASS_4``."""
+    return None if tail is None else _load_object(_balanced_prefix(tail))
+
+
 def parse_semantic(section: Optional[str]) -> Optional[dict]:
     if not section or _yaml is None:
         return None
@@ -149,11 +165,15 @@ _KEYS_TYPE = T.StructType([T.StructField("semantic", T.StringType()), T.StructFi
 
 
 @F.pandas_udf(_KEYS_TYPE)
-def structured_keys(text: pd.Series, pass3: pd.Series) -> pd.DataFrame:
-    """PASS_3 and PASS_4 canonical keys in one Arrow round trip."""
+def structured_keys(envelope_tail: pd.Series, pass3: pd.Series) -> pd.DataFrame:
+    """PASS_3 and PASS_4 canonical keys in one Arrow round trip.
+
+    ``envelope_tail`` is the reply from the first ``{`` after ``PASS_4`` (cut natively,
+    so only that part crosses into Python).
+    """
     return pd.DataFrame(
         {
             "semantic": [_canon_or_none(parse_semantic(s)) for s in pass3],
-            "envelope": [_canon_or_none(parse_envelope(t)) for t in text],
+            "envelope": [_canon_or_none(parse_envelope_tail(t)) for t in envelope_tail],
         }
     )

@@ -366,9 +366,9 @@ def q_doc_sample(spark: SparkSession, sf: str) -> DataFrame:
 
 # --------------------------------------------------------------- reply scoring
 def order_replies(spark: SparkSession, sf: str) -> DataFrame:
-    return read_table(spark, sf, "orders").selectExpr(
-        "o_orderkey", f"{fx.GOLD_SQL} AS gold", f"{fx.GENERATED_SQL} AS generated"
-    )
+    # Spread the narrow order rows before the reply texts exist (cheaper shuffle).
+    orders = spread(read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"))
+    return orders.selectExpr("o_orderkey", f"{fx.GOLD_SQL} AS gold", f"{fx.GENERATED_SQL} AS generated")
 
 
 def _pairs_text(c):
