@@ -242,3 +242,26 @@ def arrow_token_counter(make_encoder):
         return pd.Series([0 if t is None else len(enc(t)) for t in texts], dtype="int64")
 
     return lambda c: _count(c)
+
+
+def device_family(name: Column) -> Column:
+    """Device family from a device name: A100, L4 (but not L40), T4, else OTHER."""
+    upper = F.upper(name)
+    return (
+        F.when(upper.contains("A100"), F.lit("A100"))
+        .when(upper.contains("L4") & ~upper.contains("L40"), F.lit("L4"))
+        .when(upper.contains("T4"), F.lit("T4"))
+        .otherwise(F.lit("OTHER"))
+    )
+
+
+def device_profile(family: str | None, detected: str = "OTHER") -> dict:
+    """Recommended batch size, accumulation and row cap; an unknown override is an error."""
+    if family:
+        key = family.upper()
+        if key not in DEVICE_PROFILES:
+            raise ValueError(f"Unknown device profile override: {family!r}. Expected one of {sorted(DEVICE_PROFILES)}.")
+    else:
+        key = detected
+    batch, accum, cap = DEVICE_PROFILES[key]
+    return {"family": key, "batch_size": batch, "gradient_accumulation": accum, "max_train_rows": cap}

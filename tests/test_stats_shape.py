@@ -143,3 +143,16 @@ def test_seeded_sample_large_path_is_exact(spark):
     large = sorted(r["k"] for r in shape.seeded_sample(df, "k", 700, topk_limit=10).collect())
     assert small == large and len(large) == 700
     assert shape.seeded_sample(df, "k", 5000, topk_limit=10).count() == 3000
+
+
+def test_device_family_and_profiles(spark):
+    import pytest
+
+    names = ["NVIDIA A100-SXM4-40GB", "NVIDIA L4", "NVIDIA L40S", "Tesla T4", "H100", None]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    got = [r[0] for r in df.select(stats.device_family(F.col("name"))).collect()]
+    assert got == ["A100", "L4", "OTHER", "T4", "OTHER", "OTHER"]
+    assert stats.device_profile("t4")["gradient_accumulation"] == 16
+    assert stats.device_profile(None, "A100")["max_train_rows"] is None
+    with pytest.raises(ValueError):
+        stats.device_profile("V100")
