@@ -35,6 +35,14 @@ HEADLINE = [
     "robustness_summary",
     "request_metrics",
     "ndjson_metrics",
+    "stream_request_metrics",
+    "jsonl_validate",
+    "doc_token_stats",
+    "generate_eval",
+    "latest_checkpoint",
+    "stale_checkpoints",
+    "metric_summary",
+    "throughput_eta",
 ]
 
 

@@ -592,13 +592,15 @@ def q_ndjson_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 # -------------------------------------------------------------------- registry
 def runs_table(spark: SparkSession, sf: str) -> DataFrame:
-    return read_table(spark, sf, "orders").selectExpr(
+    orders = spread(read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"))
+    return orders.selectExpr(
         "o_orderkey", f"{fx.BASE_DIR_SQL} AS base_dir", f"{fx.RUN_NAME_SQL} AS run_name", f"{fx.HAS_ADAPTER_SQL} AS has_adapter"
     )
 
 
 def checkpoints_table(spark: SparkSession, sf: str) -> DataFrame:
-    items = read_table(spark, sf, "lineitem").selectExpr(
+    items = spread(read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_tax"))
+    items = items.selectExpr(
         "l_orderkey AS o_orderkey", f"{fx.CKPT_NAME_SQL} AS name", f"{fx.CKPT_LOSS_SQL} AS eval_loss"
     )
     return items.join(runs_table(spark, sf).select("o_orderkey", "base_dir", "run_name"), "o_orderkey").drop("o_orderkey")
