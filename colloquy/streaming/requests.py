@@ -1,11 +1,14 @@
 """Streaming generation telemetry and result logs.
 
-Per-request metrics need every chunk up to the end marker, so the streaming form
-keeps, per request, the compact chunk records received so far (state bounded by the
-request's token budget) and derives the metrics from them on every trigger. The
-query runs in ``complete`` mode through ``foreachBatch`` into a parquet table, which
-makes finite ``availableNow`` runs emit every request (append mode would hold back
-the groups still inside the watermark).
+Two streaming forms of the per-request metrics:
+
+* ``request_metrics_stateful`` (long-running streams): ``applyInPandasWithState`` with
+  event-time timeouts. A request is emitted when its end marker arrives and its state
+  is dropped; abandoned requests are emitted when the watermark passes them; chunks
+  older than the watermark are dropped. State is bounded by the open requests.
+* ``request_metrics_single_pass`` (finite replays): one grouped aggregate of compact
+  chunk records per request, run in ``complete`` mode through ``foreachBatch`` so an
+  ``availableNow`` run emits every request, including those without an end marker.
 """
 
 from __future__ import annotations
@@ -97,3 +100,99 @@ def append_results(stream: DataFrame, out_path: str, name: str) -> DataFrame:
     )
     q.awaitTermination()
     return spark.read.parquet(out_path)
+
+
+# ---------------------------------------------------------------------------
+# Stateful form: emit a request when its end marker arrives, then drop its state.
+# ---------------------------------------------------------------------------
+METRICS_SCHEMA = (
+    "request_id string, text string, ttft_seconds double, total_seconds double, "
+    "tokens_generated long, tokens_per_second double, ended boolean"
+)
+_CHUNK_FIELDS = ("seq", "at_us", "is_line", "is_end", "delta", "usage_tokens", "eval_count", "eval_ns")
+_STATE_SCHEMA = (
+    "ended boolean, seq array<long>, at_us array<long>, is_line array<boolean>, is_end array<boolean>, "
+    "delta array<string>, usage_tokens array<long>, eval_count array<long>, eval_ns array<long>"
+)
+
+
+def _metrics_from_chunks(request_id, chunks, end_inclusive: bool, ended: bool) -> dict:
+    """Metric formulas of one request from its chunk records (pandas frame, any order)."""
+    import math
+
+    c = chunks.sort_values("seq")
+    start, last = int(c["at_us"].min()), int(c["at_us"].max())
+    ends = c[c["is_end"].fillna(False).astype(bool)]
+    end_seq = None if ends.empty else int(ends["seq"].iloc[0])
+    end_us = None if ends.empty else int(ends["at_us"].iloc[0])
+    keep = c["is_line"].fillna(False).astype(bool)
+    if end_seq is not None:
+        keep &= (c["seq"] <= end_seq) if end_inclusive else (c["seq"] < end_seq)
+    k = c[keep]
+    delta = k["delta"].where(k["delta"].notna(), "")
+    total = ((end_us if end_us is not None else last) - start) / 1e6
+    content = k[delta != ""]
+    ttft = (int(content["at_us"].iloc[0]) - start) / 1e6 if not content.empty else total
+    evals = k["eval_count"].dropna()
+    usage = k["usage_tokens"].dropna()
+    tokens = int(evals.max()) if not evals.empty else (int(usage.iloc[-1]) if not usage.empty else 0)
+    eval_ns = k["eval_ns"].dropna()
+    ens = int(eval_ns.max()) if not eval_ns.empty else None
+    if ens and tokens:
+        tps = tokens / (ens / 1e9)
+    elif tokens > 1 and total > ttft:
+        tps = (tokens - 1) / (total - ttft)
+    else:
+        tps = 0.0
+    return {"request_id": request_id, "text": "".join(delta.tolist()), "ttft_seconds": ttft,
+            "total_seconds": total, "tokens_generated": tokens, "tokens_per_second": float(tps) if not math.isnan(tps) else 0.0,
+            "ended": ended}
+
+
+def request_metrics_stateful(decoded: DataFrame, end_inclusive: bool, delay_ms: int = 600_000) -> DataFrame:
+    """Append-mode stream of per-request metrics with bounded state (event-time timeouts).
+
+    Chunks are watermarked on their arrival time with ``delay_ms`` of allowed lateness
+    (older chunks are dropped). State per request holds its chunk records until the end
+    marker arrives; the row is then emitted (``ended`` true) and the state shrinks to a
+    tombstone that swallows late lines until the watermark passes it. A request that
+    never ends is emitted with ``ended`` false once the watermark passes its last chunk
+    plus the delay (time to first token = total when no content arrived).
+    """
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    def step(key, batches, state):
+        (request_id,) = key
+        if state.hasTimedOut:
+            stored = state.get
+            state.remove()
+            if not stored[0]:
+                chunks = pd.DataFrame({f: list(stored[i + 1]) for i, f in enumerate(_CHUNK_FIELDS)})
+                yield pd.DataFrame([_metrics_from_chunks(request_id, chunks, end_inclusive, False)])
+            return
+        new = pd.concat([b[list(_CHUNK_FIELDS)] for b in batches], ignore_index=True)
+        deadline = int(new["at_us"].max() // 1000) + delay_ms
+        if state.exists:
+            stored = state.get
+            if stored[0]:  # already emitted: late lines are ignored
+                state.setTimeoutTimestamp(max(deadline, state.getCurrentWatermarkMs() + 1))
+                return
+            old = pd.DataFrame({f: list(stored[i + 1]) for i, f in enumerate(_CHUNK_FIELDS)})
+            new = pd.concat([old, new], ignore_index=True)
+            deadline = int(new["at_us"].max() // 1000) + delay_ms
+        deadline = max(deadline, state.getCurrentWatermarkMs() + 1)
+        if new["is_end"].fillna(False).astype(bool).any():
+            state.update((True, [], [], [], [], [], [], [], []))
+            state.setTimeoutTimestamp(deadline)
+            yield pd.DataFrame([_metrics_from_chunks(request_id, new, end_inclusive, True)])
+            return
+        state.update((False, *[[None if pd.isna(v) else v for v in new[f].tolist()] for f in _CHUNK_FIELDS]))
+        state.setTimeoutTimestamp(deadline)
+
+    watermarked = decoded.withColumn("_event_ts", F.timestamp_micros("at_us")).withWatermark(
+        "_event_ts", f"{int(delay_ms)} milliseconds"
+    )
+    return watermarked.groupBy("request_id").applyInPandasWithState(
+        step, METRICS_SCHEMA, _STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout
+    )

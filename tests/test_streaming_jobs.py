@@ -112,3 +112,29 @@ def test_remote_run_scoring(spark):
     scored, summary, lat = jobs.score_remote_run(res, met)
     assert {r["request_id"]: r["matches_level1"] for r in scored.collect()} == {"q1": None, "q2": True}
     assert lat.first()["num_queries"] == 2 and summary.count() == 2
+
+
+def test_stateful_stream_emits_ended_requests(spark, tmp_dir):
+    from colloquy.streaming.requests import request_metrics_stateful
+
+    src = os.path.join(tmp_dir, "chunks2")
+    rows = [("r1", 0, 100.0, ": open"), ("r1", 1, 100.2, 'data: {"choices":[{"delta":{"content":"Hel"}}],"usage":{"completion_tokens":1}}'),
+            ("r1", 2, 100.5, 'data: {"choices":[{"delta":{"content":"lo"}}],"usage":{"completion_tokens":2}}'),
+            ("r1", 3, 100.7, 'data: {"choices":[{"delta":{}}],"usage":{"completion_tokens":3}}'),
+            ("r1", 4, 100.9, "data: [DONE]"), ("r2", 5, 100.95, 'data: {"choices":[{"delta":{"content":"x"}}]}'),
+            ("r3", 6, 200.0, ": open"), ("r1", 7, 50.0, 'data: {"choices":[{"delta":{"content":"late"}}]}')]
+    df = spark.createDataFrame(rows, "request_id string, seq long, at double, line string").withColumn(
+        "arrived_at", F.col("at").cast("timestamp")).drop("at")
+    for i in range(0, 8, 2):  # four files -> four micro-batches; the last one moves the watermark
+        df.filter(F.col("seq").between(i, i + 1)).write.mode("append").parquet(src)
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).schema(df.schema).parquet(src)
+    out = os.path.join(tmp_dir, "stateful")
+    append_results(request_metrics_stateful(decode_sse(stream), end_inclusive=False, delay_ms=1000), out, "stateful-test")
+    got = {r["request_id"]: r for r in spark.read.parquet(out).collect()}
+    r1 = got["r1"]
+    # r2 never ends: emitted once the watermark passes its last chunk plus the delay
+    assert got["r2"]["ended"] is False and got["r2"]["text"] == "x" and got["r2"]["ttft_seconds"] == 0.0
+    assert "r3" not in got  # still open, inside the watermark delay
+    assert len([r for r in spark.read.parquet(out).collect() if r["request_id"] == "r1"]) == 1  # late line ignored
+    assert r1["text"] == "Hello" and r1["tokens_generated"] == 3 and r1["ended"]
+    assert abs(r1["ttft_seconds"] - 0.2) < 1e-9 and abs(r1["tokens_per_second"] - 2 / 0.7) < 1e-9
