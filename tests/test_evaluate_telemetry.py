@@ -197,8 +197,8 @@ def test_registry_rules(spark):
 
 def test_manifest_preference(spark):
     m = spark.createDataFrame(
-        [("a", "telecom_finetune_manifest.json", '{"lora_r": 4}'), ("a", "manifest.json", '{"lora_r": 8}'),
-         ("b", "telecom_finetune_manifest.json", '{"lora_r": 2}'), ("c", "manifest.json", "{corrupt")],
+        [("a", registry.LEGACY_MANIFEST_NAME, '{"lora_r": 4}'), ("a", "manifest.json", '{"lora_r": 8}'),
+         ("b", registry.LEGACY_MANIFEST_NAME, '{"lora_r": 2}'), ("c", "manifest.json", "{corrupt")],
         "adapter_path string, file_name string, body string",
     )
     best = registry.parse_manifest_body(registry.prefer_manifest(m))

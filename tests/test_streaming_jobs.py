@@ -70,8 +70,8 @@ def test_manifest_scan(spark, tmp_dir):
     os.makedirs(a)
     os.makedirs(b)
     open(os.path.join(a, "manifest.json"), "w").write(json.dumps({"lora_r": 8, "base_model": "m"}, indent=2))
-    open(os.path.join(a, "telecom_finetune_manifest.json"), "w").write(json.dumps({"lora_r": 4}))
-    open(os.path.join(b, "telecom_finetune_manifest.json"), "w").write(json.dumps({"lora_r": 2}))
+    open(os.path.join(a, registry.LEGACY_MANIFEST_NAME), "w").write(json.dumps({"lora_r": 4}))
+    open(os.path.join(b, registry.LEGACY_MANIFEST_NAME), "w").write(json.dumps({"lora_r": 2}))
     m = registry.parse_manifest_body(registry.prefer_manifest(registry.read_manifests(spark, [a, b, os.path.join(tmp_dir, "none")])))
     got = {os.path.basename(r["adapter_path"]): r["manifest"]["lora_r"] for r in m.collect()}
     assert got == {"a": 8, "b": 2}
