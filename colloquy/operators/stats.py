@@ -265,3 +265,16 @@ def device_profile(family: str | None, detected: str = "OTHER") -> dict:
         key = detected
     batch, accum, cap = DEVICE_PROFILES[key]
     return {"family": key, "batch_size": batch, "gradient_accumulation": accum, "max_train_rows": cap}
+
+
+def template_tokens(turns: DataFrame, count: Callable[[Column], Column], key: str = "conv_id", template=None) -> DataFrame:
+    """``(key, total_tokens)`` counted on the rendered chat template of each conversation.
+
+    Use with a real tokenizer (``arrow_token_counter``) when the template markup itself
+    must be counted exactly; the result can replace ``total_tokens`` of
+    ``conversation_tokens`` by a key join.
+    """
+    from colloquy.operators.shape import DEFAULT_TEMPLATE, flatten_text
+
+    flat = flatten_text(turns, template or DEFAULT_TEMPLATE, key)
+    return flat.select(key, count(F.col("text")).cast("bigint").alias("total_tokens"))

@@ -138,3 +138,11 @@ def test_stateful_stream_emits_ended_requests(spark, tmp_dir):
     assert len([r for r in spark.read.parquet(out).collect() if r["request_id"] == "r1"]) == 1  # late line ignored
     assert r1["text"] == "Hello" and r1["tokens_generated"] == 3 and r1["ended"]
     assert abs(r1["ttft_seconds"] - 0.2) < 1e-9 and abs(r1["tokens_per_second"] - 2 / 0.7) < 1e-9
+
+
+def test_template_tokens(spark):
+    count = stats.arrow_token_counter(lambda: (lambda t: t.split("<")))
+    t = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "b")], "conv_id long, turn long, role string, text string")
+    r = stats.template_tokens(t, count).first()
+    text = "<bos><|turn>user\na<turn|>\n<|turn>model\nb<turn|>\n"
+    assert r["total_tokens"] == len(text.split("<"))
