@@ -144,3 +144,28 @@ def test_reason_histogram_order(spark):
     assert [(r["reason"], r["n"]) for r in h][-1] == ("does_not_start_with_user_turn", 1)
     assert {r["reason_class"] for r in h} == {"turn_i_invalid_role", "turn_i_empty_content", "does_not_start_with_user_turn"}
     assert F is not None
+
+
+def test_line_numbers_across_many_splits(spark, tmp_dir):
+    import random
+
+    rng = random.Random(1)
+    expected = {}
+    for f in range(3):
+        path = os.path.join(tmp_dir, f"part-{f}.jsonl")
+        lines = []
+        for i in range(400):
+            lines.append("" if rng.random() < 0.1 else json.dumps({"f": f, "i": i, "pad": "x" * rng.randint(0, 80)}))
+        with open(path, "w") as fh:
+            fh.write("\n".join(lines) + "\n")
+        for n, text in enumerate(lines, start=1):
+            expected[(f, n)] = text
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        rows = jsonl.read_lines(spark, os.path.join(tmp_dir, "part-*.jsonl")).collect()
+        assert spark.read.text(os.path.join(tmp_dir, "part-*.jsonl")).rdd.getNumPartitions() > 10
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    got = {(int(r["file"].rsplit("-", 1)[1].split(".")[0]), r["line_no"]): r["value"] for r in rows}
+    assert got == expected
