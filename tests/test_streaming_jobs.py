@@ -12,7 +12,6 @@ from colloquy.sources.telemetry import decode_sse
 from colloquy.streaming import intake as S
 from colloquy.streaming.requests import append_results, request_metrics_single_pass, run_complete_to_table
 
-from .test_text_and_replies import reply
 
 
 def test_stream_intake_routes_rows(spark, tmp_dir):
