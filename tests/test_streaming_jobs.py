@@ -145,3 +145,10 @@ def test_template_tokens(spark):
     r = stats.template_tokens(t, count).first()
     text = "<bos><|turn>user\na<turn|>\n<|turn>model\nb<turn|>\n"
     assert r["total_tokens"] == len(text.split("<"))
+
+
+def test_manifest_with_prior(spark):
+    counts = spark.createDataFrame([("train", 5)], "split string, rows long")
+    prior = spark.createDataFrame([("m0", 8)], "base_model string, lora_r long")
+    man = jobs.build_manifest(spark, counts, {"base_model": "m", "continued_from": "ad/1"}, prior).first()
+    assert man["training_mode"] == "continue_lora" and json.loads(man["prior_manifest"]) == {"base_model": "m0", "lora_r": 8}
