@@ -98,14 +98,19 @@ def batch_sizes(n_rows: int, batch_size: int) -> list[int]:
 
 
 def prediction_records(generated: DataFrame, key: str, gold: str = "gold") -> DataFrame:
-    """Prediction records ``(key, prompt, generated, gold, exact_match)`` scored by envelope or text."""
+    """Prediction records ``(key, prompt, generated, gold, [status, error,] exact_match)``.
+
+    Scored by envelope or stripped text; rows whose prediction failed keep a null score.
+    """
     from colloquy.functions.replies import exact_match, parse_envelope
 
+    passthrough = [c for c in ("status", "error") if c in generated.columns]
     return generated.select(
         key,
         F.to_json("prompt_messages", {"ignoreNullFields": "false"}).alias("prompt"),
         "generated",
         gold,
+        *passthrough,
         F.when(
             F.col("generated").isNotNull(),
             exact_match(F.col("generated"), F.col(gold), parse_envelope(F.col("generated")), parse_envelope(F.col(gold))),

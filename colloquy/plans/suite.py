@@ -745,8 +745,8 @@ def q_generate_eval(spark: SparkSession, sf: str) -> DataFrame:
     conv = assemble_messages(read_turns(spark, sf))
     prompts = shape.prompt_gold_records(conv)
     gen = generate.generate(spread(prompts), batch_factory=stubs.echo_last_turn_batch_factory, batch_size=8)
-    rec = generate.prediction_records(gen.filter(F.col("status") == "ok"), "conv_id")
-    return rec.join(gen.select("conv_id", "status"), "conv_id").select("conv_id", "generated", "exact_match", "status")
+    rec = generate.prediction_records(gen, "conv_id")
+    return rec.select("conv_id", "generated", "exact_match", "status")
 
 
 # ------------------------------------------------------------------ raw JSONL
