@@ -71,8 +71,12 @@ class SplitLoad:
 
 
 def load_split(spark: SparkSession, path: str, split: str, max_samples: int | None = None, seed: int = 42) -> SplitLoad:
-    """Validated rows and the reject report of one JSONL split (one scan, two branches)."""
-    verdicts = jsonl.validate_lines(jsonl.read_lines(spark, path))
+    """Validated rows and the reject report of one JSONL split.
+
+    The verdicts are checkpointed once (the strict JSON inspection runs a single time);
+    the report and the valid rows are two branches over that checkpoint.
+    """
+    verdicts = cut_lineage(jsonl.validate_lines(jsonl.read_lines(spark, path)))
     report = validate.validation_report(verdicts, order_col="line_no", split=split)
     valid = verdicts.filter(F.col("reason").isNull()).select("line_no", "messages")
     if max_samples is not None:
