@@ -87,11 +87,27 @@ def _pct(col: str, p: float, approx: bool) -> Column:
     return F.percentile_approx(col, p, 100000).cast("double") if approx else F.percentile(col, F.lit(p))
 
 
+ALL_SPLITS = "all"
+
+
+def _grouped(df: DataFrame, split: str, with_total: bool):
+    """``groupBy(split)``, or ``rollup(split)`` adding one all-splits line when ``with_total``."""
+    return df.rollup(split) if with_total else df.groupBy(split)
+
+
+def _gid(with_total: bool) -> list[Column]:
+    return [F.grouping_id().alias("_gid")] if with_total else []
+
+
 def dataset_statistics(per_conv: DataFrame, plan: TrainingPlan = TrainingPlan(), split: str = "split",
-                       approx: bool = False) -> DataFrame:
-    """One row per split: averages, p95, max, over-length count, packing and cost figures."""
+                       approx: bool = False, with_total: bool = False) -> DataFrame:
+    """One row per split: averages, p95, max, over-length count, packing and cost figures.
+
+    ``with_total`` adds an ``all`` line over every split (a rollup in the same aggregate).
+    """
     L = plan.max_seq_length
-    agg = per_conv.groupBy(split).agg(
+    agg = _grouped(per_conv, split, with_total).agg(
+        *_gid(with_total),
         F.count(F.lit(1)).alias("num_examples"),
         F.avg("n_turns").alias("avg_turns"),
         F.avg("prompt_tokens").alias("avg_prompt_tokens"),
@@ -102,6 +118,8 @@ def dataset_statistics(per_conv: DataFrame, plan: TrainingPlan = TrainingPlan(),
         F.count_if(F.col("total_tokens") > L).alias("num_exceeding_max_seq_length"),
         F.sum("total_tokens").alias("_sum_total"),
     )
+    if with_total:
+        agg = agg.withColumn(split, F.when(F.col("_gid") == 1, F.lit(ALL_SPLITS)).otherwise(F.col(split)))
     eff_batch = max(plan.batch_size * plan.gradient_accumulation, 1)
     n = F.col("num_examples")
     if plan.packing:
@@ -133,9 +151,10 @@ def dataset_statistics(per_conv: DataFrame, plan: TrainingPlan = TrainingPlan(),
 
 
 def token_analysis(per_conv: DataFrame, max_seq_length: int = 1536, split: str = "split",
-                   value: str = "total_tokens", approx: bool = False) -> DataFrame:
+                   value: str = "total_tokens", approx: bool = False, with_total: bool = False) -> DataFrame:
     """Mean, median, p95, max and over-length count of the template length per split."""
-    return per_conv.groupBy(split).agg(
+    out = _grouped(per_conv, split, with_total).agg(
+        *_gid(with_total),
         F.avg(value).alias("mean"),
         _pct(value, 0.5, approx).alias("median"),
         _pct(value, 0.95, approx).alias("p95"),
@@ -143,6 +162,9 @@ def token_analysis(per_conv: DataFrame, max_seq_length: int = 1536, split: str =
         F.count_if(F.col(value) > max_seq_length).alias("num_exceeding_max_seq_length"),
         F.count(F.lit(1)).alias("n"),
     )
+    if with_total:
+        out = out.withColumn(split, F.when(F.col("_gid") == 1, F.lit(ALL_SPLITS)).otherwise(F.col(split)))
+    return out.drop("_gid") if with_total else out
 
 
 def histogram(df: DataFrame, value: str, split: str = "split", bins: int = 20, width: int = 50) -> DataFrame:

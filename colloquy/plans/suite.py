@@ -867,3 +867,19 @@ def q_doc_token_stats(spark: SparkSession, sf: str) -> DataFrame:
     out = stats.token_analysis(per, max_seq_length=2048)
     return out.select("split", *[F.round(c, 6).alias(c) for c in ("mean", "median", "p95")], "max",
                       "num_exceeding_max_seq_length", "n")
+
+
+@register(
+    "token_analysis_all",
+    f"""WITH c AS ({_PER_CONV_SQL})
+    SELECT CASE WHEN grouping(split) = 1 THEN 'all' ELSE split END AS split, round(avg({_TOTAL_SQL}), 6) AS mean,
+           round(quantile_cont({_TOTAL_SQL}, 0.5), 6) AS median, round(quantile_cont({_TOTAL_SQL}, 0.95), 6) AS p95,
+           max({_TOTAL_SQL}) AS max, count(*) FILTER (WHERE {_TOTAL_SQL} > {MAX_SEQ}) AS num_exceeding_max_seq_length,
+           count(*) AS n
+    FROM c GROUP BY GROUPING SETS ((split), ())""",
+)
+def q_token_analysis_all(spark: SparkSession, sf: str) -> DataFrame:
+    out = stats.token_analysis(split_tokens(spark, sf), MAX_SEQ, with_total=True)
+    return out.select(
+        "split", *[F.round(c, 6).alias(c) for c in ("mean", "median", "p95")], "max", "num_exceeding_max_seq_length", "n"
+    )

@@ -156,3 +156,13 @@ def test_device_family_and_profiles(spark):
     assert stats.device_profile(None, "A100")["max_train_rows"] is None
     with pytest.raises(ValueError):
         stats.device_profile("V100")
+
+
+def test_statistics_with_all_splits_line(spark):
+    df = spark.createDataFrame([("a", 10, 1, 4, 5), ("a", 20, 1, 4, 5), ("b", 30, 1, 4, 5)],
+                               "split string, total_tokens long, n_turns long, prompt_tokens long, response_tokens long")
+    st = {r["split"]: r for r in stats.dataset_statistics(df, with_total=True).collect()}
+    assert set(st) == {"a", "b", "all"} and st["all"]["num_examples"] == 3 and st["all"]["max_total_tokens"] == 30
+    ta = {r["split"]: r for r in stats.token_analysis(df, with_total=True).collect()}
+    assert ta["all"]["median"] == 20.0 and ta["a"]["median"] == 15.0
+    assert stats.token_analysis(df).count() == 2
