@@ -7,7 +7,7 @@ per received line, ``seq`` the arrival order inside the request. Two wire format
   ignored); delta = ``choices[0].delta.content``; ``usage.completion_tokens`` is the
   token count, the last one seen wins.
 * NDJSON: every non-blank line is a JSON object; delta = ``message.content``; the
-  first ``done: true`` line ends the stream and is itself included; its
+  first line with a truthy ``done`` ends the stream and is itself included; its
   ``eval_count`` / ``eval_duration`` (ns) are the server-side counts.
 
 JSON fields are read with ``get_json_object`` (JVM, no Python); a malformed payload
@@ -50,7 +50,9 @@ def decode_sse(log: DataFrame) -> DataFrame:
 def decode_ndjson(log: DataFrame) -> DataFrame:
     line = py_strip(F.col("line"))
     is_line = line != ""
-    done = F.coalesce(F.get_json_object(line, "$.done") == "true", F.lit(False))
+    # Python truthiness of the JSON value: false, 0, "", [], {} and null do not end the stream.
+    done_raw = F.get_json_object(line, "$.done")
+    done = done_raw.isNotNull() & ~done_raw.isin("false", "0", "0.0", "-0", "", "[]", "{}")
     return log.select(
         "request_id",
         F.col("seq").cast("bigint").alias("seq"),

@@ -217,3 +217,11 @@ def test_metric_series(spark):
     summ = {r["metric"]: r["last_value"] for r in metrics.summary(s).collect()}
     assert summ["train/loss"] == 1.0
     assert metrics.every_n(s, 50).count() == 4 and metrics.every_n(s, 0).count() == 4
+
+
+def test_ndjson_done_truthiness(spark):
+    rows = [("a", 1.0, '{"message": {"content": "x"}, "done": 0}'), ("a", 2.0, '{"message": {"content": "y"}, "done": 1}'),
+            ("a", 3.0, '{"message": {"content": "z"}}'), ("b", 1.0, '{"message": {"content": "p"}, "done": "yes"}'),
+            ("b", 2.0, '{"message": {"content": "q"}, "done": false}')]
+    got = {r["request_id"]: r["text"] for r in telemetry.request_metrics(decode_ndjson(log(spark, rows)), True).collect()}
+    assert got == {"a": "xy", "b": "p"}
