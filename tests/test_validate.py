@@ -109,6 +109,8 @@ def test_line_numbers_and_report(spark, tmp_dir):
     assert load.valid.count() == 3
     text = jobs.render_validation_report(load.report)
     assert "first dropped line numbers: 3, 6" in text
+    full = jobs.render_validation_report(load.report, load.verdicts)
+    assert "invalid_json:Expecting property name enclosed in double quotes: 1" in full and "not_a_json_object: 1" in full
     assert jsonl.count_nonblank_lines(spark, path) == 5
     assert jsonl.read_json_lines(spark, path).count() == 4
 
