@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import datetime as _dt
+import functools
 import json
 import math
 import re
@@ -164,6 +165,33 @@ def _json_text_key(text: pd.Series) -> pd.Series:
 _KEYS_TYPE = T.StructType([T.StructField("semantic", T.StringType()), T.StructField("envelope", T.StringType())])
 
 
+# Pure functions of the text, cached within one Spark task so repeated sections (a
+# correct prediction repeats its gold reply verbatim) are parsed once. The cache is
+# reset when the task changes: results never depend on, or benefit from, earlier jobs.
+@functools.lru_cache(maxsize=65536)
+def _semantic_key_cached(section: str) -> Optional[str]:
+    return _canon_or_none(parse_semantic(section))
+
+
+@functools.lru_cache(maxsize=65536)
+def _envelope_tail_key_cached(tail: str) -> Optional[str]:
+    return _canon_or_none(parse_envelope_tail(tail))
+
+
+_cache_task: list = [None]
+
+
+def _reset_cache_per_task() -> None:
+    from pyspark import TaskContext
+
+    ctx = TaskContext.get()
+    task = ctx.taskAttemptId() if ctx is not None else None
+    if task != _cache_task[0]:
+        _semantic_key_cached.cache_clear()
+        _envelope_tail_key_cached.cache_clear()
+        _cache_task[0] = task
+
+
 @F.pandas_udf(_KEYS_TYPE)
 def structured_keys(envelope_tail: pd.Series, pass3: pd.Series) -> pd.DataFrame:
     """PASS_3 and PASS_4 canonical keys in one Arrow round trip.
@@ -171,9 +199,10 @@ def structured_keys(envelope_tail: pd.Series, pass3: pd.Series) -> pd.DataFrame:
     ``envelope_tail`` is the reply from the first ``{`` after ``PASS_4`` (cut natively,
     so only that part crosses into Python).
     """
+    _reset_cache_per_task()
     return pd.DataFrame(
         {
-            "semantic": [_canon_or_none(parse_semantic(s)) for s in pass3],
-            "envelope": [_canon_or_none(parse_envelope_tail(t)) for t in envelope_tail],
+            "semantic": [None if s is None else _semantic_key_cached(s) for s in pass3],
+            "envelope": [None if t is None else _envelope_tail_key_cached(t) for t in envelope_tail],
         }
     )
