@@ -116,3 +116,28 @@ def prediction_records(generated: DataFrame, key: str, gold: str = "gold") -> Da
             exact_match(F.col("generated"), F.col(gold), parse_envelope(F.col("generated")), parse_envelope(F.col(gold))),
         ).alias("exact_match"),
     )
+
+
+def predict_column(make_batch_predict: Callable[[], BatchDecodeFn], batch_size: int = 8, max_new_tokens: int = 400):
+    """Column form of batch generation on Spark's batch-inference UDF.
+
+    ``make_batch_predict()`` runs once per Python worker (cached by
+    ``predict_batch_udf``); each call receives up to ``batch_size`` prompts. Input is
+    the prompt turns as JSON text (``to_json(prompt_messages)``); output is the reply.
+    Use ``generate`` instead when failing rows must be reported rather than fail the task.
+    """
+    import json as _json
+
+    import numpy as np
+    from pyspark.ml.functions import predict_batch_udf
+
+    def make():
+        predict = make_batch_predict()
+
+        def run(prompts: np.ndarray) -> np.ndarray:
+            batch = [_json.loads(p) if p is not None else [] for p in prompts]
+            return np.array(predict(batch, max_new_tokens), dtype=object)
+
+        return run
+
+    return predict_batch_udf(make, return_type=T.StringType(), batch_size=batch_size)

@@ -225,3 +225,12 @@ def test_ndjson_done_truthiness(spark):
             ("b", 2.0, '{"message": {"content": "q"}, "done": false}')]
     got = {r["request_id"]: r["text"] for r in telemetry.request_metrics(decode_ndjson(log(spark, rows)), True).collect()}
     assert got == {"a": "xy", "b": "p"}
+
+
+def test_predict_column(spark):
+    df = spark.createDataFrame(
+        [(i, [{"role": "user", "content": f"q{i}"}]) for i in range(5)], "k long, prompt_messages array<struct<role:string,content:string>>"
+    )
+    col = generate.predict_column(stubs.echo_last_turn_batch_factory, batch_size=2)
+    out = df.select("k", col(F.to_json("prompt_messages")).alias("g")).orderBy("k").collect()
+    assert [r["g"] for r in out] == [f"q{i}" for i in range(5)]
