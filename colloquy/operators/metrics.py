@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from colloquy.functions.timecols import epoch_micros
+
 # Trainer log keys forwarded under train/, and the eval prefix rule.
 TRAIN_KEYS = ("loss", "learning_rate", "grad_norm", "epoch")
 EVAL_PREFIX = "eval_"
@@ -64,9 +66,10 @@ def throughput(logs: DataFrame, plan: ThroughputPlan = ThroughputPlan(), run: st
 
     The run start is the earliest log time of the run (a splittable ``min`` joined back).
     """
-    start = logs.groupBy(run).agg(F.min(F.unix_micros(F.col(ts).cast("timestamp"))).alias("_t0"))
+    us = epoch_micros(logs, ts)
+    start = logs.groupBy(run).agg(F.min(us).alias("_t0"))
     j = logs.filter(F.col(step) > 0).join(start, run)
-    elapsed = (F.unix_micros(F.col(ts).cast("timestamp")) - F.col("_t0")) / F.lit(1e6)
+    elapsed = (us - F.col("_t0")) / F.lit(1e6)
     eff = plan.batch_size * plan.gradient_accumulation
     examples = F.col(step) * F.lit(eff)
     ex_rate = examples / F.greatest(elapsed, F.lit(1e-6))

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from colloquy.functions.timecols import epoch_micros
 from colloquy.operators.shape import _ordered_concat
 
 METRIC_COLUMNS = ("request_id", "text", "ttft_seconds", "total_seconds", "tokens_generated", "tokens_per_second")
@@ -43,7 +44,7 @@ def request_metrics(decoded: DataFrame, end_inclusive: bool, starts: DataFrame |
         F.min_by("at_us", F.when(is_end, F.col("seq"))).alias("_end_us"),
     )
     if starts is not None:
-        s = starts.select("request_id", F.unix_micros(F.col("started_at").cast("timestamp")).alias("_s_us"))
+        s = starts.select("request_id", epoch_micros(starts, "started_at").alias("_s_us"))
         bounds = bounds.join(s, "request_id", "left").withColumn(
             "_start_us", F.coalesce(F.col("_s_us"), F.col("_start_us"))
         ).drop("_s_us")

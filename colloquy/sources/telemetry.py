@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.functions.text import py_strip
+from colloquy.functions.timecols import epoch_micros
 
 SSE_PREFIX = "data: "
 SSE_DONE = "[DONE]"
@@ -35,7 +36,7 @@ def decode_sse(log: DataFrame) -> DataFrame:
     return log.select(
         "request_id",
         F.col("seq").cast("bigint").alias("seq"),
-        F.unix_micros(F.col("arrived_at").cast("timestamp")).alias("at_us"),
+        epoch_micros(log, "arrived_at").alias("at_us"),
         is_data.alias("is_line"),
         is_end.alias("is_end"),
         F.when(is_data & ~is_end, F.get_json_object(payload, "$.choices[0].delta.content")).alias("delta"),
@@ -56,7 +57,7 @@ def decode_ndjson(log: DataFrame) -> DataFrame:
     return log.select(
         "request_id",
         F.col("seq").cast("bigint").alias("seq"),
-        F.unix_micros(F.col("arrived_at").cast("timestamp")).alias("at_us"),
+        epoch_micros(log, "arrived_at").alias("at_us"),
         is_line.alias("is_line"),
         (is_line & done).alias("is_end"),
         F.when(is_line, F.get_json_object(line, "$.message.content")).alias("delta"),

@@ -17,6 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from colloquy.functions.timecols import epoch_micros
 from colloquy.operators.metrics import ThroughputPlan
 from colloquy.session import checkpoint_dir
 from colloquy.sources.jsonl import validate_lines
@@ -49,9 +50,9 @@ def intake(spark: SparkSession, folder: str, valid_path: str, quarantine_path: s
 
 def throughput_stream(logs: DataFrame, starts: DataFrame, plan: ThroughputPlan = ThroughputPlan()) -> DataFrame:
     """Per log row: elapsed, examples/s, tokens/s, ETA (stream-static join on run id)."""
-    s = starts.select("run_id", F.unix_micros(F.col("started_at").cast("timestamp")).alias("_t0"))
+    s = starts.select("run_id", epoch_micros(starts, "started_at").alias("_t0"))
     j = logs.filter(F.col("step") > 0).join(s, "run_id")
-    elapsed = (F.unix_micros(F.col("ts").cast("timestamp")) - F.col("_t0")) / F.lit(1e6)
+    elapsed = (epoch_micros(logs, "ts") - F.col("_t0")) / F.lit(1e6)
     ex_rate = F.col("step") * F.lit(plan.batch_size * plan.gradient_accumulation) / F.greatest(elapsed, F.lit(1e-6))
     eta = ((F.lit(plan.max_steps) - F.col("step")) * (elapsed / F.col("step"))) if plan.max_steps else F.lit(0.0)
     return j.select(
