@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.functions.text import is_blank
+from colloquy.session import cut_lineage
 
 # The accepted roles and the reason texts.
 VALID_ROLES = ("system", "user", "assistant")
@@ -105,12 +106,16 @@ def reason_histogram(verdicts: DataFrame, order_col: str = "conv_id") -> DataFra
     )
 
 
-def validation_report(verdicts: DataFrame, order_col: str = "conv_id", split: str | None = None) -> DataFrame:
+def validation_report(verdicts: DataFrame, order_col: str = "conv_id", split: str | None = None,
+                      materialize: bool = True) -> DataFrame:
     """One-row report: totals, per-class reason counts and the first dropped ids.
 
     ``dropped`` comes from an ordered limit (top-k merge), never from collecting the
-    whole reject set.
+    whole reject set. The verdicts feed two branches, so they are checkpointed once
+    (``materialize``) instead of being validated twice.
     """
+    if materialize:
+        verdicts = cut_lineage(verdicts.select(order_col, "reason"))
     by_class = verdicts.groupBy(reason_class(F.col("reason")).alias("k")).agg(F.count(F.lit(1)).alias("n"))
     dropped = (
         verdicts.filter(F.col("reason").isNotNull())

@@ -77,7 +77,7 @@ def load_split(spark: SparkSession, path: str, split: str, max_samples: int | No
     the report and the valid rows are two branches over that checkpoint.
     """
     verdicts = cut_lineage(jsonl.validate_lines(jsonl.read_lines(spark, path)))
-    report = validate.validation_report(verdicts, order_col="line_no", split=split)
+    report = validate.validation_report(verdicts, order_col="line_no", split=split, materialize=False)
     valid = verdicts.filter(F.col("reason").isNull()).select("line_no", "messages")
     if max_samples is not None:
         valid = shape.seeded_sample(valid, "line_no", max_samples, seed)
