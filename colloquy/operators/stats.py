@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from colloquy.functions.text import whitespace_tokens
-from colloquy.session import broadcast_if_small
+from colloquy.session import broadcast_if_small, cut_lineage
 
 MAX_BROADCAST_SPLITS = 10000
 
@@ -167,12 +167,16 @@ def token_analysis(per_conv: DataFrame, max_seq_length: int = 1536, split: str =
     return out.drop("_gid") if with_total else out
 
 
-def histogram(df: DataFrame, value: str, split: str = "split", bins: int = 20, width: int = 50) -> DataFrame:
+def histogram(df: DataFrame, value: str, split: str = "split", bins: int = 20, width: int = 50,
+              materialize: bool = True) -> DataFrame:
     """Equal-width histogram per split between min and max, last bin closed, empty bins kept.
 
     ``(split, bin, bucket_lo, bucket_hi, count, bar)``; a split whose values are all
-    equal yields one bin holding every row.
+    equal yields one bin holding every row. The values are read twice (bounds, then
+    bins), so the two needed columns are checkpointed once (``materialize``).
     """
+    if materialize:
+        df = cut_lineage(df.select(split, value))
     bounds = df.groupBy(split).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
     w = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     # One row per split: broadcast after a bounded size check; many splits fall back
