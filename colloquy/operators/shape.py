@@ -79,7 +79,7 @@ def prompt_gold(turns: DataFrame, key: str = "conv_id") -> DataFrame:
 def prompt_gold_records(conversations: DataFrame, key: str = "conv_id", messages: str = "messages") -> DataFrame:
     """Nested form: ``(key, prompt_messages, prompt_json, gold)`` for rows ending on the assistant."""
     m = F.col(messages)
-    last = F.element_at(m, -1)
+    last = F.try_element_at(m, F.lit(-1))
     prompt = F.slice(m, F.lit(1), F.size(m) - 1)
     return conversations.filter((F.size(m) > 0) & (last["role"] == "assistant")).select(
         key,

@@ -166,3 +166,14 @@ def test_statistics_with_all_splits_line(spark):
     ta = {r["split"]: r for r in stats.token_analysis(df, with_total=True).collect()}
     assert ta["all"]["median"] == 20.0 and ta["a"]["median"] == 15.0
     assert stats.token_analysis(df).count() == 2
+
+
+def test_prompt_gold_records_empty_and_nested(spark):
+    conv = spark.createDataFrame(
+        [(1, []), (2, [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]), (3, [{"role": "user", "content": "q"}])],
+        "conv_id long, messages array<struct<role:string,content:string>>",
+    )
+    rec = {r["conv_id"]: r for r in shape.prompt_gold_records(conv).collect()}
+    assert set(rec) == {2} and rec[2]["gold"] == "a" and rec[2]["prompt_json"] == '[{"role":"user","content":"q"}]'
+    first = {r["conv_id"]: len(r["prompt_messages"]) for r in shape.prompt_before_first_reply(conv).collect()}
+    assert first == {1: 0, 2: 1, 3: 1}
