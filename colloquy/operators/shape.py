@@ -161,7 +161,7 @@ def masked_fraction(spans: DataFrame, flat: DataFrame, key: str = "conv_id") ->
     trained = spans.groupBy().agg(F.sum(F.col("span_end") - F.col("span_start")).alias("_t"))
     total = flat.groupBy().agg(F.sum(F.length("text")).alias("_a"))
     return trained.unionByName(total, allowMissingColumns=True).agg(
-        (F.sum("_t") / F.sum("_a")).alias("trained_fraction")
+        F.try_divide(F.sum("_t").cast("double"), F.sum("_a").cast("double")).alias("trained_fraction")
     )
 
 
