@@ -54,27 +54,33 @@ def main() -> None:
     names = [n for n in HEADLINE if n in suite.QUERIES] + [
         n for n in os.environ.get("BENCH_EXTRA", "").split(",") if n in suite.QUERIES
     ]
-    timings: dict[str, float] = {}
+    timings: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
     for name in names:
         fn = suite.QUERIES[name]
         runs = []
-        for i in range(reps + 1):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if i:
-                runs.append(time.perf_counter() - t0)
-        timings[name] = round(statistics.median(runs), 3)
+        try:
+            for i in range(reps + 1):
+                t0 = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                if i:
+                    runs.append(time.perf_counter() - t0)
+            timings[name] = round(statistics.median(runs), 3)
+        except Exception as exc:  # noqa: BLE001 - report and keep benchmarking the rest
+            timings[name] = None
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(
         json.dumps(
             {
                 "metric": "headline_total_median",
-                "value": round(sum(timings.values()), 3),
+                "value": round(sum(v for v in timings.values() if v is not None), 3),
                 "unit": "sec",
                 "queries": timings,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
                 "reps": reps,
+                **({"errors": errors} if errors else {}),
             }
         )
     )
