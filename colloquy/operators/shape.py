@@ -54,12 +54,26 @@ def _ordered_concat(pieces: Column, order: Column) -> Column:
     return F.array_join(F.transform(ordered, lambda x: x["p"]), "")
 
 
+TEXT_BLOCK_ROWS = 1024
+
+
+def ordered_text(df: DataFrame, key: str, order: str, piece: Column, block_rows: int = TEXT_BLOCK_ROWS) -> DataFrame:
+    """``(key, text)``: the pieces of each key concatenated in ``order`` (an integer column).
+
+    Two levels: pieces are first joined per ``(key, order div block_rows)`` — groups of
+    at most ``block_rows`` consecutive positions, hashed on both columns so one huge key
+    is spread over many tasks — and only the block strings are gathered per key.
+    """
+    blk = F.floor(F.col(order) / F.lit(block_rows)).cast("bigint")
+    blocks = df.groupBy(key, blk.alias("_blk")).agg(_ordered_concat(piece, F.col(order)).alias("_t"))
+    return blocks.groupBy(key).agg(_ordered_concat(F.col("_t"), F.col("_blk")).alias("text"))
+
+
 def flatten_text(turns: DataFrame, template: ChatTemplate = DEFAULT_TEMPLATE, key: str = "conv_id") -> DataFrame:
     """One rendered training text per conversation: ``(key, text)``."""
     piece = template.render_turn(F.col("role"), F.col("text"))
-    return turns.groupBy(key).agg(
-        F.concat(F.lit(template.bos), _ordered_concat(piece, F.col("turn"))).alias("text")
-    )
+    body = ordered_text(turns, key, "turn", piece)
+    return body.select(key, F.concat(F.lit(template.bos), F.col("text")).alias("text"))
 
 
 def prompt_gold(turns: DataFrame, key: str = "conv_id") -> DataFrame:
@@ -107,10 +121,9 @@ def prompt_prefix(turns: DataFrame, template: ChatTemplate = DEFAULT_TEMPLATE, k
     mx = turns.groupBy(key).agg(F.max("turn").alias("_last"), F.max_by("role", "turn").alias("_last_role"))
     body = turns.join(mx.filter(F.col("_last_role") == "assistant"), key).filter(F.col("turn") < F.col("_last"))
     piece = template.render_turn(F.col("role"), F.col("text"))
-    return body.groupBy(key).agg(
-        F.concat(
-            F.lit(template.bos), _ordered_concat(piece, F.col("turn")), template.header(F.lit("assistant"))
-        ).alias("prompt")
+    text = ordered_text(body, key, "turn", piece)
+    return text.select(
+        key, F.concat(F.lit(template.bos), F.col("text"), template.header(F.lit("assistant"))).alias("prompt")
     )
 
 

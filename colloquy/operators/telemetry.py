@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.functions.timecols import epoch_micros
-from colloquy.operators.shape import _ordered_concat
+from colloquy.operators.shape import ordered_text
 
 METRIC_COLUMNS = ("request_id", "text", "ttft_seconds", "total_seconds", "tokens_generated", "tokens_per_second")
 
@@ -58,9 +58,9 @@ def request_metrics(decoded: DataFrame, end_inclusive: bool, starts: DataFrame |
         F.max_by("usage_tokens", F.when(F.col("usage_tokens").isNotNull(), F.col("seq"))).alias("_usage"),
         F.max("eval_count").alias("_eval_count"),
         F.max("eval_ns").alias("_eval_ns"),
-        _ordered_concat(delta, F.col("seq")).alias("text"),
     )
-    j = bounds.join(sums, "request_id", "left")
+    texts = ordered_text(kept, "request_id", "seq", delta)
+    j = bounds.join(sums, "request_id", "left").join(texts, "request_id", "left")
     total = (F.coalesce(F.col("_end_us"), F.col("_last_us")) - F.col("_start_us")) / F.lit(1e6)
     ttft = F.when(F.col("_first_us").isNotNull(), (F.col("_first_us") - F.col("_start_us")) / F.lit(1e6)).otherwise(total)
     tokens = F.coalesce(F.col("_eval_count"), F.col("_usage"), F.lit(0)).cast("bigint")

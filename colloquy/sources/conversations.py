@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MESSAGE_TYPE = "array<struct<role:string,content:string>>"
+MESSAGE_BLOCK_TURNS = 1024
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,10 +31,17 @@ def assemble_messages(turns: DataFrame, key: str = "conv_id") -> DataFrame:
     This is the nested-row form of the training corpus (one JSONL line per
     conversation); a conversation is bounded by what one training sequence holds.
     """
-    ordered = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
-    return turns.groupBy(key).agg(
-        F.transform(ordered, lambda m: F.struct(m["role"].alias("role"), m["text"].alias("content"))).alias("messages")
+    # Two levels, like shape.ordered_text: sorted runs per (key, turn div block), then the
+    # runs of each key in block order, so a huge conversation is pre-assembled in parallel.
+    blk = F.floor(F.col("turn") / F.lit(MESSAGE_BLOCK_TURNS)).cast("bigint")
+    runs = turns.groupBy(key, blk.alias("_blk")).agg(
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("turn", "role", "text"))),
+            lambda m: F.struct(m["role"].alias("role"), m["text"].alias("content")),
+        ).alias("_run")
     )
+    ordered = F.array_sort(F.collect_list(F.struct("_blk", "_run")))
+    return runs.groupBy(key).agg(F.flatten(F.transform(ordered, lambda r: r["_run"])).alias("messages"))
 
 
 def explode_messages(conversations: DataFrame, key: str = "conv_id", messages: str = "messages") -> DataFrame:
