@@ -127,36 +127,63 @@ def prompt_prefix(turns: DataFrame, template: ChatTemplate = DEFAULT_TEMPLATE, k
     )
 
 
-def response_spans(turns: DataFrame, template: ChatTemplate = DEFAULT_TEMPLATE, key: str = "conv_id") -> DataFrame:
+SPAN_BLOCK_TURNS = 1024
+
+
+def response_spans(turns: DataFrame, template: ChatTemplate = DEFAULT_TEMPLATE, key: str = "conv_id",
+                   block_turns: int = SPAN_BLOCK_TURNS) -> DataFrame:
     """Loss spans of the rendered text: ``(key, turn, span_start, span_end)``, 0-based, end exclusive.
 
     A span starts right after the response header of an assistant turn and runs to the
     next instruction header (or the end of the text), as response-only masking does.
+
+    Offsets are two-level prefix sums, so no window ever spans a whole conversation:
+    windows run inside ``(key, turn div block_turns)`` blocks (at most ``block_turns``
+    rows each); a per-block table (one row per block) carries block offsets, the text
+    length and the first instruction turn of later blocks, and is joined back.
     """
+    bos = F.lit(len(template.bos))
     header_len = F.length(template.header(F.col("role")))
     piece_len = header_len + F.length(F.coalesce(F.col("text"), F.lit(""))) + F.lit(len(template.turn_close))
-    by_turn = Window.partitionBy(key).orderBy("turn")
-    before = F.coalesce(F.sum(piece_len).over(by_turn.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = turns.select(
+    t = turns.select(
         key,
         "turn",
-        "role",
-        (F.lit(len(template.bos)) + before).alias("_turn_start"),
-        (F.lit(len(template.bos)) + before + header_len).alias("_content_start"),
-        (F.lit(len(template.bos)) + F.sum(piece_len).over(by_turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("_text_len"),
+        F.floor(F.col("turn") / F.lit(block_turns)).cast("bigint").alias("_blk"),
+        piece_len.alias("_len"),
+        header_len.alias("_hl"),
+        (template.header(F.col("role")) == F.lit(template.instruction_part)).alias("_ins"),
+        (template.header(F.col("role")) == F.lit(template.response_part)).alias("_resp"),
+    )
+    in_block = Window.partitionBy(key, "_blk").orderBy("turn")
+    local = t.select(
+        "*",
+        F.coalesce(F.sum("_len").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_lp"),
+    ).select(
+        "*",
+        F.min(F.when(F.col("_ins"), F.col("_lp"))).over(in_block.rowsBetween(1, Window.unboundedFollowing)).alias("_nloc"),
     )
-    is_instruction = template.header(F.col("role")) == F.lit(template.instruction_part)
-    next_instruction = F.min(F.when(is_instruction, F.col("_turn_start"))).over(
-        by_turn.rowsBetween(1, Window.unboundedFollowing)
+    blocks = local.groupBy(key, "_blk").agg(
+        F.sum("_len").alias("_bsum"), F.min(F.when(F.col("_ins"), F.col("_lp"))).alias("_first_ins")
     )
-    is_response = template.header(F.col("role")) == F.lit(template.response_part)
-    return starts.select(
+    by_block = Window.partitionBy(key).orderBy("_blk")
+    boff = F.coalesce(F.sum("_bsum").over(by_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = blocks.select(key, "_blk", "_bsum", "_first_ins", boff.alias("_boff")).select(
+        key,
+        "_blk",
+        "_boff",
+        F.sum("_bsum").over(Window.partitionBy(key)).alias("_total"),
+        F.min(F.when(F.col("_first_ins").isNotNull(), F.col("_boff") + F.col("_first_ins")))
+        .over(by_block.rowsBetween(1, Window.unboundedFollowing))
+        .alias("_next_blk_ins"),
+    )
+    j = local.filter("_resp").join(blocks, [key, "_blk"])
+    next_ins = F.coalesce(F.col("_boff") + F.col("_nloc"), F.col("_next_blk_ins"))
+    return j.select(
         key,
         "turn",
-        is_response.alias("_resp"),
-        F.col("_content_start").cast("bigint").alias("span_start"),
-        F.coalesce(next_instruction, F.col("_text_len")).cast("bigint").alias("span_end"),
-    ).filter("_resp").drop("_resp")
+        (bos + F.col("_boff") + F.col("_lp") + F.col("_hl")).cast("bigint").alias("span_start"),
+        (bos + F.coalesce(next_ins, F.col("_total"))).cast("bigint").alias("span_end"),
+    )
 
 
 def marker_guard(flat: DataFrame, template: ChatTemplate = DEFAULT_TEMPLATE, text: str = "text") -> DataFrame:

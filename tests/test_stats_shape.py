@@ -177,3 +177,18 @@ def test_prompt_gold_records_empty_and_nested(spark):
     assert set(rec) == {2} and rec[2]["gold"] == "a" and rec[2]["prompt_json"] == '[{"role":"user","content":"q"}]'
     first = {r["conv_id"]: len(r["prompt_messages"]) for r in shape.prompt_before_first_reply(conv).collect()}
     assert first == {1: 0, 2: 1, 3: 1}
+
+
+def test_response_spans_blocks_match_single_level(spark):
+    rng = random.Random(4)
+    convs = {c: [(rng.choice(["user", "assistant", "system"]), "x" * rng.randint(0, 9)) for _ in range(rng.randint(1, 12))]
+             for c in range(120)}
+    t = turns_df(spark, convs)
+    a = sorted(tuple(r) for r in shape.response_spans(t, block_turns=1024).collect())
+    b = sorted(tuple(r) for r in shape.response_spans(t, block_turns=2).collect())
+    c = sorted(tuple(r) for r in shape.response_spans(t, block_turns=3).collect())
+    assert a == b == c and len(a) > 0
+    flat = {r["conv_id"]: r["text"] for r in shape.flatten_text(t).collect()}
+    for k, turn, s0, s1 in b:
+        body = flat[k][s0:s1]
+        assert body.startswith(convs[k][turn][1] + "<turn|>\n") and "<|turn>user\n" not in body
