@@ -93,10 +93,24 @@ def metrics_summary(metrics: DataFrame) -> DataFrame:
     )
 
 
-def cumulative_to_delta(steps: DataFrame, key: str = "request_id", index: str = "token_index", text: str = "text") -> DataFrame:
-    """Turn cumulative decoded text per step into per-step deltas (empty steps kept)."""
+def cumulative_to_delta(steps: DataFrame, key: str = "request_id", index: str = "token_index", text: str = "text",
+                        block_rows: int = 1024) -> DataFrame:
+    """Turn cumulative decoded text per step into per-step deltas (empty steps kept).
+
+    ``delta`` = the text minus the previous step's text length. The previous step comes
+    from a window inside ``(key, index div block_rows)`` blocks; the first step of a
+    block takes the last text of the preceding block from a one-row-per-block table.
+    """
     from pyspark.sql import Window
 
-    prev = F.lag(text).over(Window.partitionBy(key).orderBy(index))
-    start = F.coalesce(F.length(prev), F.lit(0)) + 1
-    return steps.withColumn("delta", F.col(text).substr(start, F.lit(1 << 30)))
+    blk = F.floor(F.col(index) / F.lit(block_rows)).cast("bigint")
+    s = steps.withColumn("_blk", blk)
+    prev_in_block = F.lag(text).over(Window.partitionBy(key, "_blk").orderBy(index))
+    s = s.withColumn("_prev", prev_in_block)
+    last = s.groupBy(key, "_blk").agg(F.max_by(F.length(text), F.col(index)).alias("_last_len"))
+    last = last.select(
+        key, "_blk", F.lag("_last_len").over(Window.partitionBy(key).orderBy("_blk")).alias("_prev_block_len")
+    )
+    j = s.join(last, [key, "_blk"])
+    prev_len = F.coalesce(F.length("_prev"), F.col("_prev_block_len"), F.lit(0))
+    return j.withColumn("delta", F.col(text).substr(prev_len + 1, F.lit(1 << 30))).drop("_blk", "_prev", "_prev_block_len")

@@ -234,3 +234,14 @@ def test_predict_column(spark):
     col = generate.predict_column(stubs.echo_last_turn_batch_factory, batch_size=2)
     out = df.select("k", col(F.to_json("prompt_messages")).alias("g")).orderBy("k").collect()
     assert [r["g"] for r in out] == [f"q{i}" for i in range(5)]
+
+
+def test_cumulative_to_delta_across_blocks(spark):
+    words = ["a", "bc", "", "def", "g", "", "hi"]
+    cum, acc = [], ""
+    for i, w in enumerate(words, start=1):
+        acc += w
+        cum.append(("r", i, acc))
+    df = spark.createDataFrame(cum, "request_id string, token_index int, text string")
+    got = [r["delta"] for r in telemetry.cumulative_to_delta(df, block_rows=2).orderBy("token_index").collect()]
+    assert got == words
