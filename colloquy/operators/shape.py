@@ -205,35 +205,38 @@ def masked_fraction(spans: DataFrame, flat: DataFrame, key: str = "conv_id") ->
     )
 
 
-TOPK_MERGE_LIMIT = 10_000
+TOPK_MERGE_ROWS = 2_000_000  # rows one task may merge for an ordered limit (n x partitions)
 HASH_BUCKET_CHARS = 4  # 16**4 = 65,536 hash-prefix buckets
 
 
-def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42, topk_limit: int = TOPK_MERGE_LIMIT) -> DataFrame:
-    """Exactly ``min(n, count)`` rows: the ``n`` smallest ``md5('<seed>:' || key)``.
+def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42, merge_rows: int = TOPK_MERGE_ROWS) -> DataFrame:
+    """Exactly ``min(n, count)`` rows: the ``n`` smallest ``md5('<seed>:' || key)`` (``key`` unique).
 
-    Deterministic under any partitioning. Up to ``topk_limit`` rows this is an ordered
-    limit (per-partition top-k merged in one task). Beyond it, the exact selection is
-    distributed: count rows per hash-prefix bucket (at most 65,536), find the bucket
-    where the running count reaches ``n``, keep every lower bucket whole and take the
-    top-k only inside that one bucket, then semi-join the chosen keys back.
+    Deterministic under any partitioning. The selection runs on narrow ``(key, hash)``
+    rows and the chosen keys are semi-joined back, so whole rows never meet in one task.
+    When ``n x partitions`` is at most ``merge_rows`` it is an ordered limit (per-partition
+    top-n merged in one task). Beyond that it is distributed: count rows per hash-prefix
+    bucket (at most 65,536), find the bucket where the running count reaches ``n``, keep
+    every lower bucket whole and take the top-k only inside that one bucket.
     """
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    if n <= topk_limit:
-        return df.orderBy(order, F.col(key)).limit(n)
-    h = df.select(key, order.alias("_h")).withColumn("_b", F.substring("_h", 1, HASH_BUCKET_CHARS))
-    counts = h.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
-    cum = counts.select(
-        "_b", "_c", F.sum("_c").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)).alias("_cum")
-    )
-    cut = cum.filter(F.col("_cum") >= n).orderBy("_b").limit(1).collect()
-    if not cut:
-        return df
-    b_star, before = cut[0]["_b"], cut[0]["_cum"] - cut[0]["_c"]
-    below = h.filter(F.col("_b") < b_star).select(key)
-    edge = h.filter(F.col("_b") == b_star).orderBy("_h", key).limit(int(n - before)).select(key)
-    chosen = below.unionByName(edge)
-    small = broadcast_if_small(chosen, 2_000_000)
+    h = df.select(key, order.alias("_h"))
+    if n * max(df.rdd.getNumPartitions(), 1) <= merge_rows:
+        chosen = h.orderBy("_h", key).limit(n).select(key)
+    else:
+        h = h.withColumn("_b", F.substring("_h", 1, HASH_BUCKET_CHARS))
+        counts = h.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
+        cum = counts.select(
+            "_b", "_c", F.sum("_c").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)).alias("_cum")
+        )
+        cut = cum.filter(F.col("_cum") >= n).orderBy("_b").limit(1).collect()
+        if not cut:
+            return df
+        b_star, before = cut[0]["_b"], cut[0]["_cum"] - cut[0]["_c"]
+        below = h.filter(F.col("_b") < b_star).select(key)
+        edge = h.filter(F.col("_b") == b_star).orderBy("_h", key).limit(int(n - before)).select(key)
+        chosen = below.unionByName(edge)
+    small = broadcast_if_small(chosen, merge_rows)
     return df.join(small if small is not None else chosen, key, "left_semi")
 
 

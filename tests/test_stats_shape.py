@@ -131,18 +131,18 @@ def test_wrapped_packing_matches_python(spark):
 
 def test_seeded_sample(spark):
     df = spark.range(500).withColumnRenamed("id", "k")
-    a = [r["k"] for r in shape.seeded_sample(df, "k", 20).collect()]
-    b = [r["k"] for r in shape.seeded_sample(df.repartition(7), "k", 20).collect()]
+    a = sorted(r["k"] for r in shape.seeded_sample(df, "k", 20).collect())
+    b = sorted(r["k"] for r in shape.seeded_sample(df.repartition(7), "k", 20).collect())
     assert a == b and len(set(a)) == 20
     assert shape.seeded_sample(df, "k", 1000).count() == 500
 
 
 def test_seeded_sample_large_path_is_exact(spark):
     df = spark.range(3000).withColumnRenamed("id", "k").repartition(5)
-    small = sorted(r["k"] for r in shape.seeded_sample(df, "k", 700, topk_limit=10_000).collect())
-    large = sorted(r["k"] for r in shape.seeded_sample(df, "k", 700, topk_limit=10).collect())
+    small = sorted(r["k"] for r in shape.seeded_sample(df, "k", 700).collect())
+    large = sorted(r["k"] for r in shape.seeded_sample(df, "k", 700, merge_rows=10).collect())
     assert small == large and len(large) == 700
-    assert shape.seeded_sample(df, "k", 5000, topk_limit=10).count() == 3000
+    assert shape.seeded_sample(df, "k", 5000, merge_rows=10).count() == 3000
 
 
 def test_device_family_and_profiles(spark):
