@@ -241,7 +241,11 @@ def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42, merge_rows: i
 
 
 def first_n(df: DataFrame, key: str, n: int) -> DataFrame:
-    return df.orderBy(key).limit(n)
+    """The ``n`` rows with the smallest (unique) ``key``: an ordered limit over the keys only,
+    semi-joined back (whole rows never meet in one task)."""
+    keys = df.select(key).orderBy(key).limit(n)
+    small = broadcast_if_small(keys, TOPK_MERGE_ROWS)
+    return df.join(small if small is not None else keys, key, "left_semi")
 
 
 def wrapped_packing(lengths: DataFrame, max_seq_length: int, key: str = "conv_id", value: str = "n_tokens",
