@@ -883,3 +883,34 @@ def q_token_analysis_all(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(
         "split", *[F.round(c, 6).alias(c) for c in ("mean", "median", "p95")], "max", "num_exceeding_max_seq_length", "n"
     )
+
+
+# -------------------------------------------------------- lenient scan, deltas
+@register(
+    "jsonl_parseable",
+    "SELECT conv_id FROM conversations GROUP BY conv_id HAVING conv_id % 9 NOT IN (0, 5, 7)",
+)
+def q_jsonl_parseable(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines that parse as JSON of any type (the lenient scan keeps them; blank and broken lines drop)."""
+    conv = assemble_messages(defect_turns(spark, sf))
+    lines = conv.select("conv_id", F.to_json(F.struct("messages")).alias("json_line")).selectExpr(
+        "conv_id", f"{fx.JSONL_LINE_SQL} AS value"
+    )
+    checked = jsonl.validate_lines(spread(lines))
+    return checked.filter(~F.coalesce(F.col("reason").startswith("invalid_json:"), F.lit(False))).select("conv_id")
+
+
+@register(
+    "stream_deltas",
+    f"SELECT {fx.REQUEST_SQL} AS request_id, event_id AS token_index, event_type AS delta FROM events",
+)
+def q_stream_deltas(spark: SparkSession, sf: str) -> DataFrame:
+    """Per-step deltas recovered from cumulative decoded text (steps built from events)."""
+    from pyspark.sql import Window
+
+    ev = read_table(spark, sf, "events").selectExpr(
+        f"{fx.REQUEST_SQL} AS request_id", "event_id AS token_index", "event_type"
+    )
+    upto = Window.partitionBy("request_id").orderBy("token_index").rowsBetween(Window.unboundedPreceding, 0)
+    steps = ev.select("request_id", "token_index", F.array_join(F.collect_list("event_type").over(upto), "").alias("text"))
+    return telemetry.cumulative_to_delta(steps).select("request_id", "token_index", "delta")

@@ -12,4 +12,4 @@ def test_entry_smoke(spark):
 def test_every_oracle_has_a_query():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
-    assert len(q) >= 35
+    assert len(q) >= 45
