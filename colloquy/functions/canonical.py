@@ -146,22 +146,6 @@ def semantic_key(section: pd.Series) -> pd.Series:
     return pd.Series([_canon_or_none(parse_semantic(s)) for s in section], dtype=object)
 
 
-def json_text_key(text: Column) -> Column:
-    """Canonical form of a whole JSON document column (null when not strict JSON)."""
-    return _json_text_key(text)
-
-
-@F.pandas_udf(T.StringType())
-def _json_text_key(text: pd.Series) -> pd.Series:
-    out = []
-    for t in text:
-        try:
-            out.append(None if t is None else canonical_json(json.loads(t)))
-        except (ValueError, RecursionError):
-            out.append(None)
-    return pd.Series(out, dtype=object)
-
-
 _KEYS_TYPE = T.StructType([T.StructField("semantic", T.StringType()), T.StructField("envelope", T.StringType())])
 
 

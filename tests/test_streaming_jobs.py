@@ -152,3 +152,17 @@ def test_manifest_with_prior(spark):
     prior = spark.createDataFrame([("m0", 8)], "base_model string, lora_r long")
     man = jobs.build_manifest(spark, counts, {"base_model": "m", "continued_from": "ad/1"}, prior).first()
     assert man["training_mode"] == "continue_lora" and json.loads(man["prior_manifest"]) == {"base_model": "m0", "lora_r": 8}
+
+
+def test_sinks_roundtrip(spark, tmp_dir):
+    df = spark.createDataFrame([(1, None, "a"), (2, "x", "b")], "k long, v string, source string")
+    sinks.write_jsonl(df, os.path.join(tmp_dir, "j"), partition_by="source")
+    lines = [r[0] for r in spark.read.text(os.path.join(tmp_dir, "j", "source=a")).collect()]
+    assert lines == ['{"k":1,"v":null}']
+    path = sinks.export_predictions(df.drop("source"), os.path.join(tmp_dir, "run_7"), "val")
+    assert path.endswith("predictions/val_predictions") and spark.read.json(path).count() == 2
+    series = spark.createDataFrame([(1, 10, "train/loss", 0.5), (1, 20, "train/loss", 0.4)],
+                                   "run_id long, step long, metric string, value double")
+    sinks.append_series(series, os.path.join(tmp_dir, "series"))
+    sinks.append_series(series.limit(1), os.path.join(tmp_dir, "series"))
+    assert spark.read.parquet(os.path.join(tmp_dir, "series")).count() == 3
