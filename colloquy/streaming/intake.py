@@ -2,7 +2,7 @@
 
 * ``intake``: new JSONL files in a folder are validated with the same Columns as the
   batch lane; every micro-batch writes valid rows and the quarantine (with reasons)
-  to two parquet tables, exactly once per batch id.
+  to two parquet tables, one ``batch_id=`` folder per batch (replays overwrite).
 * ``throughput_stream``: trainer log rows arriving as a stream are turned into
   examples/s, tokens/s and ETA (start times from a static run table), plus a
   watermarked tumbling-window rate of logged steps.
@@ -31,11 +31,14 @@ def intake(spark: SparkSession, folder: str, valid_path: str, quarantine_path: s
     checked = validate_lines(lines)
 
     def route(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.withColumn("batch_id", F.lit(batch_id))
+        # One folder per micro-batch, overwritten: a replayed batch replaces its own output
+        # instead of appending duplicates (idempotent under task or driver retries).
         batch.persist()
-        batch.filter(F.col("reason").isNull()).select("file", "messages", "batch_id").write.mode("append").parquet(valid_path)
-        batch.filter(F.col("reason").isNotNull()).select("file", "reason", "batch_id").write.mode("append").parquet(
-            quarantine_path
+        batch.filter(F.col("reason").isNull()).select("file", "messages").write.mode("overwrite").parquet(
+            f"{valid_path.rstrip('/')}/batch_id={batch_id}"
+        )
+        batch.filter(F.col("reason").isNotNull()).select("file", "reason").write.mode("overwrite").parquet(
+            f"{quarantine_path.rstrip('/')}/batch_id={batch_id}"
         )
         batch.unpersist()
 
