@@ -66,14 +66,15 @@ def validate_turns(turns: DataFrame, key: str = "conv_id") -> DataFrame:
         F.count_if(role != "system").alias("_n_ns"),
         F.min_by(role, F.when(role != "system", t)).alias("_first_role"),
     )
-    # Assistant turn at position p belongs to pairs (p-1, p) and (p, p+1); a pair key
-    # seen twice means two adjacent assistant turns. Groups hold at most two rows.
+    # Assistant turn at position p belongs to pairs (p-1, p) and (p, p+1); a pair key k
+    # whose assistant turns include both k-1 and k means two adjacent assistant turns.
+    # Groups hold at most two distinct positions and aggregate partially.
     pair_hits = (
         turns.filter(role == "assistant")
-        .select(key, F.explode(F.array(t, t + 1)).alias("_pair"))
+        .select(key, "turn", F.explode(F.array(t, t + 1)).alias("_pair"))
         .groupBy(key, "_pair")
-        .count()
-        .filter(F.col("count") == 2)
+        .agg(F.min("turn").alias("_lo"), F.max("turn").alias("_hi"))
+        .filter((F.col("_lo") == F.col("_pair") - 1) & (F.col("_hi") == F.col("_pair")))
         .groupBy(key)
         .agg(F.lit(True).alias("_consec"))
     )
