@@ -1,10 +1,11 @@
 """Corpus shaping: training text, prompt/gold split, response spans, packing, sampling.
 
 The chat template is a parameter (``ChatTemplate``); rendering is string concatenation
-in Catalyst. Offsets inside a conversation come from running-sum windows over its
-turns; the corpus-wide running sum needed by wrapped packing is a two-phase prefix
-sum (per-block totals, then a small offsets table) so no single task ever holds the
-whole corpus.
+in Catalyst. Every running sum is two-level: inside a conversation, windows run over
+blocks of at most 1,024 turns plus a one-row-per-block offsets table; across the corpus
+(wrapped packing), range-partitioned blocks plus a one-row-per-block prefix table. No
+window or collection ever spans a whole conversation's rows or the whole corpus, except
+the final gathering of a text that is itself the output.
 """
 
 from __future__ import annotations
