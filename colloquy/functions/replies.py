@@ -2,8 +2,10 @@
 
 A reply carries markers ``PASS_0`` .. ``PASS_4``. Sections 0-2 are parsed with native
 string/array expressions; sections 3 (YAML) and 4 (JSON envelope) become canonical
-equality keys through Arrow-batched UDFs. ``parse_reply`` returns one struct column
-so a reply is parsed exactly once per plan and every score reads that struct.
+equality keys through one Arrow-batched UDF. ``with_parsed_reply`` adds one struct
+column (sections and line arrays as staged projections), so a reply is parsed exactly
+once per plan and every score reads that struct; ``parse_reply`` is the equivalent
+single-expression form for small inputs.
 """
 
 from __future__ import annotations

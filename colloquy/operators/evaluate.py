@@ -1,6 +1,6 @@
 """Reply scoring: exact match, per-section accuracy, robustness against level 1.
 
-Each reply is parsed once into a struct (``parse_reply``); every score reads fields of
+Each reply is parsed once into a struct (``with_parsed_reply``); every score reads fields of
 that struct. Section accuracy is one global aggregate with partial aggregation on the
 map side, unpivoted into one row per section afterwards.
 """
