@@ -207,6 +207,7 @@ def masked_fraction(spans: DataFrame, flat: DataFrame, key: str = "conv_id") ->
 
 
 TOPK_MERGE_ROWS = 2_000_000  # rows one task may merge for an ordered limit (n x partitions)
+BROADCAST_KEYS = 100_000  # chosen keys broadcast for the semi-join; more go through a shuffle join
 HASH_BUCKET_CHARS = 4  # 16**4 = 65,536 hash-prefix buckets
 
 
@@ -237,7 +238,7 @@ def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42, merge_rows: i
         below = h.filter(F.col("_b") < b_star).select(key)
         edge = h.filter(F.col("_b") == b_star).orderBy("_h", key).limit(int(n - before)).select(key)
         chosen = below.unionByName(edge)
-    small = broadcast_if_small(chosen, merge_rows)
+    small = broadcast_if_small(chosen, BROADCAST_KEYS)
     return df.join(small if small is not None else chosen, key, "left_semi")
 
 
@@ -245,7 +246,7 @@ def first_n(df: DataFrame, key: str, n: int) -> DataFrame:
     """The ``n`` rows with the smallest (unique) ``key``: an ordered limit over the keys only,
     semi-joined back (whole rows never meet in one task)."""
     keys = df.select(key).orderBy(key).limit(n)
-    small = broadcast_if_small(keys, TOPK_MERGE_ROWS)
+    small = broadcast_if_small(keys, BROADCAST_KEYS)
     return df.join(small if small is not None else keys, key, "left_semi")
 
 
