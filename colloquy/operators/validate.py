@@ -57,7 +57,7 @@ def reason_class(reason: Column) -> Column:
 
 
 def validate_turns(turns: DataFrame, key: str = "conv_id") -> DataFrame:
-    """``(key, n_turns, reason)``; ``reason`` is null for a valid conversation."""
+    """``(key, n_turns, reason, reason_class)``; ``reason`` is null for a valid conversation."""
     t, role = F.col("turn"), F.col("role")
     per_turn = turns.select(key, "turn", "role", turn_reason(t, role, is_blank(F.col("text"))).alias("_r"))
     facts = per_turn.groupBy(key).agg(
@@ -83,7 +83,7 @@ def validate_turns(turns: DataFrame, key: str = "conv_id") -> DataFrame:
         F.col("_first.r"),
         sequence_reason(F.col("_n_ns"), F.col("_first_role"), F.coalesce(F.col("_consec"), F.lit(False))),
     )
-    return out.select(key, "n_turns", reason.alias("reason"))
+    return out.select(key, "n_turns", reason.alias("reason")).withColumn("reason_class", reason_class(F.col("reason")))
 
 
 def valid_turns(turns: DataFrame, verdicts: DataFrame, key: str = "conv_id") -> DataFrame:

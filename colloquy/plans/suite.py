@@ -109,7 +109,12 @@ verdict AS (
 """
 
 
-@register("validate_turns", _VALIDATE_ORACLE + "SELECT conv_id, n_turns, reason FROM verdict")
+@register(
+    "validate_turns",
+    _VALIDATE_ORACLE
+    + r"""SELECT conv_id, n_turns, reason,
+          regexp_replace(regexp_replace(reason, '^turn_\d+_', 'turn_i_'), ':.*$', '') AS reason_class FROM verdict""",
+)
 def q_validate_turns(spark: SparkSession, sf: str) -> DataFrame:
     return validate.validate_turns(defect_turns(spark, sf))
 

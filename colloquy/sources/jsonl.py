@@ -154,6 +154,7 @@ def validate_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     return inspected.select(
         *[c for c in lines.columns if c != value],
         record_reason(F.col("_rec")).alias("reason"),
+        V.reason_class(record_reason(F.col("_rec"))).alias("reason_class"),
         messages.alias("messages"),
         F.col(value).contains("\ufffd").alias("has_replacement_char"),
     )

@@ -5,7 +5,7 @@ import __spark_entry__ as entry
 
 def test_entry_smoke(spark):
     df = entry.entry(spark)
-    assert df.columns == ["conv_id", "n_turns", "reason"]
+    assert df.columns == ["conv_id", "n_turns", "reason", "reason_class"]
     assert df.count() > 0
 
 
