@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.functions.timecols import epoch_micros
-from colloquy.operators.shape import ordered_text
+from colloquy.operators.shape import TEXT_BLOCK_ROWS, _ordered_concat
 
 METRIC_COLUMNS = ("request_id", "text", "ttft_seconds", "total_seconds", "tokens_generated", "tokens_per_second")
 
@@ -53,14 +53,26 @@ def request_metrics(decoded: DataFrame, end_inclusive: bool, starts: DataFrame |
         F.col("is_line") & (F.col("_end_seq").isNull() | before_end)
     )
     delta = F.coalesce(F.col("delta"), F.lit(""))
-    sums = kept.groupBy("request_id").agg(
-        F.min(F.when(delta != "", F.col("at_us"))).alias("_first_us"),
-        F.max_by("usage_tokens", F.when(F.col("usage_tokens").isNotNull(), F.col("seq"))).alias("_usage"),
-        F.max("eval_count").alias("_eval_count"),
-        F.max("eval_ns").alias("_eval_ns"),
+    usage_seq = F.when(F.col("usage_tokens").isNotNull(), F.col("seq"))
+    # One two-level aggregation: per (request, seq block) the partial sums and the text of
+    # the block, then per request the final values (a hot request is spread over blocks).
+    blk = F.floor(F.col("seq") / F.lit(TEXT_BLOCK_ROWS)).cast("bigint")
+    blocks = kept.groupBy("request_id", blk.alias("_blk")).agg(
+        F.min(F.when(delta != "", F.col("at_us"))).alias("_fu"),
+        F.max_by("usage_tokens", usage_seq).alias("_u"),
+        F.max(usage_seq).alias("_us"),
+        F.max("eval_count").alias("_ec"),
+        F.max("eval_ns").alias("_en"),
+        _ordered_concat(delta, F.col("seq")).alias("_t"),
     )
-    texts = ordered_text(kept, "request_id", "seq", delta)
-    j = bounds.join(sums, "request_id", "left").join(texts, "request_id", "left")
+    sums = blocks.groupBy("request_id").agg(
+        F.min("_fu").alias("_first_us"),
+        F.max_by("_u", "_us").alias("_usage"),
+        F.max("_ec").alias("_eval_count"),
+        F.max("_en").alias("_eval_ns"),
+        _ordered_concat(F.col("_t"), F.col("_blk")).alias("text"),
+    )
+    j = bounds.join(sums, "request_id", "left")
     total = (F.coalesce(F.col("_end_us"), F.col("_last_us")) - F.col("_start_us")) / F.lit(1e6)
     ttft = F.when(F.col("_first_us").isNotNull(), (F.col("_first_us") - F.col("_start_us")) / F.lit(1e6)).otherwise(total)
     tokens = F.coalesce(F.col("_eval_count"), F.col("_usage"), F.lit(0)).cast("bigint")
