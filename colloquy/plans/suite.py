@@ -919,3 +919,18 @@ def q_stream_deltas(spark: SparkSession, sf: str) -> DataFrame:
     upto = Window.partitionBy("request_id").orderBy("token_index").rowsBetween(Window.unboundedPreceding, 0)
     steps = ev.select("request_id", "token_index", F.array_join(F.collect_list("event_type").over(upto), "").alias("text"))
     return telemetry.cumulative_to_delta(steps).select("request_id", "token_index", "delta")
+
+
+@register(
+    "latest_per_group",
+    """SELECT o_custkey, o_orderkey, o_orderstatus FROM (
+         SELECT o_custkey, o_orderkey, o_orderstatus,
+                row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+         FROM orders) WHERE rn = 1""",
+)
+def q_latest_per_group(spark: SparkSession, sf: str) -> DataFrame:
+    """Newest row per group (W3) with a splittable max_by; ties on the date broken by key."""
+    orders = read_table(spark, sf, "orders").select(
+        "o_custkey", "o_orderkey", "o_orderstatus", F.struct("o_orderdate", "o_orderkey").alias("_ord")
+    )
+    return registry.latest_per_group(orders, "o_custkey", "_ord").select("o_custkey", "o_orderkey", "o_orderstatus")
