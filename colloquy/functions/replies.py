@@ -166,7 +166,10 @@ def with_parsed_reply(df: DataFrame, text: str, out: str) -> DataFrame:
     first = [F.col(f"{tmp}_f{j}") for j in range(len(PASS_NAMES))]
     brace = locate_from("{", t, first[4])
     tail = F.when((first[4] > 0) & (brace > 0), t.substr(brace, F.lit(1 << 30)))
-    staged = staged.select("*", structured_keys(tail, sec[3]).alias(f"{tmp}_k"))
+    # Only valid UTF-8 crosses into Python (invalid bytes become U+FFFD natively).
+    staged = staged.select(
+        "*", structured_keys(F.make_valid_utf8(tail), F.make_valid_utf8(sec[3])).alias(f"{tmp}_k")
+    )
     parsed = F.struct(
         _norm_from_lines(sec[0], lines[0]).alias("norm"),
         _lexemes_from_lines(sec[1], lines[1]).alias("lexemes"),

@@ -143,12 +143,16 @@ def record_reason(rec: Column) -> Column:
 
 
 def validate_lines(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Non-blank lines with ``reason`` (null = valid), ``messages`` and a U+FFFD flag.
+    """Non-blank lines with ``reason`` (null = valid), ``messages`` and a U+FFFD flag
+    (invalid UTF-8 byte sequences become U+FFFD instead of failing the job).
 
     Blank lines (after a Python-style strip) are dropped: they are not records.
     """
-    stripped = py_strip(F.col(value))
-    nonblank = lines.withColumn("_line", stripped).filter(F.col("_line") != "")
+    # Invalid UTF-8 bytes are replaced by U+FFFD natively (and flagged) so that one corrupt
+    # line cannot fail the Arrow transfer of its whole batch.
+    clean = F.make_valid_utf8(F.col(value))
+    stripped = py_strip(clean)
+    nonblank = lines.withColumn("_clean", clean).withColumn("_line", stripped).filter(F.col("_line") != "")
     inspected = nonblank.withColumn("_rec", inspect_records(F.col("_line")))
     messages = F.transform(F.col("_rec.turns"), lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
     return inspected.select(
@@ -156,7 +160,7 @@ def validate_lines(lines: DataFrame, value: str = "value") -> DataFrame:
         record_reason(F.col("_rec")).alias("reason"),
         V.reason_class(record_reason(F.col("_rec"))).alias("reason_class"),
         messages.alias("messages"),
-        F.col(value).contains("\ufffd").alias("has_replacement_char"),
+        F.col("_clean").contains("\ufffd").alias("has_replacement_char"),
     )
 
 

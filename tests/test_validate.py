@@ -171,3 +171,18 @@ def test_line_numbers_across_many_splits(spark, tmp_dir):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     got = {(int(r["file"].rsplit("-", 1)[1].split(".")[0]), r["line_no"]): r["value"] for r in rows}
     assert got == expected
+
+
+def test_invalid_utf8_and_mixed_newlines(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "mixed.jsonl")
+    good = json.dumps({"messages": [{"role": "user", "content": "q"}]}).encode()
+    bad_utf8 = b'{"messages": [{"role": "user", "content": "caf\xff"}]}'
+    with open(path, "wb") as fh:
+        fh.write(good + b"\r\n" + bad_utf8 + b"\r" + b"   " + b"\n" + good + b"\n")
+    lines = jsonl.read_lines(spark, path).orderBy("line_no").collect()
+    assert [r["line_no"] for r in lines] == [1, 2, 3, 4]
+    checked = {r["line_no"]: r for r in jsonl.validate_lines(jsonl.read_lines(spark, path)).collect()}
+    assert set(checked) == {1, 2, 4}  # the blank line 3 is not a record
+    assert checked[2]["reason"] is None and checked[2]["has_replacement_char"] is True
+    assert checked[1]["has_replacement_char"] is False
+    assert jsonl.count_nonblank_lines(spark, path) == 3
