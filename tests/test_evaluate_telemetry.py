@@ -245,3 +245,22 @@ def test_cumulative_to_delta_across_blocks(spark):
     df = spark.createDataFrame(cum, "request_id string, token_index int, text string")
     got = [r["delta"] for r in telemetry.cumulative_to_delta(df, block_rows=2).orderBy("token_index").collect()]
     assert got == words
+
+
+def test_small_helpers(spark):
+    import datetime as dt
+
+    from colloquy.operators import stats
+    from colloquy.operators import validate as V
+
+    runs = spark.createDataFrame([("run_20240102_030405",), ("run_manual",)], "run_name string")
+    ts = [r[0] for r in runs.select(registry.run_timestamp(F.col("run_name"))).collect()]
+    assert ts[0] == dt.datetime(2024, 1, 2, 3, 4, 5) and ts[1] is None
+    meta = spark.createDataFrame([(1, "lr", "float", "0.1"), (1, "cfg", "dict", "{}")], "run_id long, k string, kind string, value string")
+    assert [r["metric"] for r in metrics.scalar_metadata(meta).collect()] == ["run/lr"]
+    dev = {r["device"]: r for r in stats.device_table(spark).collect()}
+    assert dev["L4"]["rec_batch_size"] == 2 and dev["CPU"]["tokens_per_sec"] == 5.0
+    turns = spark.createDataFrame([(1, 0, "user", "q"), (2, 0, "bot", "q")], "conv_id long, turn long, role string, text string")
+    verdicts = V.validate_turns(turns)
+    assert [r["conv_id"] for r in V.valid_turns(turns, verdicts).collect()] == [1]
+    assert [r["reason_class"] for r in V.quarantine(verdicts).collect()] == ["turn_i_invalid_role"]
