@@ -30,6 +30,7 @@ def get_spark(cpus: int | str | None = None, app: str = "colloquy", shuffle_part
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -88,3 +89,40 @@ def list_paths(spark: SparkSession, pattern: str) -> list[str]:
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     found = fs.globStatus(p)
     return [] if found is None else [str(s.getPath().toString()) for s in found]
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``colloquy`` importable in every Python worker (UDFs, mapInPandas, state fns).
+
+    Zips the installed package once per process and registers it with ``addPyFile``,
+    which distributes it to all executors. Idempotent per Spark application.
+    """
+    import hashlib
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import colloquy
+
+    root = os.path.dirname(os.path.abspath(colloquy.__file__))
+    files = sorted(
+        os.path.join(d, f) for d, _, fs in os.walk(root) for f in fs if f.endswith(".py")
+    )
+    digest = hashlib.sha1()
+    for f in files:
+        with open(f, "rb") as fh:
+            digest.update(f.encode() + fh.read())
+    path = os.path.join(tempfile.gettempdir(), f"colloquy-{digest.hexdigest()[:12]}.zip")
+    if not os.path.exists(path):
+        tmp = path + f".{os.getpid()}.part"
+        with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in files:
+                z.write(f, os.path.join("colloquy", os.path.relpath(f, root)))
+        os.replace(tmp, path)
+    sc.addPyFile(path)
+    _SHIPPED.add(app)

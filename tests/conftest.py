@@ -22,6 +22,9 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
+    from colloquy.session import ship_package
+
+    ship_package(s)
     yield s
     s.stop()
 
