@@ -22,3 +22,18 @@ def echo_last_turn_batch_factory():
         return [single(m, max_new_tokens) for m in batch]
 
     return predict_batch
+
+
+def failing_batch_factory(bad_content: str):
+    """Factory of a batch predictor that fails any batch containing ``bad_content``
+    (exercises the per-row fallback and error reporting)."""
+
+    def factory():
+        def predict_batch(batch: list[list[dict]], max_new_tokens: int) -> list[str]:
+            if any(m and m[-1].get("content") == bad_content for m in batch):
+                raise RuntimeError("boom")
+            return [(m[-1].get("content") or "") if m else "" for m in batch]
+
+        return predict_batch
+
+    return factory

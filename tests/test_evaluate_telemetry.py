@@ -138,20 +138,11 @@ def test_generation_batches_and_fallback(spark):
         generate.generate(df, decode_factory=stubs.echo_last_turn_factory, batch_size=2)
     out = generate.generate(df, batch_factory=stubs.echo_last_turn_batch_factory, batch_size=2).orderBy("k").collect()
     assert [r["generated"] for r in out] == [f"q{i}" for i in range(5)] and {r["status"] for r in out} == {"ok"}
-    failing = generate.generate(df, batch_factory=_flaky_factory, batch_size=2).orderBy("k").collect()
+    failing = generate.generate(df, batch_factory=stubs.failing_batch_factory("q2"), batch_size=2).orderBy("k").collect()
     assert [r["status"] for r in failing] == ["ok", "ok", "error", "ok", "ok"]
     assert failing[2]["error"].startswith("RuntimeError")
 
 
-def _flaky_factory():
-    def predict(batch, max_new):
-        if any(m[-1]["content"] == "q2" for m in batch):
-            raise RuntimeError("boom")
-        return [m[-1]["content"] for m in batch]
-
-    return predict
-
-
 def test_run_benchmark_report(spark, tmp_dir):
     conv = spark.createDataFrame(
         [(i, [{"role": "user", "content": reply()}, {"role": "assistant", "content": reply()}]) for i in range(3)],
