@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from colloquy.session import broadcast_if_small, cut_lineage
+from colloquy.session import broadcast_if_small, cut_lineage, num_partitions
 
 
 @dataclass(frozen=True)
@@ -223,7 +223,10 @@ def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42, merge_rows: i
     """
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
     h = df.select(key, order.alias("_h"))
-    if n * max(df.rdd.getNumPartitions(), 1) <= merge_rows:
+    parts = num_partitions(df)
+    if parts is None:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if n * max(parts, 1) <= merge_rows:
         chosen = h.orderBy("_h", key).limit(n).select(key)
     else:
         h = h.withColumn("_b", F.substring("_h", 1, HASH_BUCKET_CHARS))

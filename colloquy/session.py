@@ -36,16 +36,20 @@ def get_spark(cpus: int | str | None = None, app: str = "colloquy", shuffle_part
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a scratch one only on local masters."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the context and its checkpoint dir
+        sc = None
+    configured = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if configured:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(configured)
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if sc is None or not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="colloquy-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
 
 
@@ -76,12 +80,24 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     input would otherwise run in one task. Large inputs already have enough splits
     and pass through untouched, so no shuffle is added at scale.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect
+        target = min_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = num_partitions(df)
+    if parts is not None and parts < target:
         return df.repartition(target)
     return df
 
 
+def num_partitions(df: DataFrame) -> int | None:
+    """Partition count of the planned DataFrame (planning only, no job); ``None`` if unknown."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect has no RDD view
+        return None
+
+
 def list_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Paths matching a Hadoop glob (file listing only, no data read); empty when none."""
     jvm = spark.sparkContext._jvm
@@ -103,8 +119,11 @@ def ship_package(spark: SparkSession) -> None:
     import hashlib
     import zipfile
 
-    sc = spark.sparkContext
-    app = sc.applicationId
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc, app = None, f"connect-{id(spark)}"
     if app in _SHIPPED:
         return
     import colloquy
@@ -124,5 +143,8 @@ def ship_package(spark: SparkSession) -> None:
             for f in files:
                 z.write(f, os.path.join("colloquy", os.path.relpath(f, root)))
         os.replace(tmp, path)
-    sc.addPyFile(path)
+    if sc is not None:
+        sc.addPyFile(path)
+    else:
+        spark.addArtifacts(path, pyfile=True)
     _SHIPPED.add(app)
