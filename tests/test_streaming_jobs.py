@@ -166,3 +166,17 @@ def test_sinks_roundtrip(spark, tmp_dir):
     sinks.append_series(series, os.path.join(tmp_dir, "series"))
     sinks.append_series(series.limit(1), os.path.join(tmp_dir, "series"))
     assert spark.read.parquet(os.path.join(tmp_dir, "series")).count() == 3
+
+
+def test_session_helpers(spark):
+    from colloquy import session
+
+    session.ship_package(spark)
+    session.ship_package(spark)  # idempotent per application
+    assert spark.sparkContext.applicationId in session._SHIPPED
+    one = spark.range(100).coalesce(1)
+    assert session.num_partitions(one) == 1
+    assert session.spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(100).repartition(spark.sparkContext.defaultParallelism * 2)
+    assert session.spread(many) is many  # enough partitions: no extra shuffle
+    assert session.checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
