@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -85,3 +90,52 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
         e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     )
+
+
+BITS = 23  # the key filter always holds 2 ** BITS bits (1 MB)
+
+
+def key_filter(keys: DataFrame, name: str = "key"):
+    """A test for "may be among ``keys``": a boolean column function over long columns.
+
+    The filter is one bit table of fixed size, whatever the number of keys: tasks set
+    bits for their own keys, the tables are merged by ranges, and the merged table is
+    broadcast. It lets through every key and some others, so an exact join must follow;
+    it only spares that join the rows that can't match.
+    """
+    size, pieces = 1 << BITS, 16
+    width = size // 8 // pieces
+
+    def slots(x: np.ndarray) -> np.ndarray:
+        h = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (h >> np.uint64(64 - BITS)).astype(np.int64)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(size, dtype=bool)
+        for batch in batches:
+            bits[slots(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))] = True
+        raw = np.packbits(bits).tobytes()
+        found = [i for i in range(pieces) if any(raw[i * width : (i + 1) * width])]
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array([raw[i * width : (i + 1) * width] for i in found], pa.binary())], ["piece", "bits"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                b = np.frombuffer(raw, np.uint8)
+                got[i] = got[i] | b if i in got else b
+        yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.int32()), pa.array([b.tobytes() for b in got.values()], pa.binary())], ["piece", "bits"])
+
+    kind = "piece int, bits binary"
+    parts = keys.where(F.col(name).isNotNull()).select(F.col(name).cast("long")).mapInArrow(mark, kind).repartition(pieces, "piece").mapInArrow(merge, kind)
+    table = np.zeros(size // 8, np.uint8)
+    for row in parts.collect():  # at most ``pieces`` rows of a fixed size
+        table[row.piece * width : (row.piece + 1) * width] = np.frombuffer(row.bits, np.uint8)
+    shared = keys.sparkSession.sparkContext.broadcast(table)
+
+    @pandas_udf("boolean")
+    def may_be(key: pd.Series) -> pd.Series:
+        at = slots(key.fillna(0).to_numpy().astype(np.int64))
+        return pd.Series((shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
+
+    return may_be

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colloquy.llm import quality
+from colloquy.llm import lines, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": quality.query,
+    "op10_line_dedup": lines.query,
 }
 ORACLE: dict[str, str] = {}
