@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colloquy.llm import lines, quality, simhash
+from colloquy.llm import lines, pii, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": quality.query,
+    "op5_pii": pii.query,
     "op9_simhash": simhash.query,
     "op10_line_dedup": lines.query,
 }
