@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colloquy.llm import quality
+from colloquy.llm import lines, packing, pii, quality, simhash
 from colloquy.llm.common import read, stage
 
 
@@ -18,11 +18,35 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, model)
 
 
+def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts every line that an earlier line matches (Jaccard similarity of words 0.8 or more)."""
+    return lines.dedup_lines(docs)
+
+
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group linked by fingerprints at most 4 bits apart (4-word shingles)."""
+    return simhash.keep_one(docs)
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data by keyed pseudonyms of the same format."""
+    return pii.pseudonymise(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs the documents along a Hilbert curve: one row per piece of a sequence."""
+    return packing.pack(docs, packing.vocabulary).withColumnRenamed("key", "doc_id")
+
+
 STAGES = [
     ("quality", quality_stage),
+    ("lines", lines_stage),
+    ("simhash", simhash_stage),
+    ("pii", pii_stage),
+    ("packing", packing_stage),
 ]
 
-#: The classifier and the network's figures can't be put in SQL.
+#: None: neither the classifier, the fingerprints nor the tokenizer can be put in SQL.
 ORACLE_SQL = None
 
 
