@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colloquy.llm import lines, packing, pii, quality, simhash
+from colloquy.llm import bpe, lines, packing, pii, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": quality.query,
     "op5_pii": pii.query,
     "op6_packing": packing.query,
+    "op8_bpe": bpe.query,
     "op9_simhash": simhash.query,
     "op10_line_dedup": lines.query,
 }
