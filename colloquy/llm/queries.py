@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colloquy.llm import bpe, lines, packing, pii, quality, simhash
+from colloquy.llm import bpe, lines, packing, pii, quality, simhash, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_topk": topk.query,
     "op4_quality": quality.query,
     "op5_pii": pii.query,
     "op6_packing": packing.query,
@@ -16,4 +17,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": simhash.query,
     "op10_line_dedup": lines.query,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_topk": topk.SQL,
+}
