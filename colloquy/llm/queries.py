@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colloquy.llm import bpe, lines, neardup, packing, pii, quality, simhash, topk
+from colloquy.llm import bpe, lines, neardup, packing, passages, pii, quality, simhash, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_embedding_neardup": neardup.query,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": quality.query,
     "op5_pii": pii.query,
     "op6_packing": packing.query,
+    "op7_passages": passages.query,
     "op8_bpe": bpe.query,
     "op9_simhash": simhash.query,
     "op10_line_dedup": lines.query,
