@@ -11,7 +11,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -92,28 +91,33 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     )
 
 
-BITS = 23  # the key filter always holds 2 ** BITS bits (1 MB)
+BITS = 23  # the bit tables always hold 2 ** BITS bits (1 MB)
 
 
-def key_filter(keys: DataFrame, name: str = "key"):
-    """A test for "may be among ``keys``": a boolean column function over long columns.
+def slots(x: np.ndarray) -> np.ndarray:
+    """Slot of each 64-bit key in a bit table."""
+    return ((x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)).astype(np.int64)
 
-    The filter is one bit table of fixed size, whatever the number of keys: tasks set
-    bits for their own keys, the tables are merged by ranges, and the merged table is
-    broadcast. It lets through every key and some others, so an exact join must follow;
-    it only spares that join the rows that can't match.
+
+def has_bit(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+
+
+def bit_table(keys: DataFrame, ready: bool = False) -> np.ndarray:
+    """One bit a slot for the keys in the first (long) column; ``ready``: it holds slots.
+
+    The table has a fixed size, whatever the number of keys: tasks set bits for their own
+    keys, and the tables are merged by ranges. It lets through every key and some others,
+    so an exact join must follow; it only spares that join the rows that can't match.
     """
     size, pieces = 1 << BITS, 16
     width = size // 8 // pieces
 
-    def slots(x: np.ndarray) -> np.ndarray:
-        h = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        return (h >> np.uint64(64 - BITS)).astype(np.int64)
-
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(size, dtype=bool)
         for batch in batches:
-            bits[slots(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))] = True
+            x = batch.column(0).to_numpy(zero_copy_only=False)
+            bits[x if ready else slots(x)] = True
         raw = np.packbits(bits).tobytes()
         found = [i for i in range(pieces) if any(raw[i * width : (i + 1) * width])]
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array([raw[i * width : (i + 1) * width] for i in found], pa.binary())], ["piece", "bits"])
@@ -127,15 +131,24 @@ def key_filter(keys: DataFrame, name: str = "key"):
         yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.int32()), pa.array([b.tobytes() for b in got.values()], pa.binary())], ["piece", "bits"])
 
     kind = "piece int, bits binary"
-    parts = keys.where(F.col(name).isNotNull()).select(F.col(name).cast("long")).mapInArrow(mark, kind).repartition(pieces, "piece").mapInArrow(merge, kind)
+    parts = keys.select(F.col(keys.columns[0]).cast("long").alias("x")).where("x IS NOT NULL").mapInArrow(mark, kind)
     table = np.zeros(size // 8, np.uint8)
-    for row in parts.collect():  # at most ``pieces`` rows of a fixed size
+    for row in parts.repartition(pieces, "piece").mapInArrow(merge, kind).collect():  # at most ``pieces`` rows of a fixed size
         table[row.piece * width : (row.piece + 1) * width] = np.frombuffer(row.bits, np.uint8)
-    shared = keys.sparkSession.sparkContext.broadcast(table)
+    return table
+
 
-    @pandas_udf("boolean")
-    def may_be(key: pd.Series) -> pd.Series:
-        at = slots(key.fillna(0).to_numpy().astype(np.int64))
-        return pd.Series((shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
+def mark_maybe(df: DataFrame, key: str, keys: DataFrame, name: str, into: str) -> DataFrame:
+    """``df`` with the boolean column ``into``: false where ``key`` is surely not in ``keys.name``.
 
-    return may_be
+    The bits travel as a broadcast table of at most 2 ** (BITS - 6) rows of two numbers.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << BITS))
+    bits = np.unpackbits(bit_table(keys.select(slot(name)), ready=True))
+    words = np.packbits(bits, bitorder="little").view("<i8")  # bit i of word w is slot 64 w + i
+    at = np.flatnonzero(words)
+    known = df.sparkSession.createDataFrame(pd.DataFrame({"__llm_w": at.astype(np.int64), "__llm_bits": words[at]}), "__llm_w long, __llm_bits long")
+    out = df.withColumn("__llm_slot", slot(key)).withColumn("__llm_w", F.shiftright("__llm_slot", 6))
+    out = out.join(F.broadcast(known), "__llm_w", "left")
+    hit = F.expr("bit_get(coalesce(__llm_bits, 0L), cast(__llm_slot & 63 AS int)) = 1")
+    return out.withColumn(into, hit).drop("__llm_w", "__llm_slot", "__llm_bits")

@@ -6,15 +6,16 @@ line number); a line goes when any earlier line of the input matches it, whether
 that earlier line stays itself.
 
 1. Word frequencies over the whole corpus are counted into a table of fixed size.
-2. Each line's words are sorted by rarity. Lines with equal sets become one set, known by
-   its first place; every later place goes.
-3. Sets are joined on the words of their prefixes (the rarest ``n - ceil(t n) + 1``;
-   the shorter partner needs only ``n - ceil(2t/(1+t) n) + 1``), under the length filter,
-   the positional filter and a parity-bitmap bound on the symmetric difference. The first
-   round compares each set with the earliest member of each word's group, which settles
-   large groups of near copies with one pair a set. Only sets left unmatched meet all
-   earlier members in the second round.
-4. Candidates are verified on the words themselves.
+2. Each line's words are sorted by rarity; a row goes out for each word of its prefix
+   (the rarest ``n - ceil(t n) + 1``) that the corpus holds more than once. Lines that
+   repeat in a task go out once; the later places are marked as gone.
+3. Rows are dealt by word. Within a word's group, lines are compared under the length
+   filter, the prefix filter (the shorter partner needs only ``n - ceil(2t/(1+t) n) + 1``),
+   the positional filter and a parity-bitmap bound on the symmetric difference. Groups of
+   up to ``SMALL`` lines give all pairs that pass; in larger ones (copies of one line)
+   each line is paired with the earliest that passes.
+4. Pairs are verified on the words themselves. Lines of large groups that this leaves
+   unmatched are then compared with all earlier members.
 
 Defined cases: null text stays null and has no lines; lines without words always stay;
 null ids rank before all others and are one document, like rows that share an id (equal
@@ -26,18 +27,20 @@ from __future__ import annotations
 
 import math
 from array import array
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import key_filter, read, stage
+from colloquy.llm.common import bit_table, has_bit, mark_maybe, read, slots, stage
 
 THRESHOLD = 0.8
-SLOTS, PIECES = 1 << 22, 32  # frequency counters; shuffled pieces of them
+SLOTS, PIECES = 1 << 23, 64  # frequency counters; shuffled pieces of them
 WORDS_KEPT = 300_000  # words whose hash a task remembers
 LINES_KEPT = 200_000  # line hashes a task remembers, to send equal lines' prefixes once
 NO_ID = -(1 << 63)
@@ -71,17 +74,21 @@ def rarity_table(docs: DataFrame, text: str = "text") -> np.ndarray:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SLOTS, dtype=np.int64)
-        known = _Known(lambda w: _hash(w) & (SLOTS - 1))
-        ids: list[int] = []
+        total = np.zeros(SLOTS, dtype=np.uint32)
+        words: Counter[str] = Counter()
+
+        def flush() -> None:
+            at = np.fromiter((_hash(w) & (SLOTS - 1) for w in words), np.int64, len(words))
+            np.add.at(total, at, np.fromiter(words.values(), np.uint32, len(words)))
+            words.clear()
+
         for batch in batches:
             for t in batch.column(0).to_pylist():
                 if t:
-                    ids.extend([known[w] for w in t.split()])
-                    if len(ids) > 1 << 20:
-                        total += np.bincount(ids, minlength=SLOTS)
-                        ids = []
-        total += np.bincount(np.array(ids, dtype=np.int64), minlength=SLOTS)
+                    words.update(t.split())
+                    if len(words) > WORDS_KEPT:
+                        flush()
+        flush()
         at = np.flatnonzero(total)
         part = at // (SLOTS // PIECES)
         cut = np.searchsorted(part, np.arange(PIECES + 1))
@@ -89,7 +96,7 @@ def rarity_table(docs: DataFrame, text: str = "text") -> np.ndarray:
             i = at[cut[p] : cut[p + 1]]
             if len(i):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([p], pa.int32()), pa.array([(i % (SLOTS // PIECES)).astype("<u4").tobytes()], pa.binary()), pa.array([total[i].astype("<u8").tobytes()], pa.binary())],
+                    [pa.array([p], pa.int32()), pa.array([(i % (SLOTS // PIECES)).astype("<u4").tobytes()], pa.binary()), pa.array([total[i].astype("<u4").tobytes()], pa.binary())],
                     ["piece", "at", "n"],
                 )
 
@@ -98,14 +105,14 @@ def rarity_table(docs: DataFrame, text: str = "text") -> np.ndarray:
         for batch in batches:
             for p, at, n in zip(*(c.to_pylist() for c in batch.columns)):
                 into = sums.setdefault(p, np.zeros(SLOTS // PIECES, dtype=np.uint64))
-                into[np.frombuffer(at, "<u4")] += np.frombuffer(n, "<u8")
+                into[np.frombuffer(at, "<u4")] += np.frombuffer(n, "<u4")
         for p, s in sums.items():
             level = np.where(s < 2, s, np.minimum(255, 2 + 5 * np.log2(np.maximum(s, 2) / 2))).astype(np.uint8)
             yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([level.tobytes()], pa.binary())], ["piece", "level"])
 
     parts = docs.select(F.col(text)).mapInArrow(count, "piece int, at binary, n binary").repartition(PIECES, "piece").mapInArrow(merge, "piece int, level binary")
     table = np.zeros(SLOTS, dtype=np.uint8)
-    for row in parts.collect():  # PIECES rows, 4 MB in all
+    for row in parts.collect():  # PIECES rows, SLOTS bytes in all
         table[row.piece * (SLOTS // PIECES) : (row.piece + 1) * (SLOTS // PIECES)] = np.frombuffer(row.level, np.uint8)
     return table
 
@@ -114,134 +121,256 @@ def _ceil(x: float) -> int:
     return math.ceil(x - 1e-9)
 
 
-_LINE_TYPE = "line_key long, line_no int, line_hash binary, n int, g1 long, g2 long, prefix array<long>"
 
 
-def line_sets(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
-    """One row per distinct word set: its first place, size, parity bitmap and prefix words."""
-    table = docs.sparkSession.sparkContext.broadcast(rarity_table(docs, text))
+def prefix_rows(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
+    """Prefix rows ``(wg, g, k, line, n_pos)``; n_pos < 0 marks a line as gone.
+
+    ``wg`` holds 32 bits of the word's hash and 32 of the parity bitmap, ``g`` 64 more.
+    """
+    table = docs.sparkSession.sparkContext.broadcast(rarity_table(docs, text).tobytes())  # SLOTS bytes, always
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = table.value
-        low = (1 << 56) - 1
+        low, once = (1 << 56) - 1, 2 << 56
 
         def number(word: str) -> int:
             h = _hash(word)
-            return (int(level[h & (SLOTS - 1)]) << 56) | ((h >> 8) & low)
+            return (level[h & (SLOTS - 1)] << 56) | ((h >> 8) & low)
 
-        known, sent = _Known(number), set()
-        size = {}
+        known, size = _Known(number).__getitem__, {}
+        digest = xxhash.xxh3_128_digest
+        sent: dict[bytes, tuple[int, int]] = {}
         for batch in batches:
-            cols: tuple[list, ...] = ([], [], [], [], [])
-            words, owner = array("Q"), []
+            words, owner, keys, lines = array("Q"), [], [], []
+            rows, times, pos = array("Q"), [], []
+            gone_key, gone_line = [], []
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if not t:
                     continue
                 for i, line in enumerate(t.split("\n")):
-                    ks = sorted({known[w] for w in line.split()})
+                    ks = sorted(set(map(known, line.split())))
                     n = len(ks)
                     if not n:
                         continue
                     packed = array("Q", ks)
-                    h = xxhash.xxh3_128_digest(packed.tobytes())
-                    cols[0].append(k)
-                    cols[1].append(i)
-                    cols[2].append(h)
-                    cols[3].append(n)
-                    if h in sent:
-                        cols[4].append(None)
-                    else:
-                        if len(sent) >= LINES_KEPT:
-                            sent.clear()
-                        sent.add(h)
-                        most = size.get(n)
-                        if most is None:
-                            most = size[n] = n - _ceil(threshold * n) + 1
-                        # a word seen once in the corpus has no partner; its place still counts
-                        cols[4].append([x - (1 << 64) if x >> 63 else x for x in ks[:most]])
+                    h = digest(packed)
+                    before = sent.get(h)
+                    if before is not None and before <= (k, i):
+                        if before != (k, i):
+                            gone_key.append(k)
+                            gone_line.append(i)
+                        continue
+                    if before is not None:  # an earlier place came later
+                        gone_key.append(before[0])
+                        gone_line.append(before[1])
+                    if len(sent) >= LINES_KEPT:
+                        sent.clear()
+                    sent[h] = (k, i)
+                    most = size.get(n)
+                    if most is None:
+                        most = size[n] = n - _ceil(threshold * n) + 1
+                    skip = bisect_left(ks, once, 0, most)  # words seen once have no partner
+                    rows.extend(packed[skip:most])
+                    pos.extend(range(skip, most))
+                    times.append(most - skip)
                     words.extend(packed)
                     owner.append(n)
-            m = len(owner)
-            at = np.repeat(np.arange(m, dtype=np.int64), owner) * 128 + (np.frombuffer(words, np.uint64) & np.uint64(127)).astype(np.int64) if m else np.zeros(0, np.int64)
-            odd = np.packbits((np.bincount(at, minlength=m * 128) & 1).astype(np.uint8)).view(">i8").astype(np.int64).reshape(m, 2)
+                    keys.append(k)
+                    lines.append(i)
+            m, g = len(owner), len(gone_key)
+            of = np.repeat(np.arange(m), np.array(times, np.int64))
+            h = np.frombuffer(words, np.uint64) if m else np.zeros(0, np.uint64)
+            at = np.repeat(np.arange(m, dtype=np.int64), np.array(owner, np.int64)) * 96 + (h % np.uint64(96)).astype(np.int64)
+            odd = np.packbits((np.bincount(at, minlength=m * 96) & 1).astype(np.uint8).reshape(m, 96), axis=1)
+            g64 = np.ascontiguousarray(odd[:, :8]).view(">i8").astype(np.int64).reshape(m)
+            g32 = np.ascontiguousarray(odd[:, 8:]).view(">u4").astype(np.uint64).reshape(m)
+            w = (np.frombuffer(rows, np.uint64) if len(rows) else np.zeros(0, np.uint64)) >> np.uint64(8) << np.uint64(32)
+            gk, gl = np.array(gone_key, np.int64), np.array(gone_line, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.int32()), pa.array(odd[:, 0]), pa.array(odd[:, 1]), pa.array(cols[4], pa.list_(pa.int64()))],
-                ["line_key", "line_no", "line_hash", "n", "g1", "g2", "prefix"],
+                [
+                    pa.array(np.concatenate([(w | g32[of]).view(np.int64), gk << 32 ^ gl << 40])),
+                    pa.array(np.concatenate([g64[of], np.zeros(g, np.int64)])),
+                    pa.array(np.concatenate([np.array(keys, np.int64)[of], gk])),
+                    pa.array(np.concatenate([np.array(lines, np.int64)[of], gl]).astype(np.int32)),
+                    pa.array(np.concatenate([(np.array(owner, np.int64)[of] << 32) | np.array(pos, np.int64), np.full(g, -1)])),
+                ],
+                ["wg", "g", "k", "line", "n_pos"],
             )
 
-    lines = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)), F.col(text)).mapInArrow(run, _LINE_TYPE)
-    sets = lines.groupBy("line_hash").agg(
-        F.min(F.struct("line_key", "line_no")).alias("p"), F.first("n").alias("n"), F.first("g1").alias("g1"), F.first("g2").alias("g2"),
-        F.first("prefix", ignorenulls=True).alias("prefix"),
-    )
-    return stage(sets.select(F.col("p.line_key").alias("fk"), F.col("p.line_no").alias("fl"), "n", "g1", "g2", "prefix"), "line-sets")
+    return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)), F.col(text)).mapInArrow(run, _ROW)
+
+
+_ROW = "wg long, g long, k long, line int, n_pos long"
+_PAIR = "a_k long, a_line int, b_k long, b_line int, more boolean"
+SMALL, CHUNK = 64, 1 << 18
+
+
+class _Group:
+    """Rows of whole word groups as columns, and the filters on pairs of them."""
+
+    def __init__(self, wg, g, k, line, n_pos, t: float):
+        self.k, self.line, self.t = k, line, t
+        self.g, self.g32 = g.view(np.uint64), wg & 0xFFFFFFFF
+        self.n, self.pos = (n_pos >> 32).astype(np.float64), (n_pos & 0xFFFFFFFF).astype(np.float64)
+        self.index = self.pos < self.n - np.ceil(2 * t / (1 + t) * self.n - 1e-9) + 1  # in the shorter partner's prefix
+
+    def passes(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which places of (a, b) pass the length, prefix, positional and bitmap filters."""
+        n, pos, t = self.n, self.pos, self.t
+        na, nb = n[a], n[b]
+        at = np.flatnonzero((np.minimum(na, nb) >= t * np.maximum(na, nb) - 1e-9) & ((self.index[a] & (na <= nb)) | (self.index[b] & (nb <= na))))
+        a, b, na, nb = a[at], b[at], na[at], nb[at]
+        need = np.ceil(t / (1 + t) * (na + nb) - 1e-9)
+        ok = np.flatnonzero(np.minimum(na - pos[a], nb - pos[b]) >= need)
+        at, a, b, room = at[ok], a[ok], b[ok], (na + nb - 2 * need)[ok]
+        differ = np.bitwise_count(self.g[a] ^ self.g[b]) + np.bitwise_count((self.g32[a] ^ self.g32[b]).astype(np.uint64)).astype(np.int64)
+        return at[differ <= room]
+
+    def pairs(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ok = self.passes(a, b)
+        return a[ok], b[ok]
 
 
-def _pair_filter(threshold: float) -> Column:
-    """Length, prefix, positional and bitmap filters on an earlier line a and a later line b."""
-    t = F.lit(threshold)
-    need = F.ceil(t / (1 + t) * (F.col("a_n") + F.col("b_n")) - 1e-9)
-    short_n, short_pos = F.least("a_n", "b_n"), F.when(F.col("a_n") <= F.col("b_n"), F.col("a_pos")).otherwise(F.col("b_pos"))
-    # on a tie of sizes either side may take the shorter one's part
-    short_pos = F.when(F.col("a_n") == F.col("b_n"), F.least("a_pos", "b_pos")).otherwise(short_pos)
-    differ = F.bit_count(F.col("a_g1").bitwiseXOR(F.col("b_g1"))) + F.bit_count(F.col("a_g2").bitwiseXOR(F.col("b_g2")))
-    return (
-        (F.col("a_fk") < F.col("b_fk")) | ((F.col("a_fk") == F.col("b_fk")) & (F.col("a_fl") < F.col("b_fl")))
-    ) & (
-        (short_n >= t * F.greatest("a_n", "b_n") - 1e-9)
-        & (short_pos < short_n - F.ceil(2 * t / (1 + t) * short_n - 1e-9) + 1)
-        & (F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos")) >= need)
-        & (differ <= F.col("a_n") + F.col("b_n") - 2 * need)
-    )
+def candidate_pairs(rows: DataFrame, threshold: float = THRESHOLD, wanted: str | None = None) -> DataFrame:
+    """Pairs (earlier line a, later line b) that pass the filters; a null ``a`` means b is gone.
 
+    With ``wanted``, a boolean column of ``rows``, only lines b that have it set are
+    compared, with all earlier members of their groups; else see the module's step 3.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(cols: list[np.ndarray]) -> pa.RecordBatch:
+            gone, live = np.flatnonzero(cols[4] < 0), np.flatnonzero(cols[4] >= 0)
+            word = cols[0][live] >> 32
+            r = _Group(*(c[live] for c in cols[:5]), threshold)
+            cut = np.flatnonzero(np.diff(word)) + 1
+            starts = np.concatenate([[0], cut]).astype(np.int64)
+            size = np.diff(np.concatenate([starts, [len(word)]]))
+            out, more = [(np.zeros(0, np.int64),) * 2], [np.zeros(0, bool)]
+            large = size > (1 if wanted else SMALL)
+            if not wanted:  # sorted by size: a row's partners stand near before it
+                rank = np.arange(len(word)) - np.repeat(starts, size)
+                b = np.flatnonzero(np.repeat(~large, size) & (rank > 0))
+                lag = 1
+                while len(b):
+                    b = b[(rank[b] >= lag)]
+                    b = b[r.n[b - lag] >= threshold * r.n[b] - 1e-9]
+                    out.append(r.pairs(b - lag, b))
+                    more.append(np.zeros(len(out[-1][0]), bool))
+                    lag += 1
+            for s, m in zip(starts[large].tolist(), size[large].tolist()):
+                order = s + np.lexsort((r.line[s : s + m], r.k[s : s + m]))
+                if wanted:
+                    mine = cols[5][live].astype(bool)[order]
+                    for b in np.flatnonzero(mine).tolist():
+                        out.append(r.pairs(order[:b], np.full(b, order[b])))
+                        more.append(np.zeros(len(out[-1][0]), bool))
+                    continue
+                rest = np.arange(1, m)
+                for a in range(m):
+                    rest = rest[rest > a]
+                    if not len(rest):
+                        break
+                    ok = r.passes(np.full(len(rest), order[a]), order[rest])
+                    if len(ok):
+                        out.append((np.full(len(ok), order[a]), order[rest[ok]]))
+                        more.append(np.ones(len(ok), bool))
+                        rest = np.delete(rest, ok)
+            a, b = (np.concatenate(x) for x in zip(*out))
+            flag = np.concatenate(more)
+            later = (r.k[a] > r.k[b]) | ((r.k[a] == r.k[b]) & (r.line[a] > r.line[b]))
+            a, b = np.where(later, b, a), np.where(later, a, b)
+            other = (r.k[a] != r.k[b]) | (r.line[a] != r.line[b])
+            a, b, flag = a[other], b[other], flag[other]
+            none = [None] * len(gone)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.concat_arrays([pa.array(r.k[a]), pa.array(none, pa.int64())]), pa.concat_arrays([pa.array(r.line[a]), pa.array(none, pa.int32())]),
+                    pa.array(np.concatenate([r.k[b], cols[2][gone]])), pa.array(np.concatenate([r.line[b], cols[3][gone]])),
+                    pa.array(np.concatenate([flag, np.zeros(len(gone), bool)])),
+                ],
+                ["a_k", "a_line", "b_k", "b_line", "more"],
+            )
 
-def _side(rows: DataFrame, p: str) -> DataFrame:
-    return rows.select("word", *(F.col(c).alias(f"{p}_{c}") for c in ("fk", "fl", "n", "pos", "g1", "g2")))
+        held: list[list[np.ndarray]] = []
+        count = 0
+        for batch in batches:
+            held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            count += batch.num_rows
+            if count >= CHUNK:
+                cols = [np.concatenate(c) for c in zip(*held)]
+                word = cols[0] >> 32
+                whole = int(np.searchsorted(word, word[-1]))  # the last word may go on
+                held, count = [[c[whole:] for c in cols]], 0
+                if whole:
+                    yield found([c[:whole] for c in cols])
+        if held:
+            yield found([np.concatenate(c) for c in zip(*held)])
+
+    word = F.shiftright("wg", 32)
+    cols = ["wg", "g", "k", "line", "n_pos", *([wanted] if wanted else [])]
+    return rows.select(*cols).repartition(word).sortWithinPartitions(word, "n_pos").mapInArrow(run, _PAIR)
+
+
+def _lines_at(places: DataFrame, docs: DataFrame, text: str, key: str) -> DataFrame:
+    """``(k, line, x)``: the lines at ``places`` (k, line), and some others."""
+    mix = F.col("k").bitwiseXOR(F.shiftleft(F.col("line").cast("long"), 36))
+    bits = docs.sparkSession.sparkContext.broadcast(bit_table(places.select(mix)))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = bits.value
+        for batch in batches:
+            out: tuple[list, list, list] = ([], [], [])
+            for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if t:
+                    lines = t.split("\n")
+                    for i in np.flatnonzero(has_bit(table, slots(np.int64(k) ^ (np.arange(len(lines), dtype=np.int64) << 36)))).tolist():
+                        out[0].append(k)
+                        out[1].append(i)
+                        out[2].append(lines[i])
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.string())], ["k", "line", "x"])
 
-_PAIR = ("a_fk", "a_fl", "b_fk", "b_fl")
+    return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)), F.col(text)).mapInArrow(run, "k long, line int, x string")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, text: str, key: str, threshold: float) -> DataFrame:
-    """``(fk, fl)`` of the later lines of those pairs whose words' Jaccard similarity suffices."""
-    pairs = stage(pairs.select(*_PAIR).distinct(), "line-pairs")
-    need = pairs.select(F.col("a_fk").alias("fk"), F.col("a_fl").alias("fl")).unionByName(pairs.select(F.col("b_fk").alias("fk"), F.col("b_fl").alias("fl")))
-    by_doc = need.groupBy("fk").agg(F.collect_set("fl").alias("at"))
-    may = key_filter(need, "fk")
-    words = (
-        docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("fk"), F.col(text).alias("t")).where(may("fk"))
-        .join(by_doc, "fk")
-        .select("fk", F.explode(F.expr("filter(transform(split(t, '\\n', -1), (x, i) -> struct(i AS fl, x AS x)), s -> array_contains(at, s.fl))")).alias("s"))
-        .select("fk", F.col("s.fl").alias("fl"), F.array_distinct(F.filter(F.split(F.col("s.x"), _SPACE), lambda w: w != "")).alias("w"))
-    )
-    words = stage(words, "line-words")
-    a = words.select(F.col("fk").alias("a_fk"), F.col("fl").alias("a_fl"), F.col("w").alias("a_w"))
-    b = words.select(F.col("fk").alias("b_fk"), F.col("fl").alias("b_fl"), F.col("w").alias("b_w"))
-    both = F.size(F.array_intersect("a_w", "b_w"))
-    return (
-        pairs.join(a, ["a_fk", "a_fl"]).join(b, ["b_fk", "b_fl"])
-        .where(both >= F.lit(threshold) * (F.size("a_w") + F.size("b_w") - both) - 1e-9)
-        .select(F.col("b_fk").alias("fk"), F.col("b_fl").alias("fl")).distinct()
-    )
-
-
-def kept_places(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
-    """``(fk, kept)``: per document id, the numbers of the lines with words that stay."""
-    sets = line_sets(docs, text, key, threshold)
-    once = (1 << 56) * 2  # below: words that occur once in the corpus (or whose slot does)
-    rows = (
-        sets.select("fk", "fl", "n", "g1", "g2", F.posexplode("prefix").alias("pos", "word"))
-        .where(~F.col("word").between(0, once - 1))
-        .repartition("word")
-    )
-    hubs = rows.groupBy("word").agg(F.min(F.struct("fk", "fl", "n", "pos", "g1", "g2")).alias("h"), F.count("*").alias("c")).where("c > 1").select("word", "h.*")
-    near = _side(hubs, "a").join(_side(rows, "b"), "word").where(_pair_filter(threshold))
-    gone = _verified(near, docs, text, key, threshold)
-    gone = stage(gone, "line-gone")
-    left = rows.join(gone, ["fk", "fl"], "left_anti")
-    rest = _side(rows, "a").join(_side(left, "b"), "word").where(_pair_filter(threshold))
-    more = _verified(rest, docs, text, key, threshold)
-    return sets.select("fk", "fl").join(gone.unionByName(more), ["fk", "fl"], "left_anti").groupBy("fk").agg(F.collect_set("fl").alias("kept"))
+    """``(k, line)`` of the later lines of those pairs whose words' Jaccard similarity suffices."""
+    pairs = pairs.where("a_k IS NOT NULL").select("a_k", "a_line", "b_k", "b_line").distinct()
+    need = pairs.select(F.col("a_k").alias("k"), F.col("a_line").alias("line")).unionByName(pairs.select(F.col("b_k").alias("k"), F.col("b_line").alias("line")))
+    lines = stage(_lines_at(need, docs, text, key), "line-texts")
+    a = lines.select(F.col("k").alias("a_k"), F.col("line").alias("a_line"), F.col("x").alias("a_x"))
+    b = lines.select(F.col("k").alias("b_k"), F.col("line").alias("b_line"), F.col("x").alias("b_x"))
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                if x == y:
+                    ok.append(True)
+                    continue
+                p, q = set(x.split()), set(y.split())
+                both = len(p & q)
+                ok.append(both >= threshold * (len(p) + len(q) - both) - 1e-9)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["k", "line"]).filter(pa.array(ok, pa.bool_()))
+
+    both = pairs.join(a, ["a_k", "a_line"]).join(b, ["b_k", "b_line"]).select("b_k", "b_line", "a_x", "b_x")
+    return both.mapInArrow(check, "k long, line int").distinct()
+
+
+def removed_places(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
+    """``(k, line)`` of the lines that go (``k``: the id, or NO_ID for null)."""
+    rows = prefix_rows(docs, text, key, threshold)
+    pairs = stage(candidate_pairs(rows, threshold), "line-pairs")
+    gone = pairs.where("a_k IS NULL").select(F.col("b_k").alias("k"), F.col("b_line").alias("line"))
+    gone = stage(gone.unionByName(_verified(pairs, docs, text, key, threshold)).distinct(), "line-gone")
+    left = pairs.where("more").select(F.col("b_k").alias("k"), F.col("b_line").alias("line")).distinct().join(gone, ["k", "line"], "left_anti")
+    left = stage(left, "line-left")
+    if not left.isEmpty():
+        marked = rows.join(left.withColumn("wanted", F.lit(True)), ["k", "line"], "left").withColumn("wanted", F.coalesce("wanted", F.lit(False)))
+        rest = stage(candidate_pairs(marked, threshold, "wanted"), "line-rest")
+        gone = gone.unionByName(_verified(rest, docs, text, key, threshold)).distinct()
+    return gone
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD, counts: tuple[str, str] | None = None) -> DataFrame:
@@ -249,16 +378,19 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", thresh
 
     ``counts`` names two more columns: the text's lines, and those removed.
     """
-    kept = kept_places(docs, text, key, threshold).select(F.col("fk").alias("__llm_key"), F.col("kept").alias("__llm_kept"))
-    joined = docs.withColumn("__llm_key", F.coalesce(F.col(key).cast("long"), F.lit(NO_ID))).join(kept, "__llm_key", "left")
+    gone = stage(removed_places(docs, text, key, threshold), "line-removed")
+    lists = gone.groupBy(F.col("k").alias("__llm_key")).agg(F.collect_set("line").alias("__llm_gone"))
+    keyed = mark_maybe(docs.withColumn("__llm_key", F.coalesce(F.col(key).cast("long"), F.lit(NO_ID))), "__llm_key", gone, "k", "__llm_may")
     lines = F.split(F.col(text), "\n", -1)
-    stays = F.filter(lines, lambda x, i: F.coalesce(F.array_contains("__llm_kept", i), F.lit(False)) | ~x.rlike("[^" + _SPACE[1:-1]))
-    out = joined.withColumn("__llm_lines", stays)
+    n = F.coalesce(F.size(lines), F.lit(0)).cast("long")
+    same = [F.col(c) for c in docs.columns] + ([n.alias(counts[0]), F.lit(0).cast("long").alias(counts[1])] if counts else [])
+    words = "[^" + _SPACE[1:-2] + "]"
+    stays = F.filter(lines, lambda x, i: ~F.coalesce(F.array_contains("__llm_gone", i), F.lit(False)) | ~x.rlike(words))
+    cut = keyed.where("__llm_may").join(lists, "__llm_key", "left").withColumn("__llm_lines", stays)
     cols = [F.when(F.col(text).isNotNull(), F.array_join("__llm_lines", "\n")).alias(text) if c == text else F.col(c) for c in docs.columns]
     if counts:
-        n = F.coalesce(F.size(lines), F.lit(0)).cast("long")
         cols += [n.alias(counts[0]), (n - F.coalesce(F.size("__llm_lines"), F.lit(0)).cast("long")).alias(counts[1])]
-    return out.select(*cols)
+    return keyed.where("NOT __llm_may").select(*same).unionByName(cut.select(*cols))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
