@@ -94,30 +94,30 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 BITS = 23  # the bit tables always hold 2 ** BITS bits (1 MB)
 
 
-def slots(x: np.ndarray) -> np.ndarray:
+def slots(x: np.ndarray, bits: int = BITS) -> np.ndarray:
     """Slot of each 64-bit key in a bit table."""
-    return ((x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)).astype(np.int64)
+    return ((x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def has_bit(table: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
 
 
-def bit_table(keys: DataFrame, ready: bool = False) -> np.ndarray:
+def bit_table(keys: DataFrame, ready: bool = False, bits: int = BITS) -> np.ndarray:
     """One bit a slot for the keys in the first (long) column; ``ready``: it holds slots.
 
     The table has a fixed size, whatever the number of keys: tasks set bits for their own
     keys, and the tables are merged by ranges. It lets through every key and some others,
     so an exact join must follow; it only spares that join the rows that can't match.
     """
-    size, pieces = 1 << BITS, 16
+    size, pieces, n_bits = 1 << bits, 16, bits
     width = size // 8 // pieces
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(size, dtype=bool)
         for batch in batches:
             x = batch.column(0).to_numpy(zero_copy_only=False)
-            bits[x if ready else slots(x)] = True
+            bits[x if ready else slots(x, n_bits)] = True
         raw = np.packbits(bits).tobytes()
         found = [i for i in range(pieces) if any(raw[i * width : (i + 1) * width])]
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array([raw[i * width : (i + 1) * width] for i in found], pa.binary())], ["piece", "bits"])

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colloquy.llm import bpe, lines, neardup, packing, passages, pii, quality, simhash, topk
+from colloquy.llm import bpe, lines, neardup, packing, passages, pii, quality, simhash, suffixes, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": suffixes.query,
     "op2_embedding_neardup": neardup.query,
     "op3_topk": topk.query,
     "op4_quality": quality.query,
