@@ -15,11 +15,12 @@ class WordCache(dict):
 
     def learn(self, words: Iterable[str]) -> None:
         """Make every word of ``words`` present."""
-        new = {w for w in words if w not in self}
+        words = set(words)
+        new = words - self.keys()
         if len(self) + len(new) > self.limit and self:
             self.old = dict(self)
             self.clear()
-            new = set(words)
+            new = words
         ask = []
         for w in new:
             got = self.old.get(w)
