@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import base64
 import datetime as _dt
-import functools
 import json
 import math
 import re
@@ -23,49 +22,103 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-try:  # PyYAML is optional; without it PASS_3 parses to null.
+try:
     import yaml as _yaml
-
-    # libyaml parser with the same safe constructor/resolver (about 8x faster).
-    _YAML_LOADER = getattr(_yaml, "CSafeLoader", None) or _yaml.SafeLoader
-except Exception:  # pragma: no cover - depends on the image
+except ImportError:  # reported where a YAML section would have to be read
     _yaml = None
-    _YAML_LOADER = None
 
+_SURROGATE = re.compile("[\ud800-\udfff]")
+
+
+def escape_surrogates(text: str) -> str:
+    """``text`` with lone surrogates (no UTF-8 form) spelt as backslash, u and four digits."""
+    return _SURROGATE.sub(lambda m: f"\\u{ord(m.group()):04x}", text)
+
+
+def yaml_loader() -> type:
+    """The safe YAML loader (libyaml's when present); without a YAML library this raises."""
+    if _yaml is None:
+        raise RuntimeError("reading PASS_3 needs the yaml library on the driver and on every executor")
+    return getattr(_yaml, "CSafeLoader", None) or _yaml.SafeLoader
+
+
+class _Open:
+    """A container being written: its remaining pieces and closing bracket."""
+
+    __slots__ = ("close", "ident", "items")
 
-def _norm_key(key: Any) -> str:
-    if isinstance(key, str):
-        return key
-    return "\u0000" + canonical_json(key)
+    def __init__(self, ident: int, items: Any, close: str):
+        self.ident, self.items, self.close = ident, items, close
 
 
-def _norm(value: Any) -> Any:
+def _scalar(value: Any) -> Optional[str]:
+    """Canonical text of a value that holds no others; ``None`` for containers.
+
+    What JSON has no form for is written outside JSON's grammar (``@kind(...)``), so no
+    parsed mapping or string can have the same text.
+    """
     if value is None or isinstance(value, str):
-        return value
+        return json.dumps(value, ensure_ascii=False)
     if isinstance(value, bool):
-        return int(value)  # Python: True == 1
+        return str(int(value))  # True == 1
     if isinstance(value, int):
-        return value
+        return str(value)
     if isinstance(value, float):
-        if math.isfinite(value) and value.is_integer():
-            return int(value)  # Python: 1.0 == 1
-        return value
-    if isinstance(value, dict):
-        return {_norm_key(k): _norm(v) for k, v in value.items()}
-    if isinstance(value, (list, tuple)):
-        return [_norm(v) for v in value]
+        return str(int(value)) if math.isfinite(value) and value.is_integer() else json.dumps(value)  # 1.0 == 1
     if isinstance(value, (_dt.datetime, _dt.date)):
-        return {"$date": value.isoformat()}
-    if isinstance(value, (set, frozenset)):
-        return {"$set": sorted(canonical_json(v) for v in value)}
+        return f"@date({value.isoformat()})"
     if isinstance(value, bytes):
-        return {"$bytes": base64.b64encode(value).decode("ascii")}
-    return {"$" + type(value).__name__: str(value)}
+        return f"@bytes({base64.b64encode(value).decode('ascii')})"
+    if isinstance(value, (dict, list, tuple, set, frozenset)):
+        return None
+    return f"@{type(value).__name__}({json.dumps(str(value), ensure_ascii=False)})"
+
+
+def _pieces(value: Any) -> tuple[str, Any, str]:
+    """Opening text, (prefix, child) pairs and closing text of a container."""
+    if isinstance(value, dict):
+        keyed = sorted(((canonical_json(k), v) for k, v in value.items()), key=lambda x: x[0])
+        return "{", ((f"{',' if i else ''}{k}:", v) for i, (k, v) in enumerate(keyed)), "}"
+    if isinstance(value, (set, frozenset)):
+        texts = sorted(canonical_json(v) for v in value)
+        return "@set(" + ",".join(texts), iter(()), ")"
+    return "[", (("," if i else "", v) for i, v in enumerate(value)), "]"
 
 
 def canonical_json(value: Any) -> str:
-    """Canonical text of a parsed value: sorted keys, no spaces, integral floats as ints."""
-    return json.dumps(_norm(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    """Canonical text of a parsed value: sorted keys, no spaces, integral floats as ints.
+
+    Written with a stack of its own, so depth is no limit; a value that contains itself
+    raises ``ValueError``.
+    """
+    out: list[str] = []
+    stack: list[_Open] = []
+    path: set[int] = set()
+
+    def put(v: Any) -> None:
+        text = _scalar(v)
+        if text is not None:
+            out.append(text)
+            return
+        if id(v) in path:
+            raise ValueError("a value that contains itself has no canonical form")
+        path.add(id(v))
+        start, items, close = _pieces(v)
+        out.append(start)
+        stack.append(_Open(id(v), items, close))
+
+    put(value)
+    while stack:
+        top = stack[-1]
+        step = next(top.items, None)
+        if step is None:
+            out.append(top.close)
+            path.discard(top.ident)
+            stack.pop()
+        else:
+            out.append(step[0])
+            put(step[1])
+    return escape_surrogates("".join(out))
 
 
 _BRACE = re.compile(r"[{}]")
@@ -121,17 +174,22 @@ def parse_envelope_tail(tail: Optional[str]) -> Optional[dict]:
 
 
 def parse_semantic(section: Optional[str]) -> Optional[dict]:
-    if not section or _yaml is None:
+    if not section:
         return None
+    loader = yaml_loader()
     try:
-        value = _yaml.load(section, Loader=_YAML_LOADER)
-    except Exception:
+        value = _yaml.load(section, Loader=loader)
+    except Exception:  # any text that is not YAML
         return None
     return value if isinstance(value, dict) else None
 
 
 def _canon_or_none(value: Any) -> Optional[str]:
-    return None if value is None else canonical_json(value)
+    """Canonical text, null for what has none (absent, or containing itself)."""
+    try:
+        return None if value is None else canonical_json(value)
+    except (ValueError, RecursionError):
+        return None
 
 
 @F.pandas_udf(T.StringType())
@@ -149,33 +207,6 @@ def semantic_key(section: pd.Series) -> pd.Series:
 _KEYS_TYPE = T.StructType([T.StructField("semantic", T.StringType()), T.StructField("envelope", T.StringType())])
 
 
-# Pure functions of the text, cached within one Spark task so repeated sections (a
-# correct prediction repeats its gold reply verbatim) are parsed once. The cache is
-# reset when the task changes: results never depend on, or benefit from, earlier jobs.
-@functools.lru_cache(maxsize=65536)
-def _semantic_key_cached(section: str) -> Optional[str]:
-    return _canon_or_none(parse_semantic(section))
-
-
-@functools.lru_cache(maxsize=65536)
-def _envelope_tail_key_cached(tail: str) -> Optional[str]:
-    return _canon_or_none(parse_envelope_tail(tail))
-
-
-_cache_task: list = [None]
-
-
-def _reset_cache_per_task() -> None:
-    from pyspark import TaskContext
-
-    ctx = TaskContext.get()
-    task = ctx.taskAttemptId() if ctx is not None else None
-    if task != _cache_task[0]:
-        _semantic_key_cached.cache_clear()
-        _envelope_tail_key_cached.cache_clear()
-        _cache_task[0] = task
-
-
 @F.pandas_udf(_KEYS_TYPE)
 def structured_keys(envelope_tail: pd.Series, pass3: pd.Series) -> pd.DataFrame:
     """PASS_3 and PASS_4 canonical keys in one Arrow round trip.
@@ -183,10 +214,9 @@ def structured_keys(envelope_tail: pd.Series, pass3: pd.Series) -> pd.DataFrame:
     ``envelope_tail`` is the reply from the first ``{`` after ``PASS_4`` (cut natively,
     so only that part crosses into Python).
     """
-    _reset_cache_per_task()
     return pd.DataFrame(
         {
-            "semantic": [None if s is None else _semantic_key_cached(s) for s in pass3],
-            "envelope": [None if t is None else _envelope_tail_key_cached(t) for t in envelope_tail],
+            "semantic": [None if s is None else _canon_or_none(parse_semantic(s)) for s in pass3],
+            "envelope": [None if t is None else _canon_or_none(parse_envelope_tail(t)) for t in envelope_tail],
         }
     )

@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.functions.canonical import envelope_key, semantic_key, structured_keys
+from colloquy.functions.canonical import envelope_key, semantic_key, structured_keys, yaml_loader
 from colloquy.functions.text import col_of, locate_from, py_strip, splitlines, strip_newlines
 
 # Section markers and the literal header line each section may start with.
@@ -109,8 +109,8 @@ def parse_envelope(text: Column | str) -> Column:
     return envelope_key(col_of(text))
 
 
-# Parser registry: section name -> Column builder over the reply text. Callers may
-# add entries; ``parse_reply`` iterates this mapping.
+# Parser registry: section name -> Column builder over the reply text. Callers may add
+# or replace entries; parsing, scores and accuracy rows follow this mapping.
 PASS_PARSERS: dict[str, Callable[[Column | str], Column]] = {
     "PASS_0": parse_normalizations,
     "PASS_1": parse_lexemes,
@@ -118,25 +118,36 @@ PASS_PARSERS: dict[str, Callable[[Column | str], Column]] = {
     "PASS_3": parse_semantic,
     "PASS_4": parse_envelope,
 }
+_OWN_PARSERS = dict(PASS_PARSERS)
 PARSED_FIELDS = {"PASS_0": "norm", "PASS_1": "lexemes", "PASS_2": "intent", "PASS_3": "semantic", "PASS_4": "envelope"}
 
 
+def field_of(name: str) -> str:
+    """Field of the parsed struct that holds section ``name``."""
+    return PARSED_FIELDS.get(name, name.lower())
+
+
 def parse_reply(text: Column | str) -> Column:
     """All five sections of one reply as a struct (single expression form).
 
     Convenient for small inputs; ``with_parsed_reply`` is the staged form that keeps
     each section and line array computed once per row.
     """
-    return F.struct(*[PASS_PARSERS[p](text).alias(PARSED_FIELDS[p]) for p in PASS_NAMES])
+    return F.struct(*[parser(text).alias(field_of(p)) for p, parser in PASS_PARSERS.items()])
 
 
-def with_parsed_reply(df: DataFrame, text: str, out: str) -> DataFrame:
+def with_parsed_reply(df: DataFrame, text: str, out: str, keep: bool = False, like: str | None = None) -> DataFrame:
     """Add struct column ``out`` holding the five parsed sections of column ``text``.
 
     Sections and their line arrays are separate projections, so Catalyst keeps them as
     attributes (it does not inline an expensive expression into several consumers)
-    and lambdas read an array instead of recomputing it per element.
+    and lambdas read an array instead of recomputing it per element. Sections whose
+    parser was replaced in, or added to, ``PASS_PARSERS`` come from that parser.
+
+    ``keep`` leaves the texts that Python would read in two more columns; ``like`` names
+    a struct parsed that way: equal texts take its keys and don't go to Python again.
     """
+    yaml_loader()  # a missing YAML library shows here, not in results
     t = F.col(text)
     tmp = f"_{out}"
     # First occurrence of every marker, once per row; a section end only needs a
@@ -165,20 +176,32 @@ def with_parsed_reply(df: DataFrame, text: str, out: str) -> DataFrame:
     lines = [F.col(f"{tmp}_l{i}") for i in range(3)]
     first = [F.col(f"{tmp}_f{j}") for j in range(len(PASS_NAMES))]
     brace = locate_from("{", t, first[4])
-    tail = F.when((first[4] > 0) & (brace > 0), t.substr(brace, F.lit(1 << 30)))
+    tail = F.when((first[4] > 0) & (brace > 0), F.substr(t, brace))
     # Only valid UTF-8 crosses into Python (invalid bytes become U+FFFD natively).
-    staged = staged.select(
-        "*", structured_keys(F.make_valid_utf8(tail), F.make_valid_utf8(sec[3])).alias(f"{tmp}_k")
-    )
-    parsed = F.struct(
-        _norm_from_lines(sec[0], lines[0]).alias("norm"),
-        _lexemes_from_lines(sec[1], lines[1]).alias("lexemes"),
-        _intent_from_lines(sec[2], lines[2]).alias("intent"),
-        F.col(f"{tmp}_k.semantic").alias("semantic"),
-        F.col(f"{tmp}_k.envelope").alias("envelope"),
-    )
-    temps = [c for c in staged.columns if c.startswith(f"{tmp}_")]
-    return staged.select("*", parsed.alias(out)).drop(*temps)
+    staged = staged.select("*", F.make_valid_utf8(tail).alias(f"{tmp}_t4"), F.make_valid_utf8(sec[3]).alias(f"{tmp}_t3"))
+    texts = {"semantic": F.col(f"{tmp}_t3"), "envelope": F.col(f"{tmp}_t4")}
+    known = {k: F.col(f"_{like}_t{n}") for k, n in (("semantic", 3), ("envelope", 4))} if like else {}
+    ask = {k: F.when(~x.eqNullSafe(known[k]), x) if like else x for k, x in texts.items()}
+    staged = staged.select("*", structured_keys(ask["envelope"], ask["semantic"]).alias(f"{tmp}_k"))
+    keys = {
+        k: F.when(x.eqNullSafe(known[k]), F.col(f"{like}.{k}")).otherwise(F.col(f"{tmp}_k.{k}")) if like else F.col(f"{tmp}_k.{k}")
+        for k, x in texts.items()
+    }
+    own = {
+        "PASS_0": _norm_from_lines(sec[0], lines[0]),
+        "PASS_1": _lexemes_from_lines(sec[1], lines[1]),
+        "PASS_2": _intent_from_lines(sec[2], lines[2]),
+        "PASS_3": keys["semantic"],
+        "PASS_4": keys["envelope"],
+    }
+    parsed = F.struct(*[
+        (own[p] if _OWN_PARSERS.get(p) is parser else parser(text)).alias(field_of(p)) for p, parser in PASS_PARSERS.items()
+    ])
+    kept = {f"{tmp}_t3", f"{tmp}_t4"} if keep else set()
+    gone = {c for c in staged.columns if c.startswith(f"{tmp}_")} - kept
+    if like:
+        gone |= {f"_{like}_t3", f"_{like}_t4"}
+    return staged.select("*", parsed.alias(out)).drop(*gone)
 
 
 def exact_match(pred_text: Column | str, gold_text: Column | str, pred_env: Column, gold_env: Column) -> Column:
@@ -188,6 +211,15 @@ def exact_match(pred_text: Column | str, gold_text: Column | str, pred_env: Colu
     return same.cast("double")
 
 
+def metric_of(name: str) -> Callable[[Column, Column], Column]:
+    """The metric that scores section ``name``."""
+    return PASS_METRICS.get(name, pass_metric)
+
+
 def pass_metric(pred_value: Column, gold_value: Column) -> Column:
     """Null when the gold section is unparseable; 1.0 equal, 0.0 otherwise."""
     return F.when(gold_value.isNotNull(), F.when(pred_value.eqNullSafe(gold_value), 1.0).otherwise(0.0))
+
+
+# Metric registry: section name -> Column builder over (prediction, gold); others use ``pass_metric``.
+PASS_METRICS: dict[str, Callable[[Column, Column], Column]] = {}

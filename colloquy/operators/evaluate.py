@@ -10,14 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.session import spread
-
 from colloquy.functions.replies import (
-    PARSED_FIELDS,
-    PASS_NAMES,
+    PASS_PARSERS,
     exact_match,
+    field_of,
+    metric_of,
     parse_envelope,
-    pass_metric,
     with_parsed_reply,
 )
 
@@ -32,16 +30,19 @@ LEVEL1_NOTE = "reference level — each group's own baseline, not scored against
 
 
 def parse_pair(preds: DataFrame, generated: str = "generated", gold: str = "gold") -> DataFrame:
-    """Add ``_pg`` (parsed gold) and ``_pp`` (parsed prediction) struct columns."""
-    return with_parsed_reply(with_parsed_reply(spread(preds), gold, "_pg"), generated, "_pp")
+    """Add ``_pg`` (parsed gold) and ``_pp`` (parsed prediction) struct columns.
+
+    Sections of the prediction that are the gold's own text are not parsed again.
+    """
+    return with_parsed_reply(with_parsed_reply(preds, gold, "_pg", keep=True), generated, "_pp", like="_pg")
 
 
 def score_predictions(preds: DataFrame, generated: str = "generated", gold: str = "gold") -> DataFrame:
     """Per-row ``exact_match`` plus one ``<PASS>_score`` column per section (null = gold unparseable)."""
     parsed = parse_pair(preds, generated, gold)
     scores = [
-        pass_metric(F.col(f"_pp.{PARSED_FIELDS[p]}"), F.col(f"_pg.{PARSED_FIELDS[p]}")).alias(f"{p.lower()}_score")
-        for p in PASS_NAMES
+        metric_of(p)(F.col(f"_pp.{field_of(p)}"), F.col(f"_pg.{field_of(p)}")).alias(f"{p.lower()}_score")
+        for p in PASS_PARSERS
     ]
     em = exact_match(F.col(generated), F.col(gold), F.col("_pp.envelope"), F.col("_pg.envelope")).alias("exact_match")
     return parsed.select(*[c for c in preds.columns], em, *scores, "_pg", "_pp")
@@ -54,8 +55,8 @@ def pass_accuracy(parsed: DataFrame) -> DataFrame:
     A gold-unparseable row is excluded; an unparseable prediction counts as wrong.
     """
     aggs = []
-    for p in PASS_NAMES:
-        g, q = F.col(f"_pg.{PARSED_FIELDS[p]}"), F.col(f"_pp.{PARSED_FIELDS[p]}")
+    for p in PASS_PARSERS:
+        g, q = F.col(f"_pg.{field_of(p)}"), F.col(f"_pp.{field_of(p)}")
         aggs += [
             F.count_if(g.isNull()).alias(f"{p}_gu"),
             F.count_if(g.isNotNull()).alias(f"{p}_sc"),
@@ -72,7 +73,7 @@ def pass_accuracy(parsed: DataFrame) -> DataFrame:
                 F.col(f"{p}_gu").alias("num_gold_unparseable"),
                 F.col(f"{p}_pu").alias("num_prediction_unparseable"),
             )
-            for p in PASS_NAMES
+            for p in PASS_PARSERS
         ]
     )
     return wide.select(F.explode(rows).alias("r")).select(
@@ -86,10 +87,16 @@ def pass_accuracy(parsed: DataFrame) -> DataFrame:
     )
 
 
-def exact_match_rate(scored: DataFrame, col: str = "exact_match") -> DataFrame:
-    """Mean of non-null scores (0.0 when none) and the number of examples."""
+def exact_match_rate(scored: DataFrame, col: str = "exact_match", status: str | None = None) -> DataFrame:
+    """Mean score over all examples (0.0 when none; a missing score is 0.0) and their number.
+
+    With ``status``, also ``num_errors``: the examples whose prediction failed.
+    """
+    errors = [F.count_if(F.coalesce(F.col(status) != "ok", F.lit(True))).alias("num_errors")] if status else []
     return scored.agg(
-        F.coalesce(F.avg(col), F.lit(0.0)).alias("exact_match_rate"), F.count(F.lit(1)).alias("num_examples")
+        F.coalesce(F.avg(F.coalesce(F.col(col), F.lit(0.0))), F.lit(0.0)).alias("exact_match_rate"),
+        F.count(F.lit(1)).alias("num_examples"),
+        *errors,
     )
 
 

@@ -91,16 +91,10 @@ def generate(
     return df.mapInPandas(run, schema)
 
 
-def batch_sizes(n_rows: int, batch_size: int) -> list[int]:
-    """Sizes of consecutive batches over ``n_rows`` (the last one may be short)."""
-    b = max(batch_size, 1)
-    return [min(b, n_rows - i) for i in range(0, n_rows, b)]
-
-
 def prediction_records(generated: DataFrame, key: str, gold: str = "gold") -> DataFrame:
     """Prediction records ``(key, prompt, generated, gold, [status, error,] exact_match)``.
 
-    Scored by envelope or stripped text; rows whose prediction failed keep a null score.
+    Scored by envelope or stripped text; a failed prediction scores 0.0.
     """
     from colloquy.functions.replies import exact_match, parse_envelope
 
@@ -114,7 +108,7 @@ def prediction_records(generated: DataFrame, key: str, gold: str = "gold") -> Da
         F.when(
             F.col("generated").isNotNull(),
             exact_match(F.col("generated"), F.col(gold), parse_envelope(F.col("generated")), parse_envelope(F.col(gold))),
-        ).alias("exact_match"),
+        ).otherwise(0.0).alias("exact_match"),
     )
 
 

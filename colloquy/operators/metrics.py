@@ -22,7 +22,7 @@ def series_key(raw_key: Column, source: Column) -> Column:
     """Metric name: ``train/<k>`` for the four trainer keys, ``eval/<k minus eval_>`` for eval logs."""
     train = F.when(raw_key.isin(*TRAIN_KEYS), F.concat(F.lit("train/"), raw_key))
     evaluation = F.concat(
-        F.lit("eval/"), F.when(raw_key.startswith(EVAL_PREFIX), F.substring(raw_key, len(EVAL_PREFIX) + 1, 1 << 20)).otherwise(raw_key)
+        F.lit("eval/"), F.when(raw_key.startswith(EVAL_PREFIX), F.substr(raw_key, F.lit(len(EVAL_PREFIX) + 1))).otherwise(raw_key)
     )
     return F.when(source == "train", train).when(source == "eval", evaluation)
 

@@ -20,10 +20,10 @@ from colloquy.session import list_paths
 
 # Naming rules and the inherited manifest fields.
 CHECKPOINT_PATTERN = r"^checkpoint-(\d+)$"
+CHECKPOINT_PREFIX = "checkpoint-"
 RUN_ID_PATTERN = r"^run_\d{8}_\d{6}$"
 RUN_PREFIX = "run_"
 MANIFEST_NAME = "manifest.json"
-LEGACY_MANIFEST_NAME = "telecom_finetune_manifest.json"
 INHERITED_FIELDS = ("base_model", "lora_r", "lora_alpha", "max_seq_length")
 
 MANIFEST_SCHEMA = T.StructType(
@@ -79,8 +79,8 @@ def latest_synced_run(runs: DataFrame, base: str = "base_dir") -> DataFrame:
 
 
 def latest_resumable_run(runs: DataFrame, checkpoints: DataFrame, base: str = "base_dir") -> DataFrame:
-    """Per base folder, the newest ``run_YYYYMMDD_HHMMSS`` holding at least one checkpoint."""
-    with_ckpt = checkpoints.filter(checkpoint_step(F.col("name")).isNotNull()).select(base, "run_name").distinct()
+    """Per base folder, the newest ``run_YYYYMMDD_HHMMSS`` holding at least one ``checkpoint-*``."""
+    with_ckpt = checkpoints.filter(F.col("name").startswith(CHECKPOINT_PREFIX)).select(base, "run_name").distinct()
     return (
         runs.filter(F.col("run_name").rlike(RUN_ID_PATTERN))
         .select(base, "run_name")
@@ -92,22 +92,28 @@ def latest_resumable_run(runs: DataFrame, checkpoints: DataFrame, base: str = "b
 
 def stale_checkpoints(checkpoints: DataFrame, run_keys: tuple[str, ...] = ("base_dir", "run_name"),
                       loss: str = "eval_loss") -> DataFrame:
-    """Checkpoints outside the keep-set (best by loss + latest by step): candidates only."""
+    """Checkpoints outside the keep-set (best by loss + latest by step): candidates only.
+
+    A checkpoint without a loss was never evaluated: it can be the latest, never the best.
+    """
     step = checkpoint_step(F.col("name"))
     ck = checkpoints.filter(step.isNotNull())
+    known = F.col(loss).isNotNull() & ~F.isnan(F.col(loss).cast("double"))
     keep = ck.groupBy(*run_keys).agg(
-        F.min_by("name", F.struct(F.col(loss), step)).alias("best"), F.max_by("name", step).alias("latest")
+        F.min_by("name", F.when(known, F.struct(F.col(loss), step))).alias("_best"), F.max_by("name", step).alias("_latest")
     )
-    keep_rows = keep.select(*run_keys, F.explode(F.array_distinct(F.array("best", "latest"))).alias("name"))
-    return ck.join(keep_rows, [*run_keys, "name"], "left_anti")
+    kept = F.coalesce(F.col("name") == F.col("_best"), F.lit(False)) | (F.col("name") == F.col("_latest"))
+    return ck.join(keep, list(run_keys)).filter(~kept).drop("_best", "_latest")
 
 
-def read_manifests(spark: SparkSession, adapter_dirs: list[str]) -> DataFrame:
+def read_manifests(spark: SparkSession, adapter_dirs: list[str], legacy: str | None = None) -> DataFrame:
     """``(adapter_path, file_name, body)`` for every manifest file under the adapter folders.
 
     Each manifest is one small whole-text file; missing folders are simply absent.
+    ``legacy`` names an older manifest file to accept as well.
     """
-    files_found = [f for d in adapter_dirs for f in list_paths(spark, f"{d.rstrip('/')}/{{{MANIFEST_NAME},{LEGACY_MANIFEST_NAME}}}")]
+    names = f"{{{MANIFEST_NAME},{legacy}}}" if legacy else MANIFEST_NAME
+    files_found = [f for d in adapter_dirs for f in list_paths(spark, f"{d.rstrip('/')}/{names}")]
     if not files_found:
         return spark.createDataFrame([], "adapter_path string, file_name string, body string")
     files = spark.read.text(files_found, wholetext=True)
@@ -119,9 +125,12 @@ def read_manifests(spark: SparkSession, adapter_dirs: list[str]) -> DataFrame:
     )
 
 
-def prefer_manifest(manifests: DataFrame, adapter: str = "adapter_path", file_name: str = "file_name") -> DataFrame:
-    """Per adapter folder, ``manifest.json`` wins over the legacy name; a corrupt preferred file gives none."""
-    rank = F.when(F.col(file_name) == MANIFEST_NAME, 0).when(F.col(file_name) == LEGACY_MANIFEST_NAME, 1)
+def prefer_manifest(manifests: DataFrame, adapter: str = "adapter_path", file_name: str = "file_name",
+                    legacy: str | None = None) -> DataFrame:
+    """Per adapter folder, ``manifest.json`` wins over the ``legacy`` name; a corrupt preferred file gives none."""
+    rank = F.when(F.col(file_name) == MANIFEST_NAME, 0)
+    if legacy:
+        rank = rank.when(F.col(file_name) == legacy, 1)
     ranked = manifests.filter(rank.isNotNull()).withColumn("_rank", rank)
     best = ranked.groupBy(adapter).agg(F.min_by(F.struct("*"), "_rank").alias("m"))
     return best.select("m.*").drop("_rank")
@@ -137,8 +146,10 @@ def inherit_from_prior(configs: DataFrame, priors: DataFrame, link: str = "conti
     """Child configs take base_model / lora_r / lora_alpha / max_seq_length from their prior manifest.
 
     ``priors`` carries the four fields (null = absent in the prior); a child with no
-    prior keeps its own values. ``training_mode`` records continuation.
+    prior keeps its own values. ``training_mode`` records continuation. Several prior rows
+    of one adapter give one: each field's smallest value, so children are never multiplied.
     """
+    priors = priors.groupBy(adapter).agg(*[F.min(c).alias(c) for c in INHERITED_FIELDS])
     p = priors.select(F.col(adapter).alias("_link"), *[F.col(c).alias(f"_p_{c}") for c in INHERITED_FIELDS])
     j = configs.join(p, configs[link] == p["_link"], "left")
     out = j

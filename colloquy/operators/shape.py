@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from colloquy.session import broadcast_if_small, cut_lineage, num_partitions
+from colloquy.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -206,51 +206,33 @@ def masked_fraction(spans: DataFrame, flat: DataFrame, key: str = "conv_id") ->
     )
 
 
-TOPK_MERGE_ROWS = 2_000_000  # rows one task may merge for an ordered limit (n x partitions)
-BROADCAST_KEYS = 100_000  # chosen keys broadcast for the semi-join; more go through a shuffle join
-HASH_BUCKET_CHARS = 4  # 16**4 = 65,536 hash-prefix buckets
+SAMPLE_BUCKETS = 65_536  # ranges of the sampling hash; one small row each
 
 
-def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42, merge_rows: int = TOPK_MERGE_ROWS) -> DataFrame:
-    """Exactly ``min(n, count)`` rows: the ``n`` smallest ``md5('<seed>:' || key)`` (``key`` unique).
+def seeded_sample(df: DataFrame, key: str | tuple[str, ...], n: int, seed: int = 42) -> DataFrame:
+    """Exactly ``min(n, count)`` rows: the ``n`` smallest hashes of ``'<seed>:' || key`` (``key`` unique).
 
-    Deterministic under any partitioning. The selection runs on narrow ``(key, hash)``
-    rows and the chosen keys are semi-joined back, so whole rows never meet in one task.
-    When ``n x partitions`` is at most ``merge_rows`` it is an ordered limit (per-partition
-    top-n merged in one task). Beyond that it is distributed: count rows per hash-prefix
-    bucket (at most 65,536), find the bucket where the running count reaches ``n``, keep
-    every lower bucket whole and take the top-k only inside that one bucket.
+    Deterministic under any partitioning, and one plan for every size. Narrow ``(key,
+    hash)`` rows are counted per range of the hash; the running count over the ranges (a
+    table of at most ``SAMPLE_BUCKETS`` rows) says how many rows come before each range,
+    rows are numbered inside their range only, and those whose number is at most ``n``
+    are joined back to the rows.
     """
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    h = df.select(key, order.alias("_h"))
-    parts = num_partitions(df)
-    if parts is None:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if n * max(parts, 1) <= merge_rows:
-        chosen = h.orderBy("_h", key).limit(n).select(key)
-    else:
-        h = h.withColumn("_b", F.substring("_h", 1, HASH_BUCKET_CHARS))
-        counts = h.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
-        cum = counts.select(
-            "_b", "_c", F.sum("_c").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)).alias("_cum")
-        )
-        cut = cum.filter(F.col("_cum") >= n).orderBy("_b").limit(1).collect()
-        if not cut:
-            return df
-        b_star, before = cut[0]["_b"], cut[0]["_cum"] - cut[0]["_c"]
-        below = h.filter(F.col("_b") < b_star).select(key)
-        edge = h.filter(F.col("_b") == b_star).orderBy("_h", key).limit(int(n - before)).select(key)
-        chosen = below.unionByName(edge)
-    small = broadcast_if_small(chosen, BROADCAST_KEYS)
-    return df.join(small if small is not None else chosen, key, "left_semi")
+    keys = (key,) if isinstance(key, str) else tuple(key)
+    h = df.select(*keys, F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])).alias("_h"))
+    h = h.withColumn("_b", F.conv(F.substring("_h", 1, 4), 16, 10).cast("int"))
+    counts = h.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
+    before = F.sum("_c").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("_b", F.coalesce(before, F.lit(0)).alias("_before")).filter(F.col("_before") < n)
+    at = F.row_number().over(Window.partitionBy("_b").orderBy("_h", *keys))
+    chosen = h.join(offsets, "_b").withColumn("_at", F.col("_before") + at).filter(F.col("_at") <= n)
+    return df.join(chosen.select(*keys), list(keys), "left_semi")
 
 
 def first_n(df: DataFrame, key: str, n: int) -> DataFrame:
     """The ``n`` rows with the smallest (unique) ``key``: an ordered limit over the keys only,
-    semi-joined back (whole rows never meet in one task)."""
-    keys = df.select(key).orderBy(key).limit(n)
-    small = broadcast_if_small(keys, BROADCAST_KEYS)
-    return df.join(small if small is not None else keys, key, "left_semi")
+    joined back (whole rows never meet in one task)."""
+    return df.join(df.select(key).orderBy(key).limit(n), key, "left_semi")
 
 
 def wrapped_packing(lengths: DataFrame, max_seq_length: int, key: str = "conv_id", value: str = "n_tokens",

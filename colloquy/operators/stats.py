@@ -17,9 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from colloquy.functions.text import whitespace_tokens
-from colloquy.session import broadcast_if_small, cut_lineage
+from colloquy.session import cut_lineage
 
-MAX_BROADCAST_SPLITS = 10000
 
 # tokens/second per device family (a heuristic, not a measurement) and
 # the device profiles (batch size, gradient accumulation, row cap).
@@ -76,13 +75,6 @@ def conversation_tokens(turns: DataFrame, model: TokenModel = TokenModel(), key:
     return agg.withColumn("total_tokens", total.cast("bigint"))
 
 
-def device_table(spark: SparkSession) -> DataFrame:
-    rows = [(k, v, *DEVICE_PROFILES[k]) for k, v in TOKENS_PER_SEC.items()]
-    return spark.createDataFrame(
-        rows, "device string, tokens_per_sec double, rec_batch_size int, rec_grad_accum int, rec_max_rows int"
-    )
-
-
 def _pct(col: str, p: float, approx: bool) -> Column:
     return F.percentile_approx(col, p, 100000).cast("double") if approx else F.percentile(col, F.lit(p))
 
@@ -179,10 +171,7 @@ def histogram(df: DataFrame, value: str, split: str = "split", bins: int = 20, w
         df = cut_lineage(df.select(split, value))
     bounds = df.groupBy(split).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
     w = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
-    # One row per split: broadcast after a bounded size check; many splits fall back
-    # to a shuffle join, which is balanced when there are many keys.
-    small = broadcast_if_small(bounds, MAX_BROADCAST_SPLITS)
-    bounds = small if small is not None else bounds
+    # One row per split; the join is planned from the sizes measured at run time.
     binned = (
         df.select(split, value)
         .join(bounds, split)

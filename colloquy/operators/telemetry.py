@@ -125,4 +125,4 @@ def cumulative_to_delta(steps: DataFrame, key: str = "request_id", index: str =
     )
     j = s.join(last, [key, "_blk"])
     prev_len = F.coalesce(F.length("_prev"), F.col("_prev_block_len"), F.lit(0))
-    return j.withColumn("delta", F.col(text).substr(prev_len + 1, F.lit(1 << 30))).drop("_blk", "_prev", "_prev_block_len")
+    return j.withColumn("delta", F.substr(F.col(text), prev_len + 1)).drop("_blk", "_prev", "_prev_block_len")

@@ -7,16 +7,18 @@ driver (to be printed), every per-row result stays a DataFrame.
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from colloquy.operators import evaluate, generate, shape, validate
+from colloquy.operators.registry import MANIFEST_SCHEMA
 from colloquy.sources import jsonl, sinks
-from colloquy.session import cut_lineage, spread
+from colloquy.session import cut_lineage
 
 # The robustness suite (system prompt, deployment context, 12 queries).
 LOOKUP_SYSTEM_PROMPT = (
@@ -55,13 +57,6 @@ LOOKUP_QUERIES = [
     ("ne_ip", 3, "Find 10.99.1.20"),
     ("ne_ip", 4, "Pull up the device at 10.99.1.20"),
 ]
-BENCHMARK_NOTES = (
-    "exact_match_rate compares parsed PASS_4 envelopes (raw stripped text as a fallback); "
-    "pass_metrics gives per-section accuracy plus parse-failure counts; eval_dataset_source "
-    "records whether golden or the fallback split was used."
-)
-
-
 # ------------------------------------------------------------------ split loads
 @dataclass
 class SplitLoad:
@@ -71,16 +66,16 @@ class SplitLoad:
 
 
 def load_split(spark: SparkSession, path: str, split: str, max_samples: int | None = None, seed: int = 42) -> SplitLoad:
-    """Validated rows and the reject report of one JSONL split.
+    """Validated rows, keyed by ``(file, line_no)``, and the reject report of one JSONL split.
 
     The verdicts are checkpointed once (the strict JSON inspection runs a single time);
     the report and the valid rows are two branches over that checkpoint.
     """
     verdicts = cut_lineage(jsonl.validate_lines(jsonl.read_lines(spark, path)))
     report = validate.validation_report(verdicts, order_col="line_no", split=split, materialize=False)
-    valid = verdicts.filter(F.col("reason").isNull()).select("line_no", "messages")
+    valid = verdicts.filter(F.col("reason").isNull()).select("file", "line_no", "messages")
     if max_samples is not None:
-        valid = shape.seeded_sample(valid, "line_no", max_samples, seed)
+        valid = shape.seeded_sample(valid, ("file", "line_no"), max_samples, seed)
     return SplitLoad(valid=valid, verdicts=verdicts, report=report)
 
 
@@ -127,7 +122,7 @@ def generate_predictions(conversations: DataFrame, key: str, batch_factory: Call
                          max_new_tokens: int = 400) -> DataFrame:
     """Prediction records for rows ending on an assistant turn (others are skipped)."""
     prompts = shape.prompt_gold_records(conversations, key=key)
-    gen = generate.generate(spread(prompts), decode_factory=decode_factory, batch_factory=batch_factory,
+    gen = generate.generate(prompts, decode_factory=decode_factory, batch_factory=batch_factory,
                             batch_size=batch_size, max_new_tokens=max_new_tokens)
     return generate.prediction_records(gen, key)
 
@@ -135,8 +130,11 @@ def generate_predictions(conversations: DataFrame, key: str, batch_factory: Call
 def run_benchmark(spark: SparkSession, golden: DataFrame | None, fallback: DataFrame | None, key: str,
                   run_dir: str, batch_factory: Callable | None = None, decode_factory: Callable | None = None,
                   batch_size: int = 8, fallback_name: str = "val", run_id: str | None = None,
-                  base_model: str = "", adapter_dir: str = "") -> DataFrame:
-    """Generation benchmark: predictions exported under ``run_dir``, one-row report returned."""
+                  base_model: str = "", adapter_dir: str = "", val_metrics: dict[str, float] | None = None) -> DataFrame:
+    """Generation benchmark: predictions exported under ``run_dir``, one-row report returned.
+
+    ``val_metrics`` are the trainer's own figures, carried into the report.
+    """
     data, source = pick_eval_source(golden, fallback, fallback_name)
     now = datetime.now(timezone.utc).replace(microsecond=0).isoformat()
     base = spark.range(1).select(
@@ -145,12 +143,13 @@ def run_benchmark(spark: SparkSession, golden: DataFrame | None, fallback: DataF
         F.lit(base_model).alias("base_model"),
         F.lit(adapter_dir).alias("adapter_dir"),
         F.lit(source).cast("string").alias("eval_dataset_source"),
-        F.lit(BENCHMARK_NOTES).alias("notes"),
+        (F.create_map(*[F.lit(x) for kv in val_metrics.items() for x in (kv[0], float(kv[1]))]) if val_metrics
+         else F.create_map()).cast("map<string,double>").alias("val_metrics"),
     )
     if data is None:
         return base.select(
             "*",
-            F.lit(None).cast("struct<exact_match_rate:double,num_examples:bigint>").alias("golden_metrics"),
+            F.lit(None).cast("struct<exact_match_rate:double,num_examples:bigint,num_errors:bigint>").alias("golden_metrics"),
             F.lit(0).cast("bigint").alias("num_golden_examples"),
             F.lit(None).cast("string").alias("predictions_path"),
             F.create_map().cast("map<string,struct<accuracy:double,num_scored:bigint,num_gold_unparseable:bigint,"
@@ -160,7 +159,7 @@ def run_benchmark(spark: SparkSession, golden: DataFrame | None, fallback: DataF
     preds = cut_lineage(preds)  # the predictor runs once; export and scores read the checkpoint
     path = sinks.export_predictions(preds, run_dir, source)
     # Both aggregates are one row / five rows: fetch them and write the report row directly.
-    rate = evaluate.exact_match_rate(preds).first()
+    rate = evaluate.exact_match_rate(preds, status="status").first()
     acc = evaluate.pass_accuracy(evaluate.parse_pair(preds)).collect()
     pass_map = F.create_map(*[
         x
@@ -180,6 +179,7 @@ def run_benchmark(spark: SparkSession, golden: DataFrame | None, fallback: DataF
         F.struct(
             F.lit(rate["exact_match_rate"]).cast("double").alias("exact_match_rate"),
             F.lit(rate["num_examples"]).cast("bigint").alias("num_examples"),
+            F.lit(rate["num_errors"]).cast("bigint").alias("num_errors"),
         ).alias("golden_metrics"),
         F.lit(rate["num_examples"]).cast("bigint").alias("num_golden_examples"),
         F.lit(path).alias("predictions_path"),
@@ -218,57 +218,31 @@ def run_lookup_level_benchmark(queries: DataFrame, batch_factory: Callable | Non
 
 
 # --------------------------------------------------------------------- reports
-def render_validation_report(report: DataFrame, verdicts: DataFrame | None = None, order_col: str = "line_no",
-                             max_reasons: int = 50) -> str:
-    """Text rendering of a one-row validation report.
+def report_lines(rows: DataFrame, title: str | None = None) -> Iterator[str]:
+    """Any report as text, field by field from its schema; rows come one by one.
 
-    With ``verdicts``, full reasons are listed from the distributed reason histogram
-    (count desc, first appearance asc), at most ``max_reasons`` lines; otherwise the
-    report's reason classes are listed.
+    Null fields are left out; nested fields are shown as JSON.
     """
-    r = report.first()
-    split = r["split"] if "split" in report.columns else ""
-    lines = [f"=== Dataset validation: {split} ===",
-             f"  total lines: {r['total']:,}", f"  valid:       {r['valid']:,}", f"  invalid:     {r['invalid']:,}"]
-    if verdicts is not None:
-        top = validate.reason_histogram(verdicts, order_col).limit(max_reasons + 1).collect()
-        pairs = [(x["reason"], x["n"]) for x in top[:max_reasons]]
-        more = len(top) > max_reasons
-    else:
-        pairs = sorted((r["reason_classes"] or {}).items(), key=lambda kv: -kv[1])
-        more = False
-    if pairs:
-        lines.append("  invalid reasons:")
-        lines += [f"    {k}: {v}" for k, v in pairs]
-        if more:
-            lines.append("    ... more reasons in the reason histogram")
-    if r["dropped"]:
-        tail = "..." if r["invalid"] > len(r["dropped"]) else ""
-        lines.append("  first dropped line numbers: " + ", ".join(str(n) for n in r["dropped"][:10]) + tail)
-    return "\n".join(lines)
-
-
-def render_statistics(stats_row: dict) -> str:
-    """Text rendering of one split's statistics; null metrics are omitted."""
-    s = stats_row
-    out = [
-        f"=== Dataset statistics: {s['split']} ===",
-        f"  examples:                 {s['num_examples']:,}",
-        f"  avg turns/conversation:   {s['avg_turns']:.2f}",
-        f"  avg prompt tokens:        {s['avg_prompt_tokens']:.1f}",
-        f"  avg response tokens:      {s['avg_response_tokens']:.1f}",
-        f"  avg total tokens:         {s['avg_total_tokens']:.1f}",
-        f"  p95 total tokens:         {s['p95_total_tokens']:.1f}",
-        f"  max total tokens:         {s['max_total_tokens']:,}",
-        f"  exceeding max_seq_length: {s['num_exceeding_max_seq_length']:,}",
-    ]
-    if s.get("packing_efficiency") is not None:
-        out.append(f"  packing efficiency:      {s['packing_efficiency']:.2%}")
-    if s.get("estimated_optimizer_steps") is not None:
-        out.append(f"  est. optimizer steps:     {s['estimated_optimizer_steps']:,}")
-    if s.get("estimated_training_time_hours") is not None:
-        out.append(f"  est. training time:      {s['estimated_training_time_hours']:.1f} h (rough heuristic, not a benchmark)")
-    return "\n".join(out)
+    if title:
+        yield f"# {title}"
+    flat = rows.select(*[
+        (F.to_json(c) if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) else F.format_string("%.4g", c)
+         if isinstance(f.dataType, T.DoubleType) else F.col(c).cast("string")).alias(c)
+        for f in rows.schema.fields for c in [f.name]
+    ])
+    for row in flat.toLocalIterator():
+        yield "; ".join(f"{name}={value}" for name, value in row.asDict().items() if value is not None)
+
+
+def validation_text(load: SplitLoad, order_col: str = "line_no") -> Iterator[str]:
+    """A split's validation report, followed by every invalid reason with its count."""
+    yield from report_lines(load.report, "validation")
+    yield from report_lines(validate.reason_histogram(load.verdicts, order_col), "reasons")
+
+
+def statistics_text(statistics: DataFrame) -> Iterator[str]:
+    """Statistics rows as text."""
+    yield from report_lines(statistics, "statistics")
 
 
 def build_manifest(spark: SparkSession, counts: DataFrame, params: dict, prior: DataFrame | None = None) -> DataFrame:
@@ -290,7 +264,10 @@ def build_manifest(spark: SparkSession, counts: DataFrame, params: dict, prior:
     if prior is not None:
         prior_json = prior.select(F.to_json(F.struct("*")).alias("j")).first()
         out = out.withColumn("prior_manifest", F.lit(prior_json["j"] if prior_json else None).cast("string"))
-    return out
+    # every field of a manifest, in its order; what the caller left out is null
+    return out.select(*[
+        (F.col(f.name) if f.name in out.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in MANIFEST_SCHEMA.fields
+    ], *[c for c in out.columns if c not in MANIFEST_SCHEMA.fieldNames()])
 
 
 def run_golden_evaluation(golden: DataFrame | None, key: str, batch_factory: Callable | None = None,
@@ -302,7 +279,7 @@ def run_golden_evaluation(golden: DataFrame | None, key: str, batch_factory: Cal
         return None
     data = shape.first_n(golden, key, max_samples) if max_samples is not None else golden
     preds = generate_predictions(data, key, batch_factory, decode_factory, batch_size)
-    return evaluate.exact_match_rate(preds)
+    return evaluate.exact_match_rate(preds, status="status")
 
 
 def prediction_sample(conversations: DataFrame, key: str, decode_factory: Callable, eval_count: int,

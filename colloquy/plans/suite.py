@@ -17,7 +17,7 @@ from colloquy.operators import evaluate, generate, metrics, registry, shape, sta
 from colloquy.functions.replies import with_parsed_reply
 from colloquy.plans import fixtures as fx
 from colloquy.plans import stubs
-from colloquy.session import checkpoint_dir, cut_lineage, spread
+from colloquy.session import checkpoint_dir, cut_lineage
 from colloquy.streaming import requests as streaming_requests
 from colloquy.sources.conversations import assemble_messages, read_table, read_turns
 from colloquy.sources import jsonl
@@ -345,7 +345,7 @@ def q_wrapped_packing(spark: SparkSession, sf: str) -> DataFrame:
     FROM p""",
 )
 def q_doc_packing(spark: SparkSession, sf: str) -> DataFrame:
-    docs = spread(read_table(spark, sf, "documents").select("doc_id", "text"))
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
     docs = docs.select("doc_id", stats.whitespace_tokens(F.col("text")).alias("n_tokens"))
     return shape.wrapped_packing(docs, 2048, key="doc_id")
 
@@ -370,9 +370,14 @@ def q_doc_sample(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # --------------------------------------------------------------- reply scoring
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Narrow rows dealt by ``key`` over the session's shuffle partitions, at every size:
+    the reply texts made from them cost far more to parse than these rows to move."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def order_replies(spark: SparkSession, sf: str) -> DataFrame:
-    # Spread the narrow order rows before the reply texts exist (cheaper shuffle).
-    orders = spread(read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"))
+    orders = dealt(read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"), "o_orderkey")
     return orders.selectExpr("o_orderkey", f"{fx.GOLD_SQL} AS gold", f"{fx.GENERATED_SQL} AS generated")
 
 
@@ -400,7 +405,7 @@ _EXPECT_SQL = f"""
 
 @register("parse_replies", f"SELECT o_orderkey, norm, lexemes, intent, semantic, envelope FROM ({_EXPECT_SQL})")
 def q_parse_replies(spark: SparkSession, sf: str) -> DataFrame:
-    p = with_parsed_reply(spread(order_replies(spark, sf).select("o_orderkey", "generated")), "generated", "p")
+    p = with_parsed_reply(order_replies(spark, sf).select("o_orderkey", "generated"), "generated", "p")
     return p.select(
         "o_orderkey",
         _pairs_text(F.col("p.norm")).alias("norm"),
@@ -454,7 +459,7 @@ def robustness_results(spark: SparkSession, sf: str) -> DataFrame:
         "CAST(user_id AS STRING) AS group_id", f"{fx.LEVEL_SQL} AS level", "event_id AS seq",
         f"{fx.ROBUST_REPLY_SQL} AS generated",
     )
-    ev = spread(ev).withColumn("level_name", evaluate.level_name_column(F.col("level")))
+    ev = ev.withColumn("level_name", evaluate.level_name_column(F.col("level")))
     parsed = ev.withColumn("pass4_envelope", evaluate.envelope_of(F.col("generated"))).drop("generated")
     return evaluate.robustness(cut_lineage(parsed))
 
@@ -597,20 +602,29 @@ def q_ndjson_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 # -------------------------------------------------------------------- registry
 def runs_table(spark: SparkSession, sf: str) -> DataFrame:
-    orders = spread(read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"))
+    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
     return orders.selectExpr(
         "o_orderkey", f"{fx.BASE_DIR_SQL} AS base_dir", f"{fx.RUN_NAME_SQL} AS run_name", f"{fx.HAS_ADAPTER_SQL} AS has_adapter"
     )
 
 
 def checkpoints_table(spark: SparkSession, sf: str) -> DataFrame:
-    items = spread(read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_tax"))
+    items = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_tax")
     items = items.selectExpr(
         "l_orderkey AS o_orderkey", f"{fx.CKPT_NAME_SQL} AS name", f"{fx.CKPT_LOSS_SQL} AS eval_loss"
     )
     return items.join(runs_table(spark, sf).select("o_orderkey", "base_dir", "run_name"), "o_orderkey").drop("o_orderkey")
 
 
+def uneven_checkpoints(spark: SparkSession, sf: str) -> DataFrame:
+    """Checkpoints where some runs hold only ``checkpoint-final`` and some losses are null."""
+    return checkpoints_table(spark, sf).selectExpr("base_dir", "run_name", f"{_FINAL_SQL} AS name", f"{_UNKNOWN_LOSS_SQL} AS eval_loss")
+
+
+_FINAL_SQL = "CASE WHEN right(run_name, 1) IN ('1', '4', '7') THEN 'checkpoint-final' ELSE name END"
+_UNKNOWN_LOSS_SQL = "CASE WHEN right(name, 1) IN ('0', '5') THEN NULL ELSE eval_loss END"
+
+
 _RUNS_SQL = f"SELECT o_orderkey, {fx.BASE_DIR_SQL} AS base_dir, {fx.RUN_NAME_SQL} AS run_name, {fx.HAS_ADAPTER_SQL} AS has_adapter FROM orders"
 _CKPT_SQL = f"""SELECT r.base_dir, r.run_name, {fx.CKPT_NAME_SQL} AS name, {fx.CKPT_LOSS_SQL} AS eval_loss
   FROM lineitem JOIN ({_RUNS_SQL}) r ON l_orderkey = r.o_orderkey"""
@@ -640,26 +654,29 @@ def q_latest_synced_run(spark: SparkSession, sf: str) -> DataFrame:
     "latest_resumable_run",
     rf"""SELECT base_dir, max(run_name) AS resume_run FROM ({_RUNS_SQL}) r
     WHERE regexp_matches(run_name, '^run_\d{{8}}_\d{{6}}$')
-      AND EXISTS (SELECT 1 FROM ({_CKPT_NUM_SQL}) c WHERE c.base_dir = r.base_dir AND c.run_name = r.run_name)
+      AND EXISTS (SELECT 1 FROM (SELECT base_dir, run_name, {_FINAL_SQL} AS name FROM ({_CKPT_SQL})) c
+                  WHERE c.base_dir = r.base_dir AND c.run_name = r.run_name AND starts_with(c.name, 'checkpoint-'))
     GROUP BY base_dir""",
 )
 def q_latest_resumable_run(spark: SparkSession, sf: str) -> DataFrame:
-    return registry.latest_resumable_run(runs_table(spark, sf), checkpoints_table(spark, sf))
+    return registry.latest_resumable_run(runs_table(spark, sf), uneven_checkpoints(spark, sf))
 
 
 @register(
     "stale_checkpoints",
-    f"""WITH c AS ({_CKPT_NUM_SQL}),
+    rf"""WITH u AS (SELECT base_dir, run_name, {_FINAL_SQL} AS name, {_UNKNOWN_LOSS_SQL} AS eval_loss FROM ({_CKPT_SQL})),
+    c AS (SELECT *, CAST(regexp_extract(name, '^checkpoint-(\d+)$', 1) AS BIGINT) AS step FROM u WHERE regexp_matches(name, '^checkpoint-\d+$')),
     best AS (SELECT base_dir, run_name, name AS best FROM
-               (SELECT base_dir, run_name, name, row_number() OVER (PARTITION BY base_dir, run_name ORDER BY eval_loss, step) AS rn FROM c)
+               (SELECT base_dir, run_name, name, row_number() OVER (PARTITION BY base_dir, run_name ORDER BY eval_loss, step) AS rn
+                FROM c WHERE eval_loss IS NOT NULL)
              WHERE rn = 1),
     latest AS (SELECT base_dir, run_name, arg_max(name, step) AS latest FROM c GROUP BY base_dir, run_name)
     SELECT c.base_dir, c.run_name, c.name, c.eval_loss, c.step FROM c
-    JOIN best USING (base_dir, run_name) JOIN latest USING (base_dir, run_name)
-    WHERE c.name <> best.best AND c.name <> latest.latest""",
+    LEFT JOIN best USING (base_dir, run_name) JOIN latest USING (base_dir, run_name)
+    WHERE c.name IS DISTINCT FROM best.best AND c.name <> latest.latest""",
 )
 def q_stale_checkpoints(spark: SparkSession, sf: str) -> DataFrame:
-    stale = registry.stale_checkpoints(checkpoints_table(spark, sf))
+    stale = registry.stale_checkpoints(uneven_checkpoints(spark, sf))
     return stale.select("base_dir", "run_name", "name", "eval_loss", registry.checkpoint_step(F.col("name")).alias("step"))
 
 
@@ -749,7 +766,7 @@ _PY_WS_SQL = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 def q_generate_eval(spark: SparkSession, sf: str) -> DataFrame:
     conv = assemble_messages(read_turns(spark, sf))
     prompts = shape.prompt_gold_records(conv)
-    gen = generate.generate(spread(prompts), batch_factory=stubs.echo_last_turn_batch_factory, batch_size=8)
+    gen = generate.generate(prompts, batch_factory=stubs.echo_last_turn_batch_factory, batch_size=8)
     rec = generate.prediction_records(gen, "conv_id")
     return rec.select("conv_id", "generated", "exact_match", "status")
 
@@ -774,7 +791,7 @@ def q_jsonl_validate(spark: SparkSession, sf: str) -> DataFrame:
     lines = conv.select("conv_id", F.to_json(F.struct("messages")).alias("json_line")).selectExpr(
         "conv_id", f"{fx.JSONL_LINE_SQL} AS value"
     )
-    return jsonl.validate_lines(spread(lines)).select("conv_id", "reason")
+    return jsonl.validate_lines(lines).select("conv_id", "reason")
 
 
 # ------------------------------------------------------------------- streaming
@@ -867,7 +884,7 @@ def q_prompt_before_reply(spark: SparkSession, sf: str) -> DataFrame:
     FROM d GROUP BY lang""",
 )
 def q_doc_token_stats(spark: SparkSession, sf: str) -> DataFrame:
-    docs = spread(read_table(spark, sf, "documents").select("lang", "text"))
+    docs = read_table(spark, sf, "documents").select("lang", "text")
     per = docs.select(F.col("lang").alias("split"), stats.whitespace_tokens(F.col("text")).alias("total_tokens"))
     out = stats.token_analysis(per, max_seq_length=2048)
     return out.select("split", *[F.round(c, 6).alias(c) for c in ("mean", "median", "p95")], "max",
@@ -901,8 +918,7 @@ def q_jsonl_parseable(spark: SparkSession, sf: str) -> DataFrame:
     lines = conv.select("conv_id", F.to_json(F.struct("messages")).alias("json_line")).selectExpr(
         "conv_id", f"{fx.JSONL_LINE_SQL} AS value"
     )
-    checked = jsonl.validate_lines(spread(lines))
-    return checked.filter(~F.coalesce(F.col("reason").startswith("invalid_json:"), F.lit(False))).select("conv_id")
+    return jsonl.parseable_lines(lines).select("conv_id")
 
 
 @register(

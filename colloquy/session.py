@@ -45,7 +45,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return configured
-    if sc is None or not sc.master.startswith("local"):
+    if sc is None or not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="colloquy-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
@@ -59,45 +59,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """Materialise ``df`` as a broadcast side when it has at most ``max_rows`` rows.
-
-    The size check is a bounded ``limit(max_rows + 1)`` fetch; ``None`` means the
-    caller must take its shuffle path instead.
-    """
-    from pyspark.sql import functions as F
-
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return None
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition when ``df`` has fewer partitions than task slots.
-
-    CPU-heavy per-row work (reply parsing, tokenising) on a small or single-row-group
-    input would otherwise run in one task. Large inputs already have enough splits
-    and pass through untouched, so no shuffle is added at scale.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # Spark Connect
-        target = min_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = num_partitions(df)
-    if parts is not None and parts < target:
-        return df.repartition(target)
-    return df
-
-
-def num_partitions(df: DataFrame) -> int | None:
-    """Partition count of the planned DataFrame (planning only, no job); ``None`` if unknown."""
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # Spark Connect has no RDD view
-        return None
-
-
 def list_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Paths matching a Hadoop glob (file listing only, no data read); empty when none."""
     jvm = spark.sparkContext._jvm

@@ -3,7 +3,7 @@
 * ``read_lines`` reads text files with 1-based line numbers per file (blank lines
   count). Each file split is one block inside one partition; rows of a block are
   numbered by their position in the block plus the line count of the earlier blocks
-  of the same file (a small per-block table, broadcast after a bounded size check).
+  of the same file (a per-block table, one row for each split).
 * ``inspect_records`` is the only Python step: ``json.loads`` gives the exact parse
   error text and Python's truthiness rules for content; it returns a typed struct.
 * ``validate_lines`` applies the message rules natively on that struct's arrays.
@@ -19,11 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from colloquy.functions.canonical import escape_surrogates
 from colloquy.functions.text import py_strip
 from colloquy.operators import validate as V
-from colloquy.session import broadcast_if_small
-
-MAX_BROADCAST_BLOCKS = 200_000
 
 TURN_TYPE = T.StructType(
     [
@@ -55,8 +53,6 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     blocks = raw.groupBy("file", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    small = broadcast_if_small(offsets, MAX_BROADCAST_BLOCKS)
-    offsets = small if small is not None else offsets
     return raw.join(offsets, ["file", "_block"]).select(
         "file", (F.col("_off") + F.col("_id") - F.col("_first") + 1).alias("line_no"), "value"
     )
@@ -66,17 +62,30 @@ def count_nonblank_lines(spark: SparkSession, paths: str | list[str]) -> int:
     return spark.read.text(paths).filter(py_strip(F.col("value")) != "").count()
 
 
+def _rejected(reason: str) -> dict:
+    return {"json_reason": reason, "has_messages": None, "messages_is_list": None, "turns": None}
+
+
+def _text(value: str | None) -> str | None:
+    """``value`` with lone surrogates spelt out, so that it can leave Python as UTF-8."""
+    return None if value is None else escape_surrogates(value)
+
+
 def _inspect(line: Any) -> dict | None:
+    """One line's record; a line that can't be read is a rejected record, never an error."""
     if line is None:
         return None
     try:
-        data = json.loads(line)
+        return _inspected(json.loads(line))
     except json.JSONDecodeError as exc:
-        return {"json_reason": f"invalid_json:{exc.msg}", "has_messages": None, "messages_is_list": None, "turns": None}
+        return _rejected(f"invalid_json:{exc.msg}")
     except (ValueError, RecursionError) as exc:
-        return {"json_reason": f"invalid_json:{exc}", "has_messages": None, "messages_is_list": None, "turns": None}
+        return _rejected(f"invalid_json:{exc}")
+
+
+def _inspected(data: Any) -> dict:
     if not isinstance(data, dict):
-        return {"json_reason": "not_a_json_object", "has_messages": None, "messages_is_list": None, "turns": None}
+        return _rejected("not_a_json_object")
     messages = data.get("messages")
     turns = None
     if isinstance(messages, list):
@@ -90,10 +99,10 @@ def _inspect(line: Any) -> dict | None:
             turns.append(
                 {
                     "is_dict": True,
-                    "role": role if isinstance(role, str) else None,
-                    "role_repr": str(role),
-                    "content": content if isinstance(content, str) or content is None
-                    else json.dumps(content, ensure_ascii=False),
+                    "role": _text(role) if isinstance(role, str) else None,
+                    "role_repr": _text(str(role)),
+                    "content": _text(content if isinstance(content, str) or content is None
+                                     else json.dumps(content, ensure_ascii=False)),
                     "content_blank": (not content) or (not str(content).strip()),
                 }
             )
@@ -166,7 +175,24 @@ def validate_lines(lines: DataFrame, value: str = "value") -> DataFrame:
 
 def read_json_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Lenient scan: lines that parse as JSON (any type), blank and broken lines skipped."""
-    lines = read_lines(spark, paths)
-    checked = validate_lines(lines)
-    ok = checked.filter(~F.coalesce(F.col("reason").startswith("invalid_json:"), F.lit(False)))
-    return lines.join(ok.select("file", "line_no"), ["file", "line_no"], "left_semi")
+    return parseable_lines(read_lines(spark, paths))
+
+
+@F.pandas_udf(T.BooleanType())
+def parses(lines: pd.Series) -> pd.Series:
+    """Whether each text is one JSON document."""
+    return pd.Series([x is not None and _parses(x) for x in lines], dtype=bool)
+
+
+def _parses(text: str) -> bool:
+    try:
+        json.loads(text)
+    except (ValueError, RecursionError):
+        return False
+    return True
+
+
+def parseable_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+    """The rows whose stripped ``value`` is one JSON document: one filter, no join."""
+    stripped = py_strip(F.make_valid_utf8(F.col(value)))
+    return lines.filter(stripped != "").filter(parses(stripped))

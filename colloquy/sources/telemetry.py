@@ -31,7 +31,7 @@ DECODED_COLUMNS = ("request_id", "seq", "at_us", "is_line", "is_end", "delta", "
 def decode_sse(log: DataFrame) -> DataFrame:
     line = py_strip(F.col("line"))
     is_data = line.startswith(SSE_PREFIX)
-    payload = F.substring(line, len(SSE_PREFIX) + 1, 1 << 30)
+    payload = F.substr(line, F.lit(len(SSE_PREFIX) + 1))
     is_end = is_data & (payload == SSE_DONE)
     return log.select(
         "request_id",

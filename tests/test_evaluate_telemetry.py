@@ -130,7 +130,6 @@ def test_cumulative_to_delta(spark):
 
 
 def test_generation_batches_and_fallback(spark):
-    assert generate.batch_sizes(5, 2) == [2, 2, 1]
     df = spark.createDataFrame(
         [(i, [{"role": "user", "content": f"q{i}"}]) for i in range(5)], "k long, prompt_messages array<struct<role:string,content:string>>"
     ).coalesce(1)
@@ -188,11 +187,11 @@ def test_registry_rules(spark):
 
 def test_manifest_preference(spark):
     m = spark.createDataFrame(
-        [("a", registry.LEGACY_MANIFEST_NAME, '{"lora_r": 4}'), ("a", "manifest.json", '{"lora_r": 8}'),
-         ("b", registry.LEGACY_MANIFEST_NAME, '{"lora_r": 2}'), ("c", "manifest.json", "{corrupt")],
+        [("a", "old_manifest.json", '{"lora_r": 4}'), ("a", "manifest.json", '{"lora_r": 8}'),
+         ("b", "old_manifest.json", '{"lora_r": 2}'), ("c", "manifest.json", "{corrupt")],
         "adapter_path string, file_name string, body string",
     )
-    best = registry.parse_manifest_body(registry.prefer_manifest(m))
+    best = registry.parse_manifest_body(registry.prefer_manifest(m, legacy="old_manifest.json"))
     got = {r["adapter_path"]: (r["manifest"]["lora_r"] if r["manifest"] else None) for r in best.collect()}
     assert got == {"a": 8, "b": 2, "c": None}
 
@@ -249,9 +248,32 @@ def test_small_helpers(spark):
     assert ts[0] == dt.datetime(2024, 1, 2, 3, 4, 5) and ts[1] is None
     meta = spark.createDataFrame([(1, "lr", "float", "0.1"), (1, "cfg", "dict", "{}")], "run_id long, k string, kind string, value string")
     assert [r["metric"] for r in metrics.scalar_metadata(meta).collect()] == ["run/lr"]
-    dev = {r["device"]: r for r in stats.device_table(spark).collect()}
-    assert dev["L4"]["rec_batch_size"] == 2 and dev["CPU"]["tokens_per_sec"] == 5.0
     turns = spark.createDataFrame([(1, 0, "user", "q"), (2, 0, "bot", "q")], "conv_id long, turn long, role string, text string")
     verdicts = V.validate_turns(turns)
     assert [r["conv_id"] for r in V.valid_turns(turns, verdicts).collect()] == [1]
     assert [r["reason_class"] for r in V.quarantine(verdicts).collect()] == ["turn_i_invalid_role"]
+
+
+def test_failed_predictions_score_zero_and_are_counted(spark):
+    prompts = spark.createDataFrame([(i, "gold") for i in range(10)], "conv_id long, gold string").withColumn(
+        "prompt_messages", F.array(F.struct(F.lit("user").alias("role"), F.lit("q").alias("content"))))
+    gen = prompts.selectExpr("*", "CASE WHEN conv_id = 0 THEN 'gold' END AS generated", "CASE WHEN conv_id = 0 THEN 'ok' ELSE 'error' END AS status")
+    r = evaluate.exact_match_rate(generate.prediction_records(gen, "conv_id"), status="status").first()
+    assert (r["exact_match_rate"], r["num_examples"], r["num_errors"]) == (0.1, 10, 9)
+
+
+def test_runs_with_a_final_checkpoint_resume_and_unmeasured_losses_are_never_best(spark):
+    runs = spark.createDataFrame([("b", "run_20240101_000000", True), ("b", "run_20240102_000000", True)], "base_dir string, run_name string, has_adapter boolean")
+    cks = spark.createDataFrame(
+        [("b", "run_20240101_000000", "checkpoint-1", None), ("b", "run_20240101_000000", "checkpoint-2", 0.5), ("b", "run_20240101_000000", "checkpoint-3", 0.9),
+         ("b", "run_20240102_000000", "checkpoint-final", None)], "base_dir string, run_name string, name string, eval_loss double")
+    assert registry.latest_resumable_run(runs, cks).first()["resume_run"] == "run_20240102_000000"
+    assert [r["name"] for r in registry.stale_checkpoints(cks).collect()] == ["checkpoint-1"]
+
+
+def test_two_prior_rows_do_not_multiply_a_child(spark):
+    fields = "base_model string, lora_r long, lora_alpha long, max_seq_length long"
+    child = spark.createDataFrame([("c", "a", "m", 1, 2, 3)], "name string, continue_adapter string, " + fields)
+    prior = spark.createDataFrame([("a", "p", 8, 16, 512), ("a", "p", 8, 16, 512)], "adapter_path string, " + fields)
+    rows = registry.inherit_from_prior(child, prior).collect()
+    assert len(rows) == 1 and rows[0]["lora_r"] == 8

@@ -56,8 +56,18 @@ def test_dataset_statistics_against_python(spark):
     packed = max(int(sum(totals) / 40), 1)
     assert r["estimated_optimizer_steps"] == int(max(packed // 8, 1) * 2.0)
     assert abs(r["estimated_training_time_hours"] - n * (sum(totals) / n) * 2.0 / 250.0 / 3600) < 1e-12
-    text = jobs.render_statistics(r.asDict())
-    assert "packing efficiency" in text and "est. optimizer steps" in text
+    (title, line) = jobs.statistics_text(spark.createDataFrame([r]))
+    assert title == "# statistics" and f"num_examples={n}" in line and "packing_efficiency=" in line
+
+
+def test_exact_samples_at_any_bucket(spark):
+    df = spark.range(5000).withColumn("half", F.col("id") % 2)
+    for n in (0, 1, 9, 11, 4999, 5000, 6000):
+        got = {r["id"] for r in shape.seeded_sample(df, "id", n, seed=3).collect()}
+        assert len(got) == min(n, 5000)
+    pairs = df.selectExpr("id % 100 AS line_no", "CAST(id DIV 100 AS STRING) AS file")  # line numbers repeat over files
+    assert shape.seeded_sample(pairs, ("file", "line_no"), 9).count() == 9
+    assert shape.seeded_sample(pairs, ("file", "line_no"), 11).count() == 11
 
 
 def test_histogram_bins(spark):
@@ -137,14 +147,6 @@ def test_seeded_sample(spark):
     assert shape.seeded_sample(df, "k", 1000).count() == 500
 
 
-def test_seeded_sample_large_path_is_exact(spark):
-    df = spark.range(3000).withColumnRenamed("id", "k").repartition(5)
-    small = sorted(r["k"] for r in shape.seeded_sample(df, "k", 700).collect())
-    large = sorted(r["k"] for r in shape.seeded_sample(df, "k", 700, merge_rows=10).collect())
-    assert small == large and len(large) == 700
-    assert shape.seeded_sample(df, "k", 5000, merge_rows=10).count() == 3000
-
-
 def test_device_family_and_profiles(spark):
     import pytest
 

@@ -69,9 +69,10 @@ def test_manifest_scan(spark, tmp_dir):
     os.makedirs(a)
     os.makedirs(b)
     open(os.path.join(a, "manifest.json"), "w").write(json.dumps({"lora_r": 8, "base_model": "m"}, indent=2))
-    open(os.path.join(a, registry.LEGACY_MANIFEST_NAME), "w").write(json.dumps({"lora_r": 4}))
-    open(os.path.join(b, registry.LEGACY_MANIFEST_NAME), "w").write(json.dumps({"lora_r": 2}))
-    m = registry.parse_manifest_body(registry.prefer_manifest(registry.read_manifests(spark, [a, b, os.path.join(tmp_dir, "none")])))
+    open(os.path.join(a, "old_manifest.json"), "w").write(json.dumps({"lora_r": 4}))
+    open(os.path.join(b, "old_manifest.json"), "w").write(json.dumps({"lora_r": 2}))
+    m = registry.parse_manifest_body(registry.prefer_manifest(
+        registry.read_manifests(spark, [a, b, os.path.join(tmp_dir, "none")], legacy="old_manifest.json"), legacy="old_manifest.json"))
     got = {os.path.basename(r["adapter_path"]): r["manifest"]["lora_r"] for r in m.collect()}
     assert got == {"a": 8, "b": 2}
 
@@ -174,9 +175,4 @@ def test_session_helpers(spark):
     session.ship_package(spark)
     session.ship_package(spark)  # idempotent per application
     assert spark.sparkContext.applicationId in session._SHIPPED
-    one = spark.range(100).coalesce(1)
-    assert session.num_partitions(one) == 1
-    assert session.spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(100).repartition(spark.sparkContext.defaultParallelism * 2)
-    assert session.spread(many) is many  # enough partitions: no extra shuffle
     assert session.checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")

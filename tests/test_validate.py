@@ -58,7 +58,7 @@ def _lines(spark, lines):
 def test_raw_lane_rules(spark):
     good = json.dumps({"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}], "x": 1})
     lines = [
-        "[1, 2, 3]", "{}", '{"messages": []}', '{"messages": null}', '{"messages": "x"}', "{not valid json",
+        "[1, 2, 3]", "{}", '{"messages": []}', '{"messages": null}', '{"messages": "x"}', "{broken",
         good, "", '{"messages": [{"role": "bot", "content": "a"}]}', '{"messages": [{"role": "user", "content": " "}]}',
         '{"messages": [{"role": "user", "content": 0}]}', '{"messages": [{"role": 5, "content": "x"}]}',
         '{"messages": ["hello"]}', good + " trailing",
@@ -101,16 +101,17 @@ def test_line_numbers_and_report(spark, tmp_dir):
     path = os.path.join(tmp_dir, "train.jsonl")
     good = json.dumps({"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]})
     with open(path, "w", encoding="utf-8") as f:
-        f.write("\n".join([good, "", "{not valid json", good, "   ", "[1]", good]) + "\n")
+        f.write("\n".join([good, "", "{broken", good, "   ", "[1]", good]) + "\n")
     load = jobs.load_split(spark, path, "train")
     rep = load.report.first()
     assert (rep["total"], rep["valid"], rep["invalid"]) == (5, 3, 2)
     assert rep["dropped"] == [3, 6]
     assert load.valid.count() == 3
-    text = jobs.render_validation_report(load.report)
-    assert "first dropped line numbers: 3, 6" in text
-    full = jobs.render_validation_report(load.report, load.verdicts)
-    assert "invalid_json:Expecting property name enclosed in double quotes: 1" in full and "not_a_json_object: 1" in full
+    text = list(jobs.validation_text(load))
+    assert any("dropped=[3,6]" in x for x in text) and text.index("# reasons") == 2
+    assert sorted(x.split("; first_seen")[0] for x in text[3:]) == [
+        "reason=invalid_json:Expecting property name enclosed in double quotes; n=1", "reason=not_a_json_object; n=1"
+    ]
     assert jsonl.count_nonblank_lines(spark, path) == 5
     assert jsonl.read_json_lines(spark, path).count() == 4
 
