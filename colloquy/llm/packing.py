@@ -146,7 +146,7 @@ def pack(docs: DataFrame, path: Callable[[], str], text: str = "text", key: str
             return out
 
         def batch_of(out: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
-            cols = list(zip(*out)) if out else [()] * 7
+            cols = list(zip(*out)) or [()] * 7
             return pa.RecordBatch.from_arrays([pa.array(cols[0], kind), *(pa.array(c, pa.int64()) for c in cols[1:])], names)
 
         key_type = pa.int64()
@@ -175,7 +175,8 @@ def pack(docs: DataFrame, path: Callable[[], str], text: str = "text", key: str
                     open_.insert(0, (k, start + take, ids[take:], total))
             out += rows_of(pieces, number)
             number += 1
-        yield batch_of(out, key_type)
+        if out:
+            yield batch_of(out, key_type)
 
     names = ["key", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     kind = rows.schema["key"].dataType.simpleString()
