@@ -120,6 +120,11 @@ def robustness(results: DataFrame, group: str = "group_id", level: str = "level"
     return joined.withColumn("matches_level1", matches).drop("_ref")
 
 
+def in_report_order(results: DataFrame, group: str = "group_id", level: str = "level", seq: str = "seq") -> DataFrame:
+    """Results by group, inside it by level, then as they came."""
+    return results.orderBy(group, level, seq)
+
+
 def robustness_summary(scored: DataFrame, level: str = "level", seq: str = "seq", level_name: str = "level_name") -> DataFrame:
     """Per level: name (first seen), queries, scoreable, consistency (0.0 if none); level 1 is a note."""
     m = F.col("matches_level1")
