@@ -11,11 +11,11 @@ that earlier line stays itself.
    repeat in a task go out once; the later places are marked as gone.
 3. Rows are dealt by word. Within a word's group, lines are compared under the length
    filter, the prefix filter (the shorter partner needs only ``n - ceil(2t/(1+t) n) + 1``),
-   the positional filter and a parity-bitmap bound on the symmetric difference. Groups of
-   up to ``SMALL`` lines give all pairs that pass; in larger ones (copies of one line)
-   each line is paired with the earliest that passes.
-4. Pairs are verified on the words themselves. Lines of large groups that this leaves
-   unmatched are then compared with all earlier members.
+   the positional filter and a parity-bitmap bound on the symmetric difference. A line
+   gets up to ``ENOUGH`` earlier candidates from each group, so a large group (copies of
+   one line) gives few pairs a line, not all.
+4. Pairs are verified on the words themselves. Lines that may have had more candidates and
+   were matched by none of theirs are then compared with all earlier members.
 
 Defined cases: null text stays null and has no lines; lines without words always stay;
 null ids rank before all others and are one document, like rows that share an id (equal
@@ -203,7 +203,7 @@ def prefix_rows(docs: DataFrame, text: str = "text", key: str = "doc_id", thresh
 
 _ROW = "wg long, g long, k long, line int, n_pos long"
 _PAIR = "a_k long, a_line int, b_k long, b_line int, more boolean"
-SMALL, CHUNK = 64, 1 << 18
+ENOUGH, CHUNK = 4, 1 << 18
 
 
 class _Group:
@@ -247,42 +247,41 @@ def candidate_pairs(rows: DataFrame, threshold: float = THRESHOLD, wanted: str |
             cut = np.flatnonzero(np.diff(word)) + 1
             starts = np.concatenate([[0], cut]).astype(np.int64)
             size = np.diff(np.concatenate([starts, [len(word)]]))
-            out, more = [(np.zeros(0, np.int64),) * 2], [np.zeros(0, bool)]
-            large = size > (1 if wanted else SMALL)
-            if not wanted:  # sorted by size: a row's partners stand near before it
-                rank = np.arange(len(word)) - np.repeat(starts, size)
-                b = np.flatnonzero(np.repeat(~large, size) & (rank > 0))
-                lag = 1
+            out = [(np.zeros(0, np.int64),) * 2]
+            over = np.zeros(len(word), bool)  # lines that may have candidates left out
+            if wanted:
+                mine = cols[5][live].astype(bool)
+                for s in np.flatnonzero((size > 1) & (np.add.reduceat(mine, starts) > 0) if len(word) else size > 1).tolist():
+                    order = starts[s] + np.lexsort((r.line[starts[s] : starts[s] + size[s]], r.k[starts[s] : starts[s] + size[s]]))
+                    for b in np.flatnonzero(mine[order]).tolist():
+                        out.append(r.pairs(order[:b], np.full(b, order[b])))
+            else:
+                # rows stand by size: b's shorter partners are the indexed rows before it
+                index = np.flatnonzero(r.index)
+                before = np.concatenate([[0], np.cumsum(r.index)])[:-1]  # indexed rows before each row
+                room = before - np.repeat(before[starts] if len(starts) else before, size)  # of its own group
+                count = np.zeros(len(word), np.int32)
+                b, lag = np.flatnonzero(room > 0), 1
                 while len(b):
-                    b = b[(rank[b] >= lag)]
-                    b = b[r.n[b - lag] >= threshold * r.n[b] - 1e-9]
-                    out.append(r.pairs(b - lag, b))
-                    more.append(np.zeros(len(out[-1][0]), bool))
+                    b = b[room[b] >= lag]
+                    a = index[before[b] - lag]
+                    near = r.n[a] >= threshold * r.n[b] - 1e-9
+                    a, b = a[near], b[near]
+                    late = np.where((r.k[a] > r.k[b]) | ((r.k[a] == r.k[b]) & (r.line[a] > r.line[b])), a, b)
+                    full = count[late] >= ENOUGH
+                    over[late[full]] = True
+                    open_ = np.flatnonzero(~full)
+                    got = r.passes(a[open_], b[open_])
+                    got = open_[got]
+                    out.append((a[got], b[got]))
+                    np.add.at(count, late[got], 1)
                     lag += 1
-            for s, m in zip(starts[large].tolist(), size[large].tolist()):
-                order = s + np.lexsort((r.line[s : s + m], r.k[s : s + m]))
-                if wanted:
-                    mine = cols[5][live].astype(bool)[order]
-                    for b in np.flatnonzero(mine).tolist():
-                        out.append(r.pairs(order[:b], np.full(b, order[b])))
-                        more.append(np.zeros(len(out[-1][0]), bool))
-                    continue
-                rest = np.arange(1, m)
-                for a in range(m):
-                    rest = rest[rest > a]
-                    if not len(rest):
-                        break
-                    ok = r.passes(np.full(len(rest), order[a]), order[rest])
-                    if len(ok):
-                        out.append((np.full(len(ok), order[a]), order[rest[ok]]))
-                        more.append(np.ones(len(ok), bool))
-                        rest = np.delete(rest, ok)
             a, b = (np.concatenate(x) for x in zip(*out))
-            flag = np.concatenate(more)
             later = (r.k[a] > r.k[b]) | ((r.k[a] == r.k[b]) & (r.line[a] > r.line[b]))
             a, b = np.where(later, b, a), np.where(later, a, b)
             other = (r.k[a] != r.k[b]) | (r.line[a] != r.line[b])
-            a, b, flag = a[other], b[other], flag[other]
+            a, b = a[other], b[other]
+            flag = over[b]
             none = [None] * len(gone)
             return pa.RecordBatch.from_arrays(
                 [
