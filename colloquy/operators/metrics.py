@@ -16,15 +16,21 @@ from colloquy.functions.timecols import epoch_micros
 # Trainer log keys forwarded under train/, and the eval prefix rule.
 TRAIN_KEYS = ("loss", "learning_rate", "grad_norm", "epoch")
 EVAL_PREFIX = "eval_"
+DEVICE_KEYS = ("memory_used_gb", "memory_reserved_gb", "memory_total_gb", "utilization_pct")
+PROGRESS_KEYS = ("examples_per_sec", "tokens_per_sec", "eta_seconds", "epoch", "step")
 
 
 def series_key(raw_key: Column, source: Column) -> Column:
-    """Metric name: ``train/<k>`` for the four trainer keys, ``eval/<k minus eval_>`` for eval logs."""
+    """Metric name: ``train/<k>`` for the four trainer keys, ``eval/<k minus eval_>`` for eval
+    logs, ``gpu/<k>`` and ``system/<k>`` for device and progress figures."""
     train = F.when(raw_key.isin(*TRAIN_KEYS), F.concat(F.lit("train/"), raw_key))
     evaluation = F.concat(
         F.lit("eval/"), F.when(raw_key.startswith(EVAL_PREFIX), F.substr(raw_key, F.lit(len(EVAL_PREFIX) + 1))).otherwise(raw_key)
     )
-    return F.when(source == "train", train).when(source == "eval", evaluation)
+    out = F.when(source == "train", train).when(source == "eval", evaluation)
+    for name, keys in (("gpu", DEVICE_KEYS), ("system", PROGRESS_KEYS)):
+        out = out.when(source == name, F.when(raw_key.isin(*keys), F.concat(F.lit(f"{name}/"), raw_key)))
+    return out
 
 
 def to_series(logs: DataFrame, source: str = "source", key: str = "key") -> DataFrame:

@@ -159,6 +159,31 @@ def token_analysis(per_conv: DataFrame, max_seq_length: int = 1536, split: str =
     return out.drop("_gid") if with_total else out
 
 
+def with_empty_splits(figures: DataFrame, splits: list[str], split: str = "split",
+                      unknown: tuple[str, ...] = ("packing_efficiency", "estimated_optimizer_steps", "estimated_training_time_hours")) -> DataFrame:
+    """``figures`` with a row for every name in ``splits``: a split without examples has
+    zeros, and nulls for the figures in ``unknown``."""
+    names = figures.sparkSession.createDataFrame([(s,) for s in splits], f"{split} string")
+    absent = names.join(figures.select(split), split, "left_anti")
+    zeros = [
+        (F.lit(None) if f.name in unknown else F.col(split) if f.name == split else F.lit(0)).cast(f.dataType).alias(f.name)
+        for f in figures.schema.fields
+    ]
+    return figures.unionByName(absent.select(*zeros))
+
+
+def over_length_note(n_over: Column, n: Column, max_seq_length: int) -> Column:
+    """A remark for splits with conversations longer than the sequence length, else null."""
+    said = F.concat(n_over.cast("string"), F.lit(" of "), n.cast("string"), F.lit(f" conversations are longer than {max_seq_length} tokens"))
+    return F.when(n_over > 0, said)
+
+
+def length_ratio(df: DataFrame, generated: str, gold: str) -> DataFrame:
+    """Median lengths of generated and gold replies and the ratio of the two (null for empty golds)."""
+    out = df.groupBy().agg(F.percentile(generated, F.lit(0.5)).alias("median_generated"), F.percentile(gold, F.lit(0.5)).alias("median_gold"), F.count(F.lit(1)).alias("n"))
+    return out.withColumn("ratio", F.try_divide("median_generated", "median_gold"))
+
+
 def histogram(df: DataFrame, value: str, split: str = "split", bins: int = 20, width: int = 50,
               materialize: bool = True) -> DataFrame:
     """Equal-width histogram per split between min and max, last bin closed, empty bins kept.

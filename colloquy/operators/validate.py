@@ -53,7 +53,7 @@ def sequence_reason(n_non_system: Column, first_role: Column, has_consecutive: C
 
 def reason_class(reason: Column) -> Column:
     """Reason with the turn index and role value removed (bounded cardinality)."""
-    return F.regexp_replace(F.regexp_replace(reason, r"^turn_\d+_", "turn_i_"), ":.*$", "")
+    return F.regexp_replace(F.regexp_replace(reason, r"^turn_\d+_", "turn_i_"), "(?s):.*$", "")
 
 
 def validate_turns(turns: DataFrame, key: str = "conv_id") -> DataFrame:

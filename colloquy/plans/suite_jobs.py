@@ -198,3 +198,47 @@ def q_checkpoint_counts(spark: SparkSession, sf: str) -> DataFrame:
     """how many ``checkpoint-*`` folders each run holds."""
     named = checkpoints_table(spark, sf).filter(F.col("name").startswith(registry.CHECKPOINT_PREFIX))
     return named.groupBy("base_dir", "run_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+_SOURCE_SQL = "CASE event_type WHEN 'error' THEN 'gpu' WHEN 'view' THEN 'system' ELSE 'train' END"
+_KEY_SQL = "CASE event_id % 4 WHEN 0 THEN 'memory_used_gb' WHEN 1 THEN 'tokens_per_sec' WHEN 2 THEN 'loss' ELSE 'epoch' END"
+
+
+@register(
+    "device_series",
+    f"""WITH s AS (SELECT event_id AS step, value, {_SOURCE_SQL} AS source, {_KEY_SQL} AS key FROM events)
+    SELECT step, source || '/' || key AS metric, value FROM s
+    WHERE (source = 'gpu' AND key = 'memory_used_gb') OR (source = 'system' AND key IN ('tokens_per_sec', 'epoch'))
+       OR (source = 'train' AND key IN ('loss', 'epoch'))""",
+)
+def q_device_series(spark: SparkSession, sf: str) -> DataFrame:
+    """K5: device, progress and trainer figures under their own names."""
+    logs = read_table(spark, sf, "events").selectExpr("event_id AS step", "value", f"{_SOURCE_SQL} AS source", f"{_KEY_SQL} AS key")
+    return metrics.to_series(logs).select("step", "metric", "value")
+
+
+@register(
+    "statistics_with_empty_split",
+    """WITH d AS (SELECT lang AS split, len(string_split(trim(regexp_replace(text, '[ \t\n\r]+', ' ', 'g')), ' ')) AS n FROM documents WHERE lang <> 'en')
+    SELECT split, round(avg(n), 6) AS mean, CAST(max(n) AS BIGINT) AS max, count(*) AS n,
+           CASE WHEN count(*) FILTER (WHERE n > 512) > 0 THEN CAST(count(*) FILTER (WHERE n > 512) AS VARCHAR) || ' of ' || CAST(count(*) AS VARCHAR) || ' conversations are longer than 512 tokens' END AS note
+    FROM d GROUP BY split UNION ALL SELECT 'en', 0.0, 0, 0, NULL""",
+)
+def q_statistics_with_empty_split(spark: SparkSession, sf: str) -> DataFrame:
+    """A split without rows has zeros, and over-length splits a remark."""
+    docs = read_table(spark, sf, "documents").filter("lang <> 'en'")
+    per = docs.select(F.col("lang").alias("split"), stats.whitespace_tokens(F.col("text")).alias("total_tokens"))
+    out = stats.with_empty_splits(stats.token_analysis(per, max_seq_length=512), ["de", "en", "es", "fr"])
+    note = stats.over_length_note(F.col("num_exceeding_max_seq_length"), F.col("n"), 512)
+    return out.select("split", F.round("mean", 6).alias("mean"), F.col("max").cast("bigint").alias("max"), "n", note.alias("note"))
+
+
+@register(
+    "reply_length_ratio",
+    """SELECT quantile_cont(l_partkey % 97 + 1, 0.5) AS median_generated, quantile_cont(l_suppkey % 31 + 1, 0.5) AS median_gold, count(*) AS n,
+           quantile_cont(l_partkey % 97 + 1, 0.5) / quantile_cont(l_suppkey % 31 + 1, 0.5) AS ratio FROM lineitem""",
+)
+def q_reply_length_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    """How much longer generated replies are than gold ones."""
+    df = read_table(spark, sf, "lineitem").selectExpr("l_partkey % 97 + 1 AS generated", "l_suppkey % 31 + 1 AS gold")
+    return stats.length_ratio(df, "generated", "gold")
