@@ -7,11 +7,17 @@ kept. All but the last return the columns of ``docs``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from colloquy.llm import lines, packing, pii, quality, simhash
 from colloquy.llm.common import read, stage
 
 
+def _counted(docs: DataFrame) -> DataFrame:
+    """``n_chars`` follows a changed text."""
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the classifier rejects; it learns from rows not held out."""
     model, _ = quality.fit(docs, read(spark, sf_dir, "labels"))
@@ -20,7 +26,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts every line that an earlier line matches (Jaccard similarity of words 0.8 or more)."""
-    return lines.dedup_lines(docs)
+    return _counted(lines.dedup_lines(docs))
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +36,7 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by keyed pseudonyms of the same format."""
-    return pii.pseudonymise(docs)
+    return _counted(pii.pseudonymise(docs))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
