@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from colloquy.llm.common import bit_table, has_bit, mark_maybe, read, slots, stage
 
 THRESHOLD = 0.8
-SLOTS, PIECES = 1 << 23, 64  # frequency counters; shuffled pieces of them
+SLOTS, PIECES = 1 << 24, 64  # frequency counters; shuffled pieces of them
 WORDS_KEPT = 300_000  # words whose hash a task remembers
 LINES_KEPT = 200_000  # line hashes a task remembers, to send equal lines' prefixes once
 NO_ID = -(1 << 63)
@@ -202,7 +202,7 @@ def prefix_rows(docs: DataFrame, text: str = "text", key: str = "doc_id", thresh
 
 
 _ROW = "wg long, g long, k long, line int, n_pos long"
-_PAIR = "a_k long, a_line int, b_k long, b_line int, more boolean"
+_PAIR = "a_k long, a_line int, b_k long, b_line int, more boolean, wg long, g long, n_pos long"
 ENOUGH, CHUNK = 4, 1 << 18
 
 
@@ -235,6 +235,8 @@ class _Group:
 def candidate_pairs(rows: DataFrame, threshold: float = THRESHOLD, wanted: str | None = None) -> DataFrame:
     """Pairs (earlier line a, later line b) that pass the filters; a null ``a`` means b is gone.
 
+    ``more`` tells that b may have candidates beyond its ``ENOUGH``; the rows of groups
+    with such lines follow as they came (b with ``wg``), so none need be made again.
     With ``wanted``, a boolean column of ``rows``, only lines b that have it set are
     compared, with all earlier members of their groups; else see the module's step 3.
     """
@@ -281,15 +283,19 @@ def candidate_pairs(rows: DataFrame, threshold: float = THRESHOLD, wanted: str |
             a, b = np.where(later, b, a), np.where(later, a, b)
             other = (r.k[a] != r.k[b]) | (r.line[a] != r.line[b])
             a, b = a[other], b[other]
-            flag = over[b]
-            none = [None] * len(gone)
+            again = np.zeros(0, np.int64)
+            if over.any():
+                again = np.flatnonzero(np.repeat(np.logical_or.reduceat(over, starts), size))
+            nothing = lambda n, kind: pa.nulls(n, kind)
+            n_pair, n_rest = len(a), len(gone) + len(again)
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.concat_arrays([pa.array(r.k[a]), pa.array(none, pa.int64())]), pa.concat_arrays([pa.array(r.line[a]), pa.array(none, pa.int32())]),
-                    pa.array(np.concatenate([r.k[b], cols[2][gone]])), pa.array(np.concatenate([r.line[b], cols[3][gone]])),
-                    pa.array(np.concatenate([flag, np.zeros(len(gone), bool)])),
+                    pa.concat_arrays([pa.array(r.k[a]), nothing(n_rest, pa.int64())]), pa.concat_arrays([pa.array(r.line[a]), nothing(n_rest, pa.int32())]),
+                    pa.array(np.concatenate([r.k[b], cols[2][gone], r.k[again]])), pa.array(np.concatenate([r.line[b], cols[3][gone], r.line[again]])),
+                    pa.array(np.concatenate([over[b], np.zeros(n_rest, bool)])),
+                    *(pa.concat_arrays([nothing(n_pair + len(gone), pa.int64()), pa.array(cols[c][live][again])]) for c in (0, 1, 4)),
                 ],
-                ["a_k", "a_line", "b_k", "b_line", "more"],
+                ["a_k", "a_line", "b_k", "b_line", "more", "wg", "g", "n_pos"],
             )
 
         held: list[list[np.ndarray]] = []
@@ -361,12 +367,13 @@ def removed_places(docs: DataFrame, text: str = "text", key: str = "doc_id", thr
     """``(k, line)`` of the lines that go (``k``: the id, or NO_ID for null)."""
     rows = prefix_rows(docs, text, key, threshold)
     pairs = stage(candidate_pairs(rows, threshold), "line-pairs")
-    gone = pairs.where("a_k IS NULL").select(F.col("b_k").alias("k"), F.col("b_line").alias("line"))
+    gone = pairs.where("a_k IS NULL AND wg IS NULL").select(F.col("b_k").alias("k"), F.col("b_line").alias("line"))
     gone = stage(gone.unionByName(_verified(pairs, docs, text, key, threshold)).distinct(), "line-gone")
     left = pairs.where("more").select(F.col("b_k").alias("k"), F.col("b_line").alias("line")).distinct().join(gone, ["k", "line"], "left_anti")
     left = stage(left, "line-left")
     if not left.isEmpty():
-        marked = rows.join(left.withColumn("wanted", F.lit(True)), ["k", "line"], "left").withColumn("wanted", F.coalesce("wanted", F.lit(False)))
+        held = pairs.where("wg IS NOT NULL").select("wg", "g", F.col("b_k").alias("k"), F.col("b_line").alias("line"), "n_pos")
+        marked = held.join(left.withColumn("wanted", F.lit(True)), ["k", "line"], "left").withColumn("wanted", F.coalesce("wanted", F.lit(False)))
         rest = stage(candidate_pairs(marked, threshold, "wanted"), "line-rest")
         gone = gone.unionByName(_verified(rest, docs, text, key, threshold)).distinct()
     return gone
