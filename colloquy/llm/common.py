@@ -114,11 +114,12 @@ def bit_table(keys: DataFrame, ready: bool = False, bits: int = BITS) -> np.ndar
     width = size // 8 // pieces
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(size, dtype=bool)
+        bits = np.zeros(size // 8, np.uint8)
         for batch in batches:
             x = batch.column(0).to_numpy(zero_copy_only=False)
-            bits[x if ready else slots(x, n_bits)] = True
-        raw = np.packbits(bits).tobytes()
+            x = x if ready else slots(x, n_bits)
+            np.bitwise_or.at(bits, x >> 3, (128 >> (x & 7)).astype(np.uint8))
+        raw = bits.tobytes()
         found = [i for i in range(pieces) if any(raw[i * width : (i + 1) * width])]
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array([raw[i * width : (i + 1) * width] for i in found], pa.binary())], ["piece", "bits"])
 

@@ -39,7 +39,7 @@ from colloquy.llm.passages import compact_windows, mixed
 SIZE, GRAM = 200, 72
 FILTER_BITS = 26  # 8 MB a bit table
 NO_ID = -(1 << 63)
-STEP, CHUNK = 1 << 21, 1 << 21  # bytes of text, and of contexts, handled at once
+STEP, CHUNK, ROWS = 1 << 19, 1 << 20, 256  # bytes of text and of contexts, and rows, handled at once
 
 
 def gram_hashes(x: np.ndarray, gram: int) -> np.ndarray:
@@ -86,8 +86,8 @@ def _rows(docs: DataFrame, text: str, key: str) -> DataFrame:
 
 def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
     keys, texts, n = [], [], 0
-    for batch in batches:
-        for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+    for part in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
+        for k, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
             if t and len(t) >= SIZE:
                 keys.append(k)
                 texts.append(t)
