@@ -36,7 +36,8 @@ from pyspark.sql.window import Window
 from colloquy.llm.common import components, read, stage
 from colloquy.llm.vectors import gram, longest, matrix, packed, rotation, usable
 
-THRESHOLD, SPACES, ROWS = 0.9, 4, 1024
+THRESHOLD, SPACES, ROWS = 0.9, 4, 4096
+STRIP = 256  # rows of a block compared at once
 GROUP = 4  # blocks that meet a block in one co-group
 
 
@@ -148,8 +149,14 @@ def links(classes: DataFrame, dims: int, threshold: float = THRESHOLD, spaces: i
                 qid, qm, qx = np.frombuffer(q.r_id, "<i8"), np.frombuffer(q.r_mult, "<i8"), parse(q.r_raw)
                 qy = qx @ turn
                 qs = qy[:, parts[s]]
-                apart = (ps * ps).sum(axis=1)[:, None] + (qs * qs).sum(axis=1)[None, :] - 2 * (ps @ qs.T)
-                u, v = np.nonzero(apart <= budget[s] + 1e-9)
+                qn = (qs * qs).sum(axis=1)
+                found = []
+                for at in range(0, len(ps), STRIP):
+                    strip = ps[at : at + STRIP]
+                    apart = (strip * strip).sum(axis=1)[:, None] + qn[None, :] - 2 * (strip @ qs.T)
+                    i, j = np.nonzero(apart <= budget[s] + 1e-9)
+                    found.append((i + at, j))
+                u, v = (np.concatenate(c) for c in zip(*found))
                 if p.block == q.r_block:
                     u, v = u[u < v], v[u < v]
                 for at in range(0, len(u), 1 << 15):
