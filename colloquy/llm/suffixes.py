@@ -7,6 +7,10 @@ A byte goes when a ``size``-byte string over it also starts anywhere else in the
    equal places. Each run of starts with one anchor, and the bytes their windows cover,
    is that anchor's context; an anchor seen once has no equal window anywhere and is left
    out (a count over all anchors, then a bit table of fixed size that lets some pass).
+   An anchor in more than ``HOT`` places is dealt again by more of the content: starts lie 0
+   to size - GRAM bytes before the anchor, and all windows of one half of these distances
+   share bytes beyond it; equal windows have equal ones. Halves still held by more than
+   ``HOT`` contexts are halved again, down to single starts, whose shared bytes are the window.
 2. Contexts that repeat as a whole make all their starts repeated. Only anchors whose
    contexts differ send them, so all texts that may hold one string meet.
 3. There the difference cover {1, 2} modulo 3 is sorted: names of three bytes at sampled
@@ -40,6 +44,7 @@ SIZE, GRAM = 200, 72
 FILTER_BITS = 26  # 8 MB a bit table
 NO_ID = -(1 << 63)
 STEP, CHUNK, ROWS = 1 << 19, 1 << 20, 256  # bytes of text and of contexts, and rows, handled at once
+HOT = 1 << 12  # contexts of one group sorted in one task
 
 
 def gram_hashes(x: np.ndarray, gram: int) -> np.ndarray:
@@ -148,6 +153,59 @@ def repeated(text: np.ndarray, starts: np.ndarray, size: int = SIZE) -> np.ndarr
     return out
 
 
+def _halves(at: int, x: int, y: int, raw: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """Halves (x, y) of the distances [x, y] from start to anchor at which the context ``raw``
+    (its anchor at ``at``) has starts, with the digest of what all windows of that half share."""
+    m = (x + y) // 2
+    for u, v in ((x, m), (m + 1, y)):
+        if max(u, at - len(raw) + SIZE) <= min(v, at):
+            yield u, v, xxhash.xxh3_128_digest(b"%d,%d," % (u, v) + raw[at - u : at - v + SIZE])
+
+
+def _words(digests: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(digests), "<i8")[::2].astype(np.int64)
+
+
+def _dealt_again(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Groups ``(g, c, base, raw)`` of at most ``HOT`` contexts for the contexts ``(c, at, x, y,
+    raw)`` of hot anchors, and the repeated starts ``(c, from, to)`` of groups that stay larger."""
+    spark, groups, done = nodes.sparkSession, None, None
+    nodes = stage(nodes, "suffix-hot")
+    for _ in range((SIZE - GRAM).bit_length()):
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                g = [d for row in zip(*(x.to_pylist() for x in batch.columns)) for _, _, d in _halves(*row)]
+                yield pa.RecordBatch.from_arrays([pa.array(g, pa.binary()), pa.array(_words(g))], ["g", "w"])
+
+        n = nodes.select("at", "x", "y", "raw").mapInArrow(count, "g binary, w long").groupBy("g", "w").count().where("count > 1")
+        n = stage(n, "suffix-halves")
+        shared = spark.sparkContext.broadcast(bit_table(n.select("w"), bits=FILTER_BITS))
+
+        def deal(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                out = [(d, c, at, u, v, raw) for c, at, x, y, raw in zip(*(x.to_pylist() for x in batch.columns)) for u, v, d in _halves(at, x, y, raw)]
+                ok = has_bit(shared.value, slots(_words([r[0] for r in out]), FILTER_BITS)).tolist()
+                cols = list(zip(*(r for r, o in zip(out, ok) if o))) or [()] * 6
+                kinds = [pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["g", "c", "at", "x", "y", "raw"])
+
+        halves = stage(nodes.select("c", "at", "x", "y", "raw").mapInArrow(deal, "g binary, c binary, at int, x int, y int, raw binary"), "suffix-dealt")
+        large = F.broadcast(n.where(F.col("count") > HOT).select("g"))  # at most one in HOT of the rows
+        base = F.greatest(F.col("at") - F.col("y"), F.lit(0))
+        piece = F.substring("raw", base + 1, F.col("at") - F.col("x") + SIZE - base)
+        small = halves.join(large, "g", "left_anti").select("g", "c", base.alias("base"), piece.alias("raw"))
+        groups = small if groups is None else groups.unionByName(small)
+        nodes = halves.join(large, "g").select("c", "at", "x", "y", "raw")
+        start = (F.col("at") - F.col("x")).alias("from")
+        single = nodes.where("x = y").select("c", start, start.alias("to"))
+        done = single if done is None else done.unionByName(single)
+        nodes = nodes.where("x < y")
+        if nodes.isEmpty():
+            break
+    return groups, done
+
+
 def repeated_starts(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``(k, t, lo, hi)``: ranges of starts (last included) whose string starts elsewhere too."""
     spark = docs.sparkSession
@@ -161,7 +219,7 @@ def repeated_starts(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
 
     rows = _rows(docs, text, key)
     seen = rows.select("k", "t").mapInArrow(first, "h long, c long").groupBy("h").agg(F.count("*").alias("n"), F.min("c").alias("x"), F.max("c").alias("y"))
-    seen = stage(seen.where("n > 1").select("h", (F.col("x") != F.col("y")).alias("differ")), "suffix-anchors")
+    seen = stage(seen.where("n > 1").select("h", "n", (F.col("x") != F.col("y")).alias("differ")), "suffix-anchors")
     shared = spark.sparkContext.broadcast(bit_table(seen.select("h"), bits=FILTER_BITS))
     differ = spark.sparkContext.broadcast(bit_table(seen.where("differ").select("h"), bits=FILTER_BITS))
 
@@ -189,16 +247,16 @@ def repeated_starts(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(h), pa.array(ctx, pa.binary()), pa.array([keys[o] for o in of.tolist()], pa.int64()), pa.array([ids[o] for o in of.tolist()], pa.int64()),
-                    pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.array(raw, pa.binary()),
+                    pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.array((c - lo).astype(np.int32)), pa.array(raw, pa.binary()),
                 ],
-                ["h", "c", "k", "t", "lo", "hi", "raw"],
+                ["h", "c", "k", "t", "lo", "hi", "at", "raw"],
             )
 
-    found = stage(rows.select("k", "t").mapInArrow(second, "h long, c binary, k long, t long, lo int, hi int, raw binary"), "suffix-contexts")
+    found = stage(rows.select("k", "t").mapInArrow(second, "h long, c binary, k long, t long, lo int, hi int, at int, raw binary"), "suffix-contexts")
     whole = found.groupBy("c").count().where("count > 1").select("c", F.lit(0).alias("from"), F.lit(SIZE).alias("to"))
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def ranges(ctx: list[bytes], raw: list[bytes]) -> pa.RecordBatch:
+        def ranges(ctx: list[bytes], at: list[int], raw: list[bytes]) -> pa.RecordBatch:
             text = np.frombuffer(b"".join(raw), np.uint8)
             length = np.array([len(r) for r in raw], np.int64)
             base, n = np.cumsum(length) - length, length - SIZE + 1
@@ -213,40 +271,49 @@ def repeated_starts(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
                 while over and of[i] != of[j]:
                     end = int(np.searchsorted(of, of[i], side="right")) - 1
                     out_c.append(ctx[of[i]])
-                    out_a.append(int(starts[i] - base[of[i]]))
-                    out_b.append(int(starts[end] - base[of[i]]))
+                    out_a.append(int(starts[i] - base[of[i]]) + at[of[i]])
+                    out_b.append(int(starts[end] - base[of[i]]) + at[of[i]])
                     i = end + 1
                 out_c.append(ctx[of[i]])
-                out_a.append(int(starts[i] - base[of[i]]))
-                out_b.append(int(starts[j] - base[of[j]]))
+                out_a.append(int(starts[i] - base[of[i]]) + at[of[i]])
+                out_b.append(int(starts[j] - base[of[j]]) + at[of[j]])
             return pa.RecordBatch.from_arrays([pa.array(out_c, pa.binary()), pa.array(out_a, pa.int32()), pa.array(out_b, pa.int32())], ["c", "from", "to"])
 
         ctx: list[bytes] = []
+        at: list[int] = []
         raw: list[bytes] = []
         group_at, n, now, last = 0, 0, None, None
         for batch in batches:
-            for h, c, r in zip(*(x.to_pylist() for x in batch.columns)):
-                if h != now:
+            for g, c, b, r in zip(*(x.to_pylist() for x in batch.columns)):
+                if g != now:
                     if len(ctx) - group_at == 1:  # alone with its anchor: nothing to compare
                         n -= len(raw.pop())
                         ctx.pop()
+                        at.pop()
                     if n >= CHUNK:
-                        yield ranges(ctx, raw)
-                        ctx, raw, n = [], [], 0
-                    now, last, group_at = h, None, len(ctx)
+                        yield ranges(ctx, at, raw)
+                        ctx, at, raw, n = [], [], [], 0
+                    now, last, group_at = g, None, len(ctx)
                 if c != last:
                     ctx.append(c)
+                    at.append(b)
                     raw.append(r)
                     n += len(r)
                     last = c
         if len(ctx) - group_at == 1:
             ctx.pop()
+            at.pop()
             raw.pop()
         if ctx:
-            yield ranges(ctx, raw)
-
-    texts = found.where("raw IS NOT NULL").select("h", "c", "raw").repartition("h").sortWithinPartitions("h", "c")
-    parts = texts.mapInArrow(sort, "c binary, from int, to int")
+            yield ranges(ctx, at, raw)
+
+    texts = found.where("raw IS NOT NULL")
+    hot = F.broadcast(seen.where("differ").where(F.col("n") > HOT).select("h"))  # at most one in HOT of the anchors' places
+    groups = texts.join(hot, "h", "left_anti").select(F.col("h").cast("string").cast("binary").alias("g"), "c", F.lit(0).alias("base"), "raw")
+    nodes = texts.join(hot, "h").select("c", "at", F.lit(0).alias("x"), F.lit(SIZE - GRAM).alias("y"), "raw").dropDuplicates(["c"])
+    more, single = _dealt_again(nodes)
+    texts = groups.unionByName(more).repartition("g").sortWithinPartitions("g", "c")
+    parts = texts.mapInArrow(sort, "c binary, from int, to int").unionByName(single)
     spans = found.select("c", "k", "t", "lo", "hi").join(whole.unionByName(parts), "c")
     return spans.select("k", "t", (F.col("lo") + F.col("from")).alias("lo"), F.least(F.col("hi"), F.col("lo") + F.col("to")).alias("hi"))
 

@@ -76,6 +76,30 @@ def test_repeats_by_brute_force(docs_of):
     assert suffixes.cut_repeats(docs_of([])).collect() == []
 
 
+def test_hot_anchor_is_not_sorted_in_one_task(docs_of, monkeypatch):
+    rng, plain = random.Random(12), suffixes.repeated
+
+    def bounded(text, starts):
+        assert len(text) < 1 << 20, f"{len(text)} bytes sorted at once"
+        return plain(text, starts)
+
+    monkeypatch.setattr(suffixes, "repeated", bounded)
+    monkeypatch.setattr(suffixes, "CHUNK", 1 << 18)
+    noise = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    low = lambda t: int(suffixes.gram_hashes(np.frombuffer(t.encode(), np.uint8), suffixes.GRAM).min())
+    lines_ = [min((noise(n) for _ in range(3000)), key=low) for n in (90, 190)]  # hardly any other gram is an anchor beside these
+    rows = [(i, noise(200) + lines_[i % 2] + noise(200)) for i in range(11_000)]
+    for i in range(0, 300, 2):  # equal strings over the line: at its left, at its right, and one byte too short
+        left, right = rows[i][1][:200], rows[i][1][-200:]
+        near = left[-110 + i % 3 :] + lines_[0] + noise(200)
+        rows += [(20_000 + i, noise(150) + near), (30_000 + i, noise(200) + lines_[0] + right[: 109 + i % 3] + noise(90))]
+        rows.append((40_000 + i, noise(200) + lines_[1] + rows[i + 1][1][-200:][: 9 + i % 3] + noise(90)))
+    got = suffixes.cut_repeats(docs_of(rows)).collect()
+    want = cut_by_hand(rows)
+    assert sum(1 for r in want if r[2]) > 300
+    assert sorted(((r.key, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got), key=str) == want
+
+
 def test_difference_cover_names_by_brute_force():
     rng = np.random.default_rng(3)
     for letters in (2, 200):
