@@ -5,13 +5,16 @@ replaced by a keyed permutation of their own format, so equal values get equal p
 in every document and different values of one format stay different:
 
 * card numbers (13-19 digits): first digit and separators stay, the check digit is redone;
+  in a longer run of numbers every place where a number begins is tried, the usual
+  groupings (unbroken, 4-4-4-4, 4-4-4-4-3, 4-6-5, 4-6-4) before others;
 * phone numbers: country code and separators stay; first digits 2-9 stay in 2-9;
 * social security numbers: permuted within the valid areas, groups and serials;
 * IPv4 addresses: permuted as four octets; IBANs: country and check digits are redone;
 * dates (yyyy-mm-dd, dd/mm/yyyy, dd.mm.yyyy): permuted among the days from
   1900-01-01 to 2099-08-04, others stay;
 * e-mail addresses: letters and digits permuted in their class, all but the top domain;
-* secrets (access keys, values of password=, token=, secret=, api_key=): likewise.
+* secrets (access keys, values of password=, token=, secret=, api_key=): likewise,
+  longer ones than ``SECRET_PIECE`` piece by piece.
 
 A value is a list of small integers, each with its own range. Eight rounds of a Feistel
 network add a keyed hash of one half (odd places) to the other (even places), each place
@@ -38,15 +41,24 @@ ROOT = 270
 DAYS = ROOT * ROOT  # days from 1900-01-01 to 2099-08-04, as two places of ROOT each
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,5}\.[A-Za-z]{2,24}"
-SECRET = r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|(?i:password|passwd|secret|token|api_key|apikey)[ ]{0,2}[=:][ ]{0,2}[\"']?[A-Za-z0-9_+/-]{8,256})"
+SECRET = r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|(?i:password|passwd|secret|token|api_key|apikey)[ ]{0,2}[=:][ ]{0,2}[\"']?[A-Za-z0-9_+/-]{8,}+)"
 IPV4 = r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])"
 DATE = r"(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9A-Za-z])"
 SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])"
 PHONE = r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])"
 CARD = r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
+#: Numbers apart by one blank or hyphen, as far as no other kind begins that may reach beyond them.
+_NUMBER, _REACHES = r"[0-9]++(?![A-Za-z])", rf"{EMAIL}|{IPV4}|[0-9]{{2}}([/.])[0-9]{{2}}\1[0-9]{{4}}(?![0-9A-Za-z])|[0-9]{{3}}(?:\.[0-9]{{3}}[ .-]|[ -][0-9]{{3}}\.)[0-9]{{4}}(?![0-9A-Za-z])"
 IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])"
-ANY = "|".join((EMAIL, SECRET, IPV4, DATE, SSN, PHONE, CARD, IBAN))
+RUN = rf"(?<![0-9A-Za-z])(?=[0-9](?:[ -]?[0-9]){{12}}){_NUMBER}(?:[ -](?!{_REACHES}){_NUMBER})*+"
+ANY = "|".join((EMAIL, SECRET, IPV4, DATE, SSN, PHONE, RUN, IBAN))
+#: What may stand beside the cards of a run; at its start it was tried before.
+INNER = f"(?!^)(?:{DATE}|{SSN}|{PHONE})"
+_GROUPED = (r"[0-9]{13,19}", r"[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}\1[0-9]{3}", r"[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}", r"[0-9]{4}([ -])[0-9]{6}\1[0-9]{4,5}")
+_LOOSE = tuple(f"[0-9](?:[ -]?[0-9]){{{n}}}" for n in range(18, 11, -1))
+SECRET_PIECE = 256  # characters of a secret permuted together
 _CODE = r"^\+[0-9]{1,3}"
+_HEAD = r"^(?:AKIA(?=[0-9A-Z]{16}$)|[A-Za-z_]{5,8}[ ]{0,2}[=:][ ]{0,2}[\"']?)"
 
 
 #: Kinds of values, by the order of their patterns; 0 is "leave as it is".
@@ -104,16 +116,20 @@ def _day(s: Column) -> Column:
     return F.datediff(F.try_to_date(parts, "yyyy-MM-dd"), F.lit("1900-01-01").cast("date"))
 
 
+def _iban(s: Column) -> Column:
+    flat = F.regexp_replace(s, " ", "")
+    return F.length(flat).between(15, 34) & (_mod97(flat) == 1)
+
+
 def _kind(s: Column) -> Column:
     """Which kind of value ``s`` is, 0 when it fails that kind's validation."""
     area, group, serial = (s.substr(a, n).try_cast("int") for a, n in ((1, 3), (5, 2), (8, 4)))
-    flat = F.regexp_replace(s, " ", "")
     valid = {
         3: F.forall(F.split(s, r"\."), lambda x: x.cast("int") <= 255),
         4: F.coalesce(_day(s).between(0, DAYS - 1), F.lit(False)),
         5: area.between(1, 899) & (area != 666) & group.between(1, 99) & serial.between(1, 9999),
         7: _luhn(_digits(s)) == 0,
-        8: F.length(flat).between(15, 34) & (_mod97(flat) == 1),
+        8: _iban(s),
     }
     found = F
     for k, p in PATTERNS.items():
@@ -121,6 +137,54 @@ def _kind(s: Column) -> Column:
     return found.otherwise(0)
 
 
+def _span(chars: Column, i: Column, n: Column) -> Column:
+    return F.array_join(F.slice(chars, i, n), "")
+
+
+def _card_at(chars: Column, i: Column, shapes: tuple[str, ...]) -> Column:
+    """The first of ``shapes`` at place i of ``chars`` that is a valid card number, or null."""
+    tail = _span(chars, i, F.lit(38))  # 19 digits, what stands between them, and what follows
+    found = [F.regexp_extract(tail, f"^(?:{shape})(?![0-9A-Za-z])", 0) for shape in shapes]
+    begins = F.element_at(chars, i).rlike("[0-9]") & ~F.coalesce(F.get(chars, i - 2), F.lit("")).rlike("[0-9A-Za-z]")
+    return F.when(begins, F.coalesce(*(F.when(F.when(c != "", _luhn(_digits(c)) == 0), c) for c in found)))
+
+
+def _part(s: Column, kind: int | None) -> Column:
+    return F.struct(s.alias("s"), F.lit(kind).cast("int").alias("k"))
+
+
+def _cut_out(p: Column) -> Column:
+    """Card numbers of the run ``p.s`` and the text around them, as parts."""
+    s, none = p["s"], F.array().cast("array<struct<s:string,k:int>>")
+
+    def step(acc: Column, i: Column) -> Column:
+        grouped, loose = F.element_at(p["grouped"], i), F.element_at(p["loose"], i)
+        later = F.exists(F.slice(p["grouped"], i + 1, F.coalesce(F.length(loose), F.lit(1)) - 1), lambda c: c.isNotNull())
+        c = F.coalesce(grouped, F.when(~later, loose))
+        put = F.concat(acc["o"], F.array(_part(_span(p["chars"], acc["at"], i - acc["at"]), 0), _part(c, 7)))
+        new = F.struct(put.alias("o"), (i + F.length(c)).alias("at"))
+        return F.when((i >= acc["at"]) & c.isNotNull(), new).otherwise(acc)
+
+    start = F.struct(none.alias("o"), F.lit(1).alias("at"))
+    end = lambda acc: F.concat(acc["o"], F.array(_part(s.substr(acc["at"], F.length(s)), 0)))
+    cards = F.aggregate(F.sequence(F.lit(1), F.length(s)), start, step, end)
+
+    def inner(x: Column) -> Column:
+        around, hits = F.split(x["s"], INNER, -1), F.regexp_extract_all(x["s"], F.lit(INNER), F.lit(0))
+        both = F.zip_with(around, hits, lambda a, b: F.array(_part(a, 0), _part(b, None)))
+        return F.when(x["k"] == 7, F.array(x)).otherwise(F.filter(F.flatten(both), lambda y: y["s"].isNotNull()))
+
+    return F.flatten(F.transform(cards, inner))
+
+
+def _pieces(p: Column) -> Column:
+    """A long secret in pieces, the first with what stands before the value."""
+    s = p["s"]
+    first = F.length(F.regexp_extract(s, _HEAD, 0)) + SECRET_PIECE
+    rest = F.transform(F.sequence(F.lit(0), F.floor((F.length(s) - first - 1) / SECRET_PIECE).cast("int")), lambda i: _part(s.substr(first + i * SECRET_PIECE + 1, F.lit(SECRET_PIECE)), 2))
+    return F.when(F.length(s) > first, F.concat(F.array(_part(s.substr(F.lit(1), first), None)), rest)).otherwise(F.array(_part(s, None)))
+
+
 def _class(p: Column, i: Column) -> Column:
     """The class of character i of value ``p.s``: 0 stays, else 1 + its place in BASES."""
     s, k, c = p["s"], p["kind"], _at(p["s"], i)
@@ -137,9 +201,8 @@ def _class(p: Column, i: Column) -> Column:
 
 def _first(p: Column) -> Column:
     s = p["s"]
-    head = r"^(?:AKIA(?=[0-9A-Z]{16}$)|[A-Za-z_]{5,8}[ ]{0,2}[=:][ ]{0,2}[\"']?)"
     return (
-        F.when(p["kind"] == 2, F.length(F.regexp_extract(s, head, 0)) + 1)
+        F.when(p["kind"] == 2, F.length(F.regexp_extract(s, _HEAD, 0)) + 1)
         .when(p["kind"] == 6, F.length(F.regexp_extract(s, _CODE, 0)) + 1)
         .when(p["kind"] == 8, 5).otherwise(1)
     )
@@ -211,13 +274,14 @@ def _with_field(values: str, have: tuple[str, ...], name: str, step: Callable[[C
 
 
 def with_pseudonyms(rows: DataFrame, values: str, into: str, key: str = DEFAULT_KEY) -> DataFrame:
-    """``rows`` with the array column ``into``: the pseudonyms of the array ``values``.
+    """``rows`` with the array column ``into``: the pseudonyms of the array ``values`` of parts ``(s, k)``;
+    ``k`` is their kind where it is known.
 
     Each step adds a field to an array of structures, so every step is evaluated once.
     """
     steps = [
-        ("kind", lambda p: _kind(p["s"])),
-        ("first", _first),
+        ("kind", lambda p: F.coalesce(p["k"], _kind(p["s"]))),
+        ("first", lambda p: F.when(p["k"] == 2, 1).otherwise(_first(p))),
         ("last", lambda p: F.when(p["kind"] == 1, F.length(p["s"]) - F.instr(F.reverse(p["s"]), ".")).otherwise(F.length(p["s"]))),
         ("hexadecimal", lambda p: (p["kind"] == 2) & p["s"].substr(p["first"], F.length(p["s"])).rlike("^[0-9a-f]+$")),
         ("cls", lambda p: F.when(p["kind"].isin(1, 2, 6, 7, 8), F.transform(F.sequence(F.lit(1), F.length(p["s"])), lambda i: _class(p, i))).otherwise(F.array().cast("array<int>"))),
@@ -227,26 +291,50 @@ def with_pseudonyms(rows: DataFrame, values: str, into: str, key: str = DEFAULT_
         ("o", _spelt),
         ("out", _checked),
     ]
-    done = rows.withColumn("__llm_p", F.transform(values, lambda s: F.struct(s.alias("s"))))
-    names = ["s"]
+    done = rows.withColumn("__llm_p", F.col(values))
+    names = ["s", "k"]
     for name, step in steps:
         done = done.withColumn("__llm_p", _with_field("__llm_p", tuple(names), name, step))
         names.append(name)
     return done.withColumn(into, F.transform("__llm_p", lambda p: p["out"])).drop("__llm_p")
 
 
+def _parts(rows: DataFrame, hits: str, into: str) -> DataFrame:
+    """``rows`` with the array column ``into``: for each of ``hits`` the parts it is made of."""
+    number = lambda s: s.rlike("^[0-9][0-9 -]{12,}$")
+    steps = [
+        ("run", lambda p: F.when(number(p["s"]), True).when(p["s"].rlike(f"^(?:{IBAN})$"), ~_iban(p["s"])).otherwise(False)),
+        ("chars", lambda p: F.when(p["run"], F.split(p["s"], ""))),
+        ("grouped", lambda p: F.when(p["run"], F.transform(F.sequence(F.lit(1), F.length(p["s"])), lambda i: _card_at(p["chars"], i, _GROUPED)))),
+        ("loose", lambda p: F.when(p["run"], F.transform(F.sequence(F.lit(1), F.length(p["s"])), lambda i: _card_at(p["chars"], i, _LOOSE)))),
+    ]
+    done = rows.withColumn(into, F.transform(hits, lambda s: F.struct(s.alias("s"))))
+    names = ["s"]
+    for name, step in steps:
+        done = done.withColumn(into, _with_field(into, tuple(names), name, step))
+        names.append(name)
+    long = lambda p: (F.length(p["s"]) > SECRET_PIECE) & p["s"].rlike(f"^(?:{SECRET})$")
+    return done.withColumn(into, F.transform(into, lambda p: F.when(p["run"], _cut_out(p)).when(long(p), _pieces(p)).otherwise(F.array(_part(p["s"], None)))))
+
+
 def pseudonymise(docs: DataFrame, text: str = "text", key: str = DEFAULT_KEY, count: str | None = None) -> DataFrame:
     """``docs`` with the values in ``text`` replaced; ``count`` names a column for how many."""
     t = F.col(text)
-    maybe = t.rlike("[0-9@=:]")  # no kind of value goes without one of these
+    maybe = t.rlike("[0-9@=:]|AKIA")  # no kind of value goes without one of these
     hits = docs.withColumn("__llm_hits", F.when(maybe, F.regexp_extract_all(t, F.lit(ANY), F.lit(0))))
     hits = hits.withColumn("__llm_hits", F.when(F.size("__llm_hits") > 0, F.col("__llm_hits")))
-    new = with_pseudonyms(hits, "__llm_hits", "__llm_new", key)
-    joined = F.array_join(F.zip_with(F.split(t, ANY, -1), F.concat("__llm_new", F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
+    parts = _parts(hits, "__llm_hits", "__llm_parts")
+    new = with_pseudonyms(parts.withColumn("__llm_flat", F.flatten("__llm_parts")), "__llm_flat", "__llm_new", key)
+    # the parts of each hit are joined again from where they stand in the flat array
+    sizes = F.transform("__llm_parts", lambda x: F.size(x))
+    ends = F.aggregate(sizes, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+    new = new.withColumn("__llm_ends", ends)
+    values = F.transform(sizes, lambda n, i: F.array_join(F.slice("__llm_new", F.get("__llm_ends", i) + 1, n), ""))
+    joined = F.array_join(F.zip_with(F.split(t, ANY, -1), F.concat(values, F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
     out = F.when(F.col("__llm_hits").isNotNull(), joined).otherwise(t)
     cols = [out.alias(text) if c == text else F.col(c) for c in docs.columns]
     if count:
-        changed = F.size(F.filter(F.arrays_zip("__llm_hits", "__llm_new"), lambda z: z["__llm_hits"] != z["__llm_new"]))
+        changed = F.size(F.filter(F.arrays_zip("__llm_flat", "__llm_new"), lambda z: F.coalesce(z["__llm_flat"]["k"] != 2, F.lit(True)) & (z["__llm_flat"]["s"] != z["__llm_new"])))
         cols.append(F.when(F.col("__llm_hits").isNotNull(), changed).otherwise(0).cast("long").alias(count))
     return new.select(*cols)
 
