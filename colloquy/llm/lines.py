@@ -18,9 +18,10 @@ that earlier line stays itself.
    were matched by none of theirs are then compared with all earlier members.
 
 Defined cases: null text stays null and has no lines; lines without words always stay;
-null ids rank before all others and are one document, like rows that share an id (equal
-line numbers of theirs are the same place); an empty table gives an empty result. Equal
-lines in one document go too, from the second on.
+null ids rank before all others; rows that share an id (or have none) are told apart by a
+hash of their text, and ordered by it (equal line numbers of rows that share both are the
+same place); an empty table gives an empty result. Equal lines in one document go too,
+from the second on.
 """
 
 from __future__ import annotations
@@ -123,8 +124,17 @@ def _ceil(x: float) -> int:
 
 
 
-def prefix_rows(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
-    """Prefix rows ``(wg, g, k, line, n_pos)``; n_pos < 0 marks a line as gone.
+def placed(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``docs`` with ``__llm_key`` (the id, or NO_ID for null) and ``__llm_t``: a hash of the
+    text where the id may not be the row's own, else 0."""
+    keyed = docs.withColumn("__llm_key", F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)))
+    twice = stage(keyed.groupBy("__llm_key").count().where(f"count > 1 OR __llm_key = {NO_ID}").select("__llm_key"), "line-ids")
+    marked = mark_maybe(keyed, "__llm_key", twice, "__llm_key", "__llm_may")
+    return marked.withColumn("__llm_t", F.when(F.col("__llm_may"), F.xxhash64(text)).otherwise(F.lit(0).cast("long"))).drop("__llm_may")
+
+
+def prefix_rows(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """Prefix rows ``(wg, g, k, line, n_pos, t)`` of ``placed`` rows; n_pos < 0 marks a line as gone.
 
     ``wg`` holds 32 bits of the word's hash and 32 of the parity bitmap, ``g`` 64 more.
     """
@@ -140,12 +150,12 @@ def prefix_rows(docs: DataFrame, text: str = "text", key: str = "doc_id", thresh
 
         known, size = _Known(number).__getitem__, {}
         digest = xxhash.xxh3_128_digest
-        sent: dict[bytes, tuple[int, int]] = {}
+        sent: dict[bytes, tuple[int, int, int]] = {}
         for batch in batches:
-            words, owner, keys, lines = array("Q"), [], [], []
+            words, owner, keys, lines, hashes = array("Q"), [], [], [], []
             rows, times, pos = array("Q"), [], []
-            gone_key, gone_line = [], []
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            gone_key, gone_line, gone_t = [], [], []
+            for k, x, t in zip(*(c.to_pylist() for c in batch.columns)):
                 if not t:
                     continue
                 for i, line in enumerate(t.split("\n")):
@@ -156,17 +166,19 @@ def prefix_rows(docs: DataFrame, text: str = "text", key: str = "doc_id", thresh
                     packed = array("Q", ks)
                     h = digest(packed)
                     before = sent.get(h)
-                    if before is not None and before <= (k, i):
-                        if before != (k, i):
+                    if before is not None and before <= (k, x, i):
+                        if before != (k, x, i):
                             gone_key.append(k)
+                            gone_t.append(x)
                             gone_line.append(i)
                         continue
                     if before is not None:  # an earlier place came later
                         gone_key.append(before[0])
-                        gone_line.append(before[1])
+                        gone_t.append(before[1])
+                        gone_line.append(before[2])
                     if len(sent) >= LINES_KEPT:
                         sent.clear()
-                    sent[h] = (k, i)
+                    sent[h] = (k, x, i)
                     most = size.get(n)
                     if most is None:
                         most = size[n] = n - _ceil(threshold * n) + 1
@@ -177,6 +189,7 @@ def prefix_rows(docs: DataFrame, text: str = "text", key: str = "doc_id", thresh
                     words.extend(packed)
                     owner.append(n)
                     keys.append(k)
+                    hashes.append(x)
                     lines.append(i)
             m, g = len(owner), len(gone_key)
             of = np.repeat(np.arange(m), np.array(times, np.int64))
@@ -194,27 +207,37 @@ def prefix_rows(docs: DataFrame, text: str = "text", key: str = "doc_id", thresh
                     pa.array(np.concatenate([np.array(keys, np.int64)[of], gk])),
                     pa.array(np.concatenate([np.array(lines, np.int64)[of], gl]).astype(np.int32)),
                     pa.array(np.concatenate([(np.array(owner, np.int64)[of] << 32) | np.array(pos, np.int64), np.full(g, -1)])),
+                    pa.array(np.concatenate([np.array(hashes, np.int64)[of], np.array(gone_t, np.int64)])),
                 ],
-                ["wg", "g", "k", "line", "n_pos"],
+                ["wg", "g", "k", "line", "n_pos", "t"],
             )
 
-    return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)), F.col(text)).mapInArrow(run, _ROW)
+    return docs.select("__llm_key", "__llm_t", F.col(text)).mapInArrow(run, _ROW)
 
 
-_ROW = "wg long, g long, k long, line int, n_pos long"
-_PAIR = "a_k long, a_line int, b_k long, b_line int, more boolean, wg long, g long, n_pos long"
+_ROW = "wg long, g long, k long, line int, n_pos long, t long"
+_PAIR = "a_k long, a_t long, a_line int, b_k long, b_t long, b_line int, more boolean, wg long, g long, n_pos long"
 ENOUGH, CHUNK = 4, 1 << 18
 
 
 class _Group:
     """Rows of whole word groups as columns, and the filters on pairs of them."""
 
-    def __init__(self, wg, g, k, line, n_pos, t: float):
-        self.k, self.line, self.t = k, line, t
+    def __init__(self, wg, g, k, line, n_pos, text, t: float):
+        self.k, self.line, self.text, self.t = k, line, text, t
         self.g, self.g32 = g.view(np.uint64), wg & 0xFFFFFFFF
         self.n, self.pos = (n_pos >> 32).astype(np.float64), (n_pos & 0xFFFFFFFF).astype(np.float64)
         self.index = self.pos < self.n - np.ceil(2 * t / (1 + t) * self.n - 1e-9) + 1  # in the shorter partner's prefix
 
+    def later(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether a's place comes after b's."""
+        k, t, line = self.k, self.text, self.line
+        return (k[a] > k[b]) | ((k[a] == k[b]) & ((t[a] > t[b]) | ((t[a] == t[b]) & (line[a] > line[b]))))
+
+    def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether a and b are different places."""
+        return (self.k[a] != self.k[b]) | (self.text[a] != self.text[b]) | (self.line[a] != self.line[b])
+
     def passes(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Which places of (a, b) pass the length, prefix, positional and bitmap filters."""
         n, pos, t = self.n, self.pos, self.t
@@ -245,16 +268,16 @@ def candidate_pairs(rows: DataFrame, threshold: float = THRESHOLD, wanted: str |
         def found(cols: list[np.ndarray]) -> pa.RecordBatch:
             gone, live = np.flatnonzero(cols[4] < 0), np.flatnonzero(cols[4] >= 0)
             word = cols[0][live] >> 32
-            r = _Group(*(c[live] for c in cols[:5]), threshold)
+            r = _Group(*(c[live] for c in cols[:6]), threshold)
             cut = np.flatnonzero(np.diff(word)) + 1
             starts = np.concatenate([[0], cut]).astype(np.int64)
             size = np.diff(np.concatenate([starts, [len(word)]]))
             out = [(np.zeros(0, np.int64),) * 2]
             over = np.zeros(len(word), bool)  # lines that may have candidates left out
             if wanted:
-                mine = cols[5][live].astype(bool)
+                mine = cols[6][live].astype(bool)
                 for s in np.flatnonzero((size > 1) & (np.add.reduceat(mine, starts) > 0) if len(word) else size > 1).tolist():
-                    order = starts[s] + np.lexsort((r.line[starts[s] : starts[s] + size[s]], r.k[starts[s] : starts[s] + size[s]]))
+                    order = starts[s] + np.lexsort([x[starts[s] : starts[s] + size[s]] for x in (r.line, r.text, r.k)])
                     for b in np.flatnonzero(mine[order]).tolist():
                         out.append(r.pairs(order[:b], np.full(b, order[b])))
             else:
@@ -269,19 +292,19 @@ def candidate_pairs(rows: DataFrame, threshold: float = THRESHOLD, wanted: str |
                     a = index[before[b] - lag]
                     near = r.n[a] >= threshold * r.n[b] - 1e-9
                     a, b = a[near], b[near]
-                    late = np.where((r.k[a] > r.k[b]) | ((r.k[a] == r.k[b]) & (r.line[a] > r.line[b])), a, b)
+                    late = np.where(r.later(a, b), a, b)
                     full = count[late] >= ENOUGH
                     over[late[full]] = True
-                    open_ = np.flatnonzero(~full)
+                    open_ = np.flatnonzero(~full & r.apart(a, b))
                     got = r.passes(a[open_], b[open_])
                     got = open_[got]
                     out.append((a[got], b[got]))
                     np.add.at(count, late[got], 1)
                     lag += 1
             a, b = (np.concatenate(x) for x in zip(*out))
-            later = (r.k[a] > r.k[b]) | ((r.k[a] == r.k[b]) & (r.line[a] > r.line[b]))
+            later = r.later(a, b)
             a, b = np.where(later, b, a), np.where(later, a, b)
-            other = (r.k[a] != r.k[b]) | (r.line[a] != r.line[b])
+            other = r.apart(a, b)
             a, b = a[other], b[other]
             again = np.zeros(0, np.int64)
             if over.any():
@@ -290,12 +313,12 @@ def candidate_pairs(rows: DataFrame, threshold: float = THRESHOLD, wanted: str |
             n_pair, n_rest = len(a), len(gone) + len(again)
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.concat_arrays([pa.array(r.k[a]), nothing(n_rest, pa.int64())]), pa.concat_arrays([pa.array(r.line[a]), nothing(n_rest, pa.int32())]),
-                    pa.array(np.concatenate([r.k[b], cols[2][gone], r.k[again]])), pa.array(np.concatenate([r.line[b], cols[3][gone], r.line[again]])),
+                    pa.concat_arrays([pa.array(r.k[a]), nothing(n_rest, pa.int64())]), pa.concat_arrays([pa.array(r.text[a]), nothing(n_rest, pa.int64())]), pa.concat_arrays([pa.array(r.line[a]), nothing(n_rest, pa.int32())]),
+                    pa.array(np.concatenate([r.k[b], cols[2][gone], r.k[again]])), pa.array(np.concatenate([r.text[b], cols[5][gone], r.text[again]])), pa.array(np.concatenate([r.line[b], cols[3][gone], r.line[again]])),
                     pa.array(np.concatenate([over[b], np.zeros(n_rest, bool)])),
                     *(pa.concat_arrays([nothing(n_pair + len(gone), pa.int64()), pa.array(cols[c][live][again])]) for c in (0, 1, 4)),
                 ],
-                ["a_k", "a_line", "b_k", "b_line", "more", "wg", "g", "n_pos"],
+                ["a_k", "a_t", "a_line", "b_k", "b_t", "b_line", "more", "wg", "g", "n_pos"],
             )
 
         held: list[list[np.ndarray]] = []
@@ -314,68 +337,70 @@ def candidate_pairs(rows: DataFrame, threshold: float = THRESHOLD, wanted: str |
             yield found([np.concatenate(c) for c in zip(*held)])
 
     word = F.shiftright("wg", 32)
-    cols = ["wg", "g", "k", "line", "n_pos", *([wanted] if wanted else [])]
+    cols = ["wg", "g", "k", "line", "n_pos", "t", *([wanted] if wanted else [])]
     return rows.select(*cols).repartition(word).sortWithinPartitions(word, "n_pos").mapInArrow(run, _PAIR)
 
 
-def _lines_at(places: DataFrame, docs: DataFrame, text: str, key: str) -> DataFrame:
-    """``(k, line, x)``: the lines at ``places`` (k, line), and some others."""
-    mix = F.col("k").bitwiseXOR(F.shiftleft(F.col("line").cast("long"), 36))
+def _lines_at(places: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """``(k, t, line, x)``: the lines at ``places`` (k, t, line), and some others."""
+    mix = F.col("k").bitwiseXOR(F.col("t")).bitwiseXOR(F.shiftleft(F.col("line").cast("long"), 36))
     bits = docs.sparkSession.sparkContext.broadcast(bit_table(places.select(mix)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = bits.value
         for batch in batches:
-            out: tuple[list, list, list] = ([], [], [])
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            out: tuple[list, list, list, list] = ([], [], [], [])
+            for k, h, t in zip(*(c.to_pylist() for c in batch.columns)):
                 if t:
                     lines = t.split("\n")
-                    for i in np.flatnonzero(has_bit(table, slots(np.int64(k) ^ (np.arange(len(lines), dtype=np.int64) << 36)))).tolist():
-                        out[0].append(k)
-                        out[1].append(i)
-                        out[2].append(lines[i])
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.string())], ["k", "line", "x"])
+                    for i in np.flatnonzero(has_bit(table, slots(np.int64(k ^ h) ^ (np.arange(len(lines), dtype=np.int64) << 36)))).tolist():
+                        for c, v in zip(out, (k, h, i, lines[i])):
+                            c.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.string()))], ["k", "t", "line", "x"])
+
+    return docs.select("__llm_key", "__llm_t", F.col(text)).mapInArrow(run, "k long, t long, line int, x string")
+
 
-    return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)), F.col(text)).mapInArrow(run, "k long, line int, x string")
+def _place(side: str) -> list:
+    return [F.col(f"{side}_{c}").alias(c) for c in ("k", "t", "line")]
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, text: str, key: str, threshold: float) -> DataFrame:
-    """``(k, line)`` of the later lines of those pairs whose words' Jaccard similarity suffices."""
-    pairs = pairs.where("a_k IS NOT NULL").select("a_k", "a_line", "b_k", "b_line").distinct()
-    need = pairs.select(F.col("a_k").alias("k"), F.col("a_line").alias("line")).unionByName(pairs.select(F.col("b_k").alias("k"), F.col("b_line").alias("line")))
-    lines = stage(_lines_at(need, docs, text, key), "line-texts")
-    a = lines.select(F.col("k").alias("a_k"), F.col("line").alias("a_line"), F.col("x").alias("a_x"))
-    b = lines.select(F.col("k").alias("b_k"), F.col("line").alias("b_line"), F.col("x").alias("b_x"))
+def _verified(pairs: DataFrame, docs: DataFrame, text: str, threshold: float) -> DataFrame:
+    """``(k, t, line)`` of the later lines of those pairs whose words' Jaccard similarity suffices."""
+    pairs = pairs.where("a_k IS NOT NULL").select("a_k", "a_t", "a_line", "b_k", "b_t", "b_line").distinct()
+    need = pairs.select(*_place("a")).unionByName(pairs.select(*_place("b")))
+    lines = stage(_lines_at(need, docs, text), "line-texts")
+    a, b = (lines.toDF(*(f"{side}_{c}" for c in ("k", "t", "line", "x"))) for side in "ab")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            for x, y in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()):
                 if x == y:
                     ok.append(True)
                     continue
                 p, q = set(x.split()), set(y.split())
                 both = len(p & q)
                 ok.append(both >= threshold * (len(p) + len(q) - both) - 1e-9)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["k", "line"]).filter(pa.array(ok, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(batch.columns[:3], ["k", "t", "line"]).filter(pa.array(ok, pa.bool_()))
 
-    both = pairs.join(a, ["a_k", "a_line"]).join(b, ["b_k", "b_line"]).select("b_k", "b_line", "a_x", "b_x")
-    return both.mapInArrow(check, "k long, line int").distinct()
+    both = pairs.join(a, ["a_k", "a_t", "a_line"]).join(b, ["b_k", "b_t", "b_line"]).select("b_k", "b_t", "b_line", "a_x", "b_x")
+    return both.mapInArrow(check, "k long, t long, line int").distinct()
 
 
-def removed_places(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
-    """``(k, line)`` of the lines that go (``k``: the id, or NO_ID for null)."""
-    rows = prefix_rows(docs, text, key, threshold)
+def removed_places(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``(k, t, line)`` of the lines of ``placed`` rows that go."""
+    rows = prefix_rows(docs, text, threshold)
     pairs = stage(candidate_pairs(rows, threshold), "line-pairs")
-    gone = pairs.where("a_k IS NULL AND wg IS NULL").select(F.col("b_k").alias("k"), F.col("b_line").alias("line"))
-    gone = stage(gone.unionByName(_verified(pairs, docs, text, key, threshold)).distinct(), "line-gone")
-    left = pairs.where("more").select(F.col("b_k").alias("k"), F.col("b_line").alias("line")).distinct().join(gone, ["k", "line"], "left_anti")
+    gone = pairs.where("a_k IS NULL AND wg IS NULL").select(*_place("b"))
+    gone = stage(gone.unionByName(_verified(pairs, docs, text, threshold)).distinct(), "line-gone")
+    left = pairs.where("more").select(*_place("b")).distinct().join(gone, ["k", "t", "line"], "left_anti")
     left = stage(left, "line-left")
     if not left.isEmpty():
-        held = pairs.where("wg IS NOT NULL").select("wg", "g", F.col("b_k").alias("k"), F.col("b_line").alias("line"), "n_pos")
-        marked = held.join(left.withColumn("wanted", F.lit(True)), ["k", "line"], "left").withColumn("wanted", F.coalesce("wanted", F.lit(False)))
+        held = pairs.where("wg IS NOT NULL").select("wg", "g", *_place("b"), "n_pos")
+        marked = held.join(left.withColumn("wanted", F.lit(True)), ["k", "t", "line"], "left").withColumn("wanted", F.coalesce("wanted", F.lit(False)))
         rest = stage(candidate_pairs(marked, threshold, "wanted"), "line-rest")
-        gone = gone.unionByName(_verified(rest, docs, text, key, threshold)).distinct()
+        gone = gone.unionByName(_verified(rest, docs, text, threshold)).distinct()
     return gone
 
 
@@ -384,15 +409,16 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", thresh
 
     ``counts`` names two more columns: the text's lines, and those removed.
     """
-    gone = stage(removed_places(docs, text, key, threshold), "line-removed")
-    lists = gone.groupBy(F.col("k").alias("__llm_key")).agg(F.collect_set("line").alias("__llm_gone"))
-    keyed = mark_maybe(docs.withColumn("__llm_key", F.coalesce(F.col(key).cast("long"), F.lit(NO_ID))), "__llm_key", gone, "k", "__llm_may")
+    keyed = placed(docs, text, key)
+    gone = stage(removed_places(keyed, text, threshold), "line-removed")
+    lists = gone.groupBy(F.col("k").alias("__llm_key"), F.col("t").alias("__llm_t")).agg(F.collect_set("line").alias("__llm_gone"))
+    keyed = mark_maybe(keyed, "__llm_key", gone, "k", "__llm_may")
     lines = F.split(F.col(text), "\n", -1)
     n = F.coalesce(F.size(lines), F.lit(0)).cast("long")
     same = [F.col(c) for c in docs.columns] + ([n.alias(counts[0]), F.lit(0).cast("long").alias(counts[1])] if counts else [])
     words = "[^" + _SPACE[1:-2] + "]"
     stays = F.filter(lines, lambda x, i: ~F.coalesce(F.array_contains("__llm_gone", i), F.lit(False)) | ~x.rlike(words))
-    cut = keyed.where("__llm_may").join(lists, "__llm_key", "left").withColumn("__llm_lines", stays)
+    cut = keyed.where("__llm_may").join(lists, ["__llm_key", "__llm_t"], "left").withColumn("__llm_lines", stays)
     cols = [F.when(F.col(text).isNotNull(), F.array_join("__llm_lines", "\n")).alias(text) if c == text else F.col(c) for c in docs.columns]
     if counts:
         cols += [n.alias(counts[0]), (n - F.coalesce(F.size("__llm_lines"), F.lit(0)).cast("long")).alias(counts[1])]

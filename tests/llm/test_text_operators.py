@@ -151,6 +151,18 @@ def test_repeated_ids_are_one_document(docs_of):
     assert sorted((r.doc_id, r.text) for r in out) == [(1, "a b"), (1, "a b"), (2, "")]
 
 
+def test_rows_without_ids_are_told_apart(docs_of):
+    rng = random.Random(7)
+    for key in (None, 5):  # line 0 repeats in one row; the others' lines 0 are their own
+        own = [" ".join(words(rng, 12)) for _ in range(12)]
+        base = words(rng, 30)
+        rows = [(key, f"{x}\nsame line in all of them {key}\n{' '.join(base)} tail{i}") for i, x in enumerate(own)] + [(key, f"{own[3]}\nyet another line {key}")]
+        out = [r.text.split("\n") for r in lines.dedup_lines(docs_of(rows)).collect()]
+        kept = collections.Counter(x for t in out for x in t)
+        assert all(kept[x] == 1 for x in own) and kept[f"yet another line {key}"] == 1
+        assert kept[f"same line in all of them {key}"] == 1 and sum(n for x, n in kept.items() if x.startswith(" ".join(base))) == 1
+
+
 # ------------------------------------------------------------------ SimHash
 def print_by_hand(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
