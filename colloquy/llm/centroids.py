@@ -149,7 +149,7 @@ def first_centroids(rows: DataFrame, k: int, seed: int) -> np.ndarray:
     """The k vectors of smallest sha256 of ``seed:id``, in that order (at most k rows come here)."""
     drawn = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("key").cast("string"), F.lit(""))), 256)
     chosen = rows.select(drawn.alias("h"), "v").orderBy("h", "v").limit(k).collect()
-    return whole(np.array([r.v for r in chosen], np.float64).reshape(len(chosen), -1))
+    return whole(np.array([r.v for r in chosen], np.float64)) if chosen else np.zeros((0, 0), np.int64)
 
 
 def cluster(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = K, rounds: int = ROUNDS, dims: int = DIMS, seed: int = SEED) -> tuple[DataFrame, np.ndarray]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colloquy.llm import bpe, centroids, hamming, lines, neardup, packing, passages, pii, quality, simhash, suffixes, topk
+from colloquy.llm import bpe, centroids, hamming, lines, neardup, packing, passages, pii, quality, repair, simhash, suffixes, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": suffixes.query,
@@ -19,10 +19,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": bpe.query,
     "op9_simhash": simhash.query,
     "op10_line_dedup": lines.query,
+    "op11_repair": repair.query,
     "op12_ann": hamming.query,
     "op13_centroids": centroids.query,
 }
 ORACLE: dict[str, str] = {
     "op3_topk": topk.SQL,
+    "op11_repair": repair.SQL,
     "op13_centroids": centroids.SQL,
 }
