@@ -240,3 +240,26 @@ def test_scan_measures_few_centroids_when_means_differ():
     every = ((x[:, None] - c[None]) ** 2).sum(axis=2)
     assert (number == every.argmin(axis=1)).all() and (best == every.min(axis=1)).all()
     assert measured < 6 * len(x)
+
+
+def test_a_text_costs_the_same_whatever_the_word_cache_holds():
+    from colloquy.llm.wordcache import WordCache
+
+    class Counted(WordCache):
+        looked = 0
+
+        def __contains__(self, word):
+            Counted.looked += 1
+            return super().__contains__(word)
+
+        def __iter__(self):
+            raise AssertionError("walks the cache")
+
+        def keys(self):
+            raise AssertionError("walks the cache")
+
+    cache = Counted(lambda ws: [w.encode() for w in ws], limit=200_000)
+    cache.learn([f"w{i}" for i in range(100_000)])
+    Counted.looked = 0
+    cache.learn(["w1", "w2", "new"])
+    assert Counted.looked == 3 and cache.join(["new", "w1"]) == b"neww1"
