@@ -1,8 +1,9 @@
 """Per-request generation metrics from decoded chunk events (batch form).
 
-Two splittable passes, both keyed by ``request_id``: the first finds each request's
-bounds (start, end marker, last arrival), the second keeps the lines up to the end
-marker and sums them up. Formulas:
+The log is read and decoded once. Each ``(request, block of seq)`` is summed up to the
+block's own first end marker, and the summary carries that marker; a request's summaries
+are then merged in seq order, those after the first marker left out. A hot request is
+spread over its blocks. Formulas:
 
 * ``ttft`` = first non-empty delta - start, or ``total`` when no content arrived;
 * ``total`` = end-marker arrival (or last line arrival) - start;
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.functions.timecols import epoch_micros
-from colloquy.operators.shape import TEXT_BLOCK_ROWS, _ordered_concat
+from colloquy.operators.shape import TEXT_BLOCK_ROWS
 
 METRIC_COLUMNS = ("request_id", "text", "ttft_seconds", "total_seconds", "tokens_generated", "tokens_per_second")
 
@@ -30,49 +31,64 @@ def tokens_per_second(tokens, total, ttft, eval_ns=None):
     return F.when(server, tokens / (eval_ns / F.lit(1e9))).otherwise(fallback)
 
 
+def _block_summaries(decoded: DataFrame, end_inclusive: bool) -> DataFrame:
+    """One row per ``(request_id, _blk)``: bounds of all its rows, and the lines up to its first end marker."""
+    blk = F.floor(F.col("seq") / F.lit(TEXT_BLOCK_ROWS)).cast("bigint")
+    chunk = F.struct("seq", "at_us", "is_line", "is_end", F.coalesce("delta", F.lit("")).alias("delta"), "usage_tokens", "eval_count", "eval_ns")
+    rows = decoded.groupBy("request_id", blk.alias("_blk")).agg(
+        F.min("at_us").alias("_s"), F.max("at_us").alias("_l"), F.array_sort(F.collect_list(chunk)).alias("_c")
+    )
+    end = F.get(F.filter("_c", lambda x: x["is_end"]), 0)
+    rows = rows.withColumn("_end", F.struct(end["seq"].alias("seq"), end["at_us"].alias("at_us")))
+    end_seq = F.col("_end.seq")
+    before = (lambda x: x["seq"] <= end_seq) if end_inclusive else (lambda x: x["seq"] < end_seq)
+    kept = rows.withColumn("_k", F.filter("_c", lambda x: x["is_line"] & (end_seq.isNull() | before(x))))
+    used = F.filter("_k", lambda x: x["usage_tokens"].isNotNull())
+    return kept.select(
+        "request_id",
+        "_blk",
+        "_s",
+        "_l",
+        F.when(end_seq.isNotNull(), F.col("_end")).alias("_end"),
+        F.array_min(F.transform(F.filter("_k", lambda x: x["delta"] != ""), lambda x: x["at_us"])).alias("_fu"),
+        F.try_element_at(used, F.lit(-1))["usage_tokens"].alias("_u"),
+        F.array_max(F.transform("_k", lambda x: x["eval_count"])).alias("_ec"),
+        F.array_max(F.transform("_k", lambda x: x["eval_ns"])).alias("_en"),
+        F.array_join(F.transform("_k", lambda x: x["delta"]), "").alias("_t"),
+    )
+
+
+def _merged(blocks: DataFrame) -> DataFrame:
+    """One row per request: its blocks' summaries in seq order, up to the first that holds an end marker."""
+    part = F.struct("_blk", "_s", "_l", "_end", "_fu", "_u", "_ec", "_en", "_t")
+    rows = blocks.groupBy("request_id").agg(F.array_sort(F.collect_list(part)).alias("_b"))
+    end = F.get(F.filter("_b", lambda x: x["_end"].isNotNull()), 0)
+    rows = rows.withColumns({"_last_blk": end["_blk"], "_end_us": end["_end"]["at_us"]})
+    kept = rows.withColumn("_k", F.filter("_b", lambda x: F.col("_last_blk").isNull() | (x["_blk"] <= F.col("_last_blk"))))
+    each = lambda array, field: F.transform(array, lambda x: x[field])
+    return kept.select(
+        "request_id",
+        F.array_min(each("_b", "_s")).alias("_start_us"),
+        F.array_max(each("_b", "_l")).alias("_last_us"),
+        "_end_us",
+        F.array_min(each("_k", "_fu")).alias("_first_us"),
+        F.try_element_at(F.filter(each("_k", "_u"), lambda x: x.isNotNull()), F.lit(-1)).alias("_usage"),
+        F.array_max(each("_k", "_ec")).alias("_eval_count"),
+        F.array_max(each("_k", "_en")).alias("_eval_ns"),
+        F.array_join(each("_k", "_t"), "").alias("text"),
+    )
+
+
 def request_metrics(decoded: DataFrame, end_inclusive: bool, starts: DataFrame | None = None) -> DataFrame:
     """One row per request: ``text, ttft_seconds, total_seconds, tokens_generated, tokens_per_second``.
 
     ``starts`` optionally supplies ``(request_id, started_at)``; otherwise a request
     starts at its first received line.
     """
-    is_end = F.col("is_end")
-    bounds = decoded.groupBy("request_id").agg(
-        F.min("at_us").alias("_start_us"),
-        F.max("at_us").alias("_last_us"),
-        F.min(F.when(is_end, F.col("seq"))).alias("_end_seq"),
-        F.min_by("at_us", F.when(is_end, F.col("seq"))).alias("_end_us"),
-    )
+    j = _merged(_block_summaries(decoded, end_inclusive))
     if starts is not None:
         s = starts.select("request_id", epoch_micros(starts, "started_at").alias("_s_us"))
-        bounds = bounds.join(s, "request_id", "left").withColumn(
-            "_start_us", F.coalesce(F.col("_s_us"), F.col("_start_us"))
-        ).drop("_s_us")
-    before_end = (F.col("seq") <= F.col("_end_seq")) if end_inclusive else (F.col("seq") < F.col("_end_seq"))
-    kept = decoded.join(bounds.select("request_id", "_end_seq"), "request_id").filter(
-        F.col("is_line") & (F.col("_end_seq").isNull() | before_end)
-    )
-    delta = F.coalesce(F.col("delta"), F.lit(""))
-    usage_seq = F.when(F.col("usage_tokens").isNotNull(), F.col("seq"))
-    # One two-level aggregation: per (request, seq block) the partial sums and the text of
-    # the block, then per request the final values (a hot request is spread over blocks).
-    blk = F.floor(F.col("seq") / F.lit(TEXT_BLOCK_ROWS)).cast("bigint")
-    blocks = kept.groupBy("request_id", blk.alias("_blk")).agg(
-        F.min(F.when(delta != "", F.col("at_us"))).alias("_fu"),
-        F.max_by("usage_tokens", usage_seq).alias("_u"),
-        F.max(usage_seq).alias("_us"),
-        F.max("eval_count").alias("_ec"),
-        F.max("eval_ns").alias("_en"),
-        _ordered_concat(delta, F.col("seq")).alias("_t"),
-    )
-    sums = blocks.groupBy("request_id").agg(
-        F.min("_fu").alias("_first_us"),
-        F.max_by("_u", "_us").alias("_usage"),
-        F.max("_ec").alias("_eval_count"),
-        F.max("_en").alias("_eval_ns"),
-        _ordered_concat(F.col("_t"), F.col("_blk")).alias("text"),
-    )
-    j = bounds.join(sums, "request_id", "left")
+        j = j.join(s, "request_id", "left").withColumn("_start_us", F.coalesce(F.col("_s_us"), F.col("_start_us")))
     total = (F.coalesce(F.col("_end_us"), F.col("_last_us")) - F.col("_start_us")) / F.lit(1e6)
     ttft = F.when(F.col("_first_us").isNotNull(), (F.col("_first_us") - F.col("_start_us")) / F.lit(1e6)).otherwise(total)
     tokens = F.coalesce(F.col("_eval_count"), F.col("_usage"), F.lit(0)).cast("bigint")

@@ -1,6 +1,10 @@
 """Streaming generation telemetry and result logs.
 
-Two streaming forms of the per-request metrics:
+Three streaming forms of the per-request metrics:
+
+* ``request_sessions`` (long-running streams): ``transformWithState`` with list and value
+  state and event-time timers. A request is emitted once the watermark has passed its last
+  chunk, so chunks may come in any order; state is bounded by the requests not yet passed.
 
 * ``request_metrics_stateful`` (long-running streams): ``applyInPandasWithState`` with
   event-time timeouts. A request is emitted when its end marker arrives and its state
@@ -14,9 +18,12 @@ Two streaming forms of the per-request metrics:
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 
 from colloquy.operators.telemetry import tokens_per_second
 from colloquy.session import checkpoint_dir
@@ -196,3 +203,138 @@ def request_metrics_stateful(decoded: DataFrame, end_inclusive: bool, delay_ms:
     return watermarked.groupBy("request_id").applyInPandasWithState(
         step, METRICS_SCHEMA, _STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout
     )
+
+
+# ---------------------------------------------------------------------------
+# Sessions: list and value state with timers (transformWithState).
+# ---------------------------------------------------------------------------
+_LIST_STATE = "seq long, at_us long, is_line boolean, is_end boolean, delta string, usage_tokens long, eval_count long, eval_ns long"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def chunk_metrics(chunks: list[tuple], end_inclusive: bool) -> tuple:
+    """``(text, ttft, total, tokens, tokens per second, ended)`` of one request's chunks, in any order."""
+    chunks = sorted(chunks, key=lambda c: c[0])
+    start, last = min(c[1] for c in chunks), max(c[1] for c in chunks)
+    end = next((c for c in chunks if c[3]), None)
+    kept = [c for c in chunks if c[2] and (end is None or c[0] < end[0] or (end_inclusive and c[0] == end[0]))]
+    total = ((end[1] if end else last) - start) / 1e6
+    first = min((c[1] for c in kept if c[4]), default=None)
+    ttft = total if first is None else (first - start) / 1e6
+    counted = [c[6] for c in kept if c[6] is not None]
+    used = [c[5] for c in kept if c[5] is not None]
+    tokens = max(counted) if counted else used[-1] if used else 0
+    spent = max((c[7] for c in kept if c[7] is not None), default=0)
+    if spent and tokens:
+        speed = tokens / (spent / 1e9)
+    else:
+        speed = (tokens - 1) / (total - ttft) if tokens > 1 and total > ttft else 0.0
+    return "".join(c[4] or "" for c in kept), ttft, total, tokens, float(speed), end is not None
+
+
+class RequestSessions(StatefulProcessor):
+    """Holds a request's chunks (list state) and what is known of it (value state).
+
+    A timer stands at the request's last chunk; an open request gets ``idle_ms`` more. When
+    the watermark passes it no earlier chunk can come any more, so the row is emitted and
+    the chunks are dropped. A marker stays ``idle_ms`` longer and swallows stragglers.
+    """
+
+    def __init__(self, end_inclusive: bool, idle_ms: int):
+        self.end_inclusive, self.idle_ms = end_inclusive, idle_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.chunks = handle.getListState("chunks", _LIST_STATE)
+        self.known = handle.getValueState("known", "last_ms long, ended boolean, timer_ms long, emitted boolean")
+
+    def handleInputRows(self, key, rows, timerValues):
+        known = self.known.get() if self.known.exists() else None
+        if known is not None and known[3]:
+            return iter(())
+        new = [tuple(r[f] for f in _CHUNK_FIELDS) for r in rows]
+        self.chunks.appendList(new)
+        last = max(c[1] for c in new) // 1000 + 1
+        ended = any(c[3] for c in new)
+        if known is not None:
+            last, ended = max(last, known[0]), ended or known[1]
+        timer = max(last + (0 if ended else self.idle_ms), timerValues.getCurrentWatermarkInMs() + 1)
+        if known is None or timer != known[2]:
+            if known is not None:
+                self.handle.deleteTimer(known[2])
+            self.handle.registerTimer(timer)
+        self.known.update((last, ended, timer, False))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        last, ended, _, emitted = self.known.get()
+        if emitted:
+            self.known.clear()
+            return
+        found = chunk_metrics([tuple(c) for c in self.chunks.get()], self.end_inclusive)
+        self.chunks.clear()
+        timer = timerValues.getCurrentWatermarkInMs() + self.idle_ms
+        self.handle.registerTimer(timer)
+        self.known.update((last, ended, timer, True))
+        yield Row(request_id=key[0], text=found[0], ttft_seconds=found[1], total_seconds=found[2],
+                  tokens_generated=found[3], tokens_per_second=found[4], ended=found[5])
+
+    def close(self) -> None:
+        pass
+
+
+def request_sessions(decoded: DataFrame, end_inclusive: bool, delay_ms: int = 600_000, idle_ms: int = 600_000) -> DataFrame:
+    """Append-mode stream of request metrics, equal to the batch form for chunks up to ``delay_ms`` late.
+
+    State is bounded by the requests whose last chunk the watermark has not passed. It
+    needs the RocksDB state store (``with_rocksdb``). Chunks older than the watermark are dropped.
+    """
+    timed = decoded.withColumn("_event_ts", F.timestamp_micros("at_us")).withWatermark("_event_ts", f"{int(delay_ms)} milliseconds")
+    return timed.groupBy("request_id").transformWithState(
+        statefulProcessor=RequestSessions(end_inclusive, idle_ms), outputStructType=METRICS_SCHEMA, outputMode="Append", timeMode="EventTime"
+    )
+
+
+@contextmanager
+def with_rocksdb(spark: SparkSession):
+    """The session starts streams on the RocksDB state store inside this block."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+# ---------------------------------------------------------------------------
+# Result log with committed batches.
+# ---------------------------------------------------------------------------
+def commit_batch(batch: DataFrame, path: str, query: str, batch_id: int) -> None:
+    """Write one micro-batch under ``(query, batch id)``, then commit it.
+
+    A replay overwrites its own folder, so it adds nothing; a batch whose write broke off
+    has no commit and is not read.
+    """
+    root = path.rstrip("/")
+    batch.write.mode("overwrite").parquet(f"{root}/data/query={query}/batch={batch_id}")
+    done = batch.sparkSession.range(1).select(F.lit(query).alias("query"), F.lit(batch_id).cast("long").alias("batch"))
+    done.coalesce(1).write.mode("overwrite").parquet(f"{root}/commits/{query}-{batch_id}")
+
+
+def read_committed(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Rows of committed batches; readable at any time of a run."""
+    root = path.rstrip("/")
+    keyed = T.StructType([*schema.fields, T.StructField("query", T.StringType()), T.StructField("batch", T.LongType())])
+    rows = spark.read.schema(keyed).option("basePath", f"{root}/data").parquet(f"{root}/data")
+    commits = spark.read.schema("query string, batch long").option("recursiveFileLookup", True).parquet(f"{root}/commits")
+    return rows.join(commits.distinct(), ["query", "batch"], "left_semi").drop("query", "batch")
+
+
+def results_once(stream: DataFrame, path: str, query: str) -> DataFrame:
+    """Run ``stream`` to the end of its input into the committed log at ``path``; returns the log's rows."""
+    ckpt = f"{checkpoint_dir(stream.sparkSession).rstrip('/')}/streams/{query}"
+    schema = stream.schema
+    write = lambda batch, batch_id: commit_batch(batch, path, query, batch_id)
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", ckpt).trigger(availableNow=True).start().awaitTermination()
+    return read_committed(stream.sparkSession, path, schema)
