@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from colloquy.functions import native_keys
 from colloquy.functions.canonical import envelope_key, semantic_key, structured_keys, yaml_loader
 from colloquy.functions.text import col_of, locate_from, py_strip, splitlines, strip_newlines
 
@@ -109,6 +110,17 @@ def parse_envelope(text: Column | str) -> Column:
     return envelope_key(col_of(text))
 
 
+def with_envelope(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Add the canonical envelope key of column ``text``; only texts that are not simple go through Python."""
+    t, tmp = F.col(text), f"_{out}"
+    df = df.withColumn(f"{tmp}_at", F.locate("PASS_4", t))
+    df = df.withColumn(f"{tmp}_from", F.when(F.col(f"{tmp}_at") > 0, locate_from("{", t, F.col(f"{tmp}_at"))))
+    df = native_keys.envelope(df, F.when(F.col(f"{tmp}_from") > 0, F.substr(t, F.col(f"{tmp}_from"))), tmp)
+    known = F.col(f"{tmp}_known")
+    key = F.when(known, F.col(f"{tmp}_key")).otherwise(envelope_key(F.when(~known, t)))
+    return df.withColumn(out, key).drop(*[f"{tmp}_{c}" for c in ("at", "from", "key", "known")])
+
+
 # Parser registry: section name -> Column builder over the reply text. Callers may add
 # or replace entries; parsing, scores and accuracy rows follow this mapping.
 PASS_PARSERS: dict[str, Callable[[Column | str], Column]] = {
@@ -181,11 +193,17 @@ def with_parsed_reply(df: DataFrame, text: str, out: str, keep: bool = False, li
     staged = staged.select("*", F.make_valid_utf8(tail).alias(f"{tmp}_t4"), F.make_valid_utf8(sec[3]).alias(f"{tmp}_t3"))
     texts = {"semantic": F.col(f"{tmp}_t3"), "envelope": F.col(f"{tmp}_t4")}
     known = {k: F.col(f"_{like}_t{n}") for k, n in (("semantic", 3), ("envelope", 4))} if like else {}
-    ask = {k: F.when(~x.eqNullSafe(known[k]), x) if like else x for k, x in texts.items()}
+    # simple texts get their keys natively; only the others cross into Python
+    same = {k: x.eqNullSafe(known[k]) if like else F.lit(False) for k, x in texts.items()}
+    ask = {k: F.when(~same[k], x) for k, x in texts.items()}
+    staged = native_keys.semantic(staged, ask["semantic"], f"{tmp}_n3")
+    staged = native_keys.envelope(staged, ask["envelope"], f"{tmp}_n4")
+    native = {"semantic": f"{tmp}_n3", "envelope": f"{tmp}_n4"}
+    ask = {k: F.when(~same[k] & ~F.col(f"{native[k]}_known"), x) for k, x in texts.items()}
     staged = staged.select("*", structured_keys(ask["envelope"], ask["semantic"]).alias(f"{tmp}_k"))
     keys = {
-        k: F.when(x.eqNullSafe(known[k]), F.col(f"{like}.{k}")).otherwise(F.col(f"{tmp}_k.{k}")) if like else F.col(f"{tmp}_k.{k}")
-        for k, x in texts.items()
+        k: F.when(same[k], F.col(f"{like}.{k}") if like else F.lit(None)).when(F.col(f"{native[k]}_known"), F.col(f"{native[k]}_key")).otherwise(F.col(f"{tmp}_k.{k}"))
+        for k in texts
     }
     own = {
         "PASS_0": _norm_from_lines(sec[0], lines[0]),

@@ -16,6 +16,7 @@ from colloquy.functions.replies import (
     field_of,
     metric_of,
     parse_envelope,
+    with_envelope,
     with_parsed_reply,
 )
 
@@ -120,6 +121,22 @@ def robustness(results: DataFrame, group: str = "group_id", level: str = "level"
     return joined.withColumn("matches_level1", matches).drop("_ref")
 
 
+def robustness_of_replies(results: DataFrame, group: str = "group_id", level: str = "level", seq: str = "seq",
+                          reply: str = "generated", envelope: str = "pass4_envelope") -> DataFrame:
+    """``robustness`` from reply texts, without reading parsed rows twice.
+
+    The reference is chosen as a text; so each reply is parsed once, after the exchange
+    that deals the rows by group, and each group's reference once. No job runs while
+    building. Replies from a predictor must be materialised before.
+    """
+    ref = results.groupBy(group).agg(F.max_by(F.struct(F.col(reply).alias("t")), F.when(F.col(level) == 1, F.col(seq))).alias("_r"))
+    ref = with_envelope(ref.select(group, F.col("_r.t").alias("_r")), "_r", "_ref").drop("_r")
+    joined = with_envelope(results.join(ref, group, "left"), reply, envelope)
+    scored = (F.col(level) > 1) & F.col("_ref").isNotNull()
+    matches = F.when(scored, F.coalesce(F.col(envelope) == F.col("_ref"), F.lit(False)))
+    return joined.withColumn("matches_level1", matches).drop("_ref")
+
+
 def in_report_order(results: DataFrame, group: str = "group_id", level: str = "level", seq: str = "seq") -> DataFrame:
     """Results by group, inside it by level, then as they came."""
     return results.orderBy(group, level, seq)

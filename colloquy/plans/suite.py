@@ -460,8 +460,7 @@ def robustness_results(spark: SparkSession, sf: str) -> DataFrame:
         f"{fx.ROBUST_REPLY_SQL} AS generated",
     )
     ev = ev.withColumn("level_name", evaluate.level_name_column(F.col("level")))
-    parsed = ev.withColumn("pass4_envelope", evaluate.envelope_of(F.col("generated"))).drop("generated")
-    return evaluate.robustness(cut_lineage(parsed))
+    return evaluate.robustness_of_replies(ev).drop("generated")
 
 
 _ROBUST_ORACLE = f"""WITH e AS (
