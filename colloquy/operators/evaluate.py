@@ -89,13 +89,14 @@ def pass_accuracy(parsed: DataFrame) -> DataFrame:
 
 
 def exact_match_rate(scored: DataFrame, col: str = "exact_match", status: str | None = None) -> DataFrame:
-    """Mean score over all examples (0.0 when none; a missing score is 0.0) and their number.
+    """Mean of the scores there are (0.0 when none) and the number of examples.
 
-    With ``status``, also ``num_errors``: the examples whose prediction failed.
+    With ``status``, examples whose prediction failed score 0.0, and ``num_errors`` counts them.
     """
-    errors = [F.count_if(F.coalesce(F.col(status) != "ok", F.lit(True))).alias("num_errors")] if status else []
+    failed = F.coalesce(F.col(status) != "ok", F.lit(True)) if status else F.lit(False)
+    errors = [F.count_if(failed).alias("num_errors")] if status else []
     return scored.agg(
-        F.coalesce(F.avg(F.coalesce(F.col(col), F.lit(0.0))), F.lit(0.0)).alias("exact_match_rate"),
+        F.coalesce(F.avg(F.when(failed, F.lit(0.0)).otherwise(F.col(col))), F.lit(0.0)).alias("exact_match_rate"),
         F.count(F.lit(1)).alias("num_examples"),
         *errors,
     )

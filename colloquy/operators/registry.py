@@ -12,6 +12,8 @@ anything, they produce candidate tables.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -125,6 +127,26 @@ def read_manifests(spark: SparkSession, adapter_dirs: list[str], legacy: str | N
     )
 
 
+def scan_manifests(spark: SparkSession, root: str, names: list[str], whole_file: bool = True) -> DataFrame:
+    """``(folder, rank, body)`` of every manifest below ``root``; one listing, made by Spark's own file index.
+
+    ``names`` are file name patterns, the preferred one first (``rank`` 0). With
+    ``whole_file`` false every line is a manifest of its own.
+    """
+    found = []
+    for rank, name in enumerate(names):
+        files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name).text(root, wholetext=whole_file)
+        folder = F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]+$", 1)
+        found.append(files.select(folder.alias("folder"), F.lit(rank).alias("rank"), F.col("value").alias("body")))
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def preferred(manifests: DataFrame) -> DataFrame:
+    """Per folder, the manifests under its most preferred name only."""
+    best = manifests.groupBy("folder").agg(F.min("rank").alias("rank"))
+    return manifests.join(best, ["folder", "rank"]).drop("rank")
+
+
 def prefer_manifest(manifests: DataFrame, adapter: str = "adapter_path", file_name: str = "file_name",
                     legacy: str | None = None) -> DataFrame:
     """Per adapter folder, ``manifest.json`` wins over the ``legacy`` name; a corrupt preferred file gives none."""
@@ -142,14 +164,18 @@ def parse_manifest_body(df: DataFrame, body: str = "body") -> DataFrame:
 
 
 def inherit_from_prior(configs: DataFrame, priors: DataFrame, link: str = "continue_adapter",
-                       adapter: str = "adapter_path") -> DataFrame:
+                       adapter: str = "adapter_path", newest: str | None = None) -> DataFrame:
     """Child configs take base_model / lora_r / lora_alpha / max_seq_length from their prior manifest.
 
     ``priors`` carries the four fields (null = absent in the prior); a child with no
-    prior keeps its own values. ``training_mode`` records continuation. Several prior rows
-    of one adapter give one: each field's smallest value, so children are never multiplied.
+    prior keeps its own values. ``training_mode`` records continuation. Of several prior
+    rows of one adapter a single whole one counts: the greatest in the column ``newest``,
+    ties (and tables without it) by the fields themselves. Fields of different manifests
+    are never mixed, and children never multiplied.
     """
-    priors = priors.groupBy(adapter).agg(*[F.min(c).alias(c) for c in INHERITED_FIELDS])
+    fields = F.struct(*INHERITED_FIELDS)
+    one = F.max(F.struct(F.col(newest).alias("n"), fields.alias("m"))) if newest else F.max(F.struct(fields.alias("m")))
+    priors = priors.groupBy(adapter).agg(one.alias("_one")).select(adapter, "_one.m.*")
     p = priors.select(F.col(adapter).alias("_link"), *[F.col(c).alias(f"_p_{c}") for c in INHERITED_FIELDS])
     j = configs.join(p, configs[link] == p["_link"], "left")
     out = j

@@ -284,6 +284,20 @@ def arrow_token_counter(make_encoder):
     return lambda c: _count(c)
 
 
+def distinct_word_tokens(texts: DataFrame, key: str, text: str, count: Callable[[Column], Column]) -> DataFrame:
+    """``(key, n_tokens)``: tokens of each text's words, each distinct word tokenised once.
+
+    For tokenizers that cut texts at white space first. Words are counted per text, the
+    tokenizer (``count``, e.g. from ``arrow_token_counter``) sees every distinct word of the
+    table once, and a text's tokens are a weighted sum joined back. A null or blank text has 0.
+    """
+    words = texts.select(key, F.explode(F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), " ")).alias("word"))
+    per_text = words.where("word <> ''").groupBy(key, "word").agg(F.count(F.lit(1)).alias("times"))
+    sizes = per_text.select("word").distinct().withColumn("size", count(F.col("word")))
+    sums = per_text.join(sizes, "word").groupBy(key).agg(F.sum(F.col("times") * F.col("size")).alias("n_tokens"))
+    return texts.select(key).join(sums, key, "left").withColumn("n_tokens", F.coalesce("n_tokens", F.lit(0)).cast("long"))
+
+
 def device_family(name: Column) -> Column:
     """Device family from a device name: A100, L4 (but not L40), T4, else OTHER."""
     upper = F.upper(name)

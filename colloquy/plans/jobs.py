@@ -295,6 +295,26 @@ def prediction_sample(conversations: DataFrame, key: str, decode_factory: Callab
     return gen.filter(F.col("status") == "ok").select("gold", "generated")
 
 
+def settle_remote(results: DataFrame, requests: DataFrame, key: str = "request_id", newest: str = "seq") -> tuple[DataFrame, DataFrame]:
+    """Results of a remote run joined to its request log, and how the two sides met.
+
+    Of several results of one request the newest counts (greatest ``newest``). The second
+    table has one row: requests on both sides, only in the results, only in the log, and
+    results dropped as older repeats.
+    """
+    once = results.groupBy(key).agg(F.max_by(F.struct("*"), newest).alias("_r"), F.count(F.lit(1)).alias("_n"))
+    both = once.join(requests.withColumn("_log", F.lit(True)), key, "full")
+    counts = both.agg(
+        F.count_if(F.col("_r").isNotNull() & F.col("_log").isNotNull()).alias("matched"),
+        F.count_if(F.col("_log").isNull()).alias("without_log"),
+        F.count_if(F.col("_r").isNull()).alias("without_result"),
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("repeats"),
+    )
+    fields = [c for c in results.columns if c != key]
+    joined = both.where("_r IS NOT NULL AND _log IS NOT NULL")
+    return joined.select(key, *[F.col(f"_r.{c}").alias(c) for c in fields], *[c for c in requests.columns if c != key]), counts
+
+
 def score_remote_run(results: DataFrame, chunk_metrics: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Remote robustness run: results ``(request_id, group_id, level, level_name, seq)`` joined by
     request id to per-request stream metrics (text = the answer), scored against level 1.

@@ -37,3 +37,12 @@ def failing_batch_factory(bad_content: str):
         return predict_batch
 
     return factory
+
+
+def fours_factory():
+    """Tokenizer stub: pieces of at most four characters."""
+
+    def encode(text: str) -> list[str]:
+        return [text[i : i + 4] for i in range(0, len(text), 4)]
+
+    return encode
