@@ -258,8 +258,8 @@ class _Group:
 def candidate_pairs(rows: DataFrame, threshold: float = THRESHOLD, wanted: str | None = None) -> DataFrame:
     """Pairs (earlier line a, later line b) that pass the filters; a null ``a`` means b is gone.
 
-    ``more`` tells that b may have candidates beyond its ``ENOUGH``; the rows of groups
-    with such lines follow as they came (b with ``wg``), so none need be made again.
+    ``more`` tells that b may have candidates beyond its ``ENOUGH``; such rows and all that
+    they may meet follow as they came (b with ``wg``), so none need be made again.
     With ``wanted``, a boolean column of ``rows``, only lines b that have it set are
     compared, with all earlier members of their groups; else see the module's step 3.
     """
@@ -308,14 +308,19 @@ def candidate_pairs(rows: DataFrame, threshold: float = THRESHOLD, wanted: str |
             a, b = a[other], b[other]
             again = np.zeros(0, np.int64)
             if over.any():
-                again = np.flatnonzero(np.repeat(np.logical_or.reduceat(over, starts), size))
+                # rows stand by word and size: what such lines may meet is near them in size
+                at = np.repeat(np.arange(len(starts)), size) * float(1 << 32)
+                marked = (at + r.n)[over]
+                low = np.searchsorted(marked, at + np.ceil(threshold * r.n - 1e-9))
+                high = np.searchsorted(marked, at + np.floor(r.n / threshold + 1e-9), "right")
+                again = np.flatnonzero(high > low)
             nothing = lambda n, kind: pa.nulls(n, kind)
             n_pair, n_rest = len(a), len(gone) + len(again)
             return pa.RecordBatch.from_arrays(
                 [
                     pa.concat_arrays([pa.array(r.k[a]), nothing(n_rest, pa.int64())]), pa.concat_arrays([pa.array(r.text[a]), nothing(n_rest, pa.int64())]), pa.concat_arrays([pa.array(r.line[a]), nothing(n_rest, pa.int32())]),
                     pa.array(np.concatenate([r.k[b], cols[2][gone], r.k[again]])), pa.array(np.concatenate([r.text[b], cols[5][gone], r.text[again]])), pa.array(np.concatenate([r.line[b], cols[3][gone], r.line[again]])),
-                    pa.array(np.concatenate([over[b], np.zeros(n_rest, bool)])),
+                    pa.array(np.concatenate([over[b], np.zeros(len(gone), bool), over[again]])),
                     *(pa.concat_arrays([nothing(n_pair + len(gone), pa.int64()), pa.array(cols[c][live][again])]) for c in (0, 1, 4)),
                 ],
                 ["a_k", "a_t", "a_line", "b_k", "b_t", "b_line", "more", "wg", "g", "n_pos"],
@@ -397,7 +402,10 @@ def removed_places(docs: DataFrame, text: str = "text", threshold: float = THRES
     left = pairs.where("more").select(*_place("b")).distinct().join(gone, ["k", "t", "line"], "left_anti")
     left = stage(left, "line-left")
     if not left.isEmpty():
-        held = pairs.where("wg IS NOT NULL").select("wg", "g", *_place("b"), "n_pos")
+        # only the words of lines that are still open; most marked lines are gone by now
+        held = pairs.where("wg IS NOT NULL").select(F.shiftright("wg", 32).alias("word"), "wg", "g", *_place("b"), "n_pos", "more")
+        words = held.where("more").join(left, ["k", "t", "line"], "left_semi").select("word").distinct()
+        held = held.join(words, "word", "left_semi").drop("word", "more")
         marked = held.join(left.withColumn("wanted", F.lit(True)), ["k", "t", "line"], "left").withColumn("wanted", F.coalesce("wanted", F.lit(False)))
         rest = stage(candidate_pairs(marked, threshold, "wanted"), "line-rest")
         gone = gone.unionByName(_verified(rest, docs, text, threshold)).distinct()
