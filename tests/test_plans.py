@@ -28,9 +28,16 @@ def test_response_span_windows_are_block_scoped(spark):
     assert over_turns and all(re.search(r"\], \[conv_id#\d+L, _blk#\d+L\], \[turn#", ln) for ln in over_turns)
 
 
-def test_robustness_reads_a_checkpoint_not_the_udf(spark):
+def test_robustness_parses_each_reply_once_and_builds_without_a_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "robustness")
     plan = plan_of(spark, "robustness")
-    assert "ArrowEvalPython" not in plan and "ExistingRDD" in plan
+    begun = len(tracker.getJobIdsForGroup("building"))
+    spark.sparkContext.setJobGroup("", "")
+    assert begun <= 1  # the schema of one file
+    # one step over the replies, one over the chosen references; only texts that are not simple reach it
+    assert plan.count("ArrowEvalPython") == 2 and "ExistingRDD" not in plan
+    assert "CASE WHEN NOT" in plan.split("ArrowEvalPython")[1]
 
 
 def test_scans_are_pruned(spark):
