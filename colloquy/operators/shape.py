@@ -197,10 +197,39 @@ def marker_guard(flat: DataFrame, template: ChatTemplate = DEFAULT_TEMPLATE, tex
     )
 
 
+def _straddles(marker: str, before: str) -> bool:
+    """Whether ``marker`` can begin at the end of ``before`` and go on in the next piece."""
+    return any(before.endswith(marker[:n]) for n in range(1, len(marker)))
+
+
+def marker_guard_of_turns(turns: DataFrame, template: ChatTemplate = DEFAULT_TEMPLATE, key: str = "conv_id") -> DataFrame:
+    """``marker_guard`` without assembling texts: a row holds a marker if one of its turns does.
+
+    A template whose turns can end in the beginning of a marker needs the assembled text.
+    """
+    markers = (template.instruction_part, template.response_part)
+    if any(_straddles(m, end) for m in markers for end in (template.bos, template.turn_close)):
+        return marker_guard(flatten_text(turns, template, key), template)
+    piece = template.render_turn(F.col("role"), F.col("text"))
+    rows = turns.groupBy(key).agg(*[F.coalesce(F.bool_or(piece.contains(m)), F.lit(False)).alias(f"_m{i}") for i, m in enumerate(markers)])
+    both = F.col("_m0") & F.col("_m1")
+    return rows.agg(
+        F.coalesce(F.bool_and(both), F.lit(False)).alias("markers_ok"),
+        F.count_if(~both).alias("n_rows_missing_markers"),
+        F.count(F.lit(1)).alias("n_rows"),
+    )
+
+
+def text_lengths(turns: DataFrame, template: ChatTemplate = DEFAULT_TEMPLATE, key: str = "conv_id") -> DataFrame:
+    """``(key, n_chars)`` of the rendered texts, as sums of the lengths of their pieces."""
+    piece = F.length(template.header(F.col("role"))) + F.length(F.coalesce(F.col("text"), F.lit(""))) + F.lit(len(template.turn_close))
+    return turns.groupBy(key).agg((F.coalesce(F.sum(piece), F.lit(0)) + F.lit(len(template.bos))).cast("bigint").alias("n_chars"))
+
+
 def masked_fraction(spans: DataFrame, flat: DataFrame, key: str = "conv_id") -> DataFrame:
-    """Share of rendered characters that carry loss."""
+    """Share of rendered characters that carry loss; ``flat`` has the texts, or their ``n_chars``."""
     trained = spans.groupBy().agg(F.sum(F.col("span_end") - F.col("span_start")).alias("_t"))
-    total = flat.groupBy().agg(F.sum(F.length("text")).alias("_a"))
+    total = flat.groupBy().agg(F.sum("n_chars" if "n_chars" in flat.columns else F.length("text")).alias("_a"))
     return trained.unionByName(total, allowMissingColumns=True).agg(
         F.try_divide(F.sum("_t").cast("double"), F.sum("_a").cast("double")).alias("trained_fraction")
     )

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from colloquy.functions.text import whitespace_tokens
-from colloquy.session import cut_lineage
 
 
 # tokens/second per device family (a heuristic, not a measurement) and
@@ -184,30 +183,29 @@ def length_ratio(df: DataFrame, generated: str, gold: str) -> DataFrame:
     return out.withColumn("ratio", F.try_divide("median_generated", "median_gold"))
 
 
-def histogram(df: DataFrame, value: str, split: str = "split", bins: int = 20, width: int = 50,
-              materialize: bool = True) -> DataFrame:
+def histogram(df: DataFrame, value: str, split: str = "split", bins: int = 20, width: int = 50) -> DataFrame:
     """Equal-width histogram per split between min and max, last bin closed, empty bins kept.
 
     ``(split, bin, bucket_lo, bucket_hi, count, bar)``; a split whose values are all
-    equal yields one bin holding every row. The values are read twice (bounds, then
-    bins), so the two needed columns are checkpointed once (``materialize``).
+    equal yields one bin holding every row. The rows are read once: they are counted per
+    ``(split, value)`` map-side, and bounds and bins both come from that exchange, which
+    is as long as there are distinct values. No job runs while building.
     """
-    if materialize:
-        df = cut_lineage(df.select(split, value))
+    df = df.groupBy(split, value).agg(F.count(F.lit(1)).alias("_n"))
     bounds = df.groupBy(split).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
     w = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     # One row per split; the join is planned from the sizes measured at run time.
     binned = (
-        df.select(split, value)
-        .join(bounds, split)
+        df.join(bounds, split)
         .select(
             split,
+            "_n",
             F.when(F.col("_hi") == F.col("_lo"), F.lit(0))
             .otherwise(F.least(F.floor((F.col(value) - F.col("_lo")) / w).cast("int"), F.lit(bins - 1)))
             .alias("bin"),
         )
         .groupBy(split, "bin")
-        .agg(F.count(F.lit(1)).alias("count"))
+        .agg(F.sum("_n").alias("count"))
     )
     grid = bounds.select(
         split,

@@ -316,7 +316,7 @@ def q_response_spans(spark: SparkSession, sf: str) -> DataFrame:
              FROM conversations GROUP BY conv_id)""",
 )
 def q_marker_guard(spark: SparkSession, sf: str) -> DataFrame:
-    return shape.marker_guard(shape.flatten_text(read_turns(spark, sf)))
+    return shape.marker_guard_of_turns(read_turns(spark, sf))
 
 
 @register(
@@ -844,7 +844,7 @@ def q_length_distribution(spark: SparkSession, sf: str) -> DataFrame:
 )
 def q_masked_fraction(spark: SparkSession, sf: str) -> DataFrame:
     t = read_turns(spark, sf)
-    m = shape.masked_fraction(shape.response_spans(t), shape.flatten_text(t))
+    m = shape.masked_fraction(shape.response_spans(t), shape.text_lengths(t))
     return m.select(F.round("trained_fraction", 9).alias("trained_fraction"))
 
 

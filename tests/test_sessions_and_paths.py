@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from colloquy.operators import registry, stats, telemetry
+from colloquy.operators import registry, shape, stats, telemetry
 from colloquy.plans import jobs, stubs
 from colloquy.sources.telemetry import decode_sse
 from colloquy.streaming import requests
@@ -97,3 +97,16 @@ def test_words_are_tokenised_once(spark):
     texts = spark.createDataFrame([(1, "alpha alpha\n be "), (2, None), (3, "  "), (4, "alphabetical")], "k long, t string")
     got = stats.distinct_word_tokens(texts, "k", "t", stats.arrow_token_counter(stubs.fours_factory))
     assert {r["k"]: r["n_tokens"] for r in got.collect()} == {1: 5, 2: 0, 3: 0, 4: 3}
+
+
+def test_guard_and_lengths_without_texts(spark):
+    turns = spark.createDataFrame(
+        [(1, 0, "user", "a"), (1, 1, "assistant", None), (2, 0, "user", "x <|turn>model"), (3, 0, "user", "say <|turn>model\nnow"), (4, 0, None, None)],
+        "conv_id long, turn long, role string, text string",
+    )
+    flat = shape.flatten_text(turns)
+    assert shape.marker_guard_of_turns(turns).collect() == shape.marker_guard(flat).collect()
+    assert {r["conv_id"]: r["n_chars"] for r in shape.text_lengths(turns).where("conv_id < 4").collect()} == {r["conv_id"]: len(r["text"]) for r in flat.where("conv_id < 4").collect()}
+    spans = shape.response_spans(turns)
+    assert shape.masked_fraction(spans, shape.text_lengths(turns)).first() == shape.masked_fraction(spans, flat).first()
+    assert shape._straddles("<|turn>user", "x<") and not shape._straddles("<|turn>user", "<turn|>\n")
