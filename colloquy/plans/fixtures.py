@@ -12,7 +12,7 @@ NL = "chr(10)"
 
 # Conversation defects by conv_id % 8 (and % 16 for a null text).
 TURN_ROLE_SQL = """CASE
-  WHEN conv_id % 8 = 1 AND turn = 0 THEN 'bot'
+  WHEN conv_id % 8 = 1 AND turn = 0 THEN 'critic'
   WHEN conv_id % 8 = 3 AND turn = 1 THEN 'system'
   WHEN conv_id % 8 = 4 AND turn = 0 THEN 'assistant'
   WHEN conv_id % 8 = 5 AND turn = 2 THEN 'assistant'
@@ -32,14 +32,14 @@ SPLIT_SQL = "CASE WHEN conv_id % 10 < 8 THEN 'train' WHEN conv_id % 10 = 8 THEN
 # o_orderkey % 13 = 0.
 # ---------------------------------------------------------------------------
 OP_SQL = "CASE o_orderstatus WHEN 'F' THEN 'LOOKUP' WHEN 'O' THEN 'LIST' ELSE 'COUNT' END"
-NORM_SQL = f"CASE WHEN o_orderkey % 3 = 0 THEN '(none)' ELSE 'teh ' || o_orderpriority || {NL} || '↓' || {NL} || 'the ' || o_orderpriority END"
-NORM_BAD_SQL = f"CASE WHEN o_orderkey % 3 = 0 THEN '(none)' ELSE 'teh ' || o_orderpriority || {NL} || '->' || {NL} || 'the ' || o_orderpriority END"
+NORM_SQL = f"CASE WHEN o_orderkey % 3 = 0 THEN '(none)' ELSE 'recieve ' || o_orderpriority || {NL} || '↓' || {NL} || 'receive ' || o_orderpriority END"
+NORM_BAD_SQL = f"CASE WHEN o_orderkey % 3 = 0 THEN '(none)' ELSE 'recieve ' || o_orderpriority || {NL} || '->' || {NL} || 'receive ' || o_orderpriority END"
 LEX_SQL = f"""'- "' || o_orderstatus || '"' || {NL} || '- "order ' || CAST(o_orderkey AS STRING) || '"'"""
 LEX_SPACED_SQL = f"""'- "' || o_orderstatus || '"' || {NL} || {NL} || '-   "order ' || CAST(o_orderkey AS STRING) || '"  '"""
 LEX_BAD_SQL = f"""'- ' || o_orderstatus || {NL} || '- "order ' || CAST(o_orderkey AS STRING) || '"'"""
 URGENT_SQL = "CASE WHEN o_orderpriority LIKE '1-%' THEN 'yes' ELSE 'no' END"
 YAML_SQL = f"'semantic:' || {NL} || '  operation: ' || {OP_SQL} || {NL} || '  customer: ' || CAST(o_custkey AS STRING) || {NL} || '  urgent: ' || {URGENT_SQL}"
-YAML_BAD_SQL = "'semantic: [unclosed'"
+YAML_BAD_SQL = "'semantic: [left open'"
 ENV_SQL = (
     """'{"status": "SUCCESS", "operation": {"type": "' || """ + OP_SQL
     + """ || '"}, "subject": {"entity": "ORDER"}, "qualifiers": [{"attribute": "custkey", "operator": "=", "value": ' || CAST(o_custkey AS STRING) || '}]}'"""
@@ -95,7 +95,7 @@ SEM_CANON_SQL = (
     """'{"semantic":{"customer":' || CAST(o_custkey AS STRING) || ',"operation":"' || """ + OP_SQL
     + """ || '","urgent":' || CASE WHEN o_orderpriority LIKE '1-%' THEN '1' ELSE '0' END || '}}'"""
 )
-NORM_CANON_SQL = "CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE 'teh ' || o_orderpriority || '=>the ' || o_orderpriority END"
+NORM_CANON_SQL = "CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE 'recieve ' || o_orderpriority || '=>receive ' || o_orderpriority END"
 LEX_CANON_SQL = "o_orderstatus || '|order ' || CAST(o_orderkey AS STRING)"
 
 # ---------------------------------------------------------------------------
@@ -118,7 +118,7 @@ END"""
 LEVEL_SQL = "CAST(1 + event_id % 4 AS INT)"
 ROBUST_REPLY_SQL = f"""CASE
   WHEN event_type = 'error' THEN 'PASS_4' || {NL} || '{{"status": "SUCCESS", "operation": {{"type": "LOOKUP"'
-  ELSE 'PASS_2' || {NL} || 'Intent' || {NL} || 'LOOKUP' || {NL} || {NL} || 'PASS_4' || {NL} || '{{"status": "SUCCESS", "operation": {{"type": "' || CASE WHEN event_type IN ('view', 'click') THEN 'LOOKUP' ELSE upper(event_type) END || '"}}, "subject": {{"entity": "ONU"}}, "qualifiers": []}}'
+  ELSE 'PASS_2' || {NL} || 'Intent' || {NL} || 'LOOKUP' || {NL} || {NL} || 'PASS_4' || {NL} || '{{"status": "SUCCESS", "operation": {{"type": "' || CASE WHEN event_type IN ('view', 'click') THEN 'LOOKUP' ELSE upper(event_type) END || '"}}, "subject": {{"entity": "PARCEL"}}, "qualifiers": []}}'
 END"""
 
 # ---------------------------------------------------------------------------
@@ -149,7 +149,7 @@ LOG_SOURCE_SQL = "CASE WHEN event_type = 'error' THEN 'eval' ELSE 'train' END"
 
 # Raw JSONL lines from conversations: corruptions by conv_id % 9 (and % 18).
 JSONL_LINE_SQL = """CASE
-  WHEN conv_id % 9 = 0 THEN '{not valid json ' || CAST(conv_id AS STRING)
+  WHEN conv_id % 9 = 0 THEN '{broken row ' || CAST(conv_id AS STRING)
   WHEN conv_id % 9 = 1 THEN '[1, 2, 3]'
   WHEN conv_id % 18 = 2 THEN '{}'
   WHEN conv_id % 18 = 11 THEN '{"messages": null}'

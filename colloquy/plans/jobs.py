@@ -88,10 +88,10 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def load_train(spark: SparkSession, path: str, max_samples: int | None = None, seed: int = 42) -> SplitLoad:
     """Required split: a missing path or zero valid rows is an error."""
     if not _exists(spark, path):
-        raise FileNotFoundError(f"Training data not found: {path}")
+        raise FileNotFoundError(f"the train split has no file at {path}")
     load = load_split(spark, path, "train", max_samples, seed)
     if load.valid.isEmpty():
-        raise ValueError(f"No valid training examples found in {path}")
+        raise ValueError(f"not one line of {path} passed validation")
     return load
 
 
