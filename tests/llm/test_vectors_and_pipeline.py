@@ -78,7 +78,7 @@ def test_no_vectors(spark):
 def test_registered_names():
     import __spark_entry__ as entry
 
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in queries.QUERIES)] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in queries.QUERIES)] == []
     assert set(queries.ORACLE) <= set(queries.QUERIES) and "pipeline" in entry.queries()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "lines", "simhash", "pii", "packing"]
 
