@@ -47,6 +47,27 @@ def test_top_k_small_and_empty(spark):
     assert topk.search(table(spark, [(1, [1.0], 0, 0, "")]), lambda k: k == 0).collect() == []
 
 
+def test_top_k_keeps_long_vectors(spark, monkeypatch):
+    """Integer forms over 2 ** 31, scores beyond a long, and blocks ruled out by their length."""
+    monkeypatch.setattr(topk, "ROWS", 16)
+    monkeypatch.setattr(topk, "QUERIES", 8)
+    got = topk.search(table(spark, [(0, [1.0, 2.0], 0, 0, ""), (1, [3e8, 0.0], 0, 0, ""), (2, [1.0, 0.0], 0, 0, "")]), lambda k: k == 0).collect()
+    assert [(r.vec_id, r.score) for r in got] == [(1, 64 * 64 * 300_000_000), (2, 64 * 64)]
+    rng = np.random.default_rng(5)
+    x = (rng.normal(size=(400, 6)) * 10.0 ** rng.uniform(-1, 1, (400, 1))).astype(np.float32)
+    x[::7] *= np.float32(1e9)
+    x[::31] *= np.float32(1e20)
+    rows = [(i, v.tolist(), 0, i, "r") for i, v in enumerate(x)]
+    got = topk.search(table(spark, rows), lambda k: F.pmod(k, F.lit(20)) == 0).collect()
+    whole = [[int(c) for c in np.floor(64 * v.astype(float)).tolist()] for v in x]
+    held = lambda s: max(-(1 << 63), min((1 << 63) - 1, s))
+    want = []
+    for q in range(0, 400, 20):
+        best = sorted((-held(sum(a * b for a, b in zip(whole[q], v))), i) for i, v in enumerate(whole) if i != q)[:20]
+        want += [(q, r, i, -s) for r, (s, i) in enumerate(best, 1)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == sorted(want)
+
+
 @pytest.mark.parametrize("spread", [0.15, 0.5])
 def test_links_by_brute_force(spark, monkeypatch, spread):
     monkeypatch.setattr(neardup, "ROWS", 64)  # several blocks
