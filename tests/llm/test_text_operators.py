@@ -308,6 +308,58 @@ def test_planted_passages_are_found_and_clean_documents_left(docs_of):
     assert passages.near_duplicate_passages(docs_of([])).collect() == []
 
 
+def test_passages_of_rows_without_ids_or_of_one_id(docs_of):
+    rng = random.Random(11)
+    texts = [words(rng, 150, 5000) for _ in range(12)]
+    p, q = words(rng, 80, 5000), words(rng, 80, 5000)
+    texts[3][40:40] = texts[8][20:20] = p
+    texts[10][10:10] = texts[9][30:30] = q
+    keys = [None] * 7 + [7, 5, 3, 3, 3]  # 3 and 8: no id and 5; 9 and 10: both of id 3
+    rows = [(k, " ".join(x)) for k, x in zip(keys, texts)] + [(7, " ".join(texts[7]))]  # rows equal in both
+    got = [(r.k, len(r.shared), len(r.removed)) for r in passages.near_duplicate_passages(docs_of(rows)).collect()]
+    assert sorted((k, a) for k, a, _ in got) == [(passages.NO_ID, 1), (3, 1), (3, 1), (5, 1)]
+    assert {k: n for k, _, n in got if k != 3} == {passages.NO_ID: 0, 5: 1}
+    assert sum(n for k, _, n in got if k == 3) == 1
+
+
+def test_passages_in_another_order_or_twice_in_a_row():
+    rng = np.random.default_rng(6)
+    p, q, gap, other = (rng.integers(1, 1 << 31, n).astype("<u4") for n in (90, 70, 300, 40))
+    shingles = lambda *parts: np.concatenate(parts)
+    found = lambda x, y: [(lo, hi) for lo, hi, _, _ in passages.matched(x, y, 46, 0.8)]
+    assert found(shingles(p, q), shingles(p, gap, q)) == [(0, 90), (90, 160)]
+    assert found(shingles(p, q), shingles(q, p)) == [(0, 90), (90, 160)]
+    assert found(shingles(p, p), shingles(other, p, gap)) == [(0, 90), (90, 180)]
+    assert found(shingles(p, q), shingles(other, p, q)) == [(0, 160)]
+    assert found(shingles(other, gap), shingles(p, q)) == []
+
+
+def test_recall_of_passages_where_lines_are_frequent(docs_of):
+    """Pairs at similarity about 0.83 to 1, in documents that share six frequent lines."""
+    rng = random.Random(12)
+    frequent = [words(rng, 14, 5000) for _ in range(6)]
+    texts = [words(rng, rng.randrange(100, 200), 20_000) for _ in range(900)]
+    order = list(range(900))
+    rng.shuffle(order)
+    pairs = [(order[2 * i], order[2 * i + 1]) for i in range(150)]
+    for i, (a, b) in enumerate(pairs):
+        passage = words(rng, 120, 20_000)
+        if i % 3 == 0:  # two frequent lines inside
+            passage[30:30], passage[80:80] = rng.sample(frequent, 2)
+        near = list(passage)
+        if i % 3:
+            near[35], near[-35] = "other", "words"
+        texts[a][20:20], texts[b][60:60] = passage, near
+    for x in texts[::3] + texts[1::3]:  # two thirds of the documents hold frequent lines
+        for line in rng.sample(frequent, 3):
+            x += line + words(rng, 8, 20_000)
+    got = {r.k for r in passages.near_duplicate_passages(docs_of([(i, " ".join(x)) for i, x in enumerate(texts)])).collect() if r.removed}
+    later = {max(p) for p in pairs}
+    assert got <= later  # clean documents stay as they are
+    assert len(got) >= 0.95 * len(later), len(got)
+    print(f"recall {len(got)}/{len(later)}")
+
+
 # ------------------------------------------------------------------ BPE
 needs_vocabulary = pytest.mark.skipif(not os.path.exists("/opt/tokenizers"), reason="no vocabulary files")
 
