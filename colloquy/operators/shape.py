@@ -15,7 +15,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from colloquy.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -264,29 +263,50 @@ def first_n(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.join(df.select(key).orderBy(key).limit(n), key, "left_semi")
 
 
+KEY_SLOTS, KEYS_A_BLOCK = 16_384, 4  # sampled keys; sampled keys between two blocks
+_STEPS = tuple(1 << i for i in reversed(range(KEY_SLOTS.bit_length())))
+
+
+def key_bounds(df: DataFrame, key: str, slots: int = KEY_SLOTS, each: int = KEYS_A_BLOCK) -> DataFrame:
+    """One row ``bounds``: a sorted array of at most ``slots / each`` keys that cut ``df`` evenly.
+
+    Every key falls into a slot of its hash, and a slot keeps the key of the smallest
+    hash: a sample that merges task by task, and is the same under any partitioning and
+    after any retry. Keys that are null take no part.
+    """
+    h = F.xxhash64(F.col(key))
+    kept = df.filter(F.col(key).isNotNull()).groupBy(F.pmod(h, F.lit(slots)).alias("_slot")).agg(F.min_by(F.col(key), h).alias("_key"))
+    keys = kept.agg(F.array_sort(F.collect_set("_key")).alias("_keys"))  # at most ``slots`` keys
+    return keys.select(F.filter("_keys", lambda _, i: i % each == each - 1).alias("bounds"))
+
+
+def block_of(key: Column, bounds: Column) -> Column:
+    """How many of the sorted ``bounds`` are at most ``key`` (0 for null), by binary search."""
+    step = lambda at, s: at + F.when(F.get(bounds, at + s - 1) <= key, s).otherwise(0)
+    return F.coalesce(F.aggregate(F.array(*map(F.lit, _STEPS)), F.lit(0), step), F.lit(0))
+
+
 def wrapped_packing(lengths: DataFrame, max_seq_length: int, key: str = "conv_id", value: str = "n_tokens",
-                    blocks: int | None = None) -> DataFrame:
+                    slots: int = KEY_SLOTS) -> DataFrame:
     """Assign rows, concatenated in ``key`` order, to packs of ``max_seq_length`` tokens.
 
     Output ``(key, pack_id, offset_in_pack, n_tokens)``: one row per piece, a row that
     crosses a pack boundary yields several pieces. The corpus-wide running sum is
-    computed in two phases: range-partition by key into blocks, checkpoint (stable
-    block ids that survive executor loss), sum per block, prefix-sum the small block
-    table, then a running sum inside each block.
+    computed without a job of its own: a mergeable sample of the keys alone gives the
+    bounds of the blocks, rows are dealt by block once, and that one exchange serves both
+    the block totals (prefix-summed, one row a block) and the running sum inside blocks.
     """
     L = int(max_seq_length)
-    spark = lengths.sparkSession
-    nblocks = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (
         lengths.select(key, F.col(value).cast("bigint").alias("_n"))
-        .filter(F.col("_n") > 0)
-        .repartitionByRange(nblocks, key)
-        .withColumn("_blk", F.spark_partition_id())
+        .withColumn("_bounds", key_bounds(lengths, key, slots).scalar())
+        .select(key, "_n", block_of(F.col(key), F.col("_bounds")).alias("_blk"))
+        .repartition("_blk")
     )
-    ranged = cut_lineage(ranged)
-    block_totals = ranged.groupBy("_blk").agg(F.sum("_n").alias("_bt"))
-    # One row per block (= partition count): bounded by construction, broadcast.
-    offsets = block_totals.select(
+    # ``_first`` only keeps the key: both readers of the exchange then ask for the same columns
+    block_totals = ranged.groupBy("_blk").agg(F.sum("_n").alias("_bt"), F.min(key).alias("_first"))
+    # One row per block: at most slots / KEYS_A_BLOCK + 1 rows, broadcast.
+    offsets = block_totals.filter(F.col("_first").isNotNull() | (F.col("_blk") == 0)).select(
         "_blk",
         F.coalesce(
             F.sum("_bt").over(Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
@@ -302,7 +322,8 @@ def wrapped_packing(lengths: DataFrame, max_seq_length: int, key: str = "conv_id
         key,
         "_s",
         (F.col("_s") + F.col("_n")).alias("_e"),
-        F.explode(F.sequence(F.floor(F.col("_s") / L), F.floor((F.col("_s") + F.col("_n") - 1) / L))).alias("pack_id"),
+        # rows without tokens have no piece; a filter would count the tokens twice
+        F.explode(F.when(F.col("_n") > 0, F.sequence(F.floor(F.col("_s") / L), F.floor((F.col("_s") + F.col("_n") - 1) / L)))).alias("pack_id"),
     )
     lo = F.greatest(F.col("_s"), F.col("pack_id") * L)
     hi = F.least(F.col("_e"), (F.col("pack_id") + 1) * L)

@@ -40,6 +40,18 @@ def test_robustness_parses_each_reply_once_and_builds_without_a_job(spark):
     assert "CASE WHEN NOT" in plan.split("ArrowEvalPython")[1]
 
 
+def test_packing_counts_tokens_once_and_builds_without_a_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "doc_packing")
+    df = suite.QUERIES["doc_packing"](spark, SF_SMALL)
+    begun = len(tracker.getJobIdsForGroup("building"))
+    spark.sparkContext.setJobGroup("", "")
+    assert begun <= 1  # the schema of one file
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan  # block totals and running sums read one exchange
+
+
 def test_scans_are_pruned(spark):
     plan = plan_of(spark, "dataset_stats")
     read = re.findall(r"ReadSchema: struct<([^>]*)>", plan)

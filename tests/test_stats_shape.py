@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from colloquy.operators import shape, stats
@@ -123,20 +124,42 @@ def test_prompt_gold(spark):
     assert pg == {1: (1, "a"), 3: (3, "z")}
 
 
-def test_wrapped_packing_matches_python(spark):
-    rng = random.Random(11)
-    lengths = [(i * 3 + 1, rng.choice([0, 1, 5, 17, 40, 100])) for i in range(200)]
-    df = spark.createDataFrame(lengths, "conv_id long, n_tokens long")
-    got = sorted(tuple(r) for r in shape.wrapped_packing(df, 32, blocks=5).collect())
+def packs_by_hand(lengths, size):
     want, pos = [], 0
-    for k, n in sorted(lengths):
+    for k, n in sorted(lengths, key=lambda x: (x[0] is not None, x[0])):
         start = pos
-        while n > 0 and pos < start + n:
-            pack = pos // 32
-            end = min(start + n, (pack + 1) * 32)
-            want.append((k, pack, pos - pack * 32, end - pos))
+        while n and pos < start + n:
+            pack = pos // size
+            end = min(start + n, (pack + 1) * size)
+            want.append((k, pack, pos - pack * size, end - pos))
             pos = end
-    assert got == sorted(want)
+    return want
+
+
+@pytest.mark.parametrize("slots", [8, 64, shape.KEY_SLOTS])
+def test_wrapped_packing_matches_python(spark, slots):
+    rng = random.Random(11)
+    lengths = [(i * 3 + 1, rng.choice([0, 1, 5, 17, 40, 100])) for i in range(200)]
+    df = spark.createDataFrame(lengths, "conv_id long, n_tokens long").repartition(3)
+    got = sorted(tuple(r) for r in shape.wrapped_packing(df, 32, slots=slots).collect())
+    assert got == sorted(packs_by_hand(lengths, 32))
+
+
+def test_wrapped_packing_of_text_keys_null_keys_and_no_rows(spark):
+    rng = random.Random(12)
+    lengths = [(f"c{i:04d}", rng.choice([0, 3, 90, None])) for i in range(150)] + [(None, 50)]
+    df = spark.createDataFrame(lengths, "conv_id string, n_tokens long").repartition(4)
+    got = [tuple(r) for r in shape.wrapped_packing(df, 32, slots=32).collect()]
+    assert sorted(got, key=str) == sorted(packs_by_hand(lengths, 32), key=str)
+    assert shape.wrapped_packing(df.limit(0), 32).collect() == []
+
+
+def test_key_blocks_are_even_and_in_order(spark):
+    df = spark.range(40_000).select((F.col("id") * F.col("id")).alias("k"))  # far from uniform
+    blocks = df.withColumn("bounds", shape.key_bounds(df, "k", 1024, 16).scalar()).withColumn("b", shape.block_of(F.col("k"), F.col("bounds")))
+    got = blocks.groupBy("b").agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.count("*").alias("n")).orderBy("b").collect()
+    assert 60 <= len(got) <= 65 and max(r.n for r in got) < 3 * 40_000 / 64
+    assert all(a.hi < b.lo for a, b in zip(got, got[1:]))
 
 
 def test_seeded_sample(spark):
