@@ -67,7 +67,9 @@ class _Slots(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= self.LIMIT:
             self.clear()
-        got = self[word] = bucket_of(word) if len(word) <= 200 else bucket_of(word[:100] + word[-100:])
+        got = bucket_of(word)
+        if len(word) <= 200:  # longer words are hashed whole too, but not remembered
+            self[word] = got
         return got
 
 
