@@ -45,6 +45,7 @@ FILTER_BITS = 26  # 8 MB a bit table
 NO_ID = -(1 << 63)
 STEP, CHUNK, ROWS = 1 << 19, 1 << 20, 256  # bytes of text and of contexts, and rows, handled at once
 HOT = 1 << 12  # contexts of one group sorted in one task
+FEW = 1 << 18  # keys of hot groups that may be broadcast (8 or 16 bytes each); more are joined plainly
 
 
 def gram_hashes(x: np.ndarray, gram: int) -> np.ndarray:
@@ -166,6 +167,12 @@ def _words(digests: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(digests), "<i8")[::2].astype(np.int64)
 
 
+def _few(keys: DataFrame, name: str) -> DataFrame:
+    """Staged keys, broadcast only when counted to be at most ``FEW``; else joined plainly."""
+    keys = stage(keys, name)
+    return F.broadcast(keys) if keys.count() <= FEW else keys
+
+
 def _dealt_again(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Groups ``(g, c, base, raw)`` of at most ``HOT`` contexts for the contexts ``(c, at, x, y,
     raw)`` of hot anchors, and the repeated starts ``(c, from, to)`` of groups that stay larger."""
@@ -191,7 +198,7 @@ def _dealt_again(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["g", "c", "at", "x", "y", "raw"])
 
         halves = stage(nodes.select("c", "at", "x", "y", "raw").mapInArrow(deal, "g binary, c binary, at int, x int, y int, raw binary"), "suffix-dealt")
-        large = F.broadcast(n.where(F.col("count") > HOT).select("g"))  # at most one in HOT of the rows
+        large = _few(n.where(F.col("count") > HOT).select("g"), "suffix-large")
         base = F.greatest(F.col("at") - F.col("y"), F.lit(0))
         piece = F.substring("raw", base + 1, F.col("at") - F.col("x") + SIZE - base)
         small = halves.join(large, "g", "left_anti").select("g", "c", base.alias("base"), piece.alias("raw"))
@@ -308,7 +315,7 @@ def repeated_starts(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
             yield ranges(ctx, at, raw)
 
     texts = found.where("raw IS NOT NULL")
-    hot = F.broadcast(seen.where("differ").where(F.col("n") > HOT).select("h"))  # at most one in HOT of the anchors' places
+    hot = _few(seen.where("differ").where(F.col("n") > HOT).select("h"), "suffix-hot")
     groups = texts.join(hot, "h", "left_anti").select(F.col("h").cast("string").cast("binary").alias("g"), "c", F.lit(0).alias("base"), "raw")
     nodes = texts.join(hot, "h").select("c", "at", F.lit(0).alias("x"), F.lit(SIZE - GRAM).alias("y"), "raw").dropDuplicates(["c"])
     more, single = _dealt_again(nodes)

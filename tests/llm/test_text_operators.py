@@ -76,7 +76,9 @@ def test_repeats_by_brute_force(docs_of):
     assert suffixes.cut_repeats(docs_of([])).collect() == []
 
 
-def test_hot_anchor_is_not_sorted_in_one_task(docs_of, monkeypatch):
+@pytest.mark.parametrize("few", [-1, suffixes.FEW])  # joined plainly, and by a broadcast
+def test_hot_anchor_is_not_sorted_in_one_task(docs_of, monkeypatch, few):
+    monkeypatch.setattr(suffixes, "FEW", few)
     rng, plain = random.Random(12), suffixes.repeated
 
     def bounded(text, starts):
@@ -478,5 +480,7 @@ def test_quality_without_labels_or_rows(spark, docs_of):
     assert {r.score for r in quality.classify(docs_of([(1, "a"), (2, None)]), none).collect()} == {0.5}
     assert quality.classify(docs_of([]), none).collect() == []
     model, _ = quality.fit(docs_of([(1, "a b")]), none)
+    slots, long = quality._Slots(), "a" * 150 + "b" + "a" * 150  # words are hashed whole, whatever their length
+    assert slots[long] == quality.bucket_of(long) and long not in slots and slots["word"] == quality.bucket_of("word") and "word" in slots
     kept = quality.keep_good(docs_of([(1, "a b"), (2, None)]), model).collect()
     assert sorted(r.doc_id for r in kept) == [1, 2] and tuple(kept[0][c] for c in EXTRA) == EXTRA
