@@ -42,9 +42,9 @@ def test_robustness_parses_each_reply_once_and_builds_without_a_job(spark):
 
 def test_packing_counts_tokens_once_and_builds_without_a_job(spark):
     tracker = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("building", "doc_packing")
+    spark.sparkContext.setJobGroup("building-packing", "doc_packing")
     df = suite.QUERIES["doc_packing"](spark, SF_SMALL)
-    begun = len(tracker.getJobIdsForGroup("building"))
+    begun = len(tracker.getJobIdsForGroup("building-packing"))
     spark.sparkContext.setJobGroup("", "")
     assert begun <= 1  # the schema of one file
     df.collect()
