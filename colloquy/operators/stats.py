@@ -3,7 +3,8 @@
 Per-conversation counts are one splittable ``groupBy(conv_id)`` (partial sums on the
 map side); split summaries are one ``groupBy(split)``. ``percentile`` merges
 value->count maps, so its memory grows with distinct token counts, not with rows;
-``approx=True`` switches to ``percentile_approx`` for huge splits.
+``approx=True`` switches to ``percentile_approx`` for huge splits. ``quantile_sketches``
+keeps mergeable sketches of bounded size with a stated rank error instead.
 """
 
 from __future__ import annotations
@@ -74,6 +75,39 @@ def conversation_tokens(turns: DataFrame, model: TokenModel = TokenModel(), key:
     return agg.withColumn("total_tokens", total.cast("bigint"))
 
 
+SKETCH_K = 4096  # size parameter of a quantile sketch
+
+
+def rank_error(k: int = SKETCH_K) -> float:
+    """The share of rows by which a sketched quantile's rank may be off (in 99 of 100 cases)."""
+    return 2.296 / k**0.9723  # fixed values: the published single-sided bound of KLL sketches
+
+
+def quantile_sketches(df: DataFrame, value: str, *group: str, k: int = SKETCH_K) -> DataFrame:
+    """``(*group, sketch)``: a KLL sketch of the whole-number column ``value`` for each group.
+
+    A sketch takes some 8 k bytes however many rows it stands for. Partial sketches are merged
+    map-side, and sketches kept from earlier runs can be merged again (``merge_sketches``), so
+    new rows cost a pass over themselves only. Nulls are left out; a group of nulls alone has
+    an empty sketch.
+    """
+    return df.groupBy(*group).agg(F.kll_sketch_agg_bigint(F.col(value).cast("bigint"), k).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, *group: str) -> DataFrame:
+    """``(*group, sketch)``: one sketch for each group, standing for the rows of all its sketches."""
+    return sketches.groupBy(*group).agg(F.kll_merge_agg_bigint("sketch").alias("sketch"))
+
+
+def sketch_quantiles(sketches: DataFrame, probabilities: tuple[float, ...] = (0.5, 0.95, 0.99)) -> DataFrame:
+    """``sketches`` with ``n``, and ``p`` and ``quantile`` exploded: a value of the column whose
+    rank is within ``rank_error`` of ``p``; an empty sketch gives null quantiles."""
+    n = F.kll_sketch_get_n_bigint("sketch")
+    # a quantile of an empty sketch is an error, so it is not asked for
+    points = [F.struct(F.lit(p).alias("p"), F.when(n > 0, F.kll_sketch_get_quantile_bigint("sketch", F.lit(p))).alias("quantile")) for p in probabilities]
+    return sketches.withColumn("n", n).withColumn("_at", F.explode(F.array(*points))).select(*[c for c in sketches.columns if c != "sketch"], "n", "_at.*")
+
+
 def _pct(col: str, p: float, approx: bool) -> Column:
     return F.percentile_approx(col, p, 100000).cast("double") if approx else F.percentile(col, F.lit(p))
 

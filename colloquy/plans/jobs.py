@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from colloquy.operators import evaluate, generate, shape, validate
 from colloquy.operators.registry import MANIFEST_SCHEMA
 from colloquy.sources import jsonl, sinks
-from colloquy.session import cut_lineage
+from colloquy.session import cut_lineage, stored
 
 # The robustness suite (system prompt, deployment context, 12 queries).
 LOOKUP_SYSTEM_PROMPT = (
@@ -58,6 +58,9 @@ LOOKUP_QUERIES = [
     ("ne_ip", 4, "Pull up the device at 10.99.1.20"),
 ]
 # ------------------------------------------------------------------ split loads
+LINE_KEY = ("file", "block", "row")
+
+
 @dataclass
 class SplitLoad:
     valid: DataFrame | None
@@ -66,17 +69,24 @@ class SplitLoad:
 
 
 def load_split(spark: SparkSession, path: str, split: str, max_samples: int | None = None, seed: int = 42) -> SplitLoad:
-    """Validated rows, keyed by ``(file, line_no)``, and the reject report of one JSONL split.
+    """Validated rows, with ``(file, line_no)``, and the reject report of one JSONL split.
 
-    The verdicts are checkpointed once (the strict JSON inspection runs a single time);
-    the report and the valid rows are two branches over that checkpoint.
+    The text is read and inspected once; the verdicts are stored as Parquet, so the report
+    reads reasons and keys only. Line numbers are joined late (``jsonl.number_lines``): to
+    the rejected lines for the report, to bare keys for a capped sample, and to valid rows
+    only if a reader asks for ``line_no``.
     """
-    verdicts = cut_lineage(jsonl.validate_lines(jsonl.read_lines(spark, path)))
+    lines = jsonl.block_lines(spark, path)
+    kept = stored(jsonl.validate_lines(lines, keep_blank=True), "verdicts")
+    offsets = jsonl.block_offsets(kept)
+    verdicts = jsonl.number_lines(kept.filter(~F.col("blank")).drop("blank"), offsets)
     report = validate.validation_report(verdicts, order_col="line_no", split=split, materialize=False)
-    valid = verdicts.filter(F.col("reason").isNull()).select("file", "line_no", "messages")
+    rows = kept.filter(~F.col("blank") & F.col("reason").isNull()).select(*LINE_KEY, "messages")
+    valid = jsonl.number_lines(rows, offsets)
     if max_samples is not None:
-        valid = shape.seeded_sample(valid, ("file", "line_no"), max_samples, seed)
-    return SplitLoad(valid=valid, verdicts=verdicts, report=report)
+        chosen = shape.seeded_sample(jsonl.number_lines(rows.select(*LINE_KEY), offsets), ("file", "line_no"), max_samples, seed)
+        valid = rows.join(chosen, list(LINE_KEY))
+    return SplitLoad(valid=valid.select(*LINE_KEY, "line_no", "messages"), verdicts=verdicts, report=report)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -14,7 +14,7 @@ from colloquy.functions import replies
 from colloquy.operators import evaluate, metrics, registry, stats
 from colloquy.plans import fixtures as fx
 from colloquy.plans import jobs, stubs
-from colloquy.plans.suite import _PASS_ACC_ORACLE, _SSE_ORACLE, _VALIDATE_ORACLE, defect_turns, order_replies, register, sse_metrics
+from colloquy.plans.suite import _PASS_ACC_ORACLE, _PER_CONV_SQL, _SSE_ORACLE, _VALIDATE_ORACLE, defect_turns, order_replies, register, split_tokens, sse_metrics
 from colloquy.plans.suite_jobs import _ENDED_SQL
 from colloquy.session import checkpoint_dir
 from colloquy.sources import jsonl, sinks
@@ -183,3 +183,60 @@ def q_series_table(spark: SparkSession, sf: str) -> DataFrame:
     for half in range(2):
         sinks.append_series(series.where(F.pmod("step", F.lit(2)) == half), path)
     return spark.read.parquet(path).groupBy(F.col("run_id").cast("long").alias("run_id")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 6).alias("total"))
+
+
+_BLOCK_BYTES, _LINES_A_FILE = 1 << 12, 50  # many blocks a file, more files as the table grows
+
+
+@register(
+    "rejected_line_numbers",
+    _VALIDATE_ORACLE + f""", l AS (SELECT conv_id, conv_id // {_LINES_A_FILE} AS part, row_number() OVER (PARTITION BY conv_id // {_LINES_A_FILE} ORDER BY conv_id) AS line_no, reason FROM verdict)
+    SELECT part, line_no, CASE
+        WHEN conv_id % 9 = 0 THEN 'invalid_json:Expecting property name enclosed in double quotes'
+        WHEN conv_id % 9 = 1 THEN 'not_a_json_object'
+        WHEN conv_id % 18 IN (2, 11) THEN 'missing_messages_key'
+        WHEN conv_id % 18 IN (3, 12) THEN 'messages_not_a_nonempty_list'
+        WHEN conv_id % 9 = 4 THEN 'turn_0_invalid_role:5'
+        WHEN conv_id % 9 = 5 THEN 'invalid_json:Extra data'
+        WHEN conv_id % 9 = 6 THEN 'turn_0_not_a_dict'
+        ELSE reason END AS reason
+    FROM l WHERE conv_id % 9 <> 7 AND (conv_id % 9 <> 8 OR reason IS NOT NULL)""",
+)
+def q_rejected_line_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """Rejected lines of many files, each read as many blocks; their numbers are joined late."""
+    root = _folder(spark, "numbered")
+    conv = assemble_messages(defect_turns(spark, sf))
+    lines = conv.select("conv_id", F.to_json(F.struct("messages")).alias("json_line")).selectExpr(f"conv_id DIV {_LINES_A_FILE} AS part", "conv_id", f"{fx.JSONL_LINE_SQL} AS value")
+    lines.repartition("part").sortWithinPartitions("part", "conv_id").select("part", "value").write.partitionBy("part").text(root)
+    split_bytes = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", _BLOCK_BYTES)  # the read takes place in load_split
+    try:
+        load = jobs.load_split(spark, root, "numbered")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    part = F.regexp_extract("file", "part=([0-9]+)", 1).cast("long").alias("part")
+    return load.verdicts.where("reason IS NOT NULL").select(part, "line_no", "reason")
+
+
+_POINTS = (0.5, 0.95, 0.99)
+
+
+@register(
+    "sketched_quantiles",
+    f"""WITH c AS ({_PER_CONV_SQL}), s AS (SELECT split, count(*) AS n FROM c GROUP BY split)
+    SELECT split, n, CAST(p AS DOUBLE) AS p, TRUE AS within FROM s, (VALUES {", ".join(f"({p})" for p in _POINTS)}) t(p)""",
+)
+def q_sketched_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Sketches of sixteen shards, stored and merged; each quantile's rank among all rows
+    must lie within three times the stated error (which holds in 99 of 100 cases)."""
+    per = split_tokens(spark, sf).withColumn("shard", F.pmod(F.xxhash64("conv_id"), F.lit(16)))
+    path = _folder(spark, "sketches")
+    stats.quantile_sketches(per, "total_tokens", "split", "shard").write.parquet(path)
+    found = stats.sketch_quantiles(stats.merge_sketches(spark.read.parquet(path), "split"), _POINTS)
+    counts = per.groupBy("split", "total_tokens").agg(F.count(F.lit(1)).alias("rows"))
+    ranks = found.join(counts, "split").groupBy("split", "n", "p").agg(
+        F.sum(F.when(F.col("total_tokens") < F.col("quantile"), F.col("rows")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("total_tokens") <= F.col("quantile"), F.col("rows")).otherwise(0)).alias("upto"),
+    )
+    room = F.col("n") * (3 * stats.rank_error()) + 1
+    return ranks.select("split", "n", "p", ((F.col("below") <= F.col("p") * F.col("n") + room) & (F.col("upto") >= F.col("p") * F.col("n") - room)).alias("within"))

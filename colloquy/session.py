@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +60,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet under the shared checkpoint folder and read back.
+
+    Unlike a checkpoint it is columnar: readers fetch the columns they use and skip row
+    groups by their filters. Tables stay until that folder's retention removes them.
+    """
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/stored/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def list_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Paths matching a Hadoop glob (file listing only, no data read); empty when none."""
     jvm = spark.sparkContext._jvm

@@ -1,9 +1,10 @@
 """Raw JSONL lane: text scan, original line numbers, strict JSON checks, validation.
 
-* ``read_lines`` reads text files with 1-based line numbers per file (blank lines
-  count). Each file split is one block inside one partition; rows of a block are
-  numbered by their position in the block plus the line count of the earlier blocks
-  of the same file (a per-block table, one row for each split).
+* ``block_lines`` reads text files with a key for every line: its file, the block (file
+  split) it lies in and its number in the read. Line numbers (1-based per file, blank lines
+  count) come late: ``block_offsets`` is a table of one row for each block, which
+  ``number_lines`` joins to the lines whose numbers are asked for.
+* ``read_lines`` is the numbered form of the same read.
 * ``inspect_records`` is the only Python step: ``json.loads`` gives the exact parse
   error text and Python's truthiness rules for content; it returns a typed struct.
 * ``validate_lines`` applies the message rules natively on that struct's arrays.
@@ -42,22 +43,42 @@ RECORD_TYPE = T.StructType(
 )
 
 
-def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``(file, line_no, value)`` for every line of the text files, numbered from 1 per file."""
-    raw = spark.read.text(paths).select(
-        "value",
+def block_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``(file, block, row, value)`` for every line of the text files, in one pass without a shuffle.
+
+    ``row`` grows along a block and is unique in the read. Lines of a stored read keep their
+    key; a read with other split sizes deals other ones.
+    """
+    return spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_id"),
-    )
-    blocks = raw.groupBy("file", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select("file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return raw.join(offsets, ["file", "_block"]).select(
-        "file", (F.col("_off") + F.col("_id") - F.col("_first") + 1).alias("line_no"), "value"
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+        "value",
     )
 
 
+def block_offsets(lines: DataFrame) -> DataFrame:
+    """``(file, block, shift)``, one row for each block: ``row + shift`` is the line number in the file.
+
+    ``lines`` are all lines of a read, blank ones included; only their keys are looked at.
+    """
+    blocks = lines.groupBy("file", "block").agg(F.min("row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return blocks.select("file", "block", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("shift"))
+
+
+def number_lines(rows: DataFrame, offsets: DataFrame) -> DataFrame:
+    """``rows`` with ``line_no``. Offsets are unique by block, so a reader of other columns
+    gets a plan without the join, and a filter on ``rows`` comes before it."""
+    return rows.join(offsets, ["file", "block"], "left").withColumn("line_no", F.col("row") + F.col("shift")).drop("shift")
+
+
+def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``(file, line_no, value)`` for every line of the text files, numbered from 1 per file."""
+    lines = block_lines(spark, paths)
+    return number_lines(lines, block_offsets(lines)).select("file", "line_no", "value")
+
+
 def count_nonblank_lines(spark: SparkSession, paths: str | list[str]) -> int:
     return spark.read.text(paths).filter(py_strip(F.col("value")) != "").count()
 
@@ -151,25 +172,32 @@ def record_reason(rec: Column) -> Column:
     )
 
 
-def validate_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+def validate_lines(lines: DataFrame, value: str = "value", keep_blank: bool = False) -> DataFrame:
     """Non-blank lines with ``reason`` (null = valid), ``messages`` and a U+FFFD flag
     (invalid UTF-8 byte sequences become U+FFFD instead of failing the job).
 
-    Blank lines (after a Python-style strip) are dropped: they are not records.
+    Blank lines (after a Python-style strip) are no records: they are dropped, or with
+    ``keep_blank`` stay with all-null verdicts under ``blank`` (their keys still count).
     """
     # Invalid UTF-8 bytes are replaced by U+FFFD natively (and flagged) so that one corrupt
     # line cannot fail the Arrow transfer of its whole batch.
     clean = F.make_valid_utf8(F.col(value))
     stripped = py_strip(clean)
-    nonblank = lines.withColumn("_clean", clean).withColumn("_line", stripped).filter(F.col("_line") != "")
-    inspected = nonblank.withColumn("_rec", inspect_records(F.col("_line")))
+    checked = lines.withColumn("_clean", clean).withColumn("_line", stripped)
+    if keep_blank:
+        checked = checked.withColumn("_line", F.when(F.col("_line") != "", F.col("_line")))
+    else:
+        checked = checked.filter(F.col("_line") != "")
+    inspected = checked.withColumn("_rec", inspect_records(F.col("_line")))
     messages = F.transform(F.col("_rec.turns"), lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
+    reason = F.when(F.col("_line").isNotNull(), record_reason(F.col("_rec")))
     return inspected.select(
         *[c for c in lines.columns if c != value],
-        record_reason(F.col("_rec")).alias("reason"),
-        V.reason_class(record_reason(F.col("_rec"))).alias("reason_class"),
+        reason.alias("reason"),
+        V.reason_class(reason).alias("reason_class"),
         messages.alias("messages"),
         F.col("_clean").contains("\ufffd").alias("has_replacement_char"),
+        *([F.col("_line").isNull().alias("blank")] if keep_blank else []),
     )
 
 

@@ -217,3 +217,26 @@ def test_response_spans_blocks_match_single_level(spark):
     for k, turn, s0, s1 in b:
         body = flat[k][s0:s1]
         assert body.startswith(convs[k][turn][1] + "<turn|>\n") and "<|turn>user\n" not in body
+
+
+def test_merged_sketches_keep_their_rank_error(spark):
+    # squares, a value held by a third of all rows, and a second split
+    rows = spark.range(60000).selectExpr("CASE WHEN id % 3 = 0 THEN 777 ELSE id * id END AS v", "IF(id % 10 = 0, 'b', 'a') AS split", "id % 13 AS shard")
+    parts = stats.quantile_sketches(rows, "v", "split", "shard", k=400)
+    found = {(r["split"], r["p"]): r for r in stats.sketch_quantiles(stats.merge_sketches(parts, "split"), (0.1, 0.5, 0.95)).collect()}
+    assert len(found) == 6
+    values = {}
+    for r in rows.collect():
+        values.setdefault(r["split"], []).append(r["v"])
+    for (split, p), r in found.items():
+        n, q = len(values[split]), r["quantile"]
+        room = 3 * stats.rank_error(400) * n + 1
+        assert r["n"] == n and q in values[split]
+        assert sum(v < q for v in values[split]) <= p * n + room and sum(v <= q for v in values[split]) >= p * n - room
+
+
+def test_sketches_of_few_rows_and_nulls(spark):
+    df = spark.createDataFrame([("a", 5), ("a", None), ("n", None)], "split string, v bigint")
+    got = {r["split"]: (r["n"], r["quantile"]) for r in stats.sketch_quantiles(stats.quantile_sketches(df, "v", "split"), (0.5,)).collect()}
+    assert got == {"a": (1, 5), "n": (0, None)}
+    assert stats.sketch_quantiles(stats.quantile_sketches(df.limit(0), "v", "split")).count() == 0

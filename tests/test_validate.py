@@ -187,3 +187,54 @@ def test_invalid_utf8_and_mixed_newlines(spark, tmp_dir):
     assert checked[2]["reason"] is None and checked[2]["has_replacement_char"] is True
     assert checked[1]["has_replacement_char"] is False
     assert jsonl.count_nonblank_lines(spark, path) == 3
+
+
+def _numbered_split(spark, tmp_dir):
+    """Two files of many blocks; returns their loaded split and {(file, line_no): text}."""
+    expected = {}
+    for f in range(2):
+        lines = []
+        for i in range(300):
+            good = json.dumps({"messages": [{"role": "user", "content": f"q{f}-{i} " + "x" * (i % 70)}, {"role": "assistant", "content": "a"}]})
+            lines.append("  " if i % 7 == 3 else "{broken" if i % 11 == 5 else good)
+        with open(os.path.join(tmp_dir, f"part-{f}.jsonl"), "w") as fh:
+            fh.write("\n".join(lines) + "\n")
+        expected |= {(f, n): text for n, text in enumerate(lines, start=1)}
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        return jobs.load_split(spark, os.path.join(tmp_dir, "part-*.jsonl"), "train"), expected
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def _place(row):
+    return int(row["file"].rsplit("-", 1)[1].split(".")[0]), row["line_no"]
+
+
+def test_late_line_numbers(spark, tmp_dir):
+    load, expected = _numbered_split(spark, tmp_dir)
+    rejected = load.verdicts.where("reason IS NOT NULL").collect()
+    assert sorted(map(_place, rejected)) == sorted(p for p, text in expected.items() if text == "{broken")
+    valid = {_place(r): r["messages"][0]["content"] for r in load.valid.collect()}
+    assert valid == {p: json.loads(text)["messages"][0]["content"] for p, text in expected.items() if text.startswith('{"')}
+    assert load.report.first()["total"] == sum(bool(text.strip()) for text in expected.values())
+    assert load.valid.select(*jobs.LINE_KEY).distinct().count() == load.valid.count()
+
+
+def test_unasked_line_numbers_cost_nothing(spark, tmp_dir):
+    load, _ = _numbered_split(spark, tmp_dir)
+    plan = load.valid.select("file", "messages")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    rejected = load.verdicts.where("reason IS NOT NULL").select("file", "line_no", "reason")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in rejected and "messages" not in rejected  # only narrow columns are joined
+
+
+def test_split_of_blank_lines_only(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "blank.jsonl")
+    with open(path, "w") as fh:
+        fh.write("\n  \n\n")
+    load = jobs.load_split(spark, path, "train")
+    assert load.valid.count() == 0 and load.verdicts.count() == 0
+    with pytest.raises(ValueError):
+        jobs.load_train(spark, path)
