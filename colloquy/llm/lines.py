@@ -19,9 +19,9 @@ that earlier line stays itself.
 
 Defined cases: null text stays null and has no lines; lines without words always stay;
 null ids rank before all others; rows that share an id (or have none) are told apart by a
-hash of their text, and ordered by it (equal line numbers of rows that share both are the
-same place); an empty table gives an empty result. Equal lines in one document go too,
-from the second on.
+hash of their text, and ordered by it; of rows equal in id and text one counts as the first,
+and the others lose all lines that have words; an empty table gives an empty result. Equal
+lines in one document go too, from the second on.
 """
 
 from __future__ import annotations
@@ -412,12 +412,30 @@ def removed_places(docs: DataFrame, text: str = "text", threshold: float = THRES
     return gone
 
 
+def without_copies(keyed: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame | None]:
+    """``placed`` rows with one of each set of rows equal in id and text, and the other rows (None: no such sets).
+
+    Only rows of shared ids (or none) can be such; the sets are counted map-side, and the first
+    of each is found by a row number that is written down before it is used.
+    """
+    twin = keyed.where("__llm_t <> 0").withColumn("__llm_md5", F.coalesce(F.md5(F.col(text)), F.lit("")))
+    group = ["__llm_key", "__llm_t", "__llm_md5"]
+    sets = stage(twin.groupBy(*group).count().where("count > 1").select(*group), "line-sets")
+    if sets.isEmpty():
+        return keyed, None
+    rows = stage(twin.join(sets, group, "left_semi").withColumn("__llm_row", F.monotonically_increasing_id()), "line-equal")
+    first = rows.groupBy(*group).agg(F.min("__llm_row").alias("__llm_row")).select("__llm_row")
+    own = keyed.where("__llm_t = 0").unionByName(twin.join(sets, group, "left_anti").select(*keyed.columns))
+    ones = rows.join(first, "__llm_row", "left_semi").select(*keyed.columns)
+    return own.unionByName(ones), rows.join(first, "__llm_row", "left_anti").select(*keyed.columns)
+
+
 def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD, counts: tuple[str, str] | None = None) -> DataFrame:
     """``docs`` with ``text`` cut to the lines that stay; other columns unchanged.
 
     ``counts`` names two more columns: the text's lines, and those removed.
     """
-    keyed = placed(docs, text, key)
+    keyed, copies = without_copies(placed(docs, text, key), text)
     gone = stage(removed_places(keyed, text, threshold), "line-removed")
     lists = gone.groupBy(F.col("k").alias("__llm_key"), F.col("t").alias("__llm_t")).agg(F.collect_set("line").alias("__llm_gone"))
     keyed = mark_maybe(keyed, "__llm_key", gone, "k", "__llm_may")
@@ -430,7 +448,10 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", thresh
     cols = [F.when(F.col(text).isNotNull(), F.array_join("__llm_lines", "\n")).alias(text) if c == text else F.col(c) for c in docs.columns]
     if counts:
         cols += [n.alias(counts[0]), (n - F.coalesce(F.size("__llm_lines"), F.lit(0)).cast("long")).alias(counts[1])]
-    return keyed.where("NOT __llm_may").select(*same).unionByName(cut.select(*cols))
+    out = keyed.where("NOT __llm_may").select(*same).unionByName(cut.select(*cols))
+    if copies is not None:
+        out = out.unionByName(copies.withColumn("__llm_lines", F.filter(lines, lambda x: ~x.rlike(words))).select(*cols))
+    return out
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -148,9 +148,22 @@ def test_lines_with_many_candidates_are_settled(docs_of, monkeypatch):
     assert {r.doc_id: r.text for r in lines.dedup_lines(docs_of(rows)).collect()} == lines_by_hand(rows)
 
 
-def test_repeated_ids_are_one_document(docs_of):
+def test_equal_rows_keep_their_lines_once(docs_of):
     out = lines.dedup_lines(docs_of([(1, "a b"), (1, "a b"), (2, "a b")])).collect()
-    assert sorted((r.doc_id, r.text) for r in out) == [(1, "a b"), (1, "a b"), (2, "")]
+    assert sorted((r.doc_id, r.text) for r in out) == [(1, ""), (1, "a b"), (2, "")]
+
+
+def test_equal_rows_by_brute_force(docs_of):
+    rng = random.Random(15)
+    own = [" ".join(words(rng, 12)) + "\n \n" + " ".join(words(rng, 9)) for _ in range(6)]
+    rows = [(k, x) for k in (None, 3, 9) for x in own[:2]] * 3 + [(None, None), (None, None), (5, ""), (5, "")] + [(7, own[2])] + [(i, own[i % 6]) for i in (20, 21, 22)]
+    out = lines.dedup_lines(docs_of(rows), counts=("n_lines", "n_removed")).collect()
+    assert len(out) == len(rows) and all(tuple(r[c] for c in EXTRA) == EXTRA for r in out)
+    kept = collections.Counter(x for r in out for x in (r.text or "").split("\n") if x.split())
+    assert kept == collections.Counter({x: 1 for t in {t for _, t in rows if t} for x in t.split("\n") if x.split()})
+    first = [r for r in out if r.text and r.text.strip()]
+    assert sorted((str(r.doc_id), r.text) for r in first) == sorted([("None", own[0]), ("None", own[1]), ("7", own[2]), *((str(i), own[i % 6]) for i in (21, 22))])
+    assert sum(r.text is None for r in out) == 2 and all(r.n_lines - r.n_removed == (0 if r.text is None else r.text.count("\n") + (r.n_removed < r.n_lines)) for r in out)
 
 
 def test_rows_without_ids_are_told_apart(docs_of):
