@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -44,6 +45,24 @@ def reliable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def own_names(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """An operator on ``docs`` whose further columns may be named like its working columns
+    (``__llm_...``): they have other names while it works, and their own again after."""
+
+    @functools.wraps(operator)
+    def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+        free = "__kept"
+        while any(c.startswith(free) for c in docs.columns):
+            free += "_"
+        away = {c: f"{free}{i}" for i, c in enumerate(docs.columns) if c.startswith("__llm_")}
+        if not away:
+            return operator(docs, *args, **kwargs)
+        out = operator(docs.withColumnsRenamed(away), *args, **kwargs)
+        return out.withColumnsRenamed({inside: c for c, inside in away.items()})
+
+    return run
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 

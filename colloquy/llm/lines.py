@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import bit_table, has_bit, mark_maybe, read, slots, stage
+from colloquy.llm.common import bit_table, has_bit, mark_maybe, own_names, read, slots, stage
 
 THRESHOLD = 0.8
 SLOTS, PIECES = 1 << 24, 64  # frequency counters; shuffled pieces of them
@@ -430,6 +430,7 @@ def without_copies(keyed: DataFrame, text: str = "text") -> tuple[DataFrame, Dat
     return own.unionByName(ones), rows.join(first, "__llm_row", "left_anti").select(*keyed.columns)
 
 
+@own_names
 def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD, counts: tuple[str, str] | None = None) -> DataFrame:
     """``docs`` with ``text`` cut to the lines that stay; other columns unchanged.
 

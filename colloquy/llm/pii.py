@@ -33,7 +33,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import read
+from colloquy.llm.common import own_names, read
 
 ROUNDS = 8
 DEFAULT_KEY = "colloquy-pii"
@@ -317,6 +317,7 @@ def _parts(rows: DataFrame, hits: str, into: str) -> DataFrame:
     return done.withColumn(into, F.transform(into, lambda p: F.when(p["run"], _cut_out(p)).when(long(p), _pieces(p)).otherwise(F.array(_part(p["s"], None)))))
 
 
+@own_names
 def pseudonymise(docs: DataFrame, text: str = "text", key: str = DEFAULT_KEY, count: str | None = None) -> DataFrame:
     """``docs`` with the values in ``text`` replaced; ``count`` names a column for how many."""
     t = F.col(text)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from colloquy.llm.common import components, read, stage
+from colloquy.llm.common import components, own_names, read, stage
 
 SHINGLE, MAX_BITS = 4, 4
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and length
@@ -203,6 +203,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     return prints.join(classes(prints, max_bits), "fp").select("key", "fp", "component_id")
 
 
+@own_names
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest id.
 

@@ -1,7 +1,17 @@
 """Corpus pipeline: quality classifier, line dedup, SimHash near-dedup, PII, packing.
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all rows that its predecessor
-kept. All but the last return the columns of ``docs``.
+kept. All but the last return the columns of ``docs``, whatever further columns there are.
+
+Defined cases, stage by stage: a null or empty text is scored like any other (quality), has
+no lines and stays as it is (lines), has fingerprint zero, so one of all such documents stays
+(simhash), holds no personal data (pii) and is its end id alone (packing). A null id ranks
+before all others in line dedup and loses to any id in a group of near duplicates; packing
+carries it. Rows that repeat another's id and text lose their lines, and then go as near
+duplicates of the emptied texts or of each other. Ties: equal lines go from the second on, and
+the smallest id of a group stays. Texts of any length are worked on whole. An empty table
+gives an empty result with the same columns; without labelled rows of both kinds the
+classifier is as ``quality.fit`` states.
 """
 
 from __future__ import annotations

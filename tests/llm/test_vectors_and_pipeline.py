@@ -1,11 +1,17 @@
 """Vector operators against brute force, the pipeline, and what is registered."""
 
+import collections
+import random
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from colloquy.llm import neardup, queries, topk
+from colloquy.llm import neardup, packing, quality, queries, topk
+
+from .test_text_operators import print_by_hand
 
 
 def table(spark, rows):
@@ -130,3 +136,108 @@ def test_pipeline_stages(spark):
             assert docs.columns == names and 0 < docs.count() <= before
             before = docs.count()
     assert {r.doc_id for r in docs.select("doc_id").distinct().collect()} and docs.where("length <= 0 OR length > 4096").isEmpty()
+
+
+CLASH = ("key", "k", "t", "fp", "line", "score", "features", "__llm_may", "__llm_key", "__llm_fp", "__llm_hits")
+
+
+def corpus_folder(spark, folder, rows):
+    """A folder with documents (their columns and clashing ones) and labels; returns its documents."""
+    schema = "doc_id long, text string, lang string, source string, n_chars int, " + ", ".join(f"`{c}` string" for c in CLASH)
+    table = [(k, t, "en", "s", None if t is None else len(t), *CLASH) for k, t, _ in rows]
+    spark.createDataFrame(table, schema).repartition(3).write.parquet(f"{folder}/documents.parquet")
+    labels = [(k, q) for k, _, q in rows if k is not None and q is not None]
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
+    return corpus_pipeline.read(spark, str(folder), "documents")
+
+
+def line_survivors(rows):
+    """Every row's text after line dedup, by comparing every line with all earlier ones."""
+    seen, out = [], []
+    for k, t in sorted(rows, key=lambda r: (r[0] is not None, r[0])):
+        kept = []
+        for x in (t or "").split("\n"):
+            s = frozenset(x.split())
+            if not s or not any(len(s & y) >= 0.8 * len(s | y) - 1e-9 for y in seen):
+                kept.append(x)
+            seen += [s] if s else []
+        out.append((k, None if t is None else "\n".join(kept)))
+    return out
+
+
+def kept_of_components(rows):
+    """The smallest id of each component of fingerprints at most four bits apart."""
+    left = {}
+    for k, t in rows:
+        left.setdefault(print_by_hand(t), []).append(k)
+    best = []
+    while left:
+        x, ids = left.popitem()
+        todo = [x]
+        while todo:
+            x = todo.pop()
+            for y in [y for y in left if (x ^ y).bit_count() <= 4]:
+                ids += left.pop(y)
+                todo.append(y)
+        best.append(min((k for k in ids if k is not None), default=None))
+    return best
+
+
+def pairs(df):
+    return sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+
+
+def test_pipeline_by_brute_force(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    rng = random.Random(21)
+    good, bad = [f"plain{i}" for i in range(400)], [f"junk{i}" for i in range(60)]
+    line = lambda pool: " ".join(rng.choices(pool, k=rng.randrange(6, 25)))
+    rows = [(i, "\n".join(line(bad if i % 5 == 0 else good) for _ in range(rng.randrange(3, 7))), int(i % 5 > 0)) for i in range(150)]
+    shared, card = line(good), "4012888888881881"
+    for i in (1, 7, 33, 92):
+        rows[i] = (i, f"{rows[i][1]}\n{shared}\nplain1 plain2 card {card} of {i}", 1)
+    base = [rng.choice(good) for _ in range(400)]
+    rows += [(200 + i, "\n".join(" ".join(x if rng.random() > 0.02 else "plain3" for x in base[j : j + 40]) for j in range(0, 400, 40)), None) for i in range(4)]  # near copies
+    rows += [(300, rows[2][1], 1), (301, rows[2][1], None), (302, None, None), (303, "", None), (304, " \n\t", None), (305, "plain9 " * 20_000, None), (None, line(good), None), (306, line(good), None)]
+    rows.append(rows[-1])  # a row that is there twice
+    docs = corpus_folder(spark, tmp_path, rows)
+    names, tables = docs.columns, {"start": docs}
+    for name, step in corpus_pipeline.STAGES:
+        docs = tables[name] = corpus_pipeline.stage(step(spark, docs, str(tmp_path)), f"by-hand-{name}")
+        if name != "packing":
+            assert docs.columns == names and all(tuple(r[c] for c in CLASH) == CLASH for r in docs.collect())
+            assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in docs.collect())
+
+    # quality: the rows that the scores of op4's path accept, the good ones among them
+    labels = corpus_pipeline.read(spark, str(tmp_path), "labels")
+    scored = collections.Counter(r.doc_id for r in quality.classify(tables["start"], labels).where("predicted = 1").collect())
+    assert collections.Counter(r.doc_id for r in tables["quality"].collect()) == scored
+    accepted = {k for k, _ in pairs(tables["quality"])}
+    assert sum((k in accepted) == bool(q) for k, _, q in rows if k is not None and k < 150) >= 145
+    assert pairs(tables["lines"]) == sorted(line_survivors(pairs(tables["quality"])), key=str)
+    kept = kept_of_components(pairs(tables["lines"]))
+    assert sorted((k for k, _ in pairs(tables["simhash"])), key=str) == sorted(kept, key=str)
+    assert set(pairs(tables["simhash"])) <= set(pairs(tables["lines"]))
+    before, after = dict(pairs(tables["simhash"])), dict(pairs(tables["pii"]))
+    assert before.keys() == after.keys()
+    new = {t.split(" card ")[1].split()[0] for k, t in after.items() if t and " card " in t}
+    assert len(new) == 1 and card not in new and all(len(x) == 16 for x in new)  # equal cards stay linked
+    assert all(after[k] == (t if t is None else t.replace(card, *new)) for k, t in before.items())
+
+    library, found = Tokenizer.from_file(packing.vocabulary()), collections.defaultdict(list)
+    for p in tables["packing"].collect():
+        found[p.doc_id].append((p.start, p.length, p.ids_crc32))
+    assert found.keys() == after.keys()
+    for k, t in after.items():
+        ids, at = np.array([*library.encode(t or "", add_special_tokens=False).ids, 2], "<u4"), 0
+        for start, length, crc in sorted(found[k]):
+            assert start == at and crc == zlib.crc32(ids[start : start + length].tobytes())
+            at += length
+        assert at == len(ids)
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    corpus_folder(spark, tmp_path, [])
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert "doc_id" in out.columns and out.collect() == []
