@@ -497,3 +497,31 @@ def test_quality_without_labels_or_rows(spark, docs_of):
     assert slots[long] == quality.bucket_of(long) and long not in slots and slots["word"] == quality.bucket_of("word") and "word" in slots
     kept = quality.keep_good(docs_of([(1, "a b"), (2, None)]), model).collect()
     assert sorted(r.doc_id for r in kept) == [1, 2] and tuple(kept[0][c] for c in EXTRA) == EXTRA
+
+
+def test_windows_of_equal_minimum_all_meet(spark):
+    """Not only with the first of their group and the predecessor; of one text the first document stands for all."""
+    from colloquy.llm import passages
+
+    rows = [(8, k, 100 + k, 5 << 32 | 20, 60) for k in range(5)] + [(8, 9, 103, 5 << 32 | 20, 60)]
+    met = passages.meetings(spark.createDataFrame(rows, "v long, k long, t long, lc long, r int")).where("v = 0").collect()
+    pairs = sorted((r["a"], r["b"], r["left"], r["right"]) for r in met)
+    assert pairs == sorted([(a, b, 15, 40) for a in range(5) for b in range(a + 1, 5)] + [(3, 9, 15, 40)])
+
+
+def test_sketches_of_large_groups_all_meet(spark):
+    """A group over the bound: two related documents far apart in it still meet, by what is left over."""
+    from colloquy.llm import passages
+
+    n = passages.ALL * 2
+    rows = [(v, k, 1000 + k, 5 << 32 | c, 80) for v, c in ((8, 20), (9, 30), (10, 40)) for k in range(n)]
+    met = passages.meetings(spark.createDataFrame(rows, "v long, k long, t long, lc long, r int").repartition(3))
+    assert met.where("v = 0").count() == 0 and met.count() == 3 * n
+    found = passages.candidates(met).where("b_lo < 0").selectExpr("b AS key", "a AS k", "at AS t", "a_lo AS lo", "a_hi AS hi", "bt AS bits", "b_hi AS c").localCheckpoint()
+    assert found.count() == 3 * n
+    none = spark.createDataFrame([], "k long, t long, lo int, hi int, later boolean")
+    left = passages.candidates(passages.left_over(found, none), enough=3)
+    assert left.select("a", "b").distinct().count() == n * (n - 1) // 2
+    # those that an earlier document covers are not asked again
+    done = spark.createDataFrame([(k, 1000 + k, 0, 90, True) for k in range(1, n)] + [(0, 1000, 0, 90, False)], none.schema)
+    assert passages.left_over(found, done).count() == 0
