@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 import json
+import re
 from typing import Any
 
 import pandas as pd
@@ -42,19 +43,27 @@ RECORD_TYPE = T.StructType(
     ]
 )
 
+TASK_BYTES = 32 << 20
+
 
 def block_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``(file, block, row, value)`` for every line of the text files, in one pass without a shuffle.
 
     ``row`` grows along a block and is unique in the read. Lines of a stored read keep their
-    key; a read with other split sizes deals other ones.
+    key; a read with other split sizes deals other ones. Where blocks are far smaller than a
+    task is worth, one task reads many of them: there is no more than a task for each
+    ``TASK_BYTES``, nor fewer than shuffle partitions.
     """
-    return spark.read.text(paths).select(
+    lines = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
         "value",
     )
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", spark.conf.get("spark.sql.files.maxPartitionBytes").strip().lower()).groups()
+    split = int(number) << 10 * " kmgt".index(unit or " ")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), lines.rdd.getNumPartitions() * split // TASK_BYTES)
+    return lines.coalesce(tasks)  # the numbers are dealt by block, before
 
 
 def block_offsets(lines: DataFrame) -> DataFrame:

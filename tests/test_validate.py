@@ -238,3 +238,20 @@ def test_split_of_blank_lines_only(spark, tmp_dir):
     assert load.valid.count() == 0 and load.verdicts.count() == 0
     with pytest.raises(ValueError):
         jobs.load_train(spark, path)
+
+
+def test_one_task_reads_many_small_blocks(spark, tmp_dir):
+    for i in range(6):
+        with open(f"{tmp_dir}/part-{i}.txt", "w") as f:
+            f.writelines(f"{i}:{n} {'x' * 40}\n" for n in range(1, 101))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("1024", "1k"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            lines = jsonl.block_lines(spark, tmp_dir)
+            assert lines.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+            assert lines.select("file", "block").distinct().count() > 20
+            rows = jsonl.read_lines(spark, tmp_dir).collect()
+            assert len(rows) == 600 and all(int(r["value"].split()[0].split(":")[1]) == r["line_no"] for r in rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
