@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 DecodeFn = Callable[[list[dict], int], str]
 BatchDecodeFn = Callable[[list[list[dict]], int], list[str]]
 
+SLICE = 256  # prompts held as Python objects at a time
+
 
 def _as_messages(value: Any) -> list[dict]:
     if value is None:
@@ -55,7 +57,12 @@ def generate(
          T.StructField("error", T.StringType())]
     )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    prompts_at = df.columns.index(prompt_col)
+    size = max(batch_size, SLICE // max(batch_size, 1) * batch_size, 1)  # whole batches of the predictor
+
+    names = schema.fieldNames()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         single = decode_factory() if decode_factory is not None else None
         batched = batch_factory() if batch_factory is not None else None
 
@@ -67,28 +74,30 @@ def generate(
             except Exception as exc:  # noqa: BLE001 - reported per row
                 return None, "error", f"{type(exc).__name__}: {exc}"
 
-        for pdf in batches:
-            prompts = [_as_messages(v) for v in pdf[prompt_col]]
-            results: list[tuple[str | None, str, str | None]] = []
+        def answers(prompts: list[list[dict]]) -> list[tuple[str | None, str, str | None]]:
             if batch_size <= 1:
-                results = [one(p) for p in prompts]
-            else:
-                for i in range(0, len(prompts), batch_size):
-                    chunk = prompts[i : i + batch_size]
-                    try:
-                        texts = batched(chunk, max_new_tokens)
-                        if len(texts) != len(chunk):
-                            raise ValueError("predictor returned a different number of outputs")
-                        results += [(t, "ok", None) for t in texts]
-                    except Exception:  # noqa: BLE001 - fall back to one at a time
-                        results += [one(p) for p in chunk]
-            out = pdf.copy()
-            out[out_col] = [r[0] for r in results]
-            out["status"] = [r[1] for r in results]
-            out["error"] = [r[2] for r in results]
-            yield out
-
-    return df.mapInPandas(run, schema)
+                return [one(p) for p in prompts]
+            results: list[tuple[str | None, str, str | None]] = []
+            for i in range(0, len(prompts), batch_size):
+                chunk = prompts[i : i + batch_size]
+                try:
+                    texts = batched(chunk, max_new_tokens)
+                    if len(texts) != len(chunk):
+                        raise ValueError("predictor returned a different number of outputs")
+                    results += [(t, "ok", None) for t in texts]
+                except Exception:  # noqa: BLE001 - fall back to one at a time
+                    results += [one(p) for p in chunk]
+            return results
+
+        for batch in batches:
+            # the input columns stay in Arrow; prompts become Python objects a slice at a time
+            for at in range(0, batch.num_rows, size):
+                part = batch.slice(at, size)
+                results = answers([_as_messages(v) for v in part.column(prompts_at).to_pylist()])
+                new = [pa.array([r[i] for r in results], pa.string()) for i in range(3)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *new], names)
+
+    return df.mapInArrow(run, schema)
 
 
 def prediction_records(generated: DataFrame, key: str, gold: str = "gold") -> DataFrame:

@@ -277,3 +277,17 @@ def test_two_prior_rows_do_not_multiply_a_child(spark):
     prior = spark.createDataFrame([("a", "p", 8, 16, 512), ("a", "p", 8, 16, 512)], "adapter_path string, " + fields)
     rows = registry.inherit_from_prior(child, prior).collect()
     assert len(rows) == 1 and rows[0]["lora_r"] == 8
+
+
+def test_generation_reads_prompts_in_slices_and_leaves_other_columns_alone(spark):
+    n = generate.SLICE * 2 + 5
+    rows = [(None if i % 3 == 0 else (1 << 53) + 1 + i, [("user", f"q{i}")]) for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, prompt_messages array<struct<role:string,content:string>>").coalesce(1)
+
+    def factory():
+        return lambda prompts, _: [f"{len(prompts)}:{p[0]['content']}" for p in prompts]
+
+    out = generate.generate(df, batch_factory=factory, batch_size=7).collect()
+    assert [r["id"] for r in out] == [r[0] for r in rows]  # whole numbers beside nulls, past a double's precision
+    assert [r["generated"].split(":")[1] for r in out] == [f"q{i}" for i in range(n)]
+    assert {int(r["generated"].split(":")[0]) for r in out[: generate.SLICE // 7 * 7]} == {7}
