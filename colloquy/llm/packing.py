@@ -36,6 +36,8 @@ VOCABULARY = "word_bpe_49k.json"
 SIMPLE = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
 #: The vocabulary's own word pattern, for lower-case text of SIMPLE characters.
 WORD = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+#: New words are encoded TOGETHER at a time. BETWEEN is a digit: a word of its own, in no other word.
+BETWEEN, TOGETHER = "0", 64
 
 
 def hilbert(coords: np.ndarray, bits: int) -> np.ndarray:
@@ -69,9 +71,23 @@ def signs(vocabulary: int, dims: int = DIMS) -> np.ndarray:
     return np.random.default_rng(4096).choice(np.array([-1, 1], np.int8), (vocabulary, dims))
 
 
-def curve_keys(docs: list[np.ndarray], table: np.ndarray) -> np.ndarray:
+def lanes_of(table: np.ndarray) -> np.ndarray:
+    """A row's signs as one number: 16 bits for each dimension, 1 for plus."""
+    return ((table > 0).astype(np.uint64) << (np.arange(table.shape[1], dtype=np.uint64) * np.uint64(16))).sum(axis=1, dtype=np.uint64)
+
+
+def sign_sums(ids: np.ndarray, lanes: np.ndarray) -> list[int]:
+    """The sums of the ids' signs, exact."""
+    plus = [0] * DIMS
+    for at in range(0, len(ids), 1 << 15):
+        got = int(lanes[ids[at : at + (1 << 15)]].sum(dtype=np.uint64))
+        plus = [p + (got >> 16 * d & 0xFFFF) for d, p in enumerate(plus)]
+    return [2 * p - len(ids) for p in plus]
+
+
+def curve_keys(docs: list[np.ndarray], lanes: np.ndarray) -> np.ndarray:
     """Hilbert keys of documents' ids: each one's hashed bag of tokens in DIMS numbers."""
-    v = np.array([table[ids].sum(axis=0, dtype=np.int64) / max(1, len(ids)) ** 0.5 for ids in docs]).reshape(len(docs), DIMS)
+    v = np.array([np.array(sign_sums(ids, lanes), np.int64) / max(1, len(ids)) ** 0.5 for ids in docs]).reshape(len(docs), DIMS)
     cell = np.clip((np.tanh(v / 4) + 1) * (1 << (CURVE_BITS - 1)), 0, (1 << CURVE_BITS) - 1)
     return hilbert(cell.astype(np.int64), CURVE_BITS)
 
@@ -89,12 +105,30 @@ def encoder(path: str):
         size = max(tok.get_vocab(with_added_tokens=True).values()) + 1
         kind = "<u2" if size <= 1 << 16 else "<u4"
         pack = lambda texts: (np.array(e.ids, kind).tobytes() for e in tok.encode_batch_fast(texts, add_special_tokens=False))
-        words = WordCache(pack)
+        between = np.frombuffer(next(iter(pack([BETWEEN]))), kind)
+
+        def pack_words(ws: list[str]) -> list[bytes]:
+            """Ids of words of WORD; many go to the library as one text, a digit between each two."""
+            if len(between) != 1:
+                return list(pack(ws))
+            others, out = [w for w in ws if w != BETWEEN], []
+            joined = [BETWEEN.join(others[i : i + TOGETHER]) for i in range(0, len(others), TOGETHER)]
+            for raw in pack(joined):
+                cut = np.flatnonzero(np.frombuffer(raw, kind) == between[0]) * between.itemsize
+                out += [raw[a:b] for a, b in zip([0, *(cut + between.itemsize).tolist()], [*cut.tolist(), len(raw)])]
+            if len(others) < len(ws):
+                out.insert(ws.index(BETWEEN), between.tobytes())
+            return out
+
+        words = WordCache(pack_words)
 
         def encode(texts: list[str]) -> list[bytes]:
             split = [WORD.findall(t.lower()) if "<|" not in t and SIMPLE.fullmatch(t) else None for t in texts]
-            split = [w if w is not None and max(map(len, w), default=0) <= words.longest else None for w in split]
-            words.learn(x for w in split if w for x in w)
+            known = set().union(*(w for w in split if w))
+            if max(map(len, known), default=0) > words.longest:
+                split = [w if w is not None and max(map(len, w), default=0) <= words.longest else None for w in split]
+                known = set().union(*(w for w in split if w))
+            words.learn(known)
             whole = iter(list(pack([t for t, w in zip(texts, split) if w is None])))
             return [next(whole) if w is None else words.join(w) for w in split]
 
@@ -110,12 +144,12 @@ def tokenized(docs: DataFrame, path: Callable[[], str], text: str = "text", key:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, kind, size = encoder(path())
-        table, last = signs(size), np.array([end], kind).tobytes()
+        lanes, last = lanes_of(signs(size)), np.array([end], kind).tobytes()
         for batch in batches:
             at = 0
             for texts in in_steps(batch.column(1).to_pylist()):
                 ids = [x + last for x in encode(texts)]
-                places = curve_keys([np.frombuffer(x, kind) for x in ids], table)
+                places = curve_keys([np.frombuffer(x, kind) for x in ids], lanes)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[at : at + len(ids)], pa.array(ids, pa.binary()), pa.array(places), pa.array([np.dtype(kind).itemsize] * len(ids), pa.int32())], ["key", "ids", "at", "width"])
                 at += len(ids)
 

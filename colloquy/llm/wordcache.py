@@ -16,7 +16,7 @@ class WordCache(dict):
     def learn(self, words: Iterable[str]) -> None:
         """Make every word of ``words`` present."""
         words = set(words)
-        new = {w for w in words if w not in self}  # one look-up a word, whatever the cache holds
+        new = words.difference(self)  # one look-up a word, whatever the cache holds
         if len(self) + len(new) > self.limit and self:
             self.old = dict(self)
             self.clear()

@@ -440,6 +440,32 @@ def test_hilbert_neighbours_touch():
 
 
 @needs_vocabulary
+def test_new_words_go_to_the_library_together(monkeypatch):
+    import tokenizers
+
+    library, asked = tokenizers.Tokenizer.from_file(packing.vocabulary()), []
+
+    class Counted:
+        get_vocab = library.get_vocab
+
+        @staticmethod
+        def encode_batch_fast(texts, **options):
+            asked.extend(texts)
+            return library.encode_batch_fast(texts, **options)
+
+    monkeypatch.setattr(tokenizers, "Tokenizer", type("Tokenizer", (), {"from_file": lambda path: Counted}))
+    monkeypatch.setattr(packing, "_ENCODERS", {})
+    encode, kind, _ = packing.encoder(packing.vocabulary())
+    rng = random.Random(4)
+    parts = ["0", "00", "10", "a0b", "'s", "it's", "é", "ß", "!?", "-", "'", "'0's", "x" * 300, "\t", "\n\r", "Ünï", "日本", "<|x|>", *("".join(rng.choices("abcdeé", k=6)) for _ in range(3000))]
+    texts = [rng.choice([" ", ""]).join(rng.choices(parts, k=40)) for _ in range(300)] + ["", "0", " 0 0", *parts[:18], " ".join(parts[18:])]
+    for _ in range(2):  # new words, then known ones
+        got = [np.frombuffer(x, kind).tolist() for x in encode(texts)]
+        assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    whole = [t for t in texts if "<|" in t or not packing.SIMPLE.fullmatch(t) or "x" * 257 in t]
+    assert len(asked) - 2 * len(whole) < 500  # thousands of words
+
+
 def test_packing_holds_every_id_once(docs_of):
     from tokenizers import Tokenizer
 
