@@ -19,7 +19,7 @@ An empty table gives an empty result. Other columns of the input are left untouc
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -79,7 +79,7 @@ def _index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, DIMS, (NONZERO, BUCKETS)), rng.choice([-1.0, 1.0], (NONZERO, BUCKETS))
 
 
-def _runs(texts: list[str | None], slots: _Slots, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _runs(texts: Iterable[str | None], slots: _Slots, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(slots of several documents end to end, each one's length), about ``most`` words at once."""
     ids: list[int] = []
     sizes: list[int] = []
@@ -119,7 +119,7 @@ def context_sums(docs: DataFrame, text: str = "text") -> DataFrame:
         count = np.zeros(BUCKETS)
         slots, some = _Slots(), False
         for batch in batches:
-            for ids, sizes in _runs(batch.column(0).to_pylist(), slots):
+            for ids, sizes in _runs((t.as_py() for t in batch.column(0)), slots):
                 some = some or len(ids) > 0
                 doc = np.repeat(np.arange(len(sizes)), sizes)
                 count += np.bincount(ids, minlength=BUCKETS)
@@ -170,7 +170,7 @@ def word_table(docs: DataFrame, text: str = "text") -> np.ndarray:
     return np.column_stack([vec, 1e-3 / (1e-3 + share)]).astype(np.float32)
 
 
-def pooled(texts: list[str | None], table: np.ndarray, slots: _Slots) -> np.ndarray:
+def pooled(texts: Iterable[str | None], table: np.ndarray, slots: _Slots) -> np.ndarray:
     """One row per text: weighted mean and spread of its word vectors, and its log length."""
     rows = []
     for ids, sizes in _runs(texts, slots, 1 << 18):
@@ -196,7 +196,7 @@ def with_vectors(docs: DataFrame, table: np.ndarray, key: str = "doc_id", text:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = _Slots()
         for batch in batches:
-            x = pooled(batch.column(1).to_pylist(), known.value, slots).astype("<f4")
+            x = pooled((t.as_py() for t in batch.column(1)), known.value, slots).astype("<f4")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x], pa.binary())], ["key", "features"])
 
     kind = docs.select(F.col(key)).schema[0].dataType.simpleString()
@@ -309,7 +309,7 @@ def keep_good(docs: DataFrame, model: QualityModel, text: str = "text", threshol
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots, m = _Slots(), shared.value
         for batch in batches:
-            x = pooled(batch.column(at).to_pylist(), m.table, slots).astype("<f4").astype(float)
+            x = pooled((t.as_py() for t in batch.column(at)), m.table, slots).astype("<f4").astype(float)
             keep = batch.filter(pa.array(m.net.probability(x) >= threshold))
             yield pa.RecordBatch.from_arrays(keep.columns, names)
 
