@@ -119,7 +119,7 @@ def context_sums(docs: DataFrame, text: str = "text") -> DataFrame:
         count = np.zeros(BUCKETS)
         slots, some = _Slots(), False
         for batch in batches:
-            for ids, sizes in _runs((t.as_py() for t in batch.column(0)), slots):
+            for ids, sizes in _runs((t.as_py() for t in batch.column(0)), slots, 1 << 18):
                 some = some or len(ids) > 0
                 doc = np.repeat(np.arange(len(sizes)), sizes)
                 count += np.bincount(ids, minlength=BUCKETS)

@@ -440,8 +440,8 @@ def test_hilbert_neighbours_touch():
 
 
 @needs_vocabulary
-def test_word_counts_of_a_task_take_memory_by_their_number(monkeypatch):
-    """The task's own function, run here: what it gives is the same with and without a table of all slots."""
+def test_context_sums_hold_few_words_at_once(monkeypatch):
+    """The task's own function, run here on 1.2 million words in one batch."""
     import tracemalloc
 
     import pyarrow as pa
@@ -453,28 +453,18 @@ def test_word_counts_of_a_task_take_memory_by_their_number(monkeypatch):
             self.run = self.run or fn
             return self
 
-        def collect(self):
-            return []
-
         select = repartition = lambda self, *a: self
 
-    monkeypatch.setattr(lines, "F", type("F", (), {"col": staticmethod(str)}))
-    monkeypatch.setattr(lines, "WORDS_KEPT", 50)
-    rng = random.Random(6)
-    texts = [None, "", *(" ".join(rng.choices([f"w{i}" for i in range(400)], k=30)) for _ in range(200))]
-    got = []
-    for apart in (1 << 20, 100):
-        monkeypatch.setattr(lines, "SLOTS_APART", apart)
-        task = Task()
-        lines.rarity_table(task)
-        tracemalloc.start()
-        got.append([c.to_pylist() for b in task.run([pa.record_batch([pa.array(texts)], ["text"])]) for c in b.columns])
-        peak = tracemalloc.get_traced_memory()[1]
-        tracemalloc.stop()
-        assert (peak < 16 << 20) == (apart == 1 << 20)
-    assert got[0] == got[1]
-    words_in = collections.Counter(w for t in texts if t for w in t.split())
-    assert sum(np.frombuffer(x[0], "<u4").sum() for x in got[0][2::3]) == sum(words_in.values())
+    monkeypatch.setattr(quality, "F", type("F", (), {"col": staticmethod(str)}))
+    rng, task = random.Random(6), Task()
+    batch = pa.record_batch([pa.array([None, "", *(" ".join(rng.choices("abcdefgh", k=4000)) for _ in range(300))])], ["text"])
+    quality.context_sums(task)
+    tracemalloc.start()
+    (sums,) = task.run([batch])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    words = sum(np.frombuffer(x, "<i4").reshape(-1, quality.DIMS + 1)[:, -1].sum() for x in sums.column(1).to_pylist())
+    assert words == 1_200_000 and peak < 40 << 20, peak >> 20
 
 
 def test_new_words_go_to_the_library_together(monkeypatch):
