@@ -17,6 +17,7 @@ Three streaming forms of the per-request metrics:
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from contextlib import contextmanager
 
@@ -208,7 +209,6 @@ def request_metrics_stateful(decoded: DataFrame, end_inclusive: bool, delay_ms:
 # ---------------------------------------------------------------------------
 # Sessions: list and value state with timers (transformWithState).
 # ---------------------------------------------------------------------------
-_LIST_STATE = "seq long, at_us long, is_line boolean, is_end boolean, delta string, usage_tokens long, eval_count long, eval_ns long"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -233,11 +233,13 @@ def chunk_metrics(chunks: list[tuple], end_inclusive: bool) -> tuple:
 
 
 class RequestSessions(StatefulProcessor):
-    """Holds a request's chunks (list state) and what is known of it (value state).
+    """Holds the chunks of a bucket of requests (list state) and when to look at them again (value state, timer).
 
-    A timer stands at the request's last chunk; an open request gets ``idle_ms`` more. When
-    the watermark passes it no earlier chunk can come any more, so the row is emitted and
-    the chunks are dropped. A marker stays ``idle_ms`` longer and swallows stragglers.
+    State calls go to the JVM one by one, so the requests of a bucket share them: a batch's
+    chunks are one list element. A request is due at its last chunk; an open one gets
+    ``idle_ms`` more. When the watermark passes that no earlier chunk can come any more, so
+    the row is emitted and the chunks are dropped. A marker stays ``idle_ms`` longer and
+    swallows stragglers. The bucket's timer stands at or before the first of these times.
     """
 
     def __init__(self, end_inclusive: bool, idle_ms: int):
@@ -245,52 +247,88 @@ class RequestSessions(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.chunks = handle.getListState("chunks", _LIST_STATE)
-        self.known = handle.getValueState("known", "last_ms long, ended boolean, timer_ms long, emitted boolean")
+        # JSON lists: [request_id, watermark at arrival, chunk fields...] or, for a marker, [request_id, until]
+        self.rows = handle.getListState("rows", "body string")
+        self.timer = handle.getValueState("timer", "at_ms long")
+
+    def _wake(self, at: int, known: int | None) -> None:
+        self.handle.registerTimer(at)
+        if at != known:
+            self.timer.update((at,))
 
     def handleInputRows(self, key, rows, timerValues):
-        known = self.known.get() if self.known.exists() else None
-        if known is not None and known[3]:
-            return iter(())
-        new = [tuple(r[f] for f in _CHUNK_FIELDS) for r in rows]
-        self.chunks.appendList(new)
-        last = max(c[1] for c in new) // 1000 + 1
-        ended = any(c[3] for c in new)
-        if known is not None:
-            last, ended = max(last, known[0]), ended or known[1]
-        timer = max(last + (0 if ended else self.idle_ms), timerValues.getCurrentWatermarkInMs() + 1)
-        if known is None or timer != known[2]:
+        now = timerValues.getCurrentWatermarkInMs()
+        new, last = [], {}
+        for r in rows:
+            rid = r["request_id"]
+            new.append([rid, now, *(r[f] for f in _CHUNK_FIELDS)])
+            last[rid] = max(last.get(rid, r["at_us"]), r["at_us"])
+        self.rows.appendValue((json.dumps(new),))
+        at = max(min(last.values()) // 1000 + 1, now + 1)  # no request of these is due earlier
+        got = self.timer.get()
+        known = got[0] if got is not None else None
+        if known is None or at < known:
             if known is not None:
-                self.handle.deleteTimer(known[2])
-            self.handle.registerTimer(timer)
-        self.known.update((last, ended, timer, False))
+                self.handle.deleteTimer(known)
+            self._wake(at, known)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        last, ended, _, emitted = self.known.get()
-        if emitted:
-            self.known.clear()
+        now = timerValues.getCurrentWatermarkInMs()
+        past = max(now - 1, expiredTimerInfo.getExpiryTimeInMs())
+        markers: dict[str | None, int] = {}
+        held: dict[str | None, list[list]] = {}
+        changed = False
+        for (body,) in self.rows.get():
+            for row in json.loads(body):
+                if len(row) == 2:
+                    markers[row[0]] = row[1]
+                elif row[0] in markers:
+                    changed = True  # a straggler
+                else:
+                    held.setdefault(row[0], []).append(row)
+        for rid in [r for r, until in markers.items() if until <= past]:
+            del markers[rid]
+            changed = True
+        first: list[int] = []
+        for rid, chunks in list(held.items()):
+            ended = any(c[5] for c in chunks)
+            due = max(max(c[3] for c in chunks) // 1000 + 1 + (0 if ended else self.idle_ms), max(c[1] for c in chunks) + 1)
+            if due > past:
+                first.append(due)
+                continue
+            found = chunk_metrics([tuple(c[2:]) for c in chunks], self.end_inclusive)
+            del held[rid]
+            markers[rid] = now + self.idle_ms
+            changed = True
+            yield Row(request_id=rid, text=found[0], ttft_seconds=found[1], total_seconds=found[2],
+                      tokens_generated=found[3], tokens_per_second=found[4], ended=found[5])
+        left = [[rid, until] for rid, until in markers.items()]
+        for chunks in held.values():
+            left += chunks
+        if not left:
+            self.rows.clear()
+            self.timer.clear()
             return
-        found = chunk_metrics([tuple(c) for c in self.chunks.get()], self.end_inclusive)
-        self.chunks.clear()
-        timer = timerValues.getCurrentWatermarkInMs() + self.idle_ms
-        self.handle.registerTimer(timer)
-        self.known.update((last, ended, timer, True))
-        yield Row(request_id=key[0], text=found[0], ttft_seconds=found[1], total_seconds=found[2],
-                  tokens_generated=found[3], tokens_per_second=found[4], ended=found[5])
+        if changed:
+            self.rows.put([(json.dumps(left),)])
+        self._wake(min([*first, *markers.values()]), None)
 
     def close(self) -> None:
         pass
 
 
-def request_sessions(decoded: DataFrame, end_inclusive: bool, delay_ms: int = 600_000, idle_ms: int = 600_000) -> DataFrame:
+def request_sessions(decoded: DataFrame, end_inclusive: bool, delay_ms: int = 600_000, idle_ms: int = 600_000, buckets: int = 4096) -> DataFrame:
     """Append-mode stream of request metrics, equal to the batch form for chunks up to ``delay_ms`` late.
 
-    State is bounded by the requests whose last chunk the watermark has not passed. It
-    needs the RocksDB state store (``with_rocksdb``). Chunks older than the watermark are dropped.
+    State is bounded by the requests whose last chunk the watermark has not passed; it is
+    kept by ``buckets`` hash buckets of requests, and one bucket's open chunks are in memory
+    at once. It needs the RocksDB state store (``with_rocksdb``). Chunks older than the
+    watermark are dropped.
     """
     timed = decoded.withColumn("_event_ts", F.timestamp_micros("at_us")).withWatermark("_event_ts", f"{int(delay_ms)} milliseconds")
-    return timed.groupBy("request_id").transformWithState(
+    bucket = F.pmod(F.xxhash64("request_id"), F.lit(buckets)).cast("int").alias("bucket")
+    return timed.select(bucket, "request_id", *_CHUNK_FIELDS, "_event_ts").groupBy("bucket").transformWithState(
         statefulProcessor=RequestSessions(end_inclusive, idle_ms), outputStructType=METRICS_SCHEMA, outputMode="Append", timeMode="EventTime"
     )
 
