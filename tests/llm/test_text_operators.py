@@ -178,6 +178,54 @@ def test_rows_without_ids_are_told_apart(docs_of):
         assert kept[f"same line in all of them {key}"] == 1 and sum(n for x, n in kept.items() if x.startswith(" ".join(base))) == 1
 
 
+def test_line_words_are_those_of_split(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(lines, "STEP", 500)
+    rng = random.Random(1)
+    some = ["a", "bb", "é", "ab\0", "ab", "日本語", "x" * 63, "x" * 64, "x" * 65, "y" * 200, "12345678", "123456789", "\u200b", "Â"]
+    some += [chr(c) for c in range(1, 32) if not chr(c).isspace()]
+    space = [chr(c) for c in range(0x10000) if chr(c).isspace()] + ["\n"] * 8 + ["\n "] * 3
+    texts = [None, "", "\n", "a", "b\n", "\n\nc"] + ["".join(rng.choice(some) + rng.choice(space) * rng.choice([0, 1, 1, 2]) for _ in range(rng.randrange(60))) for _ in range(300)]
+    got = []
+    for h, n, text, line in lines.words_by_line(pa.array(["cut off", *texts], pa.string()).slice(1)):
+        ends = np.cumsum(n)
+        got += [(i, j, h[a:b].tolist()) for a, b, i, j in zip(ends - n, ends, text.tolist(), line.tolist())]
+    want = [(i, j, x.split()) for i, t in enumerate(texts) if t for j, x in enumerate(t.split("\n")) if x.split()]
+    assert [x[:2] for x in got] == [x[:2] for x in want] and [len(x[2]) for x in got] == [len(x[2]) for x in want]
+    pairs = {(w, h) for a, b in zip(want, got) for w, h in zip(a[2], b[2])}
+    assert len(pairs) == len({w for w, _ in pairs}) == len({h for _, h in pairs})
+
+
+def test_prefix_rows_of_a_large_batch_take_little_memory(docs_of, monkeypatch):
+    """The task's own function on one batch of 120,000 lines; it took over 200 MB for their bitmaps alone."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    class Docs:
+        run = None
+
+        def mapInArrow(self, fn, kind):
+            self.run = fn
+            return self
+
+        select = lambda self, *a: self
+        sparkSession = docs_of([]).sparkSession
+
+    monkeypatch.setattr(lines, "SLOTS", 1 << 12)
+    monkeypatch.setattr(lines, "rarity_table", lambda *a: np.full(1 << 12, 9, np.uint8))
+    rng = random.Random(3)
+    texts = ["\n".join(f"w{rng.randrange(10**6)} w{rng.randrange(10**6)} x" for _ in range(60)) for _ in range(2000)]
+    batch = pa.record_batch([pa.array(range(2000), pa.int64()), pa.array([0] * 2000, pa.int64()), pa.array(texts)], ["k", "t", "x"])
+    run = lines.prefix_rows(Docs()).run
+    tracemalloc.start()
+    n = sum(out.num_rows for out in run(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 100_000 and peak < 120 << 20, (n, peak >> 20)
+
+
 # ------------------------------------------------------------------ SimHash
 def print_by_hand(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
