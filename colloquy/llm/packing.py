@@ -34,8 +34,8 @@ DIMS, CURVE_BITS = 4, 10
 VOCABULARY = "word_bpe_49k.json"
 #: Texts made of these characters only are split here; all others go to the library whole.
 SIMPLE = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
-#: The vocabulary's own word pattern, for lower-case text of SIMPLE characters.
-WORD = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+#: The vocabulary's own word pattern, for lower-case text of SIMPLE characters; most words are the first kind.
+WORD = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-z0-9ß-öø-ÿ]+")
 #: New words are encoded TOGETHER at a time. BETWEEN is a digit: a word of its own, in no other word.
 BETWEEN, TOGETHER = "0", 64
 

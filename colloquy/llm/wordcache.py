@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from itertools import filterfalse
 
 
 class WordCache(dict):
@@ -15,8 +16,8 @@ class WordCache(dict):
 
     def learn(self, words: Iterable[str]) -> None:
         """Make every word of ``words`` present."""
-        words = set(words)
-        new = {w for w in words if w not in self}  # one look-up a word, whatever the cache holds
+        words = words if isinstance(words, set) else set(words)
+        new = list(filterfalse(self.__contains__, words))  # one look-up a word, whatever the cache holds
         if len(self) + len(new) > self.limit and self:
             self.old = dict(self)
             self.clear()

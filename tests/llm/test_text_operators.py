@@ -574,6 +574,45 @@ def test_word_cache_turns_over():
     assert asked.count("b") <= 2
 
 
+def test_places_of_pairs_are_marked_without_a_shuffle(docs_of, monkeypatch):
+    seen = []
+    inner = lines.bit_table
+
+    def table(keys, *args, **kwargs):
+        seen.append("Exchange" in keys._jdf.queryExecution().executedPlan().toString())
+        return inner(keys, *args, **kwargs)
+
+    monkeypatch.setattr(lines, "bit_table", table)
+    base = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    docs = docs_of([(1, base), (2, base + " lambda"), (3, "quite another line of words here")])
+    got = {r.doc_id: r.text for r in lines.dedup_lines(docs).collect()}
+    assert got == {1: base, 2: "", 3: "quite another line of words here"}
+    assert seen and not any(seen)
+
+
+def test_words_of_a_set_are_looked_up_without_a_copy():
+    from colloquy.llm.wordcache import WordCache
+
+    class Words(set):
+        walked = 0
+
+        def __iter__(self):
+            Words.walked += 1
+            return super().__iter__()
+
+    cache = WordCache(lambda ws: [w.encode() for w in ws])
+    cache.learn(Words(["a", "b"]))
+    assert Words.walked == 1 and cache.join(["b", "a"]) == b"ba"
+
+
+def test_words_are_the_library_s_whatever_their_order():
+    rng = random.Random(4)
+    old = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+    for _ in range(2_000):
+        text = "".join(rng.choice("ab's t0.9,'mllredve-\n\té×÷ß") for _ in range(30))
+        assert packing.WORD.findall(text) == old.findall(text)
+
+
 # ------------------------------------------------------------------ quality
 def test_held_out_quality(spark, docs_of):
     rng = random.Random(12)
