@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colloquy.llm import lines, packing, pii, quality, simhash
-from colloquy.llm.common import read, stage
+from colloquy.llm.common import read, small_batches, stage
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -30,17 +30,20 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the classifier rejects; it learns from rows not held out."""
+    small_batches(spark)
     model, _ = quality.fit(docs, read(spark, sf_dir, "labels"))
     return quality.keep_good(docs, model)
 
 
 def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts every line that an earlier line matches (Jaccard similarity of words 0.8 or more)."""
+    small_batches(spark)
     return _counted(lines.dedup_lines(docs))
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group linked by fingerprints at most 4 bits apart (4-word shingles)."""
+    small_batches(spark)
     return simhash.keep_one(docs)
 
 
@@ -51,6 +54,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the documents along a Hilbert curve: one row per piece of a sequence."""
+    small_batches(spark)
     return packing.pack(docs, packing.vocabulary).withColumnRenamed("key", "doc_id")
 
 

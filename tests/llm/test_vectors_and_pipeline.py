@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -241,3 +242,24 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
     corpus_folder(spark, tmp_path, [])
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert "doc_id" in out.columns and out.collect() == []
+
+
+def test_stages_hand_texts_to_python_in_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.getAll.get(name)
+    docs = spark.createDataFrame([(i, "word " * 200_000) for i in range(12)], "doc_id long, text string").coalesce(1)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    try:
+        spark.conf.unset(name)
+        corpus_pipeline.lines_stage(spark, docs.limit(0), "")
+        got = [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+        assert sum(got) > 12_000_000 > 6_000_000 > max(got)
+        spark.conf.set(name, "32m")
+        corpus_pipeline.lines_stage(spark, docs.limit(0), "")
+        assert spark.conf.get(name) == "32m"  # a user's limit stays
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
