@@ -38,6 +38,7 @@ SIMPLE = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
 WORD = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-z0-9ß-öø-ÿ]+")
 #: New words are encoded TOGETHER at a time. BETWEEN is a digit: a word of its own, in no other word.
 BETWEEN, TOGETHER = "0", 64
+STEP = 1 << 21  # characters of text split at once; a word is looked up once in each step
 
 
 def hilbert(coords: np.ndarray, bits: int) -> np.ndarray:
@@ -147,7 +148,7 @@ def tokenized(docs: DataFrame, path: Callable[[], str], text: str = "text", key:
         lanes, last = lanes_of(signs(size)), np.array([end], kind).tobytes()
         for batch in batches:
             at = 0
-            for texts in in_steps(batch.column(1).to_pylist()):
+            for texts in in_steps(batch.column(1).to_pylist(), STEP):
                 ids = [x + last for x in encode(texts)]
                 places = curve_keys([np.frombuffer(x, kind) for x in ids], lanes)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[at : at + len(ids)], pa.array(ids, pa.binary()), pa.array(places), pa.array([np.dtype(kind).itemsize] * len(ids), pa.int32())], ["key", "ids", "at", "width"])
