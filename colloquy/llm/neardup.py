@@ -5,14 +5,17 @@ data's singular vectors; the rotated dimensions are dealt in turn to a few subsp
 subspace gets a part of the squared distance in proportion to its share of the data's
 energy, so two near vectors are within the budget of one subspace at least. In each:
 
-* vectors are range-sorted by the subspace's leading coordinate and packed into blocks;
-* blocks whose intervals come within the subspace's radius meet (a range join on the
-  blocks' narrow descriptions, by cells of that radius), each pair of blocks once;
+* blocks of vectors, sorted by cells of the subspaces' leading coordinates, meet where their
+  bounding boxes come within the subspace's budget, each pair of blocks once for all subspaces;
 * inside, pairs within the subspace's budget are candidates and are verified by their
   cosine. A pair counts in the first subspace whose budget it meets, so the union over
   subspaces holds it once, and pairs are counted and linked where they are found: only
   link counts and a spanning forest of the links leave the task, never all pairs.
 
+Blocks meet in a Cartesian product: each task reads its two parts of the one stored table of
+blocks, so the pairs of blocks, whose number grows with the square of the vectors, are neither
+shuffled nor stored. Vectors travel in the numbers of their column.
+
 Equal vectors are one class with a multiplicity, expanded at the end.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components link
@@ -23,22 +26,23 @@ separate vectors; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from colloquy.llm.common import components, read, stage
+from colloquy.llm.common import components, read, small_batches, stage
 from colloquy.llm.vectors import gram, longest, matrix, packed, rotation, usable
 
 THRESHOLD, SPACES, ROWS = 0.9, 4, 4096
 STRIP = 256  # rows of a block compared at once
-GROUP = 4  # blocks that meet a block in one co-group
+SLACK = 1e-4  # far above the rounding of single precision in squared distances of unit vectors
+HELD = 1 << 18  # link counts and links that a task holds before it hands them on
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -47,18 +51,25 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), np.finfo(float).tiny)
 
 
+def number_kind(vectors: DataFrame, vector: str) -> str:
+    """How the column's numbers are held as bytes."""
+    return "<f4" if vectors.schema[vector].dataType.elementType.typeName() == "float" else "<f8"
+
+
 def unit_classes(vectors: DataFrame, dims: int, key: str, vector: str) -> tuple[DataFrame, DataFrame]:
     """(every row's key and class hash, null where it links with nothing; the classes with
-    a number, smallest key, multiplicity and unit vector as bytes)."""
-    good = usable(vector)
+    a number, smallest key, multiplicity and a vector of theirs as bytes). Rows of one class
+    have the same unit vector."""
+    good, kind = usable(vector), number_kind(vectors, vector)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = batch.column(1).to_numpy(zero_copy_only=False)
             x = matrix(batch.column(2), dims)
             ok = ok & (np.abs(x).max(axis=1, initial=0) > 0)
-            raw = [r.tobytes() if o else None for r, o in zip((_unit(x) + 0.0).astype("<f8"), ok)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r and xxhash.xxh3_128_digest(r) for r in raw], pa.binary()), pa.array(raw, pa.binary())], ["key", "h", "raw"])
+            h = [xxhash.xxh3_128_digest(r.tobytes()) if o else None for r, o in zip((_unit(x) + 0.0).astype("<f8"), ok)]
+            raw = [r.tobytes() if o else None for r, o in zip(x.astype(kind), ok)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(h, pa.binary()), pa.array(raw, pa.binary())], ["key", "h", "raw"])
 
     v = F.when(good, F.col(vector)).otherwise(F.array().cast(vectors.schema[vector].dataType))
     rows = vectors.select(F.col(key).alias("key"), F.coalesce(good, F.lit(False)).alias("ok"), v.alias("v")).mapInArrow(
@@ -87,11 +98,10 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[leaf], nodes[label[leaf]]
 
 
-def links(classes: DataFrame, dims: int, threshold: float = THRESHOLD, spaces: int = SPACES) -> DataFrame:
+def links(classes: DataFrame, dims: int, threshold: float = THRESHOLD, spaces: int = SPACES, kind: str = "<f8") -> DataFrame:
     """``(id, n, to)``: per task, links of a class counted with multiplicity, or (n = 0) a
     link to ``to`` of the spanning forest."""
-    spark = classes.sparkSession
-    parse = lambda raw: np.frombuffer(raw, "<f8").reshape(-1, dims)
+    parse = lambda raw: _unit(np.frombuffer(raw, kind).reshape(-1, dims).astype(np.float64)) + 0.0
 
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,85 +120,98 @@ def links(classes: DataFrame, dims: int, threshold: float = THRESHOLD, spaces: i
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             y = parse(b"".join(batch.column(2).to_pylist())) @ turn
-            for s, p in enumerate(parts):
-                n = batch.num_rows
-                yield pa.RecordBatch.from_arrays([pa.array([s] * n, pa.int32()), pa.array(np.ascontiguousarray(y[:, p[0]])), *batch.columns], ["space", "c", "id", "mult", "raw"])
+            cells = pa.array(list(np.floor(y[:, :spaces] / radius).astype(np.int32)), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array([0] * batch.num_rows, pa.int32()), cells, pa.array(np.ascontiguousarray(y[:, 0])), *batch.columns], ["part", "cells", "c", "id", "mult", "raw"])
 
-    dealt = classes.select("id", "mult", "raw").mapInArrow(deal, "space int, c double, id long, mult long, raw binary")
-    in_order = dealt.repartitionByRange("space", "c", "id").sortWithinPartitions("space", "c", "id")
-    blocks = packed(in_order, "space", ["c", "id", "mult", "raw"], ROWS)
+    dealt = classes.select("id", "mult", "raw").mapInArrow(deal, "part int, cells array<int>, c double, id long, mult long, raw binary")
+    in_order = dealt.repartitionByRange("cells", "c", "id").sortWithinPartitions("cells", "c", "id")
+    blocks = packed(in_order, "part", ["id", "mult", "raw"], ROWS)
+    turned = np.concatenate(parts)
 
     def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            c = [np.frombuffer(x, "<f8") for x in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([float(x[0]) for x in c]), pa.array([float(x[-1]) for x in c]), *batch.columns[3:]], ["block", "space", "lo", "hi", "id", "mult", "raw"])
-
-    blocks = stage(blocks.select("block", "space", "c", "id", "mult", "raw").mapInArrow(bounds, "block long, space int, lo double, hi double, id binary, mult binary, raw binary"), "neardup-blocks")
-    # range join of the blocks' intervals, by cells as wide as the space's radius
-    r = F.element_at(F.array(*[F.lit(float(x)) for x in radius]), F.col("space") + 1)
-    cell = lambda c: F.floor(c / r).cast("long")
-    left = blocks.select("space", F.col("block").alias("i"), F.col("lo").alias("i_lo"), F.col("hi").alias("i_hi"), F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi") + r))).alias("cell"))
-    right = blocks.select("space", F.col("block").alias("j"), F.col("lo").alias("j_lo"), cell(F.col("lo")).alias("cell"))
-    near = left.join(right, ["space", "cell"]).where(((F.col("j_lo") > F.col("i_lo")) | ((F.col("j_lo") == F.col("i_lo")) & (F.col("j") >= F.col("i")))) & (F.col("j_lo") <= F.col("i_hi") + r))
-    near = stage(near.select("i", "j"), "neardup-near")
-    # a co-group: block i and up to GROUP of its partners
-    at = F.row_number().over(Window.partitionBy("i").orderBy("j"))
-    near = near.withColumn("grp", F.floor((at - 1) / GROUP).cast("int"))
-    body = blocks.select("block", "space", "id", "mult", "raw")
-    lefts = near.select("i", "grp").distinct().join(body, F.col("i") == F.col("block"))
-    rights = near.join(body, F.col("j") == F.col("block"))
-    rights = rights.select(*(F.col(c).alias(f"r_{c}") for c in ("i", "grp", "block", "id", "mult", "raw")))
-
-    def run(ls: pd.DataFrame, rs: pd.DataFrame) -> pd.DataFrame:
+            y = [(parse(x) @ turn)[:, turned] for x in batch.column(3).to_pylist()]
+            box = [pa.array([op(x, axis=0) for x in y], pa.list_(pa.float64())) for op in (np.min, np.max)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *box, *batch.columns[1:]], ["block", "lo", "hi", "id", "mult", "raw"])
+
+    blocks = stage(blocks.select("block", "id", "mult", "raw").mapInArrow(bounds, "block long, lo array<double>, hi array<double>, id binary, mult binary, raw binary"), "neardup-blocks")
+    # a Cartesian product reads both sides where they are stored; which of two blocks is on the left is dealt evenly
+    l, r = (blocks.select(*(F.col(c).alias(f"{side}_{c}") for c in blocks.columns)) for side in "lr")
+    above = lambda x, y: F.zip_with(x, y, lambda a, b: F.greatest(a - b, F.lit(0.0)))
+    gaps = F.zip_with(above("l_lo", "r_hi"), above("r_lo", "l_hi"), lambda a, b: a * a + b * b)  # one of them is zero
+    starts = np.cumsum([1, *(len(p) for p in parts)]).tolist()
+    near = [F.aggregate(F.slice(gaps, at, len(p)), F.lit(0.0), lambda acc, x: acc + x) <= float(most) for at, p, most in zip(starts, parts, budget)]
+    i, j = F.col("l_block"), F.col("r_block")
+    once = (i == j) | ((i < j) == ((i.bitwiseXOR(j)).bitwiseAND(F.lit(1)) == 0))
+    met = l.join(r.hint("shuffle_replicate_nl"), once & functools.reduce(operator.or_, near))
+    met = met.select("l_block", "r_block", F.array(*near).alias("near"), *(f"{side}_{c}" for side in "lr" for c in ("id", "mult", "raw")))
+
+    def single(x: np.ndarray, left: bool) -> np.ndarray:
+        """Rows whose products are the squared distances, in single precision."""
+        own, one = (x * x).sum(axis=1), np.ones(len(x))
+        return np.column_stack([x, own, one] if left else [-2 * x, one, own]).astype(np.float32)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = None
         a_of, n_of, e_of, f_of = [], [], [], []
-        for p in ls.itertuples():
-            pid, pm, px = np.frombuffer(p.id, "<i8"), np.frombuffer(p.mult, "<i8"), parse(p.raw)
-            py, s = px @ turn, p.space
-            ps = py[:, parts[s]]
-            for q in rs.itertuples():
-                qid, qm, qx = np.frombuffer(q.r_id, "<i8"), np.frombuffer(q.r_mult, "<i8"), parse(q.r_raw)
+
+        def told() -> pa.RecordBatch:
+            ids, back = np.unique(np.concatenate(a_of), return_inverse=True)
+            n = np.zeros(len(ids), np.int64)
+            np.add.at(n, back, np.concatenate(n_of))
+            e, f = forest(np.concatenate(e_of), np.concatenate(f_of))
+            for held in (a_of, n_of, e_of, f_of):
+                held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in ((ids, e), (n, np.zeros(len(e), np.int64)), (ids, f))], ["id", "n", "to"])
+
+        for batch in batches:
+            for row in range(batch.num_rows):
+                p_block, q_block, close, p_id, p_mult, p_raw, q_id, q_mult, q_raw = (c[row].as_py() for c in batch.columns)
+                if p_block != now:
+                    pid, pm, px = np.frombuffer(p_id, "<i8"), np.frombuffer(p_mult, "<i8"), parse(p_raw)
+                    py = px @ turn
+                    now, lefts = p_block, [single(py[:, p], True) for p in parts]
+                qid, qm, qx = np.frombuffer(q_id, "<i8"), np.frombuffer(q_mult, "<i8"), parse(q_raw)
                 qy = qx @ turn
-                qs = qy[:, parts[s]]
-                qn = (qs * qs).sum(axis=1)
-                found = []
-                for at in range(0, len(ps), STRIP):
-                    strip = ps[at : at + STRIP]
-                    apart = (strip * strip).sum(axis=1)[:, None] + qn[None, :] - 2 * (strip @ qs.T)
-                    i, j = np.nonzero(apart <= budget[s] + 1e-9)
-                    found.append((i + at, j))
-                u, v = (np.concatenate(c) for c in zip(*found))
-                if p.block == q.r_block:
-                    u, v = u[u < v], v[u < v]
-                for at in range(0, len(u), 1 << 15):
-                    x, y = u[at : at + (1 << 15)], v[at : at + (1 << 15)]
-                    ok = np.einsum("nd,nd->n", px[x], qx[y]) >= threshold
-                    x, y = x[ok], y[ok]
-                    gap = (py[x] - qy[y]) ** 2
-                    held = np.column_stack([gap[:, d].sum(axis=1) <= budget[t] for t, d in enumerate(parts)])
-                    mine = held[:, s] & ~held[:, :s].any(axis=1)
-                    x, y = x[mine], y[mine]
-                    a_of += [pid[x], qid[y]]
-                    n_of += [qm[y], pm[x]]
-                    e, f = forest(pid[x], qid[y])
-                    e_of.append(e)
-                    f_of.append(f)
-        if not a_of:
-            return pd.DataFrame({"id": [], "n": [], "to": []}).astype("int64")
-        ids, back = np.unique(np.concatenate(a_of), return_inverse=True)
-        n = np.zeros(len(ids), np.int64)
-        np.add.at(n, back, np.concatenate(n_of))
-        e, f = forest(np.concatenate(e_of), np.concatenate(f_of))
-        return pd.DataFrame({"id": np.concatenate([ids, e]), "n": np.concatenate([n, np.zeros(len(e), np.int64)]), "to": np.concatenate([ids, f])})
-
-    out = lefts.groupBy("i", "grp").cogroup(rights.groupBy("r_i", "r_grp")).applyInPandas(run, "id long, n long, to long")
-    return stage(out, "neardup-links")
+                for s in np.flatnonzero(close).tolist():
+                    rights = single(qy[:, parts[s]], False).T
+                    found = []
+                    for at in range(0, len(px), STRIP):
+                        k = np.flatnonzero((lefts[s][at : at + STRIP] @ rights).reshape(-1) <= budget[s] + SLACK)
+                        found.append((k // len(qx) + at, k % len(qx)))
+                    u, v = (np.concatenate(c) for c in zip(*found))
+                    if p_block == q_block:
+                        u, v = u[u < v], v[u < v]
+                    for at in range(0, len(u), 1 << 15):
+                        x, y = u[at : at + (1 << 15)], v[at : at + (1 << 15)]
+                        ok = np.einsum("nd,nd->n", px[x], qx[y]) >= threshold
+                        x, y = x[ok], y[ok]
+                        gap = (py[x] - qy[y]) ** 2
+                        held = np.column_stack([gap[:, d].sum(axis=1) <= budget[t] for t, d in enumerate(parts)])
+                        mine = held[:, s] & ~held[:, :s].any(axis=1)
+                        x, y = x[mine], y[mine]
+                        if not len(x):
+                            continue
+                        ids, back = np.unique(np.concatenate([pid[x], qid[y]]), return_inverse=True)
+                        a_of.append(ids)
+                        n_of.append(np.bincount(back, np.concatenate([qm[y], pm[x]]), len(ids)).astype(np.int64))
+                        e, f = forest(pid[x], qid[y])
+                        e_of.append(e)
+                        f_of.append(f)
+                if sum(map(len, a_of)) >= HELD:
+                    yield told()
+        if a_of:
+            yield told()
+
+    return stage(met.mapInArrow(run, "id long, n long, to long"), "neardup-links")
 
 
 def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
     """``(key, n_links, component_id)`` for every row."""
+    small_batches(vectors.sparkSession)
     dims = max(1, longest(vectors, vector))
     rows, classes = unit_classes(vectors, dims, key, vector)
-    found = links(classes, dims, threshold)
+    found = links(classes, dims, threshold, kind=number_kind(vectors, vector))
     counts = found.where("n > 0").groupBy("id").agg(F.sum("n").alias("n"))
     comp = components(found.where("n = 0").select(F.col("id").alias("a"), F.col("to").alias("b")))
     named = classes.select("id", "h", "rep", "mult").join(counts, "id", "left").join(comp, "id", "left")
